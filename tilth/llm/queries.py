@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilth.llm import mixing, urlfilter
+from tilth.llm import mixing, neardup, urlfilter
 from tilth.llm.text import table, word_count
 from tilth.scratch import materialize
 
@@ -65,3 +65,9 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     out = urlfilter.judge(pages, urlfilter.rules_frame(spark, RULES))
     return out.select("row.page_id", "host", "path", "rule", "verdict")
+
+
+@query()
+def op8_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents with a similarity of 0.75 or more."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
