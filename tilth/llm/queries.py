@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilth.llm import mixing, neardup, urlfilter
+from tilth.llm import mixing, neardup, packing, urlfilter
 from tilth.llm.text import table, word_count
 from tilth.scratch import materialize
 
@@ -71,3 +71,11 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents with a similarity of 0.75 or more."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query()
+def op9_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces of sequences of at most 4096 tokens."""
+    from public_tokenizers import path
+
+    return packing.pack_documents(table(spark, sf_dir, "documents"), path("word_bpe_49k.json"))
