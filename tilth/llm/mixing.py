@@ -110,7 +110,7 @@ def mix(
     weights: Sequence[float] = (5, 2, 1),
     shapes: Sequence[Sequence[tuple[float, float]]] = (FADING, LEVEL, RISING),
     max_epochs: int = 3,
-    rows_per_bucket: int = 4096,
+    rows_per_bucket: int = 512,
 ) -> DataFrame:
     """One row per document: ``row`` (its columns), size, source_size, target,
     taken, ``copies``, an array of (epoch, words, position), and ``order``, the
@@ -125,7 +125,7 @@ def mix(
     own = F.col(f"row.`{key}`")
     order = F.when(own.isNull(), F.xxhash64(F.to_json("row"))).otherwise(F.xxhash64(own))
     rows = sized.select("size", *SOURCE_KEY).agg(F.count(F.lit(1))).first()[0]
-    bits = min(24, max(0, math.ceil(math.log2(max(1, rows / rows_per_bucket)))))
+    bits = max(0, math.ceil(math.log2(max(1, rows / max(rows_per_bucket, math.isqrt(rows))))))
     bucket = F.shiftrightunsigned(order, 64 - bits) if bits else F.lit(0).cast("long")
     sized = sized.withColumn("order", order).withColumn("bucket", bucket)
 
