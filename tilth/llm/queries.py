@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilth.llm import mixing, neardup, packing, urlfilter
+from tilth.llm import mixing, neardup, packing, urlfilter, warc
 from tilth.llm.text import table, word_count
-from tilth.scratch import materialize
+from tilth.scratch import materialize, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -79,3 +79,11 @@ def op9_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from public_tokenizers import path
 
     return packing.pack_documents(table(spark, sf_dir, "documents"), path("word_bpe_49k.json"))
+
+
+@query()
+def op2_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back from them."""
+    folder = scratch_path(spark, "op2-warc")
+    manifest = warc.write_warc(table(spark, sf_dir, "pages"), folder, min_revisit=0)
+    return warc.read_warc(manifest, folder, with_payload=False).drop("url", "payload")
