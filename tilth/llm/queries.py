@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilth.llm import mixing, neardup, packing, urlfilter, warc
+from tilth.llm import fingerprint, mixing, neardup, packing, urlfilter, warc
 from tilth.llm.text import table, word_count
 from tilth.scratch import materialize, scratch_path
 
@@ -87,3 +87,9 @@ def op2_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "op2-warc")
     manifest = warc.write_warc(table(spark, sf_dir, "pages"), folder, min_revisit=0)
     return warc.read_warc(manifest, folder, with_payload=False).drop("url", "payload")
+
+
+@query()
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return fingerprint.edited_fingerprints(table(spark, sf_dir, "documents"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,3 +24,27 @@ def word_count(text: Column) -> Column:
 def ascii_lower(text: Column) -> Column:
     """Lower-cases A-Z and nothing else."""
     return F.translate(text, UPPER, UPPER.lower())
+
+
+def range_cuts(df: DataFrame, key: str, rows_per_shard: int, most: int = 20_000) -> list[int]:
+    """Ascending keys that cut a table into shards of about equal rows.
+
+    From a mergeable quantile sketch; at most ``most`` cuts reach the driver.
+    """
+    rows = df.count()
+    shards = min(most, max(1, -(-rows // rows_per_shard)))
+    if shards == 1:
+        return []
+    found = df.select(F.percentile_approx(key, [i / shards for i in range(1, shards)], 10_000).alias("c")).first()[0]
+    return sorted(set(found or []))
+
+
+def range_shard(key: Column, cuts: list[int]) -> Column:
+    """The number of cuts up to ``key``, found in two steps; null belongs to none."""
+    if not cuts:
+        return F.lit(0)
+    step = math.isqrt(len(cuts))
+    longs = lambda xs: F.array(*[F.lit(x).cast("long") for x in xs])
+    block = F.size(F.filter(longs(cuts[::step]), lambda c: c <= key)) - 1
+    inner = F.size(F.filter(F.slice(longs(cuts), F.greatest(block, F.lit(0)) * step + 1, F.lit(step)), lambda c: c <= key))
+    return F.when(block < 0, 0).otherwise(block * step + inner).cast("int")

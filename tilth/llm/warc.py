@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tilth.llm.text import range_cuts, range_shard
 from tilth.scratch import materialize
 
 ROLL_BYTES = 1 << 30
@@ -190,13 +191,8 @@ def write_warc(pages: DataFrame, folder: str, *, key: str = "page_id", url: str
     """
     spark = pages.sparkSession
     page = pages.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{url}`").alias("url"), F.coalesce(F.col(f"`{payload}`"), F.lit("")).alias("payload"))
-    # bounds of the ranges: as many as shards, from a mergeable quantile sketch
-    rows = page.count()
-    shards = max(1, -(-rows // shard_rows))
-    cuts = page.select(F.percentile_approx("key", [i / shards for i in range(1, shards)], 10_000).alias("c")).first()[0] if shards > 1 else []
-    cuts = sorted(set(cuts or []))
-    bounds = F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else F.array().cast("array<long>")
-    shard = F.coalesce(F.size(F.filter(bounds, lambda c: c <= F.col("key"))), F.lit(0))
+    cuts = range_cuts(page.select("key"), "key", shard_rows)
+    shard = F.when(F.col("key").isNull(), 0).otherwise(range_shard(F.col("key"), cuts))
 
     slim = page.select("key", F.sha1(F.encode("payload", "utf-8")).alias("hex"), F.octet_length("payload").cast("long").alias("size")).filter((F.col("size") >= min_revisit) & F.col("key").isNotNull())
     first = slim.groupBy("hex").agg(F.min("key").alias("refers_to"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("hex", "refers_to")
