@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilth.llm import fingerprint, mixing, neardup, packing, urlfilter, warc
+from tilth.llm import fingerprint, mixing, neardup, packing, quality, urlfilter, warc
 from tilth.llm.text import table, word_count
 from tilth.scratch import materialize, scratch_path
 
@@ -93,3 +93,9 @@ def op2_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts."""
     return fingerprint.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and perplexity bands on every document."""
+    return quality.judge(table(spark, sf_dir, "documents"))
