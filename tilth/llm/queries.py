@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilth.llm import fingerprint, mixing, neardup, packing, quality, urlfilter, warc
+from tilth.llm import fingerprint, language, mixing, neardup, packing, quality, urlfilter, warc
 from tilth.llm.text import table, word_count
 from tilth.scratch import materialize, scratch_path
 
@@ -99,3 +99,23 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and perplexity bands on every document."""
     return quality.judge(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document from text, declaration and source."""
+    docs = table(spark, sf_dir, "documents")
+    out = language.identify_documents(docs.select("doc_id", "text", "lang", "source"))
+    return out.select("row.doc_id", F.col("row.lang").alias("declared"), "language", F.round("posterior", 6).alias("posterior"), "kept")
+
+
+@query()
+def language_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every page from text, markup, address suffix and host."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    host = urlfilter.url_host(F.col("url"))
+    labels = F.split(host, r"\.")
+    text = F.regexp_replace(F.regexp_replace("html", r"(?s)<(script|style)\b.*?</\1>", " "), r"(?s)<[^>]*>", " ")
+    pages = pages.select("page_id", text.alias("text"), host.alias("host"), F.array_join(F.slice(labels, -F.least(F.lit(2), F.size(labels)), F.lit(2)), ".").alias("domain"), F.element_at(labels, -1).alias("suffix"), F.nullif(F.regexp_extract("html", r'(?i)<html[^>]*\blang="([A-Za-z]+)', 1), F.lit("")).alias("declared"))
+    out = language.identify(pages, declared=F.col("declared"), host=F.col("host"), domain=F.col("domain"), suffix=F.col("suffix"))
+    return out.select("row.page_id", "row.declared", "language", F.round("posterior", 6).alias("posterior"), "kept")
