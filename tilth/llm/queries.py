@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilth.llm import fingerprint, language, mixing, neardup, packing, quality, urlfilter, warc
+from tilth.llm import fingerprint, language, licenses, mixing, neardup, packing, quality, urlfilter, warc
 from tilth.llm.text import table, word_count
 from tilth.scratch import materialize, scratch_path
 
@@ -119,3 +119,10 @@ def language_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = pages.select("page_id", text.alias("text"), host.alias("host"), F.array_join(F.slice(labels, -F.least(F.lit(2), F.size(labels)), F.lit(2)), ".").alias("domain"), F.element_at(labels, -1).alias("suffix"), F.nullif(F.regexp_extract("html", r'(?i)<html[^>]*\blang="([A-Za-z]+)', 1), F.lit("")).alias("declared"))
     out = language.identify(pages, declared=F.col("declared"), host=F.col("host"), domain=F.col("domain"), suffix=F.col("suffix"))
     return out.select("row.page_id", "row.declared", "language", F.round("posterior", 6).alias("posterior"), "kept")
+
+
+@query()
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The license that each document names, if any."""
+    out = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("row.doc_id", "license", "dice", "line")
