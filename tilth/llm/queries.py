@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilth.llm import fingerprint, language, licenses, mixing, neardup, packing, quality, urlfilter, warc
+from tilth.llm import fingerprint, language, licenses, mixing, neardup, packing, quality, secrets, urlfilter, warc
 from tilth.llm.text import table, word_count
 from tilth.scratch import materialize, scratch_path
 
@@ -126,3 +126,12 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The license that each document names, if any."""
     out = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("row.doc_id", "license", "dice", "line")
+
+
+@query()
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The candidates of every document and what the forest makes of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    out = secrets.scan(docs, path=F.col("source"))
+    hits = F.filter("spans", lambda s: s["secret"])
+    return out.select("row.doc_id", F.size("spans").cast("long").alias("n_candidates"), F.size(hits).cast("long").alias("n_secrets"), "spans", F.sha2("clean", 256).alias("clean_sha256"))
