@@ -1 +1,5 @@
-"""plans of tilth."""
+"""Registered queries; importing this package registers them all."""
+
+from tilth.plans import discovery, registry, scenes
+
+__all__ = ["discovery", "registry", "scenes"]

@@ -21,7 +21,3 @@ def query(oracle: str | None = None) -> Callable[[Query], Query]:
         return f
 
     return add
-
-
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
