@@ -96,5 +96,5 @@ def aoi_clip(tiles: DataFrame, aoi: DataFrame, cell: float = 1.0) -> DataFrame:
 
     A tile that only touches an AOI part has no share of it.
     """
-    cut = spatial_join(tiles, aoi, cell).select("left.tile_id", "right.aoi_id", G.clip_convex(F.col("right.geom"), F.col("left.geom")).alias("geom"))
-    return cut.filter(G.nonempty(F.col("geom"))).filter(G.area(F.col("geom")) > 0)
+    cut = F.array(G.clip_convex(F.col("right.geom"), F.col("left.geom")))
+    return spatial_join(tiles, aoi, cell).select("left.tile_id", "right.aoi_id", F.explode(F.filter(cut, lambda g: (F.size(g) > 0) & (G.area(g) > 0))).alias("geom"))
