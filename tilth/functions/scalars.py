@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 
 def parse_csv(c: Column) -> Column:
     """Items between commas, trimmed, without blanks; null gives an empty array."""
-    items = F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), ","), F.trim), lambda x: x != "")
-    return items
+    return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), ","), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def parse_int_csv(c: Column) -> Column:
@@ -34,7 +33,7 @@ def tile_of(path: Column) -> Column:
 
 def formats(c: Column) -> Column:
     """The requested formats: trimmed, lower-case, distinct."""
-    return F.array_distinct(F.transform(parse_csv(c), F.lower))
+    return F.array_distinct(F.transform(parse_csv(c), lambda x: F.lower(x)))
 
 
 def base_name(source: Column, layer: Column) -> Column:

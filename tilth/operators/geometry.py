@@ -119,18 +119,21 @@ def clip_convex(geom: Column, clip: Column) -> Column:
     sides = edges(F.get(F.get(clip, F.lit(0)), F.lit(0)))
 
     def half(ring: Column, s: Column) -> Column:
+        """Of an open ring, what is left of one side."""
+        far = F.transform(ring, lambda p, i: F.struct(p.alias("p"), F.get(ring, (i + 1) % F.size(ring)).alias("q"), orient(s["a"], s["b"], p).alias("dp")))
+        far = F.transform(far, lambda e: F.struct(e["p"].alias("p"), e["q"].alias("q"), e["dp"].alias("dp"), orient(s["a"], s["b"], e["q"]).alias("dq")))
+
         def step(e: Column) -> Column:
-            da, db = orient(s["a"], s["b"], e["a"]), orient(s["a"], s["b"], e["b"])
-            t = F.coalesce(F.try_divide(da, da - db), F.lit(0.0))
-            cut = point(e["a"]["x"] + t * (e["b"]["x"] - e["a"]["x"]), e["a"]["y"] + t * (e["b"]["y"] - e["a"]["y"]))
+            t = F.coalesce(F.try_divide(e["dp"], e["dp"] - e["dq"]), F.lit(0.0))
+            cut = point(e["p"]["x"] + t * (e["q"]["x"] - e["p"]["x"]), e["p"]["y"] + t * (e["q"]["y"] - e["p"]["y"]))
             none = F.array().cast("array<struct<x:double,y:double>>")
-            return F.when((da >= 0) & (db >= 0), F.array(e["b"])).when(da >= 0, F.array(cut)).when(db >= 0, F.array(cut, e["b"])).otherwise(none)
+            return F.when((e["dp"] >= 0) & (e["dq"] >= 0), F.array(e["q"])).when(e["dp"] >= 0, F.array(cut)).when(e["dq"] >= 0, F.array(cut, e["q"])).otherwise(none)
 
-        open_ = F.flatten(F.transform(edges(ring), step))
-        return F.when(F.size(open_) == 0, open_).otherwise(F.concat(open_, F.slice(open_, 1, 1)))
+        return F.flatten(F.transform(far, step))
 
-    cut = lambda ring: F.aggregate(sides, ring, half)
-    polys = F.transform(geom, lambda poly: F.filter(F.transform(poly, cut), lambda r: F.size(r) >= 4))
+    cut = lambda ring: F.aggregate(sides, F.slice(ring, F.lit(1), F.greatest(F.size(ring) - 1, F.lit(0))), half)
+    polys = F.transform(geom, lambda poly: F.filter(F.transform(poly, cut), lambda r: F.size(r) >= 3))
+    polys = F.transform(polys, lambda poly: F.transform(poly, lambda r: F.concat(r, F.slice(r, 1, 1))))
     return F.filter(polys, lambda p: F.size(p) > 0)
 
 

@@ -1,5 +1,5 @@
 """Registered queries; importing this package registers them all."""
 
-from tilth.plans import discovery, rasters, registry, scenes
+from tilth.plans import discovery, flagship, rasters, registry, results, scenes
 
-__all__ = ["discovery", "rasters", "registry", "scenes"]
+__all__ = ["discovery", "flagship", "rasters", "registry", "results", "scenes"]

@@ -2,8 +2,8 @@
 
 ``spark.read.format("gpkg").option("layer", ...).load(path)``: one partition per file
 and range of rows; columns id, geom, srid and the box.  A filter on the box is
-pushed to the file's rtree where it has one, if
-``spark.sql.python.filterPushdown.enabled`` is set.  Files must be at a path that
+pushed to the file's rtree where it has one, with ``option("pushdown", "true")`` and
+``spark.sql.python.filterPushdown.enabled`` set.  Files must be at a path that
 every executor can open.
 """
 
@@ -22,6 +22,7 @@ SCHEMA = "source string, layer string, id string, srid int, minx double, miny do
 ROWS = 50_000
 #: Bytes of the envelope by its code in the blob header.
 ENVELOPES = {0: 0, 1: 32, 2: 48, 3: 48, 4: 64}
+#: Names of the id column, in order of preference.
 ID_COLUMNS = ("Name", "name", "tile_id", "tile", "MGRS_TILE", "mgrs_tile", "s2:mgrs_tile")
 
 
@@ -73,7 +74,8 @@ def decode(blob: bytes | None) -> list | None:
 
 
 def quoted(name: str) -> str:
-    return '"' + name.replace('"', '""') + '"'
+    """A name for SQLite, which doubles quotes inside quotes."""
+    return f'"{name.replace(chr(34), chr(34) * 2)}"'
 
 
 class Part(InputPartition):
@@ -85,13 +87,6 @@ class GpkgReader(DataSourceReader):
     def __init__(self, options: dict):
         self.options, self.box = options, {}
 
-    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
-        for f in filters:
-            name = f.attribute[0] if getattr(f, "attribute", None) and len(f.attribute) == 1 else ""
-            if isinstance(f, GreaterThanOrEqual) and name in ("maxx", "maxy") or isinstance(f, LessThanOrEqual) and name in ("minx", "miny"):
-                self.box[name] = f.value
-            yield f  # rtree boxes are rounded outwards, so Spark filters again
-
     def partitions(self) -> list[Part]:
         path = self.options["path"].removeprefix("file:")
         files = sorted(glob.glob(os.path.join(path, "*.gpkg")) if os.path.isdir(path) else glob.glob(path))
@@ -129,6 +124,17 @@ class GpkgReader(DataSourceReader):
                 yield part.file, part.layer, None if name is None else str(name), part.srid, min(xs, default=None), min(ys, default=None), max(xs, default=None), max(ys, default=None), geom
 
 
+class PushingGpkgReader(GpkgReader):
+    """For sessions that push filters to Python data sources."""
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        for f in filters:
+            name = f.attribute[0] if len(getattr(f, "attribute", ())) == 1 else ""
+            if isinstance(f, GreaterThanOrEqual) and name in ("maxx", "maxy") or isinstance(f, LessThanOrEqual) and name in ("minx", "miny"):
+                self.box[name] = f.value
+            yield f  # rtree boxes are rounded outwards, so Spark filters again
+
+
 class GpkgDataSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -138,4 +144,5 @@ class GpkgDataSource(DataSource):
         return SCHEMA
 
     def reader(self, schema: StructType) -> GpkgReader:
-        return GpkgReader(dict(self.options))
+        options = dict(self.options)
+        return (PushingGpkgReader if options.get("pushdown", "false") == "true" else GpkgReader)(options)
