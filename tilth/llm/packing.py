@@ -18,7 +18,9 @@ carried; repeated rows are packed each; an empty table gives no piece.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,40 +34,83 @@ END_ID = 2
 #: Tokens that one run of the packer holds.
 RUN_TOKENS = 4 << 20
 #: White-space-separated strings whose ids a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-_KNOWN: dict[str, tuple[object, dict[bytes, bytes]]] = {}
+#: A word of Latin-1 letters, which the vocabulary does not split; nor does a mark after it change its ids.
+_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)")
+_KNOWN: dict[str, tuple[object, dict[bytes, bytes], dict[bytes, bytes], dict[int, str] | None]] = {}
 
 
-def _loaded(path: str) -> tuple[object, dict[bytes, bytes]]:
-    """The tokenizer and what this worker remembers of it."""
+def _loaded(path: str) -> tuple[object, dict[bytes, bytes], dict[bytes, bytes], dict[int, str] | None]:
+    """The tokenizer, two halves of what this worker remembers of it, and its spelling of letters.
+
+    The last is for vocabularies that spell bytes as letters: what their first
+    steps make of each Latin-1 letter, so that a plain word goes straight to the
+    model.  It is None for other vocabularies.
+    """
     if path not in _KNOWN:
         from tokenizers import Tokenizer
 
-        _KNOWN[path] = (Tokenizer.from_file(path), {})
+        t = Tokenizer.from_file(path)
+        letters = [c for c in map(chr, range(256)) if c.isalpha() and c == c.lower() and c not in "\u00aa\u00b5\u00ba"]
+        spelt = {}
+        for c in letters:
+            made = t.pre_tokenizer.pre_tokenize_str(t.normalizer.normalize_str(c)) if t.normalizer and t.pre_tokenizer else []
+            spelt[c] = made[0][0] if len(made) == 1 else ""
+        word = "".join(letters)
+        made = t.pre_tokenizer.pre_tokenize_str(t.normalizer.normalize_str(word.upper().replace("SS", "\u00df"))) if t.pre_tokenizer and t.normalizer else []
+        plain = len(made) > 0 and all(spelt[c] == c for c in letters if c < "\x80") and t.encode(f"{word} {word}.", add_special_tokens=False).ids == _spelt_ids(t, spelt, word) * 2 + t.encode(".", add_special_tokens=False).ids
+        _KNOWN[path] = (t, {}, {}, {ord(k): v for k, v in spelt.items()} if plain else None)
     return _KNOWN[path]
 
 
+def _spelt_ids(t, spelt: dict[str, str], word: str) -> list[int]:
+    return [x.id for x in t.model.tokenize("".join(spelt[c] for c in word))]
+
+
+def _encode(t, spelt: dict[int, str] | None, parts: list[bytes], known: dict[bytes, bytes]) -> None:
+    """Puts the ids of white-space-free parts into ``known``."""
+    rest, tokenize = [], t.model.tokenize
+    mark = {m: array("I", t.encode(m, add_special_tokens=False).ids).tobytes() for m in (".", ",")}
+    for part in parts:
+        last = part[-1:].decode("latin-1")
+        word = part[:-1] if last in mark and part[-2:-1].isalpha() else part  # a mark after a letter stands alone
+        got = known.get(word)
+        if got is None:
+            if spelt and word.isalpha():  # ASCII letters, which are spelt as themselves
+                got = array("I", [x.id for x in tokenize(word.decode())]).tobytes()
+            elif spelt and _PLAIN.fullmatch(text := word.decode("utf-8", "surrogatepass")):
+                got = array("I", [x.id for x in tokenize(text.lower().translate(spelt))]).tobytes()
+            else:
+                rest.append(part)
+                continue
+        known[part] = got if word is part else got + mark[last]
+    for i in range(0, len(rest), 1 << 16):
+        some = rest[i : i + (1 << 16)]
+        for part, got in zip(some, t.encode_batch_fast([x.decode("utf-8", "surrogatepass") for x in some], add_special_tokens=False), strict=True):
+            known[part] = array("I", got.ids).tobytes()
+
+
 def token_ids(texts: list[str | None], path: str, end_id: int = END_ID) -> Iterator[np.ndarray]:
     """The ids of each text, with the end id.
 
     The vocabulary splits at white space before anything else, so the ids of a
     text are those of its parts in order, and each distinct part is encoded once.
     """
-    tokenizer, known = _loaded(path)
-    end = np.array([end_id], "<u4").tobytes()
+    tokenizer, known, older, spelt = _loaded(path)
+    end = array("I", [end_id]).tobytes()
     for text in texts:
         data = (text or "").encode("utf-8", "surrogatepass")
         parts = (data if b"<|" in data else data.lower()).split()
-        new = list(set(parts).difference(known))
-        if new:
-            if len(known) + len(new) > REMEMBERED:
+        if new := set(parts).difference(known):
+            if len(known) + len(new) > REMEMBERED:  # frequent parts come back from the older half
+                older.clear()
+                older.update(known)
                 known.clear()
-                new = list(set(parts))
-            for i in range(0, len(new), 1 << 16):
-                some = new[i : i + (1 << 16)]
-                for part, got in zip(some, tokenizer.encode_batch_fast([x.decode("utf-8", "surrogatepass") for x in some], add_special_tokens=False), strict=True):
-                    known[part] = np.array(got.ids, "<u4").tobytes()
+                new = set(parts)
+            back = {x: older[x] for x in new if x in older}
+            known.update(back)
+            _encode(tokenizer, spelt, list(new.difference(back)), known)
         yield np.frombuffer(b"".join([*map(known.__getitem__, parts), end]), "<u4")
 
 
