@@ -48,6 +48,8 @@ def encode(s: np.ndarray) -> str:
 
 
 def decode(s: str) -> np.ndarray:
+    if not s:
+        return np.empty(0, np.uint64)
     low = np.frombuffer(base64.b64decode(s), np.uint8).reshape(-1, BITS // 8)
     return np.pad(low, ((0, 0), (8 - BITS // 8, 0))).view(">u8").ravel().astype(np.uint64)
 
@@ -94,7 +96,7 @@ def merge_fingerprints(parts: DataFrame, by: str, *, fingerprint: str = "fingerp
         def one(values: pd.Series) -> str:
             return encode(np.unique(np.concatenate([decode(v) for v in values]))[:k])
 
-        return pdf.groupby(names, dropna=False, sort=False)["fingerprint"].agg(one).reset_index()
+        return pdf.groupby(names, dropna=False, sort=False)["fingerprint"].agg(one).reset_index().astype({"fingerprint": object})
 
     kind = parts.schema[by].dataType.simpleString()
     slim = parts.select(F.col(f"`{by}`").alias("by"), F.col(f"`{fingerprint}`").alias("fingerprint"))
