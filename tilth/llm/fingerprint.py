@@ -96,7 +96,7 @@ def merge_fingerprints(parts: DataFrame, by: str, *, fingerprint: str = "fingerp
         def one(values: pd.Series) -> str:
             return encode(np.unique(np.concatenate([decode(v) for v in values]))[:k])
 
-        return pdf.groupby(names, dropna=False, sort=False)["fingerprint"].agg(one).reset_index().astype({"fingerprint": object})
+        return pdf.groupby(names, dropna=False, sort=False)["fingerprint"].agg(one).reset_index().astype({"by": object, "fingerprint": object})
 
     kind = parts.schema[by].dataType.simpleString()
     slim = parts.select(F.col(f"`{by}`").alias("by"), F.col(f"`{fingerprint}`").alias("fingerprint"))
