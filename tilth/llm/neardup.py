@@ -30,8 +30,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tilth.llm import shingles as S
@@ -45,20 +45,22 @@ LEADING = COORDINATES - MATCHES + 1
 NUMERATOR, DENOMINATOR = 75, 100
 BLOCK_ROWS = 256
 BLOCK_BYTES = 16 << 20
+#: Delegates are compared again while they give this share of links.
+DELEGATE_GAIN = 0.2
 _A, _B = S.seeds(COORDINATES, 101) | np.uint64(1), S.seeds(COORDINATES, 102)
 _C = S.seeds(COORDINATES, 103)
 
 
-def _signed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in frames:
+def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
         n, keys, sigs = [], [], []
-        for text in pdf["text"]:
+        for text in batch.column("text").to_pylist():
             s = S.shingle_set(text)
             n.append(len(s))
             keys.append(_key(s) if len(s) else None)
             # the coordinate is mixed into its value: one number names the posting list
             sigs.append(S.mixed(S.signature(s, _A, _B) ^ _C).view(np.int64) if len(s) else None)
-        yield pd.DataFrame({"node": pdf["node"], "n": n, "set_key": keys, "signature": sigs})
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.list_(pa.int64()))], ["node", "n", "set_key", "signature"])
 
 
 def _key(shingles: np.ndarray) -> bytes:
@@ -67,20 +69,20 @@ def _key(shingles: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(shingles.tobytes())
 
 
-def _sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The shingle set of each class, from the row that stands for it."""
     last = None
-    for pdf in frames:
+    for batch in batches:
         ids, sets = [], []
-        for i, key, text in zip(pdf["id"], pdf["set_key"], pdf["text"], strict=True):
+        for i, key, text in zip(*[batch.column(c).to_pylist() for c in ("id", "set_key", "text")], strict=True):
             if i == last:
                 continue
             s = S.shingle_set(text)
-            if _key(s) == bytes(key):  # else another row with the same document key
+            if _key(s) == key:  # else another row with the same document key
                 ids.append(i)
                 sets.append(s.tobytes())
                 last = i
-        yield pd.DataFrame({"id": ids, "shingles": sets})
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], ["id", "shingles"])
 
 
 def _similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -91,34 +93,72 @@ def _similar(a: np.ndarray, b: np.ndarray) -> bool:
     return DENOMINATOR * both >= NUMERATOR * (small + large - both)
 
 
-def _links(pdf: pd.DataFrame) -> pd.DataFrame:
+def _group_links(ids: np.ndarray, comps: np.ndarray, sides: np.ndarray | None, sigs: np.ndarray, sets: list[memoryview], parent: dict[int, int]) -> Iterator[tuple[int, int]]:
     """Links inside one block, or between its two sides, that join components.
 
-    ``comp`` holds what is known before; a candidate is confirmed only if its ends
-    are not joined yet.
+    ``comps`` is what is known before and is brought up to date here; a candidate
+    is confirmed only if its ends are not joined yet.
     """
-    pdf = pdf.drop_duplicates("id").sort_values("id")
-    two_sided = len(pdf) > 0 and pdf["i"].iloc[0] != pdf["j"].iloc[0]
-    ids, sides, comps = pdf["id"].to_numpy(), pdf["side"].to_numpy(), pdf["comp"].to_numpy().copy()
-    sigs = np.stack([np.asarray(x, np.int64) for x in pdf["signature"]])
-    sets = [np.frombuffer(x, np.uint64) for x in pdf["shingles"]]
-    sizes = np.array([len(x) for x in sets])
-    found = []
+    sizes = np.array([len(x) // 8 for x in sets])
     for i in range(1, len(ids)):
         near = np.minimum(sizes[:i], sizes[i]) * DENOMINATOR >= np.maximum(sizes[:i], sizes[i]) * NUMERATOR
         near &= comps[:i] != comps[i]
-        if two_sided:
+        if sides is not None:
             near &= sides[:i] != sides[i]
         at = np.flatnonzero(near)
         if not len(at):
             continue
         hits = (sigs[at] == sigs[i]).sum(axis=1)
+        own = None
         for j in at[np.argsort(-hits, kind="stable")][: int((hits >= MATCHES).sum())]:
-            if comps[j] != comps[i] and _similar(sets[i], sets[j]):
-                found.append((ids[j], ids[i]))
-                low, high = sorted((comps[i], comps[j]))
+            if comps[j] == comps[i]:
+                continue
+            own = np.frombuffer(sets[i], np.uint64) if own is None else own
+            if _similar(own, np.frombuffer(sets[j], np.uint64)):
+                yield int(ids[j]), int(ids[i])
+                low, high = sorted((int(comps[i]), int(comps[j])))
+                parent[high] = low
                 comps[comps == high] = low
-    return pd.DataFrame(found, columns=["src", "dst"])
+
+
+def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of each (token, i, j) of a partition that is sorted by them, then by id."""
+    parent: dict[int, int] = {}  # components that this task has joined
+
+    def root(c: int) -> int:
+        while c in parent:
+            c = parent[c]
+        return c
+
+    def found(t: pa.Table, last: bool) -> tuple[list[tuple[int, int]], pa.Table]:
+        key = np.stack([t.column(c).to_numpy().astype(np.int64) for c in ("token", "i", "j")])
+        ends = [*(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1), *([t.num_rows] if last else [])]
+        ids, comps, sides = (t.column(c).to_numpy().astype(np.int64) for c in ("id", "comp", "side"))
+        out: list[tuple[int, int]] = []
+        start = 0
+        for end in ends:
+            at = start + np.flatnonzero(np.diff(ids[start:end], prepend=-1))  # a repeated row of a document is left out
+            own = np.array([root(c) for c in comps[at].tolist()])
+            if (own != own[0]).any():
+                part = t.take(at)
+                sigs = part.column("signature").combine_chunks().flatten().to_numpy().reshape(len(at), COORDINATES)
+                sets = [memoryview(x.as_buffer()) for x in part.column("shingles")]
+                out += _group_links(ids[at], own, sides[at] if key[1, start] != key[2, start] else None, sigs, sets, parent)
+            start = end
+        return out, t.slice(start)
+
+    def batch_of(links: list[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["src", "dst"])
+
+    held: pa.Table | None = None
+    for batch in batches:
+        t = pa.Table.from_batches([batch])
+        t = (pa.concat_tables([held, t]) if held is not None else t).combine_chunks()
+        if t.num_rows:
+            links, held = found(t, False)
+            yield batch_of(links)
+    if held is not None and held.num_rows:
+        yield batch_of(found(held, True)[0])
 
 
 def _label(rows: DataFrame, comps: DataFrame | None) -> DataFrame:
@@ -138,13 +178,14 @@ def _dealt(rows: DataFrame, seed: int) -> DataFrame:
 
 def _compare(rows: DataFrame, full: DataFrame) -> DataFrame:
     """rows: token, i, j, side, id, comp -> links inside each (token, i, j)."""
-    return rows.join(full, "id").groupBy("token", "i", "j").applyInPandas(_links, "src long, dst long")
+    dealt = rows.join(full, "id").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "id")
+    return dealt.select("token", "i", "j", "side", "id", "comp", "signature", "shingles").mapInArrow(_links, "src long, dst long")
 
 
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_shingles, component_id, kept) for every row of ``docs``."""
     slim = docs.select(F.col(f"`{key}`").cast("long").alias("node"), F.col(f"`{text}`").alias("text"))
-    signed = materialize(slim.mapInPandas(_signed, "node long, n long, set_key binary, signature array<long>"), "neardup-signed")
+    signed = materialize(slim.mapInArrow(_signed, "node long, n long, set_key binary, signature array<long>"), "neardup-signed")
     usable = signed.filter("node is not null and n > 0")
     reps = usable.groupBy("set_key").agg(F.min("node").alias("rep"), F.any_value("signature").alias("signature"))
     reps = materialize(reps.withColumn("id", F.monotonically_increasing_id()), "neardup-classes")
@@ -161,7 +202,7 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
 
     live = reps.join(own, "id", "left_semi").select("id", "set_key", "signature", "rep")
     read = slim.join(live.select("id", "set_key", F.col("rep").alias("node")), "node").select("id", "set_key", "text")
-    full = read.mapInPandas(_sets, "id long, shingles binary").join(live.select("id", "signature"), "id")
+    full = read.mapInArrow(_sets, "id long, shingles binary").join(live.select("id", "signature"), "id")
     full = materialize(full, "neardup-sets")
 
     size = full.groupBy("id").agg(F.max(F.length("shingles") + 8 * COORDINATES).alias("bytes"))
@@ -170,27 +211,37 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     links: list[DataFrame] = []
     comps: DataFrame | None = None
 
-    def new_links(rows: DataFrame) -> bool:
+    def new_links(rows: DataFrame) -> int:
         nonlocal comps
         found = materialize(_compare(rows, full), "neardup-links")
-        if found.isEmpty():
-            return False
-        links.append(found)
-        every = links[0]
-        for x in links[1:]:
-            every = every.unionByName(x)
-        comps = materialize(connected_components(every), "neardup-components")
-        return True
-
-    # blocks of members under each one's most frequent value, then of one delegate per component
-    top = tokens.select("id", "bytes", "central", F.element_at("tokens", -1)["token"].alias("token"))
-    again = True
-    while again:
-        rows = _label(top, comps)
-        if comps is not None:
-            rows = rows.groupBy("token", "comp").agg(F.max(F.struct("central", "id", "bytes")).alias("d")).select("token", "comp", "d.id", "d.bytes")
-        one = _dealt(rows, len(links)).select("token", "i", F.col("i").alias("j"), F.lit(0).alias("side"), "id", "comp")
-        again = new_links(one)
+        n = found.count()
+        if n:
+            links.append(found)
+            every = links[0]
+            for x in links[1:]:
+                every = every.unionByName(x)
+            comps = materialize(connected_components(every), "neardup-components")
+        return n
+
+    # blocks of members under a few of each one's values, the most frequent first
+    def one_side(rows: DataFrame, seed: int) -> DataFrame:
+        return _dealt(rows, seed).select("token", "blocks", "i", F.col("i").alias("j"), F.lit(0).alias("side"), "id", "comp")
+
+    def under(*places: Column) -> DataFrame:
+        return tokens.select("id", "bytes", "central", F.explode(F.array_distinct(F.array(*[F.get("tokens", p)["token"] for p in places]))).alias("token"))
+
+    n = F.size("tokens")
+    top = under(n - 1)
+    dealt = one_side(_label(under(n - 1, F.lit(0)), comps), 0)
+    large = materialize(dealt.filter("blocks > 1").select("token").distinct(), "neardup-large")
+    new_links(dealt.drop("blocks"))
+    new_links(one_side(_label(under((n / 3).cast("int"), (2 * n / 3).cast("int")), comps), 1).drop("blocks"))
+    # lists of several blocks: blocks of one delegate per component, while that joins many of them
+    while not large.isEmpty():
+        rows = _label(top.join(large, "token", "left_semi"), comps).groupBy("token", "comp").agg(F.max(F.struct("central", "id", "bytes")).alias("d"))
+        rows = materialize(rows.select("token", "comp", "d.id", "d.bytes"), "neardup-delegates")
+        if new_links(one_side(rows, len(links)).drop("blocks")) < DELEGATE_GAIN * rows.count():
+            break
 
     # what still holds different components under the rarest values, block against block
     prefix = F.slice("tokens", F.lit(1), F.size("tokens") - MATCHES + 1)
