@@ -208,19 +208,17 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     size = full.groupBy("id").agg(F.max(F.length("shingles") + 8 * COORDINATES).alias("bytes"))
     central = F.aggregate("tokens", F.lit(0.0), lambda acc, t: acc + F.log(t["k"].cast("double")))
     tokens = materialize(own.withColumn("central", central).join(size, "id"), "neardup-posts")
-    links: list[DataFrame] = []
     comps: DataFrame | None = None
+    turn = 0
 
     def new_links(rows: DataFrame) -> int:
-        nonlocal comps
+        nonlocal comps, turn
         found = materialize(_compare(rows, full), "neardup-links")
-        n = found.count()
+        n, turn = found.count(), turn + 1
         if n:
-            links.append(found)
-            every = links[0]
-            for x in links[1:]:
-                every = every.unionByName(x)
-            comps = materialize(connected_components(every), "neardup-components")
+            # components known so far are stars already, so only new links take rounds
+            known = found if comps is None else found.unionByName(comps.select(F.col("node").alias("src"), F.col("component").alias("dst")))
+            comps = materialize(connected_components(known), "neardup-components")
         return n
 
     # blocks of members under a few of each one's values, the most frequent first
@@ -240,12 +238,18 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     while not large.isEmpty():
         rows = _label(top.join(large, "token", "left_semi"), comps).groupBy("token", "comp").agg(F.max(F.struct("central", "id", "bytes")).alias("d"))
         rows = materialize(rows.select("token", "comp", "d.id", "d.bytes"), "neardup-delegates")
-        if new_links(one_side(rows, len(links)).drop("blocks")) < DELEGATE_GAIN * rows.count():
+        if new_links(one_side(rows, turn + 1).drop("blocks")) < DELEGATE_GAIN * rows.count():
             break
 
+    # skip again: ends that are not joined yet meet in lists of different components only, so
+    # who has fewer than MATCHES of those is done and the rest is posted under the rarest of them
+    posts = _label(tokens, comps).select("id", "comp", F.explode("tokens").alias("t")).select("id", "comp", "t.k", "t.token")
+    mixed = posts.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("token")
+    still = posts.join(mixed, "token").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("k", "token"))).alias("tokens"))  # at most COORDINATES each
+    still = materialize(still.filter(F.size("tokens") >= MATCHES).join(tokens.select("id", "bytes"), "id"), "neardup-still")
     # what still holds different components under the rarest values, block against block
     prefix = F.slice("tokens", F.lit(1), F.size("tokens") - MATCHES + 1)
-    rows = _dealt(_label(tokens.select("id", "bytes", F.explode(prefix["token"]).alias("token")), comps), 0)
+    rows = _dealt(_label(still.select("id", "bytes", F.explode(prefix["token"]).alias("token")), comps), 0)
     turns = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least("i", j).alias("i"), F.greatest("i", j).alias("j"), F.when(F.col("i") <= j, 0).otherwise(1).alias("side")))
     new_links(rows.select("token", "id", "comp", F.explode(turns).alias("b")).select("token", "b.i", "b.j", "b.side", "id", "comp"))
 
