@@ -310,6 +310,40 @@ def test_licenses_equal_brute_force(spark, empty):
         licenses.scan(d, templates=[])
 
 
+def brute_windows(text):
+    """The best Dice and the license of any window, with its first line, by trying all of them."""
+    at = [(w, k) for k, line in enumerate(text.split("\n")) for w in re.sub(r"[\W_]+", " ", line.lower()).split()]
+    grams = [(a[0], b[0]) for a, b in zip(at, at[1:])]
+    best = None
+    for name, notice in licenses.TEMPLATES:
+        norm = re.sub(r"[\W_]+", " ", notice.lower()).split()
+        b = set(zip(norm, norm[1:]))
+        for i in range(len(grams)):
+            if grams[i] in b:
+                for j in range(i + 1, min(len(grams), i + int(len(b) / 0.6 + 1e-9)) + 1):
+                    a = set(grams[i:j])
+                    dice = 2 * len(a & b) / (len(a) + len(b))
+                    if dice >= 0.75:
+                        best = min(best or (0,), (-dice, at[i][1], name))
+    return best
+
+
+def test_wrapped_and_embedded_licenses(spark):
+    def wrapped(notice, n):
+        w = notice.split()
+        return "\n".join(" ".join(w[i : i + n]) for i in range(0, len(w), n))
+
+    long = prose("en", 3, 400)
+    texts = [f"{long}\n{wrapped(n, 7)}\n{long}" for _, n in licenses.TEMPLATES] + [f"{long}. {n} {long}" for _, n in licenses.TEMPLATES]
+    texts += [f"{long}\n\n{wrapped(licenses.TEMPLATES[9][1].replace('program', 'small library').replace('either', 'in'), 6)} {long}", f"{long} this is licensed under the terms of the house {long}", "Licensed under CC BY-NC 4.0. Licensed under CC BY 4.0. " + long]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in licenses.scan(d).select("row.doc_id", "license", "dice", "line").collect()}
+    for i, t in enumerate(texts):
+        want = brute_windows(t)
+        assert (got[i]["license"], got[i]["dice"], got[i]["line"]) == ((want[2], round(-want[0], 9), want[1]) if want else (None, None, None)), t
+    assert [got[i]["license"] for i in range(28)] == [n for n, _ in licenses.TEMPLATES] * 2 and got[28]["license"] == "GPL-3.0" and got[29]["license"] is None
+
+
 # -- near duplicates
 
 

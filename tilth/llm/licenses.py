@@ -1,20 +1,26 @@
-"""License scans: lines and whole texts against license templates.
+"""License scans: lines, whole texts and windows of words against license templates.
 
 Texts are normalised to lower-case words and compared with templates by the
 Dice coefficient over distinct word bigrams.  A pair whose sizes differ too much
-for the threshold is pruned before any bigram is compared.  Everything is a
-column expression on the row, so nothing is shuffled; the templates are part of
-the plan, and their number is checked.
+for the threshold is pruned before any bigram is compared.  Notices that are
+wrapped over lines or stand inside a longer text are found by windows of
+consecutive words: trimming a window to the template's first and last bigram in it
+never lowers its Dice, so all windows that begin and end at one are all that count.
+A window takes at most as many bigrams as the threshold allows, and starts without
+enough of the template's bigrams ahead are skipped.  Everything is a column
+expression on the row, so nothing is shuffled; the templates are part of the plan,
+and their number is checked.
 
 Defined results: a null or empty text has no license; the best match wins, ties
 go to the first line, then to the template's name; a line with fewer than two
-words has no bigram and matches nothing; the whole text counts as line -1;
-repeated rows are scanned each; an empty table gives an empty result.
+words has no bigram and matches nothing; the whole text counts as line -1, a window
+as the line of its first word; repeated rows are scanned each; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,10 +57,73 @@ def words(text: Column) -> Column:
     return F.split(normalised(text), " ")
 
 
+def _in_order(words: Column) -> Column:
+    """Hashes of the bigrams of an array of words, one by one."""
+    n = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.zip_with(F.slice(words, F.lit(1), n), F.slice(words, F.lit(2), n), lambda a, b: F.xxhash64(a, b))
+
+
 def bigrams(words: Column) -> Column:
     """Hashes of the distinct bigrams of an array of words."""
-    n = F.greatest(F.size(words) - 1, F.lit(0))
-    return F.array_distinct(F.zip_with(F.slice(words, F.lit(1), n), F.slice(words, F.lit(2), n), lambda a, b: F.xxhash64(a, b)))
+    return F.array_distinct(_in_order(words))
+
+
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _line_at(text: Column, word: Column) -> Column:
+    """The number of the line that holds a word of the text."""
+    start = F.struct(F.lit(-1).alias("line"), F.lit(0).alias("seen"))
+
+    def after(acc: Column, line: Column) -> Column:
+        return F.struct((acc["line"] + 1).alias("line"), (acc["seen"] + F.size(F.array_remove(words(line), ""))).alias("seen"))
+
+    return F.reduce(F.split(text, "\n"), start, lambda acc, line: F.when(acc["seen"] > word, acc).otherwise(after(acc, line)), lambda acc: acc["line"])
+
+
+def _windows(text: Column, known: Sequence[tuple[str, list[int]]], threshold: float) -> Column:
+    """The best windows of the text that meet the threshold: dice, first (minus the line), name."""
+    ratio = threshold / (2 - threshold)
+    # at least so many of its bigrams are in a window that matches, and at most so many bigrams are in it
+    literal = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(len(g)).alias("size"), F.lit(max(1, math.ceil(len(g) * ratio - 1e-9))).alias("need"), F.lit(math.floor(len(g) / ratio + 1e-9)).alias("span"), F.array(*[F.lit(x).cast("long") for x in g]).alias("grams")) for name, g in known])
+    every = sorted({x for _, g in known for x in g})
+    kind = "array<struct<dice:double,at:int,name:string>>"
+    nothing = F.array().cast(kind)
+
+    def between(grams: Column, own: Column, t: Column, k: Column, j: Column) -> Column:
+        start, length = F.get(own, k)["at"], F.get(own, j)["at"] - F.get(own, k)["at"] + 1
+        both = F.size(F.array_distinct(F.transform(F.slice(own, k + 1, j - k + 1), lambda h: h["gram"])))
+        size = F.size(F.array_distinct(F.slice(grams, start + 1, length)))
+        return F.struct((2.0 * both / (size + t["size"])).alias("dice"), start.alias("at"), t["name"].alias("name"))
+
+    def of_template(grams: Column, own: Column, t: Column) -> Column:
+        def from_start(k: Column) -> Column:
+            ends = F.filter(F.sequence(k + t["need"] - 1, F.least(F.size(own), k + t["span"]) - 1), lambda j: F.get(own, j)["at"] - F.get(own, k)["at"] < t["span"])
+            return F.filter(F.transform(ends, lambda j: between(grams, own, t, k, j)), lambda m: m["dice"] >= threshold)
+
+        def starts() -> Column:
+            return F.filter(F.sequence(F.lit(0), F.size(own) - t["need"]), lambda k: F.get(own, k + t["need"] - 1)["at"] - F.get(own, k)["at"] < t["span"])
+
+        return F.when(F.size(own) >= t["need"], F.flatten(F.transform(starts(), from_start)).cast(kind)).otherwise(nothing)
+
+    def of_hits(grams: Column, hits: Column) -> Column:
+        def compared(t: Column) -> Column:
+            return _let(F.filter(hits, lambda h: F.array_contains(t["grams"], h["gram"])), lambda own: of_template(grams, own, t))
+
+        least = min(math.ceil(len(g) * ratio - 1e-9) for _, g in known)
+        return F.when(F.size(hits) >= least, F.flatten(F.transform(literal, compared))).otherwise(nothing)
+
+    def of_grams(grams: Column) -> Column:
+        hits = F.filter(F.transform(grams, lambda g, i: F.when(g.isin(every), F.struct(i.alias("at"), g.alias("gram")))), lambda h: h.isNotNull())
+        return _let(hits, lambda h: of_hits(grams, h))
+
+    def best_of(found: Column) -> Column:
+        return _let(F.array_max(F.transform(found, lambda m: m["dice"])), lambda top: F.filter(found, lambda m: m["dice"] == top))
+
+    best = _let(_let(words(text), lambda w: _let(_in_order(w), of_grams)), best_of)
+    return F.transform(best, lambda m: F.struct(m["dice"].alias("dice"), (-_line_at(text, m["at"])).alias("first"), m["name"].alias("name")))
 
 
 def scan(docs: DataFrame, *, text: str = "text", templates: Sequence[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
@@ -83,9 +152,11 @@ def scan(docs: DataFrame, *, text: str = "text", templates: Sequence[tuple[str,
         near = F.filter(literal, lambda t: (F.size(u["grams"]) >= t["size"] * ratio) & (t["size"] >= F.size(u["grams"]) * ratio))
         return F.transform(near, lambda t: F.struct((2.0 * F.size(F.array_intersect(u["grams"], t["grams"])) / (F.size(u["grams"]) + t["size"])).alias("dice"), (-F.when(u["line"] < 0, F.lit(2**31 - 1)).otherwise(u["line"])).alias("first"), t["name"].alias("name")))
 
-    found = F.filter(F.flatten(F.transform("units", compared)), lambda m: m["dice"] >= threshold)
-    best = F.reduce(found, F.get(found, F.lit(0)), lambda a, b: F.when((b["dice"] > a["dice"]) | ((b["dice"] == a["dice"]) & ((b["first"] > a["first"]) | ((b["first"] == a["first"]) & (b["name"] < a["name"])))), b).otherwise(a))
-    out = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), units.alias("units"))
-    out = out.select("row", best.alias("best"))
+    found = F.concat(F.filter(F.flatten(F.transform("units", compared)), lambda m: m["dice"] >= threshold), F.col("windows"))
+
+    def best_of(found: Column) -> Column:
+        return F.reduce(found, F.get(found, F.lit(0)), lambda a, b: F.when((b["dice"] > a["dice"]) | ((b["dice"] == a["dice"]) & ((b["first"] > a["first"]) | ((b["first"] == a["first"]) & (b["name"] < a["name"])))), b).otherwise(a))
+    out = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), units.alias("units"), _windows(whole, known, threshold).alias("windows"))
+    out = out.select("row", _let(found, best_of).alias("best"))
     line = F.when(F.col("best.first") == -(2**31 - 1), -1).otherwise(-F.col("best.first"))
     return out.select("row", F.col("best.name").alias("license"), F.round("best.dice", 9).alias("dice"), line.alias("line"))
