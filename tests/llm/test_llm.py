@@ -6,6 +6,7 @@ import base64
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -177,6 +178,45 @@ def test_secret_held_out_accuracy():
     assert list(secrets.candidates(None)) == [] and list(secrets.candidates("plain words only")) == []
 
 
+HEX640 = "0123456789abcdef" * 40
+JWT = "eyJhbGciOiJIUzI1NiIsInR5cCI6IkpXVCJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N_XgL0n3I9PlFUP0THsR8U"
+
+
+@pytest.mark.parametrize(
+    ("text", "value"),
+    [
+        (f'token = "{HEX640}" end', HEX640),
+        (f"see {HEX640} end", HEX640),
+        (f"Bearer {JWT} end", JWT),
+        ("key MTk4NjIyNDgzNDcxOTI1MjQ4.Cl2FMQ.ZnCjm1XVW7vRze4b7Cq4se7kKWs end", "MTk4NjIyNDgzNDcxOTI1MjQ4.Cl2FMQ.ZnCjm1XVW7vRze4b7Cq4se7kKWs"),
+        ('{"password": "Tr0ub4dor&3xyz"}', "Tr0ub4dor&3xyz"),
+        ('{\\"password\\": \\"Tr0ub4dor&3xyz"}', "Tr0ub4dor&3xyz"),
+        ("DB_PASSWORD=Tr0ub4dor&3xyz", "Tr0ub4dor&3xyz"),
+        ("conf/db.userToken=Tr0ub4dor&3xyz", "Tr0ub4dor&3xyz"),
+        ("password => Tr0ub4dor&3xyz", "Tr0ub4dor&3xyz"),
+    ],
+)
+def test_candidates_are_whole(text, value):
+    assert [text[start:end] for start, end, *_ in secrets.candidates(text)] == [value]
+
+
+def test_ordinary_text_gives_no_candidate_and_scans_are_linear():
+    assert list(secrets.candidates("a tokenizer: something, https://www.example.com/path/12/foo-bar-baz and 3.14")) == []
+    start = time.perf_counter()
+    for text in ("a." * 100_000, "token" * 40_000, "a1" * 100_000 + "@", "token=" * 30_000, "abcdefghijklmnop1." + "b." * 100_000):
+        list(secrets.candidates(text))
+    assert time.perf_counter() - start < 10
+
+
+def test_long_values_and_tokens_are_masked_whole(spark):
+    rng = np.random.default_rng(5)
+    hexa = lambda n: "".join(rng.choice(list("0123456789abcdef"), n))
+    rows = [(i, f"{prose('en', i, 20)} " + (f'token = "{hexa(40)}"' if i % 2 else "".join(map(str, rng.integers(0, 10, 16)))) + " end") for i in range(60)]
+    rows += [(100, f'the token = "{HEX640}" end'), (101, f"the header {JWT} end"), (102, f"the DB_TOKEN={hexa(40)} end"), (103, f'the "token": "{hexa(40)}" end')]
+    clean = {r["doc_id"]: r["clean"] for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).select("row.doc_id", "clean").collect()}
+    assert [clean[i] for i in (100, 101, 102, 103)] == ['the token = "[secret]" end', "the header [secret] end", "the DB_TOKEN=[secret] end", 'the "token": "[secret]" end']
+
+
 # -- URL filters
 
 

@@ -1,7 +1,8 @@
 """Secret scans: candidate strings, and a random forest that removes false ones.
 
 Candidates come from patterns over the whole text: known key formats, values
-assigned to telling names, and long runs that mix letters and digits.  Each is
+assigned to telling names (which may end a longer name or a quoted key), and long runs
+that mix letters and digits, joined by dots or not.  None has a greatest length.  Each is
 described by its length, its character transitions, its dictionary coverage, the
 path it was found under and its neighbouring words.  A random forest trained by
 Spark ML on labelled findings decides which candidates are secrets; its trees are
@@ -41,15 +42,23 @@ DICTIONARY = 20_000
 TREES, DEPTH, SEED = 20, 6, 7
 THRESHOLD = 0.5
 MASK = "[secret]"
-#: Published prefixes of access keys and names that are given secrets.
-PREFIXES = r"(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|xox[abprs]-[0-9A-Za-z-]{10,}|AIza[0-9A-Za-z_-]{35}|sk_live_[0-9a-zA-Z]{24,}"
+#: Published prefixes of access keys, signed JSON tokens, and names that are given secrets.
+PREFIXES = r"(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|xox[abprs]-[0-9A-Za-z-]{10,}|AIza[0-9A-Za-z_-]{35}|sk_live_[0-9a-zA-Z]{24,}|eyJ[0-9A-Za-z_-]{8,}(?:\.[0-9A-Za-z_-]+){1,4}"
 NAMES = r"api[_-]?key|access[_-]?key|auth|credential|passphrase|password|passwd|private[_-]?key|pwd|secret|token"
+#: Characters of a run, and of the segments of a token that are joined by dots.
+_RUN, _SEGMENT = "0-9A-Za-z+/_=-", "0-9A-Za-z_=-"
+_QUOTE = r"(?:\\?[\"'])?"
+# A name may end a longer one; what stands before it is taken from the start of the run on, as a run would
+# start there too.  An assignment is looked for first, so that plain words are left at once.
+_BEFORE_NAME = rf"(?:(?<![.{_RUN}])(?=[0-9A-Za-z+/_.-]*+{_QUOTE}[ \t]*+[=:])[.{_RUN}]*?|\b)"
 _CANDIDATE = re.compile(
     rf"(?P<key>(?<![0-9A-Za-z])(?:{PREFIXES})(?![0-9A-Za-z]))"
-    rf"|(?P<named>(?i:\b(?:{NAMES})\b)[ \t]*(?:=|:|=>)[ \t]*[\"']?(?P<value>[^\s\"'<>,;]{{8,512}}))"
-    r"|(?P<run>(?<![0-9A-Za-z+/_=.@-])(?=[A-Za-z+/_=-]*[0-9])[0-9A-Za-z+/_=-]{16,512}(?![0-9A-Za-z@]))"
+    rf"|(?P<named>{_BEFORE_NAME}(?i:(?:{NAMES})\b){_QUOTE}[ \t]*(?:=>|=|:)[ \t]*{_QUOTE}(?P<value>[^\s\"'<>,;]{{8,}}))"
+    # two or more long segments joined by dots are one token
+    rf"|(?<![.@{_RUN}])(?:(?P<joined>(?=[A-Za-z_=.-]*[0-9])(?=(?:[{_SEGMENT}]++\.)*[{_SEGMENT}]{{16,}}\.(?:[{_SEGMENT}]++\.)*[{_SEGMENT}]{{16}})[{_SEGMENT}]+(?:\.[{_SEGMENT}]+)+(?![0-9A-Za-z@]))"
+    rf"|(?P<run>(?=[A-Za-z+/_=-]*[0-9])[{_RUN}]{{16,}}(?![0-9A-Za-z@])))"
 )
-_NAME = re.compile(rf"(?i)\b(?:{NAMES})\b")
+_NAME = re.compile(rf"(?i)(?:{NAMES})\b")
 #: (pattern of the candidate, pattern of the text before it, is a secret); the first that fits decides.
 LABELLED = (
     (re.compile(rf"(?:{PREFIXES})"), None, True),
