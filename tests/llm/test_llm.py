@@ -217,6 +217,19 @@ def test_long_values_and_tokens_are_masked_whole(spark):
     assert [clean[i] for i in (100, 101, 102, 103)] == ['the token = "[secret]" end', "the header [secret] end", "the DB_TOKEN=[secret] end", 'the "token": "[secret]" end']
 
 
+def test_few_secrets_among_many_findings_are_learnt(spark):
+    rng = np.random.default_rng(6)
+    hexa = lambda n: "".join(rng.choice(list("0123456789abcdef"), n))
+    rows = [(i, f"{prose('en', i, 9)} " + "".join(map(str, rng.integers(0, 10, 16))) + " end") for i in range(4000)]
+    rows += [(10_000 + i, f'{prose("en", i, 9)} token = "{hexa(40)}" end') for i in range(6)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    sent = spark.sparkContext.broadcast(secrets.dictionary_of(d))
+    labels = Counter(r["label"] for r in secrets.findings(d, sent, "text", F.lit(""), 200).collect())
+    assert labels[1.0] == 6 and 120 < labels[0.0] < 280
+    out = secrets.scan(d, sample=200).select("row.doc_id", "clean").collect()
+    assert all((secrets.MASK in r["clean"]) == (r["doc_id"] >= 10_000) for r in out)
+
+
 # -- URL filters
 
 

@@ -11,8 +11,9 @@ where they are read.
 
 Findings are a table (candidate features, label) of the caller's.  Without one
 they are labelled from the documents by the formats of ``LABELLED``; rows that no
-format decides are not used.  Training takes at most about ``SAMPLE`` of them, by a
-hash of the candidate, so that reruns agree.
+format decides are not used.  Training takes at most about ``SAMPLE`` of them, half of
+each label unless one has fewer, by a hash of the candidate, so that reruns agree; both
+labels weigh the same.
 
 Defined results: a null or empty text has no candidate; overlapping candidates
 are one, the longest; repeated rows are scanned each; without any labelled finding
@@ -175,8 +176,11 @@ def findings(docs: DataFrame, dictionary: Broadcast, text: str, path: Column, sa
     slim = docs.select(F.col(f"`{text}`").alias("text"), path.cast("string").alias("path"))
     all_ = slim.mapInArrow(made, "value string, x array<double>, label double")
     all_ = materialize(all_.groupBy("value", "x", "label").agg(F.count(F.lit(1)).alias("copies")).select(F.xxhash64("value", "x").alias("order"), "x", "label"), "secret-findings")
-    n = all_.count()
-    return all_.filter(F.pmod("order", F.lit(1_000_000)) < min(1.0, sample / max(1, n)) * 1_000_000)
+    many = {r["label"]: r["n"] for r in all_.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # each label has half of the sample, and what the other leaves
+    total = sum(many.values())
+    share = [F.when(F.col("label") == y, min(1.0, max(sample / 2, sample - (total - n)) / n) * 1_000_000) for y, n in sorted(many.items())]
+    return all_.filter(F.pmod("order", F.lit(1_000_000)) < F.coalesce(*share, F.lit(0.0)))
 
 
 def train(labelled_rows: DataFrame) -> Forest:
@@ -188,9 +192,11 @@ def train(labelled_rows: DataFrame) -> Forest:
     rows = labelled_rows.orderBy("order", "label").select("label", "x").collect()  # bounded by SAMPLE; one order, so reruns agree
     if len({r["label"] for r in rows}) < 2:
         return Forest([])
-    local = spark.createDataFrame([(r["label"], r["x"]) for r in rows], "label double, x array<double>").coalesce(1)
-    data = local.select("label", array_to_vector("x").alias("features"))
-    model = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, minInstancesPerNode=2).fit(data)
+    # both labels weigh the same, so the forest does not depend on how rare one is
+    many = Counter(r["label"] for r in rows)
+    local = spark.createDataFrame([(r["label"], len(rows) / (len(many) * many[r["label"]]), r["x"]) for r in rows], "label double, weight double, x array<double>").coalesce(1)
+    data = local.select("label", "weight", array_to_vector("x").alias("features"))
+    model = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, minInstancesPerNode=2, weightCol="weight").fit(data)
     saved = scratch_path(spark, "secret-forest")
     model.save(saved)
     nodes = spark.read.parquet(f"{saved}/data").select("treeID", "nodeData.*").orderBy("treeID", "id").collect()
