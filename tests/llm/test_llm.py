@@ -335,6 +335,21 @@ def test_host_and_declaration_decide_where_text_cannot(spark):
     assert (out[60], out[61], out[62]) == ("fr", "en", "fr")
 
 
+def test_every_declared_language_has_a_model(spark, monkeypatch):
+    rows = []
+    for k in range(40):
+        rng = np.random.default_rng(k)
+        words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(12)]
+        rows += [(f"l{k:02}", " ".join(rng.choice(words, 40))) for _ in range(6)]
+    d = spark.createDataFrame(rows, "lang string, text string")
+    model = language.train(d, "lang", "text")
+    assert model.languages == sorted({lang for lang, _ in rows})
+    assert all(model.languages[int(np.argmax(model.score(text)[:-1]))] == lang for lang, text in rows)
+    monkeypatch.setattr(language, "MODEL_BYTES", 39 * 8 * language.BUCKETS)
+    with pytest.raises(ValueError, match="do not fit"):
+        language.train(d, "lang", "text")
+
+
 # -- licenses
 
 

@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,9 +31,10 @@ from pyspark.sql import functions as F
 from tilth.scratch import materialize
 
 BUCKETS = 1 << 14
-#: Rows with a declared language that a model is fitted on, in expectation, and the most languages.
+#: Rows with a declared language that a model is fitted on, in expectation.
 SAMPLE_PER_LANGUAGE = 2000
-LANGUAGES = 32
+#: Every language has a model; a table with more than fit in this many bytes is refused, none is left out.
+MODEL_BYTES = 64 << 20
 MIN_ROWS = 5
 #: Overlapping trigrams are not independent: each counts for a third.
 TEMPER = 1 / 3
@@ -82,8 +84,10 @@ def _tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(rows: DataFrame, declared: str, text: str, sample: int = SAMPLE_PER_LANGUAGE) -> TextModel:
     """Fits the trigram models on about ``sample`` rows of each declared language."""
     slim = rows.select(F.col(declared).alias("lang"), F.col(text).alias("text")).filter("lang is not null")
-    many = {r["lang"]: r["n"] for r in slim.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= MIN_ROWS).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
+    many = {r["lang"]: r["n"] for r in slim.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= MIN_ROWS).limit(MODEL_BYTES // (8 * BUCKETS) + 1).collect()}
     languages = sorted(many)
+    if 8 * BUCKETS * len(languages) > MODEL_BYTES:
+        raise ValueError(f"models of more than {MODEL_BYTES // (8 * BUCKETS)} declared languages do not fit in {MODEL_BYTES} bytes")
     if not languages:
         return TextModel([], np.zeros((1, BUCKETS)))
     share = F.create_map(*[F.lit(x) for lang in languages for x in (lang, min(1.0, sample / many[lang]))])
@@ -91,9 +95,8 @@ def train(rows: DataFrame, declared: str, text: str, sample: int = SAMPLE_PER_LA
     chosen = slim.filter(F.col("lang").isin(languages)).filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000)
     counts = chosen.mapInArrow(_tallied, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     table = np.full((len(languages), BUCKETS), 0.5)
-    place = {x: i for i, x in enumerate(languages)}
-    for lang, bucket, n in zip(*[counts[c].to_pylist() for c in ("lang", "bucket", "n")], strict=True):
-        table[place[lang], bucket] += n
+    at = pc.index_in(counts["lang"], pa.array(languages, pa.string())).to_numpy()
+    table[at, counts["bucket"].to_numpy()] += counts["n"].to_numpy()  # a bucket of a language is one row
     logs = np.log(table / table.sum(axis=1, keepdims=True))
     return TextModel(languages, np.vstack([logs, np.full(BUCKETS, -np.log(BUCKETS))]))
 
