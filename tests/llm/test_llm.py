@@ -461,6 +461,15 @@ def test_near_duplicates_equal_brute_force(spark, docs, empty, monkeypatch, bloc
         assert kept.columns == docs.columns and {40, 41} - {r["doc_id"] for r in kept.collect()} == {40, 41} and kept.filter("doc_id is null").count() == 1
 
 
+def test_rows_with_the_same_key_are_kept_by_their_own_text(spark):
+    a, b, c = (prose(lang, 900, 60) for lang in PROSE)
+    d = prose("en", 901, 60)
+    rows = [(3, a, "x"), (5, b, "x"), (5, a, "x"), (5, d, "x"), (7, c, "x"), (7, c, "x"), (7, c, "y"), (8, "", "x"), (8, "", "x"), (9, c, "x"), (None, a, "x")]
+    kept = neardup.without_duplicates(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    got = Counter((r["doc_id"], r["text"]) for r in kept)
+    assert got == Counter([(3, a), (5, b), (5, d), (7, c), (8, ""), (8, ""), (None, a)])
+
+
 # -- packing
 
 

@@ -22,7 +22,8 @@ out.  There is no cap on partners, candidates or the length of a list.
 
 Defined results: a text without words (or null) is linked with nothing; rows with
 the same key are judged each by its own text; a row without a key joins nothing
-and stays, with a null component; an empty table gives an empty result.
+and stays, with a null component; of a component one row stays, also where rows share
+its key; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -182,8 +183,11 @@ def _compare(rows: DataFrame, full: DataFrame) -> DataFrame:
     return dealt.select("token", "i", "j", "side", "id", "comp", "signature", "shingles").mapInArrow(_links, "src long, dst long")
 
 
-def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_shingles, component_id, kept) for every row of ``docs``."""
+def _judged(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(node, n, set_key, comp, grp) for every row of ``docs``.
+
+    comp is null without a key.  Components whose least keys are equal differ in grp.
+    """
     slim = docs.select(F.col(f"`{key}`").cast("long").alias("node"), F.col(f"`{text}`").alias("text"))
     signed = materialize(slim.mapInArrow(_signed, "node long, n long, set_key binary, signature array<long>"), "neardup-signed")
     usable = signed.filter("node is not null and n > 0")
@@ -255,13 +259,44 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
 
     classes = _label(reps.select("id", "set_key", "rep"), comps)
     least = classes.groupBy("comp").agg(F.min("rep").alias("component"))
-    named = classes.join(least, "comp").select("set_key", "component")
+    named = classes.join(least, "comp").select("set_key", "component", F.col("comp").alias("grp"))
     out = signed.select("node", "n", "set_key").join(named, "set_key", "left")
     comp = F.when(F.col("node").isNotNull(), F.coalesce("component", "node"))
-    return out.select(F.col("node").alias(key), F.col("n").alias("n_shingles"), comp.alias("component_id"), F.coalesce(F.col("node") == comp, F.lit(True)).alias("kept"))
+    return out.select("node", "n", "set_key", comp.alias("comp"), "grp")
+
+
+def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, n_shingles, component_id, kept) for every row of ``docs``."""
+    out = _judged(docs, key, text)
+    return out.select(F.col("node").alias(key), F.col("n").alias("n_shingles"), F.col("comp").alias("component_id"), F.coalesce(F.col("node") == F.col("comp"), F.lit(True)).alias("kept"))
+
+
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Replaces the text by the key of its shingle set, null without shingles."""
+    for batch in batches:
+        sets = [S.shingle_set(t) for t in batch.column("text").to_pylist()]
+        yield batch.drop_columns(["text"]).append_column("set_key", pa.array([_key(s) if len(s) else None for s in sets], pa.binary()))
 
 
 def without_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that are kept, with the columns of ``docs``."""
-    gone = near_duplicates(docs, key=key, text=text).filter("not kept").select(F.col(key).alias("gone_key")).distinct()
-    return docs.join(gone, F.col(f"`{key}`") == F.col("gone_key"), "left_anti")
+    """The documents that are kept, one of each component, with the columns of ``docs``.
+
+    A key that occurs once names its row.  Rows that share a key are told apart by
+    their shingle sets, and equal ones by a hash of all columns.
+    """
+    judged = materialize(_judged(docs, key, text).filter("node is not null"), "neardup-judged")
+    shared = materialize(judged.groupBy("node").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("node"), "neardup-shared")
+    gone = judged.filter("node <> comp").select("node").union(shared).distinct().withColumnRenamed("node", "gone_key")
+    by_key = F.col(f"`{key}`").cast("long")
+    single = docs.join(gone, by_key == F.col("gone_key"), "left_anti")
+
+    # a component's row: its least key, then its least shingle set, then the least hash
+    kept = judged.join(shared, "node", "left_semi").filter("n > 0 and node = comp").groupBy("grp").agg(F.min(F.struct("node", "set_key")).alias("least")).select("least.node", "least.set_key")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(row.alias("row"), by_key.alias("node"), F.col(f"`{text}`").alias("text"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("order"))
+    rows = rows.join(shared, "node", "left_semi").select("row", "node", "order", "text")
+    schema = f"{rows.select('row').schema.simpleString()[7:-1].replace('row:', 'row ', 1)}, node long, order long, set_key binary"
+    rows = rows.mapInArrow(_keyed, schema)
+    wordless = rows.filter("set_key is null").select("row")
+    chosen = rows.join(kept, ["node", "set_key"]).groupBy("node", "set_key").agg(F.min_by("row", "order").alias("row")).select("row")
+    return single.unionByName(wordless.union(chosen).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns]))
