@@ -3,22 +3,26 @@
 Texts with equal shingle sets form a class, and one representative stands for
 it.  Representatives carry a signature of ``COORDINATES`` MinHash values.  Two
 of them match in about the share of coordinates that is their similarity, so a
-pair is a candidate from ``MATCHES`` equal coordinates on; at a similarity of
-0.75 a pair has fewer with a chance of about 3 in a million.
-
-Prefix merging: pairs with ``MATCHES`` equal coordinates share one of any
-``COORDINATES - MATCHES + 1`` coordinates, so only representatives that collide
-in that many leading ones go on.  Those are posted under all coordinate-value
-pairs; a representative with fewer than ``MATCHES`` shared values is skipped, and
-the rest is posted under its rarest values only, as many as a pair must meet in.
-
-Posting lists are cut into blocks of bounded bytes.  Inside a block collisions are
-counted on the signatures and candidates are confirmed on the full shingle
-sets; members that are already joined are skipped, so a block returns at most
+pair is a candidate from ``MATCHES`` equal coordinates on.
+
+Prefix merging: only representatives that collide in the first ``LEADING``
+coordinates go on; a pair at 0.75 shares none of them with a chance of
+0.25 ** ``LEADING``.  Those are posted under all coordinate-value pairs; a
+representative with fewer than ``MATCHES`` shared values is skipped.
+
+Posting lists are cut into blocks of bounded rows and bytes.  Inside a block
+collisions are counted on the signatures and candidates are confirmed on the full
+shingle sets; members that are already joined are skipped, so a block returns at most
 one link per member.  Lists larger than a block are first merged through blocks
-of members and then of delegates, a linear number of rows; whatever lists still
-hold different components are compared block against block, which leaves no pair
-out.  There is no cap on partners, candidates or the length of a list.
+of members and then of delegates, a linear number of rows.  Representatives that
+still share ``MATCHES`` values with other components are then posted under the
+rarest of their values in the first ``SPREAD`` coordinates, as many as a pair with
+``SPREAD_MATCHES`` of them must meet in, and these lists are compared block against
+block, which leaves no pair out; a pair that meets in several lists is confirmed in the
+rarest.  There is no cap on partners, candidates or the length of a list.
+
+At a similarity of 0.75 a pair is lost by these counts with a chance of 8 in a million,
+and with less above it.
 
 Defined results: a text without words (or null) is linked with nothing; rows with
 the same key are judged each by its own text; a row without a key joins nothing
@@ -41,10 +45,11 @@ from tilth.scratch import materialize
 
 COORDINATES = 64
 MATCHES = 32
-LEADING = COORDINATES - MATCHES + 1
+LEADING = 12
+SPREAD, SPREAD_MATCHES = 16, 4
 #: Similarity as a fraction, compared in integers.
 NUMERATOR, DENOMINATOR = 75, 100
-BLOCK_ROWS = 256
+BLOCK_ROWS = 1024
 BLOCK_BYTES = 16 << 20
 #: Delegates are compared again while they give this share of links.
 DELEGATE_GAIN = 0.2
@@ -94,13 +99,17 @@ def _similar(a: np.ndarray, b: np.ndarray) -> bool:
     return DENOMINATOR * both >= NUMERATOR * (small + large - both)
 
 
-def _group_links(ids: np.ndarray, comps: np.ndarray, sides: np.ndarray | None, sigs: np.ndarray, sets: list[memoryview], parent: dict[int, int]) -> Iterator[tuple[int, int]]:
+def _group_links(ids: np.ndarray, comps: np.ndarray, sides: np.ndarray | None, sigs: np.ndarray, sets: list[memoryview], parent: dict[int, int], token: int, posted: np.ndarray | None) -> Iterator[tuple[int, int]]:
     """Links inside one block, or between its two sides, that join components.
 
     ``comps`` is what is known before and is brought up to date here; a candidate
-    is confirmed only if its ends are not joined yet.
+    is confirmed only if its ends are not joined yet.  ``posted`` has the length of each
+    one's list in the first coordinates, 0 where it is not posted: of the lists that two
+    share, the shortest and then the least token confirms them.
     """
     sizes = np.array([len(x) // 8 for x in sets])
+    if posted is not None:
+        lengths = np.where(posted > 0, posted, np.iinfo(np.int64).max)
     for i in range(1, len(ids)):
         near = np.minimum(sizes[:i], sizes[i]) * DENOMINATOR >= np.maximum(sizes[:i], sizes[i]) * NUMERATOR
         near &= comps[:i] != comps[i]
@@ -109,7 +118,16 @@ def _group_links(ids: np.ndarray, comps: np.ndarray, sides: np.ndarray | None, s
         at = np.flatnonzero(near)
         if not len(at):
             continue
-        hits = (sigs[at] == sigs[i]).sum(axis=1)
+        equal = sigs[at] == sigs[i]
+        hits = equal.sum(axis=1)
+        if posted is not None:
+            some = hits >= MATCHES
+            at, hits, equal = at[some], hits[some], equal[some, :SPREAD] & (posted[at[some]] > 0) & (posted[i] > 0)
+            if not len(at):
+                continue
+            shortest = np.where(equal, lengths[i], np.iinfo(np.int64).max).min(axis=1)
+            first = np.where(equal & (lengths[i] == shortest[:, None]), sigs[i, :SPREAD], np.iinfo(np.int64).max).min(axis=1)
+            at, hits = at[first == token], hits[first == token]
         own = None
         for j in at[np.argsort(-hits, kind="stable")][: int((hits >= MATCHES).sum())]:
             if comps[j] == comps[i]:
@@ -144,7 +162,9 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 part = t.take(at)
                 sigs = part.column("signature").combine_chunks().flatten().to_numpy().reshape(len(at), COORDINATES)
                 sets = [memoryview(x.as_buffer()) for x in part.column("shingles")]
-                out += _group_links(ids[at], own, sides[at] if key[1, start] != key[2, start] else None, sigs, sets, parent)
+                posted = part.column("posted").combine_chunks()
+                posted = None if posted.null_count else posted.flatten().to_numpy().reshape(len(at), SPREAD)
+                out += _group_links(ids[at], own, sides[at] if key[1, start] != key[2, start] else None, sigs, sets, parent, int(key[0, start]), posted)
             start = end
         return out, t.slice(start)
 
@@ -178,9 +198,9 @@ def _dealt(rows: DataFrame, seed: int) -> DataFrame:
 
 
 def _compare(rows: DataFrame, full: DataFrame) -> DataFrame:
-    """rows: token, i, j, side, id, comp -> links inside each (token, i, j)."""
+    """rows: token, i, j, side, id, comp, posted -> links inside each (token, i, j)."""
     dealt = rows.join(full, "id").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "id")
-    return dealt.select("token", "i", "j", "side", "id", "comp", "signature", "shingles").mapInArrow(_links, "src long, dst long")
+    return dealt.select("token", "i", "j", "side", "id", "comp", "posted", "signature", "shingles").mapInArrow(_links, "src long, dst long")
 
 
 def _judged(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -198,10 +218,10 @@ def _judged(docs: DataFrame, key: str, text: str) -> DataFrame:
     lead = reps.select("id", F.explode(F.slice("signature", 1, LEADING)).alias("token"))
     shared = lead.groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("token")
     met = materialize(lead.join(shared, "token").select("id").distinct(), "neardup-met")
-    # skip: who shares enough values; the rest is posted under its rarest ones
-    every = reps.join(met, "id", "left_semi").select("id", F.explode("signature").alias("token"))
+    # skip: who shares enough values
+    every = reps.join(met, "id", "left_semi").select("id", F.posexplode("signature").alias("at", "token"))
     counts = every.groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
-    own = every.join(counts, "token").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("k", "token"))).alias("tokens"))  # at most COORDINATES each
+    own = every.join(counts, "token").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("k", "token", "at"))).alias("tokens"))  # at most COORDINATES each
     own = materialize(own.filter(F.size("tokens") >= MATCHES), "neardup-tokens")
 
     live = reps.join(own, "id", "left_semi").select("id", "set_key", "signature", "rep")
@@ -227,7 +247,7 @@ def _judged(docs: DataFrame, key: str, text: str) -> DataFrame:
 
     # blocks of members under a few of each one's values, the most frequent first
     def one_side(rows: DataFrame, seed: int) -> DataFrame:
-        return _dealt(rows, seed).select("token", "blocks", "i", F.col("i").alias("j"), F.lit(0).alias("side"), "id", "comp")
+        return _dealt(rows, seed).select("token", "blocks", "i", F.col("i").alias("j"), F.lit(0).alias("side"), "id", "comp", F.lit(None).cast("array<long>").alias("posted"))
 
     def under(*places: Column) -> DataFrame:
         return tokens.select("id", "bytes", "central", F.explode(F.array_distinct(F.array(*[F.get("tokens", p)["token"] for p in places]))).alias("token"))
@@ -246,16 +266,19 @@ def _judged(docs: DataFrame, key: str, text: str) -> DataFrame:
             break
 
     # skip again: ends that are not joined yet meet in lists of different components only, so
-    # who has fewer than MATCHES of those is done and the rest is posted under the rarest of them
-    posts = _label(tokens, comps).select("id", "comp", F.explode("tokens").alias("t")).select("id", "comp", "t.k", "t.token")
+    # who has fewer than MATCHES of those is done
+    posts = _label(tokens, comps).select("id", "comp", F.explode("tokens").alias("t")).select("id", "comp", "t.*")
     mixed = posts.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("token")
-    still = posts.join(mixed, "token").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("k", "token"))).alias("tokens"))  # at most COORDINATES each
-    still = materialize(still.filter(F.size("tokens") >= MATCHES).join(tokens.select("id", "bytes"), "id"), "neardup-still")
-    # what still holds different components under the rarest values, block against block
-    prefix = F.slice("tokens", F.lit(1), F.size("tokens") - MATCHES + 1)
-    rows = _dealt(_label(still.select("id", "bytes", F.explode(prefix["token"]).alias("token")), comps), 0)
+    still = posts.join(mixed, "token").groupBy("id").agg(F.count(F.lit(1)).alias("shared"), F.sort_array(F.collect_list(F.when(F.col("at") < SPREAD, F.struct("k", "token", "at")))).alias("tokens"))  # at most SPREAD each
+    still = still.filter((F.col("shared") >= MATCHES) & (F.size("tokens") >= SPREAD_MATCHES))
+    # under the rarest values that are left, block against block
+    prefix = F.slice("tokens", F.lit(1), F.size("tokens") - SPREAD_MATCHES + 1)
+    length = lambda c: F.coalesce(F.get(F.filter("prefix", lambda t: t["at"] == c), F.lit(0))["k"], F.lit(0))
+    still = still.withColumn("prefix", prefix).select("id", F.col("prefix.token").alias("tokens"), F.transform(F.sequence(F.lit(0), F.lit(SPREAD - 1)), length).alias("posted"))
+    still = materialize(still.join(tokens.select("id", "bytes"), "id"), "neardup-still")
+    rows = _dealt(_label(still.select("id", "bytes", "posted", F.explode("tokens").alias("token")), comps), 0)
     turns = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least("i", j).alias("i"), F.greatest("i", j).alias("j"), F.when(F.col("i") <= j, 0).otherwise(1).alias("side")))
-    new_links(rows.select("token", "id", "comp", F.explode(turns).alias("b")).select("token", "b.i", "b.j", "b.side", "id", "comp"))
+    new_links(rows.select("token", "id", "comp", "posted", F.explode(turns).alias("b")).select("token", "b.i", "b.j", "b.side", "id", "comp", "posted"))
 
     classes = _label(reps.select("id", "set_key", "rep"), comps)
     least = classes.groupBy("comp").agg(F.min("rep").alias("component"))
@@ -286,17 +309,17 @@ def without_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
     """
     judged = materialize(_judged(docs, key, text).filter("node is not null"), "neardup-judged")
     shared = materialize(judged.groupBy("node").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("node"), "neardup-shared")
-    gone = judged.filter("node <> comp").select("node").union(shared).distinct().withColumnRenamed("node", "gone_key")
+    gone = judged.filter("node <> comp").select("node").union(shared).distinct()
     by_key = F.col(f"`{key}`").cast("long")
-    single = docs.join(gone, by_key == F.col("gone_key"), "left_anti")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    row = F.struct(*columns)
+    single = docs.select(row.alias("row"), by_key.alias("node")).join(gone, "node", "left_anti").select("row")
 
     # a component's row: its least key, then its least shingle set, then the least hash
     kept = judged.join(shared, "node", "left_semi").filter("n > 0 and node = comp").groupBy("grp").agg(F.min(F.struct("node", "set_key")).alias("least")).select("least.node", "least.set_key")
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = docs.select(row.alias("row"), by_key.alias("node"), F.col(f"`{text}`").alias("text"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("order"))
+    rows = docs.select(row.alias("row"), by_key.alias("node"), F.col(f"`{text}`").alias("text"), F.xxhash64(*columns).alias("order"))
     rows = rows.join(shared, "node", "left_semi").select("row", "node", "order", "text")
-    schema = f"{rows.select('row').schema.simpleString()[7:-1].replace('row:', 'row ', 1)}, node long, order long, set_key binary"
-    rows = rows.mapInArrow(_keyed, schema)
+    rows = rows.mapInArrow(_keyed, rows.drop("text").schema.add("set_key", "binary"))
     wordless = rows.filter("set_key is null").select("row")
     chosen = rows.join(kept, ["node", "set_key"]).groupBy("node", "set_key").agg(F.min_by("row", "order").alias("row")).select("row")
-    return single.unionByName(wordless.union(chosen).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns]))
+    return single.union(wordless).union(chosen).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
