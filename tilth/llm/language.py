@@ -1,8 +1,8 @@
 """Language ID by Bayesian fusion of evidence.
 
 The text's likelihood comes from multinomial models over hashed byte trigrams of
-letters, one per language, fitted on a bounded sample of rows with a declared
-language.  Three more sources of evidence are learnt by grouped aggregation over
+letters, one per declared language, however rare, fitted on a bounded sample of its
+rows; a language of few rows is smoothed more by the same half count a bucket.  Three more sources of evidence are learnt by grouped aggregation over
 all rows, with each row's most likely language by text alone as its label: how
 often a language is declared as another (markup language), how often it is found
 under an address suffix, and priors of hosts.  A host's prior is smoothed by
@@ -12,7 +12,7 @@ A background model stands for text in none of the languages; where it or no
 language has most of the posterior, a document is rejected.
 
 Defined results: null or empty text, or one without letters, has no language and is
-rejected; a null declaration, address or host gives no evidence of its own; rows
+rejected; a declaration of ``und`` counts as null; a null declaration, address or host gives no evidence of its own; rows
 are judged one by one, repeated or not; an empty table gives an empty result.
 """
 
@@ -27,7 +27,9 @@ import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
+from tilth.llm.text import bound_batches, carried, restored
 from tilth.scratch import materialize
 
 BUCKETS = 1 << 14
@@ -35,7 +37,6 @@ BUCKETS = 1 << 14
 SAMPLE_PER_LANGUAGE = 2000
 #: Every language has a model; a table with more than fit in this many bytes is refused, none is left out.
 MODEL_BYTES = 64 << 20
-MIN_ROWS = 5
 #: Overlapping trigrams are not independent: each counts for a third.
 TEMPER = 1 / 3
 #: Rows that a parent's prior counts for.
@@ -64,7 +65,7 @@ class TextModel:
     def score(self, text: str | None) -> list[float] | None:
         total, n = np.zeros(len(self.logs)), 0
         for ids in trigrams(text):
-            total += self.logs[:, ids].sum(axis=1) if len(ids) < BUCKETS else self.logs @ np.bincount(ids, minlength=BUCKETS)
+            total += self.logs[:, ids].sum(axis=1, dtype=float) if len(ids) < BUCKETS else (self.logs * np.bincount(ids, minlength=BUCKETS)).sum(axis=1, dtype=float)
             n += len(ids)
         return (total * TEMPER).tolist() if n else None
 
@@ -81,24 +82,27 @@ def _tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(counts[at], pa.int64())], ["lang", "bucket", "n"])
 
 
-def train(rows: DataFrame, declared: str, text: str, sample: int = SAMPLE_PER_LANGUAGE) -> TextModel:
-    """Fits the trigram models on about ``sample`` rows of each declared language."""
-    slim = rows.select(F.col(declared).alias("lang"), F.col(text).alias("text")).filter("lang is not null")
-    many = {r["lang"]: r["n"] for r in slim.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= MIN_ROWS).limit(MODEL_BYTES // (8 * BUCKETS) + 1).collect()}
+def train(rows: DataFrame, declared: str, text: str, draw: Column, sample: int = SAMPLE_PER_LANGUAGE) -> TextModel:
+    """Fits the trigram models on about ``sample`` rows of each declared language.
+
+    ``draw`` is a hash of the whole row: reruns agree, and equal texts are drawn one by one.
+    """
+    slim = rows.select(F.col(declared).alias("lang"), F.col(text).alias("text"), draw.alias("draw")).filter("lang is not null")
+    most = MODEL_BYTES // (4 * BUCKETS)
+    many = {r["lang"]: r["n"] for r in slim.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(most + 1).collect()}
     languages = sorted(many)
-    if 8 * BUCKETS * len(languages) > MODEL_BYTES:
-        raise ValueError(f"models of more than {MODEL_BYTES // (8 * BUCKETS)} declared languages do not fit in {MODEL_BYTES} bytes")
+    if len(languages) > most:
+        raise ValueError(f"models of more than {most} declared languages do not fit in {MODEL_BYTES} bytes")
     if not languages:
-        return TextModel([], np.zeros((1, BUCKETS)))
+        return TextModel([], np.zeros((1, BUCKETS), np.float32))
     share = F.create_map(*[F.lit(x) for lang in languages for x in (lang, min(1.0, sample / many[lang]))])
-    # a hash of the text decides, so that reruns agree; nothing is shuffled
-    chosen = slim.filter(F.col("lang").isin(languages)).filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000)
+    chosen = slim.filter(F.pmod("draw", F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000).select("lang", "text")
     counts = chosen.mapInArrow(_tallied, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     table = np.full((len(languages), BUCKETS), 0.5)
     at = pc.index_in(counts["lang"], pa.array(languages, pa.string())).to_numpy()
     table[at, counts["bucket"].to_numpy()] += counts["n"].to_numpy()  # a bucket of a language is one row
     logs = np.log(table / table.sum(axis=1, keepdims=True))
-    return TextModel(languages, np.vstack([logs, np.full(BUCKETS, -np.log(BUCKETS))]))
+    return TextModel(languages, np.vstack([logs, np.full(BUCKETS, -np.log(BUCKETS))]).astype(np.float32))
 
 
 def _scored(model: Broadcast):
@@ -128,23 +132,23 @@ def identify(docs: DataFrame, *, text: str = "text", declared: Column | None = N
     """``row`` (the columns of ``docs``), language, posterior and kept for every row."""
     none = F.lit(None).cast("string")
     rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        carried(docs, text),
         F.col(f"`{text}`").alias("text"),
         *[(none if c is None else c.cast("string")).alias(a) for a, c in (("declared", declared), ("host", host), ("domain", domain), ("suffix", suffix))],
     )
+    rows = rows.withColumn("declared", F.nullif("declared", F.lit(NO_LANGUAGE)))
     spark = docs.sparkSession
-    model = train(rows, "declared", "text", sample)
+    bound_batches(spark)
+    model = train(rows, "declared", "text", F.xxhash64("rest", "text"), sample)
     n = len(model.languages) + 1
-    names = F.array(*[F.lit(x) for x in [*model.languages, NO_LANGUAGE]])
-    # declarations of other languages are one value, so that the table of declarations is bounded
-    known = F.when(F.col("declared").isin(model.languages), F.col("declared")).when(F.col("declared").isNotNull(), F.lit("other"))
-    rows = rows.withColumn("declared", known)
-    fields = rows.schema.fields
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields if f.name not in ("row", "text"))
+    names = F.array(*[F.lit(x) for x in model.languages], F.lit(NO_LANGUAGE))
     sent = spark.sparkContext.broadcast(model)
 
+    scores = StructField("scores", ArrayType(DoubleType()))
+
     # 1: labels by text alone, all rows, and what is counted from them
-    slim = rows.drop("row").mapInArrow(lambda it: (b.drop_columns(["text"]) for b in _scored(sent)(it)), f"{schema}, scores array<double>")
+    slim = rows.drop("rest")
+    slim = slim.mapInArrow(lambda it: (b.drop_columns(["text"]) for b in _scored(sent)(it)), slim.drop("text").schema.add(scores))
     labelled = slim.filter("scores is not null").withColumn("label", _argmax(F.col("scores"))).drop("scores")
     counts = labelled.groupBy("domain", "host", "declared", "suffix", "label").agg(F.count(F.lit(1)).alias("rows"))
     counts = materialize(counts, "language-counts")
@@ -164,8 +168,7 @@ def identify(docs: DataFrame, *, text: str = "text", declared: Column | None = N
     hosts = hosts.join(domains, "domain", "left").select(F.struct("domain", "host").alias("place"), _smoothed(F.col("c"), F.coalesce("domain_prior", prior)).alias("host_prior"))
 
     # 2: the posterior of every row
-    kept_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields if f.name != "text")
-    full = rows.mapInArrow(lambda it: (b.drop_columns(["text"]) for b in _scored(sent)(it)), f"{kept_schema}, scores array<double>")
+    full = rows.mapInArrow(_scored(sent), StructType([*rows.schema.fields, scores]))
     full = full.withColumn("place", F.struct("domain", "host")).join(hosts, "place", "left")
     prior_of = F.coalesce("host_prior", prior)
     logs = F.zip_with("scores", prior_of, lambda s, p: s + F.log(p))
@@ -179,7 +182,7 @@ def identify(docs: DataFrame, *, text: str = "text", declared: Column | None = N
     best = F.array_max("logs")
     posterior = 1 / F.aggregate("logs", F.lit(0.0), lambda acc, x: acc + F.exp(x - best))
     language = F.get(names, _argmax(F.col("logs")).cast("int"))
-    full = full.select("row", F.coalesce(language, F.lit(NO_LANGUAGE)).alias("language"), F.coalesce(posterior, F.lit(0.0)).alias("posterior"))
+    full = full.select(restored(docs, text), F.coalesce(language, F.lit(NO_LANGUAGE)).alias("language"), F.coalesce(posterior, F.lit(0.0)).alias("posterior"))
     return full.withColumn("kept", (F.col("language") != NO_LANGUAGE) & (F.col("posterior") >= MIN_POSTERIOR))
 
 

@@ -26,6 +26,30 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 
 
+#: Bytes of one Arrow batch of texts, whatever their lengths.
+BATCH_BYTES = 16 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bounds the session's Arrow batches by bytes, so that long texts don't add up in a worker.
+
+    Only the size of batches changes; a lower bound of the session's own stays.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if BATCH_BYTES < int(spark._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch()):
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
+def carried(docs: DataFrame, text: str) -> Column:
+    """All columns but the text under names of its own, to travel beside the text."""
+    return F.struct(F.lit(0).alias("none"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c != text]).alias("rest")
+
+
+def restored(docs: DataFrame, text: str) -> Column:
+    """The struct of the columns of ``docs``, from ``rest`` and ``text``."""
+    return F.struct(*[(F.col("text") if c == text else F.col(f"rest.c{i}")).alias(c) for i, c in enumerate(docs.columns)]).alias("row")
+
+
 def range_cuts(df: DataFrame, key: str, rows_per_shard: int, most: int = 20_000) -> list[int]:
     """Ascending keys that cut a table into shards of about equal rows.
 
