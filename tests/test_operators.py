@@ -15,6 +15,7 @@ from tilth.functions import scalars
 from tilth.operators import composite, crs, landcover, parcels, raster, tiles
 from tilth.operators import geometry as G
 from tilth.operators.components import connected_components
+from tilth.operators.quantile import exact_quantiles
 from tilth.sinks import results as sinks
 from tilth.sources import gpkg, vectors
 
@@ -222,10 +223,83 @@ def test_gpkg_headers_and_box(spark, tmp_path):
         db.execute("insert into gpkg_geometry_columns values ('g', 'geom', 4326)")
         db.execute("create table g (fid integer primary key, tile_id text, geom blob)")
         db.execute("insert into g values (1, 'a', ?), (2, 'b', ?), (3, 'c', null)", (blob(ring), blob([(x + 5, y) for x, y in ring])))
-    spark.dataSource.register(gpkg.GpkgDataSource)
-    df = spark.read.format("gpkg").load(str(tmp_path))
+    df = gpkg.read_gpkg(spark, str(tmp_path))
     assert [r["id"] for r in tiles.bbox_scan(df, 4.0, 0.0, 9.0, 9.0).collect()] == ["b"]
     assert df.filter("geom is null").count() == 1
+    assert {r["id"] for r in gpkg.read_gpkg(spark, f"file:{tmp_path}/t*.gpkg", id="fid").collect()} == {"1", "2", "3"}
+    with pytest.raises(Exception, match="no column nosuch"):
+        gpkg.read_gpkg(spark, str(tmp_path), id="nosuch").collect()
+    with pytest.raises(ValueError, match="no id column"):
+        gpkg.id_column(["fid", "geom"], None)
+
+
+def test_gpkg_box_reaches_the_rtree(spark, tmp_path):
+    """Rows outside the box are never decoded: a damaged blob there does no harm."""
+    from tilth.plans.results import _gpkg_file
+
+    path = str(tmp_path / "r.gpkg")
+    _gpkg_file(path, [(i, float(i), 0.0, i + 0.5, 1.0) for i in range(200)])
+    with sqlite3.connect(path) as db:
+        db.execute("update parcels set geom = x'475000ff' where fid > 100")
+    near = tiles.bbox_scan(gpkg.read_gpkg(spark, path), 9.75, 0.0, 12.0, 9.0)
+    assert sorted(r["id"] for r in near.collect()) == ["10", "11", "12"]
+    with pytest.raises(Exception, match="envelope"):
+        gpkg.read_gpkg(spark, path).collect()
+
+
+@pytest.mark.parametrize("values", [[1.0], [2.0, 1.0], [0.0, 0.0, -1.5, -1e300, 1e-300, 3.0], list(np.random.default_rng(0).lognormal(0, 4, 999)), list(np.random.default_rng(1).normal(0, 1, 500)) + [7.0] * 500])
+def test_quantiles_are_exact(spark, values):
+    shares = (0.0, 0.02, 0.5, 0.98, 1.0)
+    rows = [(g, float(v)) for g in ("a", None) for v in values] + [("b", None)]
+    out = {r["key"]["g"]: r["q"] for r in exact_quantiles(spark.createDataFrame(rows, "g string, v double"), ["g"], "v", shares).collect()}
+    assert set(out) == {"a", None}
+    for q in out.values():
+        assert q == pytest.approx(list(np.quantile(values, shares)), rel=1e-12, abs=1e-300)
+
+
+def test_quantiles_keep_no_group_in_one_buffer(spark):
+    plan = raster.contrast_stretch(spark.createDataFrame([("a", 1.0)], "band string, value double"), ["band"])._jdf.queryExecution().executedPlan().toString()
+    assert "percentile" not in plan
+
+
+def test_clip_equals_the_point_test(spark):
+    """Row spans against the test of each pixel's centre, with a hole, a concave shell, and edges on centres."""
+    rings = [[(1.0, 1.0), (9.5, 1.5), (9.0, 8.5), (5.5, 4.5), (1.5, 9.0), (1.0, 1.0)], [(3.0, 2.5), (4.5, 2.5), (4.5, 4.5), (3.0, 4.5), (3.0, 2.5)]]
+    geom = F.array(F.array(*[F.array(*[G.point(F.lit(x), F.lit(y)) for x, y in ring]) for ring in rings]))
+    px = spark.range(100).selectExpr("'r' as raster_id", "id % 10 as px", "cast(floor(id / 10) as bigint) as py", "1.0d as value")
+    meta = spark.createDataFrame([("r", 10, 10, 0.0, 10.0, 1.0, 1.0, None)], "raster_id string, width long, height long, ox double, oy double, rx double, ry double, nodata double")
+    aoi = spark.range(1).select(F.lit("r").alias("raster_id"), geom.alias("geom"))
+    got = {(r["px"] + 1, r["py"] + 1) for r in raster.clip(px, meta, aoi).collect() if r["value"] == 1.0}
+    want = px.crossJoin(aoi.select("geom")).filter(G.covers_point(c("geom"), G.point(c("px") + 0.5, 10 - c("py") - 0.5)))
+    assert got == {(r["px"], r["py"]) for r in want.select("px", "py").collect()} and 20 < len(got) < 80
+
+
+def test_a_tile_that_only_touches_gets_the_whole_part(spark):
+    t = spark.range(2).select(F.concat(F.lit("t"), c("id").cast("string")).alias("tile_id"), G.box(c("id") * 2.0, F.lit(0.0), c("id") * 2.0 + 2, F.lit(2.0)).alias("geom"))
+    a = spark.range(1).select(F.lit(1).alias("aoi_id"), square(1, 0, 1).alias("geom"))
+    got = {r["tile_id"]: r["area"] for r in tiles.aoi_clip(t, a).select("tile_id", G.area(c("geom")).alias("area")).collect()}
+    assert got == {"t0": 1.0, "t1": 1.0}
+
+
+def test_kml_documents_are_well_formed(spark, tmp_path):
+    from xml.etree import ElementTree
+
+    f = spark.range(30).select(F.when(c("id") % 3 > 0, F.concat(F.lit("a/"), (c("id") % 3).cast("string"))).alias("source"), c("id").alias("name"), F.when(c("id") > 0, square(0, 0, 1)).alias("geom"))
+    sinks.write_kml(f.repartition(4), str(tmp_path / "k"), "name")
+    found = {}
+    for folder in (tmp_path / "k").glob("source=*"):
+        (text,) = [x.read_text() for x in folder.glob("part-*")]
+        marks = ElementTree.fromstring(text.encode()).findall(".//{http://www.opengis.net/kml/2.2}Placemark")
+        found[folder.name] = len(marks)
+    assert sorted(found.values()) == [9, 10, 10]
+
+
+def test_nested_collections(spark):
+    poly = '{"type":"Polygon","coordinates":[[[0,0],[1,0],[1,1],[0,0]]]}'
+    text = poly
+    for depth in range(1, 5):
+        text = f'{{"type":"GeometryCollection","geometries":[{text},{poly}]}}'
+        assert len(one(spark, vectors.geojson_geometry(F.lit(text), 4))) == depth + 1
 
 
 def test_summary_keeps_unknown_crs(spark):

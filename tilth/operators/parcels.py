@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tilth.operators import crs
 from tilth.operators import geometry as G
 from tilth.operators.components import connected_components
+from tilth.operators.quantile import exact_quantiles
 from tilth.scratch import materialize
 
 CELL = 1 << 24
@@ -72,7 +73,9 @@ def summary(fields: DataFrame, fallback_srid: int | None = None) -> DataFrame:
     ha = F.when(F.col("srid") == 4326, crs.area_m2(F.col("geom"), 4326)).when(F.col("srid") == 3857, crs.area_m2(F.col("geom"), 3857)).when(F.col("srid") == 6933, G.area(F.col("geom"))) / 10000
     f = f.select("source", "layer", "srid", G.bounds(F.col("geom")).alias("b"), ha.alias("ha"))
     out = f.groupBy("source", "layer", "srid").agg(
-        F.count(F.lit(1)).alias("feature_count"), F.min("b.minx").alias("minx"), F.min("b.miny").alias("miny"), F.max("b.maxx").alias("maxx"), F.max("b.maxy").alias("maxy"), F.sum("ha").alias("total_area_ha"), F.median("ha").alias("median_area_ha")
+        F.count(F.lit(1)).alias("feature_count"), F.min("b.minx").alias("minx"), F.min("b.miny").alias("miny"), F.max("b.maxx").alias("maxx"), F.max("b.maxy").alias("maxy"), F.sum("ha").alias("total_area_ha")
     )
+    middle = exact_quantiles(f, ("source", "layer", "srid"), "ha", (0.5,)).select("key", F.get("q", F.lit(0)).alias("median_area_ha"))
+    out = out.withColumn("key", F.struct("source", "layer", "srid")).join(middle, "key", "left").drop("key")
     error = F.when(F.col("total_area_ha").isNull(), F.concat(F.lit("no equal-area transformation from EPSG:"), F.coalesce(F.col("srid").cast("string"), F.lit("none"))))
     return out.withColumn("area_error", error)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tilth.operators import geometry as G
+from tilth.operators.quantile import exact_quantiles
 
 
 def clip(pixels: DataFrame, meta: DataFrame, aoi: DataFrame) -> DataFrame:
@@ -26,12 +27,32 @@ def clip(pixels: DataFrame, meta: DataFrame, aoi: DataFrame) -> DataFrame:
         "y0": F.greatest(F.lit(0), F.floor((F.col("oy") - F.col("b.maxy")) / F.col("ry"))).cast("long"),
         "y1": F.least("height", F.ceil((F.col("oy") - F.col("b.miny")) / F.col("ry"))).cast("long"),
     })
-    w = w.filter("x1 > x0 and y1 > y0").select("raster_id", "ox", "oy", "rx", "ry", F.coalesce("nodata", F.lit(0.0)).alias("nodata"), "geom", "x0", "x1", "y0", "y1")
-    hit = pixels.join(w, "raster_id").filter("px >= x0 and px < x1 and py >= y0 and py < y1")
-    centre = G.point(F.col("ox") + (F.col("px") + 0.5) * F.col("rx"), F.col("oy") - (F.col("py") + 0.5) * F.col("ry"))
-    value = F.when(G.covers_point(F.col("geom"), centre), F.col("value")).otherwise(F.col("nodata"))
+    w = w.filter("x1 > x0 and y1 > y0").withColumn("edges", F.flatten(F.transform(G.rings(F.col("geom")), G.edges)))
+    # where each row of pixels crosses the AOI's edges is found once, not for each pixel
+    rows = w.withColumn("py", F.explode(F.sequence("y0", F.col("y1") - 1))).withColumn("y", F.col("oy") - (F.col("py") + 0.5) * F.col("ry"))
+    y = F.col("y")
+    x_at = lambda e: (e["b"]["x"] - e["a"]["x"]) * F.coalesce(F.try_divide(y - e["a"]["y"], e["b"]["y"] - e["a"]["y"]), F.lit(0.0)) + e["a"]["x"]
+    ends = lambda e, c: (F.least(e["a"][c], e["b"][c]), F.greatest(e["a"][c], e["b"][c]))
+    level = lambda e, x: F.when(e["a"]["y"] == e["b"]["y"], x).otherwise(x_at(e))
+    touched = F.filter("edges", lambda e: y.between(*ends(e, "y")))
+    on = F.transform(touched, lambda e: F.struct(level(e, ends(e, "x")[0]).alias("low"), level(e, ends(e, "x")[1]).alias("high")))
+    crossed = F.transform(F.filter("edges", lambda e: (e["a"]["y"] > y) != (e["b"]["y"] > y)), x_at)
+    rows = rows.select("raster_id", "py", "ox", "rx", F.coalesce("nodata", F.lit(0.0)).alias("nodata"), "x0", "x1", "y0", crossed.alias("crossed"), on.alias("on"))
+    hit = pixels.join(rows, ["raster_id", "py"]).filter("px >= x0 and px < x1")
+    x = F.col("ox") + (F.col("px") + 0.5) * F.col("rx")
+    inside = (F.size(F.filter("crossed", lambda c: x < c)) % 2 == 1) | F.exists("on", lambda s: x.between(s["low"], s["high"]))
     # the value first: in one select, px and py would be the shifted ones
-    return hit.withColumn("value", value).select("raster_id", (F.col("px") - F.col("x0")).alias("px"), (F.col("py") - F.col("y0")).alias("py"), "value")
+    return hit.withColumn("value", F.when(inside, F.col("value")).otherwise(F.col("nodata"))).select("raster_id", (F.col("px") - F.col("x0")).alias("px"), (F.col("py") - F.col("y0")).alias("py"), "value")
+
+
+def chunk_pixels(chunks: DataFrame, w: int, h: int) -> DataFrame:
+    """(raster_id, band, px, py, value) from chunk rows (raster_id, band, cx, cy, values).
+
+    Chunks are w x h pixels, their values in row order; a chunk at the right edge must be whole.
+    """
+    p = chunks.select("raster_id", "band", "cx", "cy", F.posexplode("values").alias("i", "value"))
+    at = F.col("i")
+    return p.select("raster_id", "band", (F.col("cx").cast("long") * w + at % w).alias("px"), (F.col("cy").cast("long") * h + F.floor(at / w)).alias("py"), F.col("value").cast("double").alias("value"))
 
 
 def chunk_grid(geoms: DataFrame, degrees: float, by: Sequence[str]) -> DataFrame:
@@ -66,12 +87,12 @@ def contrast_stretch(pixels: DataFrame, by: Sequence[str], low: float = 0.02, hi
     """
     v = F.col("value")
     valid = ~F.isnan(v) & (v > 0) & (v < float("inf"))
-    cuts = pixels.groupBy(*by).agg(F.percentile(F.when(valid, v), F.array(F.lit(low), F.lit(high))).alias("cut"))
-    cuts = cuts.select(*by, F.get("cut", F.lit(0)).alias("lo"), F.get("cut", F.lit(1)).alias("hi"))
-    cuts = cuts.select(*by, "lo", F.when(F.col("hi") <= F.col("lo"), F.col("lo") + 1).otherwise(F.col("hi")).alias("hi"))
+    cuts = exact_quantiles(pixels.filter(valid), by, "value", (low, high))
+    cuts = cuts.select("key", F.get("q", F.lit(0)).alias("lo"), F.get("q", F.lit(1)).alias("hi"))
+    cuts = cuts.select("key", "lo", F.when(F.col("hi") <= F.col("lo"), F.col("lo") + 1).otherwise(F.col("hi")).alias("hi"))
     scaled = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (v - F.col("lo")) / (F.col("hi") - F.col("lo"))))
     out = F.when(F.col("lo").isNull(), 0.0).when(F.isnan(v), v).otherwise(scaled).cast("float")
-    return pixels.join(cuts, list(by)).withColumn("value", out).drop("lo", "hi")
+    return pixels.withColumn("key", F.struct(*by)).join(cuts, "key", "left").withColumn("value", out).select(*pixels.columns)
 
 
 def decimate(pixels: DataFrame, meta: DataFrame, most: int) -> DataFrame:

@@ -61,8 +61,13 @@ def spatial_join(tiles: DataFrame, aoi: DataFrame, cell: float = 1.0) -> DataFra
 
 
 def intersecting_tiles(tiles: DataFrame, aoi: DataFrame, cell: float = 1.0) -> DataFrame:
-    """Tiles that intersect any part of the AOI, which is its union."""
-    hits = spatial_join(tiles, aoi, cell).select("left.tile_id").distinct()
+    """Tiles that intersect any part of the AOI, which is its union.
+
+    The ids that meet are reduced on the map side; the tiles themselves are not dealt into
+    cells with their other columns.
+    """
+    slim = tiles.select("tile_id", "geom")
+    hits = spatial_join(slim, aoi.select("geom"), cell).select("left.tile_id").distinct()
     return tiles.join(hits, "tile_id", "left_semi")
 
 
@@ -91,10 +96,12 @@ def discover(tiles: DataFrame, aoi: DataFrame, names: Sequence[str] = (), n: int
     return first_tiles(include(found, names), n)
 
 
-def aoi_clip(tiles: DataFrame, aoi: DataFrame, cell: float = 1.0) -> DataFrame:
-    """(tile_id, aoi_id, geom): each tile's share of each AOI part.
+def aoi_clip(tiles: DataFrame, aoi: DataFrame, cell: float = 1.0, sliver: float = 1e-12) -> DataFrame:
+    """(tile_id, aoi_id, geom): each tile's share of each AOI part that it meets.
 
-    A tile that only touches an AOI part has no share of it.
+    A tile that only touches an AOI part, so that the share's area is rounding error up to
+    ``sliver``, gets all of that part.
     """
-    cut = F.array(G.clip_convex(F.col("right.geom"), F.col("left.geom")))
-    return spatial_join(tiles, aoi, cell).select("left.tile_id", "right.aoi_id", F.explode(F.filter(cut, lambda g: (F.size(g) > 0) & (G.area(g) > 0))).alias("geom"))
+    whole = F.col("right.geom")
+    share = F.explode(F.transform(F.array(G.clip_convex(whole, F.col("left.geom"))), lambda g: F.when((F.size(g) > 0) & (G.area(g) > sliver), g).otherwise(whole)))
+    return spatial_join(tiles, aoi, cell).select("left.tile_id", "right.aoi_id", share.alias("geom"))

@@ -10,6 +10,7 @@ from tilth.operators import geometry as G
 from tilth.operators import tiles as T
 from tilth.plans.fixtures import fixture, oracle
 from tilth.plans.registry import query
+from tilth.sources.vectors import geojson_geometry
 
 _c = F.col
 
@@ -58,12 +59,10 @@ def tile_spatial_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.spatial_join(tiles(spark, sf_dir), aoi(spark, sf_dir)).select("left.tile_id", "right.aoi_id")
 
 
-@query(oracle(f"select distinct tile_id from fx_tiles t join ({AOI_BOX} and aoi_id % 10 = 3) a on {MEETS} where tile_id in ('T00011', 'T00012', 'T00023', 'T00034', 'T00045', 'T00056', 'T00067') order by tile_id limit 5", "fx_tiles", "fx_aoi"))
+@query(oracle(f"select distinct tile_id from fx_tiles t join ({AOI_BOX}) a on {MEETS} where tile_id in ('T00011', 'T00012', 'T00023', 'T00034', 'T00045', 'T00056', 'T00067') order by tile_id limit 5", "fx_tiles", "fx_aoi"))
 def tile_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The AOI here is the layer of features whose id ends in 3."""
-    layer = aoi(spark, sf_dir).filter("aoi_id % 10 = 3")
     names = ["t00011", "T00012", "t00023", "T00034", "T00045", "t00056", "T00067"]
-    return T.discover(tiles(spark, sf_dir), layer, names, 5).select("tile_id")
+    return T.discover(tiles(spark, sf_dir), aoi(spark, sf_dir), names, 5).select("tile_id")
 
 
 @query(oracle("select tile_id, min(o_orderkey) as first_key, count(*) as copies from (select concat('T', lpad(cast(o_custkey % 100 as string), 5, '0')) as tile_id, o_orderkey from orders) o group by tile_id"))
@@ -83,9 +82,20 @@ def tile_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.first_tiles(fixture(spark, sf_dir, "fx_tiles"), 7).select("tile_id")
 
 
-@query()
+#: Half a triangle's width at height y is s = (cy + h - y) / 2, so its share of a box is an integral over s
+#: of min(s, right) + min(s, left), the distances from cx to the box's sides.
+_UPTO = "(case when s{i} <= {side} then s{i} * s{i} / 2 else {side} * s{i} - {side} * {side} / 2 end)"
+_CLIP_SQL = f"""
+    select tile_id, aoi_id, round(case when s1 > s0 and share > 1e-12 then share else h * 2 * h end, 9) as area from (
+      select tile_id, aoi_id, h, s0, s1, 2 * ({_UPTO.format(i=1, side='r')} + {_UPTO.format(i=1, side='l')} - {_UPTO.format(i=0, side='r')} - {_UPTO.format(i=0, side='l')}) as share from (
+        select tile_id, aoi_id, h, t.maxx - cx as r, cx - t.minx as l,
+               greatest((cy + h - least(t.maxy, cy + h)) / 2, -(t.maxx - cx), -(cx - t.minx)) as s0, (cy + h - greatest(t.miny, cy - h)) / 2 as s1
+        from fx_tiles t join ({AOI_BOX}) a on {MEETS}) d) c"""
+
+
+@query(oracle(_CLIP_SQL, "fx_tiles", "fx_aoi"))
 def tile_aoi_clip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Area of each tile's share of each AOI part; the whole part counts if there is no share."""
+    """Area of each tile's share of each AOI part that it meets; the whole part counts if they only touch."""
     return T.aoi_clip(tiles(spark, sf_dir), aoi(spark, sf_dir)).select("tile_id", "aoi_id", F.round(G.area(_c("geom")), 9).alias("area"))
 
 
@@ -107,7 +117,19 @@ def geom_to_crs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return f.select("field_id", F.round("a.x", 4).alias("x6933"), F.round("a.y", 4).alias("y6933"), F.round("b.x", 4).alias("x3857"), F.round("b.y", 4).alias("y3857"))
 
 
-@query()
+def _series(parts, of: str) -> str:
+    return " + ".join(f"({c!r}) * {of.format(j=2 * j)}" for j, c in enumerate(parts, 1))
+
+
+_UTM_SQL = f"""
+    select field_id, round((eta + {_series(crs._ALPHA, 'cos({j} * xi) * sinh({j} * eta)')}) * {0.9996 * crs._RECT!r} + 500000.0, 3) as east,
+           round((xi + {_series(crs._ALPHA, 'sin({j} * xi) * cosh({j} * eta)')}) * {0.9996 * crs._RECT!r}, 3) as north, true as returns
+    from (select field_id, atan2(t, cos(lam)) as xi, asinh(sin(lam) / sqrt(t * t + cos(lam) * cos(lam))) as eta
+          from (select field_id, lam, sinh(atanh(s) - {crs.ECC!r} * atanh({crs.ECC!r} * s)) as t
+                from (select field_id, sin(radians(y0)) as s, radians(x0) - radians(3) as lam from fx_fields) a) b) c"""
+
+
+@query(oracle(_UTM_SQL, "fx_fields"))
 def geom_utm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fields in UTM zone 31N and back."""
     f = fixture(spark, sf_dir, "fx_fields").select("field_id", G.point(_c("x0"), _c("y0")).alias("p"))
@@ -132,7 +154,12 @@ def geom_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aoi(spark, sf_dir).filter(G.nonempty(_c("geom"))).select("aoi_id", G.bounds(_c("geom")).alias("b")).select("aoi_id", "b.*")
 
 
-@query()
+#: A triangle's ring as GeoJSON coordinates.
+_RING_SQL = "'[[[' || (cx - h) || ',' || (cy - h) || '],[' || (cx + h) || ',' || (cy - h) || '],[' || cx || ',' || (cy + h) || '],[' || (cx - h) || ',' || (cy - h) || ']]]'"
+_POLYGON_SQL = f"""'{{"type":"Polygon","coordinates":' || {_RING_SQL} || '}}'"""
+
+
+@query(oracle("""select aoi_id, '[[[{"x":' || (cx - h) || ',"y":' || (cy - h) || '},{"x":' || (cx + h) || ',"y":' || (cy - h) || '},{"x":' || cx || ',"y":' || (cy + h) || '},{"x":' || (cx - h) || ',"y":' || (cy - h) || '}]]]' as geom from fx_aoi where kind = 'polygon'""", "fx_aoi"))
 def geom_force_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points with a height lose it."""
     a = aoi(spark, sf_dir).filter("kind = 'polygon'")
@@ -140,7 +167,7 @@ def geom_force_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.select("aoi_id", G.map_points(z, lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))).alias("geom")).select("aoi_id", F.to_json("geom").alias("geom"))
 
 
-@query()
+@query(oracle(f"select aoi_id, {_POLYGON_SQL} as geom, true as bow_tie, false as crossing from fx_aoi where kind = 'polygon'", "fx_aoi"))
 def geom_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Open, clockwise rings with a repeated point are repaired; bow-ties are flagged."""
     a = aoi(spark, sf_dir).filter("kind = 'polygon'")
@@ -150,12 +177,16 @@ def geom_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.select("aoi_id", G.geojson(G.repaired(broken)).alias("geom"), G.self_crossing(tie).alias("bow_tie"), G.self_crossing(_c("geom")).alias("crossing"))
 
 
-@query()
+@query(oracle("select aoi_id, case when kind = 'polygon' then 2 + aoi_id % 2 else 0 end as polygons, kind <> 'polygon' as rejected, case when kind = 'polygon' then round((2 + aoi_id % 2) * 2 * h * h, 9) end as area from fx_aoi", "fx_aoi"))
 def geom_polygonal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The polygons of nested collections; rows without any are rejected."""
     a = aoi(spark, sf_dir)
-    collection = F.concat(F.coalesce("geom", G.empty()), F.coalesce("geom", G.empty()))
-    return a.select("aoi_id", F.size(collection).alias("polygons"), (F.size(collection) == 0).alias("rejected"))
+    point = F.lit('{"type":"Point","coordinates":[1,2]}')
+    one = F.coalesce(G.geojson(_c("geom")), point)
+    inside = lambda *members: F.concat(F.lit('{"type":"GeometryCollection","geometries":['), F.concat_ws(",", *members), F.lit("]}"))
+    text = F.when(_c("aoi_id") % 2 == 0, inside(one, point, inside(inside(point, one)))).otherwise(inside(one, inside(one, inside(one))))
+    g = a.select("aoi_id", geojson_geometry(text).alias("geom"))
+    return g.select("aoi_id", F.coalesce(F.size("geom"), F.lit(0)).cast("long").alias("polygons"), _c("geom").isNull().alias("rejected"), F.when(_c("geom").isNotNull(), F.round(G.area(_c("geom")), 9)).alias("area"))
 
 
 @query(oracle("select field_id, 5 as points, 4 as edges from fx_fields", "fx_fields"))
@@ -173,11 +204,11 @@ def geom_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
                  union all select x, y + 1, x + 1, y + 1 from cells union all select x, y, x, y + 1 from cells) e) s
              group by gx, gy, side) u where k = 1 group by gx, gy""",
         "fx_fields",
-    ).replace("with fx_fields", "with cells as (select distinct cast(p_partkey % 50 as bigint) as x, cast(p_size as bigint) as y from part where p_partkey % 3 = 0), fx_fields")
+    ).replace("with fx_fields", "with cells as (select distinct cast(p_partkey as bigint) as x, cast(p_size as bigint) as y from part), fx_fields")
 )
 def dissolve_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The outline of a layer of edge-matched unit squares: edges that occur once."""
-    cells = fixture(spark, sf_dir, "part").filter("p_partkey % 3 = 0").selectExpr("cast(p_partkey % 50 as bigint) as x", "cast(p_size as bigint) as y").distinct()
+    cells = fixture(spark, sf_dir, "part").selectExpr("cast(p_partkey as bigint) as x", "cast(p_size as bigint) as y").distinct()
     squares = cells.withColumn("geom", G.box(_c("x"), _c("y"), _c("x") + 1, _c("y") + 1))
     edge = squares.select(F.explode(G.boundary(_c("geom"))).alias("e")).select(
         F.least("e.x1", "e.x2").alias("gx"), F.least("e.y1", "e.y2").alias("gy"), (_c("e.x1") == _c("e.x2")).alias("vertical")
@@ -206,6 +237,6 @@ def boundary_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return f.select("field_id", "s.seq", "s.x1", "s.y1")
 
 
-@query()
+@query(oracle(f"select aoi_id, case when kind = 'polygon' then {_POLYGON_SQL} end as geometry from fx_aoi", "fx_aoi"))
 def geom_geojson(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aoi(spark, sf_dir).select("aoi_id", G.geojson(_c("geom")).alias("geometry"))

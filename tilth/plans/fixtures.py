@@ -12,7 +12,7 @@ SQL: dict[str, tuple[tuple[str, ...], str]] = {
         select concat('T', lpad(cast(p_partkey as string), 5, '0')) as tile_id,
                (p_partkey % 10) * 1.0e0 as minx, 40 + floor(p_partkey / 10) * 1.0e0 as miny,
                (p_partkey % 10) * 1.0e0 + 1.1e0 as maxx, 40 + floor(p_partkey / 10) * 1.0e0 + 1.1e0 as maxy
-        from {part} where p_partkey < 100"""),
+        from {part}"""),
     "fx_aoi": (("customer",), """
         select c_custkey as aoi_id, (c_custkey * 37 % 1000) / 100.0e0 as cx, 40 + (c_custkey * 53 % 1000) / 100.0e0 as cy,
                0.05e0 + (c_custkey % 7) * 0.03e0 as h,

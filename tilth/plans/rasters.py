@@ -115,31 +115,35 @@ def overlay_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("raster_id", "band", "px", "py", F.round(_c("value").cast("double"), 5).alias("value"))
 
 
+_LABEL = "case when value > 0.09e0 then 1 when value > 0 then 2 when value < -0.15e0 then 3 end"
+
+
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pixels(spark, sf_dir).filter("value > 0").select("raster_id", "px", "py", F.lit(4).alias("label"))
+    """All chips as one raster of three classes; pixels of none are left out."""
+    return scene(spark, sf_dir).withColumn("label", F.expr(_LABEL)).filter("label is not null").select("raster_id", "px", "py", "label")
 
 
-_SEGMENTS = """
-    with recursive pix as (select vec_id, cast(i % 8 as bigint) as px, cast(floor(i / 8) as bigint) as py from (select vec_id, unnest(embedding) as v, generate_subscripts(embedding, 1) - 1 as i from embeddings) e where v > 0),
+_SEGMENTS = oracle("", "fx_chips").replace("with", "with recursive", 1) + f"""
+    , pix as (select 'all' as raster_id, gcol as px, grow as py, {_LABEL} as label from fx_chips where {_LABEL} is not null),
     walk as (
-      select vec_id, px, py, py * 16777216 + px as root from pix
+      select px, py, label, py * 16777216 + px as root from pix
       union
-      select w.vec_id, p.px, p.py, w.root from walk w join pix p on p.vec_id = w.vec_id and abs(p.px - w.px) + abs(p.py - w.py) = 1),
-    parcels as (select vec_id as raster_id, px, py, min(root) as parcel from walk group by vec_id, px, py)"""
+      select p.px, p.py, p.label, w.root from walk w join pix p on p.label = w.label and ((p.py = w.py and (p.px = w.px - 1 or p.px = w.px + 1)) or (p.px = w.px and (p.py = w.py - 1 or p.py = w.py + 1)))),
+    parcels as (select 'all' as raster_id, px, py, label, min(root) as parcel from walk group by px, py, label)"""
 
 
-@query(f"{_SEGMENTS} select * from parcels")
+@query(f"{_SEGMENTS} select raster_id, px, py, parcel from parcels")
 def parcel_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.segments(labelled(spark, sf_dir)).select("raster_id", "px", "py", "parcel")
 
 
-@query(f"{_SEGMENTS} select raster_id, parcel, 4 * count(*) - 2 * sum(n) as perimeter from (select a.*, (select count(*) from parcels b where b.raster_id = a.raster_id and b.parcel = a.parcel and ((b.px = a.px + 1 and b.py = a.py) or (b.py = a.py + 1 and b.px = a.px))) as n from parcels a) s group by raster_id, parcel".replace("4 * count(*) - 2 * sum(n)", "cast(4 * count(*) - 2 * sum(n) as bigint)"))
+@query(f"{_SEGMENTS} select raster_id, parcel, cast(4 * count(*) - 2 * sum(n) as bigint) as perimeter from (select a.raster_id, a.parcel, (b.px is not null)::int + (c.px is not null)::int as n from parcels a left join parcels b on b.parcel = a.parcel and b.px = a.px + 1 and b.py = a.py left join parcels c on c.parcel = a.parcel and c.px = a.px and c.py = a.py + 1) s group by raster_id, parcel")
 def parcel_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = P.outline(P.segments(labelled(spark, sf_dir)))
     return edges.groupBy("raster_id", "parcel").agg(F.count(F.lit(1)).alias("perimeter"))
 
 
-@query(f"{_SEGMENTS} select raster_id, parcel, count(*) as pixels, count(*) * 100.0e0 as area_m2, min(px) as minx, min(py) as miny, max(px) as maxx, max(py) as maxy, 4 as label from parcels group by raster_id, parcel")
+@query(f"{_SEGMENTS} select raster_id, parcel, count(*) as pixels, count(*) * 100.0e0 as area_m2, min(px) as minx, min(py) as miny, max(px) as maxx, max(py) as maxy, min(label) as label from parcels group by raster_id, parcel")
 def parcel_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.statistics(P.segments(labelled(spark, sf_dir)))
 
@@ -157,8 +161,10 @@ def src_result_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.result_checks(a)
 
 
-@query()
+@query(oracle("select vec_id as raster_id, 1 as band, px, py, value, 8 as width, 8 as height from fx_chips", "fx_chips"))
 def src_raster_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rasters as chunk rows with their headers."""
-    e = fixture(spark, sf_dir, "embeddings").select(_c("vec_id").alias("raster_id"), F.lit(0).alias("cx"), F.lit(0).alias("cy"), F.lit(8).alias("h"), F.lit(8).alias("w"), F.lit(1).alias("band"), _c("embedding").alias("values"))
-    return e.join(chip_meta(spark, sf_dir).select("raster_id", "width", "height"), "raster_id")
+    """The pixels of rasters that come as chunk rows of 8 x 4, with their headers."""
+    e = fixture(spark, sf_dir, "embeddings")
+    rows = e.select(_c("vec_id").alias("raster_id"), F.lit(1).alias("band"), F.explode(F.array(*[F.struct(F.lit(0).alias("cx"), F.lit(i).alias("cy"), F.slice("embedding", 32 * i + 1, 32).alias("values")) for i in (0, 1)])).alias("c")).select("raster_id", "band", "c.*")
+    pixels = R.chunk_pixels(rows, 8, 4)
+    return pixels.join(chip_meta(spark, sf_dir).select("raster_id", _c("width").cast("int").alias("width"), _c("height").cast("int").alias("height")), "raster_id")

@@ -4,21 +4,24 @@ from __future__ import annotations
 
 import sqlite3
 import struct
+import tempfile
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilth.functions import scalars as S
 from tilth.operators import geometry as G
 from tilth.operators import manifest as M
+from tilth.operators import tiles as T
 from tilth.plans.discovery import aoi, fields, tiles
 from tilth.plans.fixtures import fixture, oracle
 from tilth.plans.registry import query
 from tilth.scratch import scratch_path
 from tilth.sinks import results as K
 from tilth.sources import vectors as V
-from tilth.sources.gpkg import GpkgDataSource
+from tilth.sources.gpkg import read_gpkg
 
 _c = F.col
 
@@ -66,9 +69,9 @@ def latest_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.latest_output(files, started)
 
 
-@query(oracle("select tile_id from fx_tiles where tile_id not in (select tile_id from fx_fields where field_id % 50 = 0)", "fx_tiles", "fx_fields"))
+@query(oracle("select tile_id from fx_tiles where tile_id not in (select tile_id from fx_fields)", "fx_tiles", "fx_fields"))
 def pending_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.pending(fixture(spark, sf_dir, "fx_tiles").select("tile_id"), fixture(spark, sf_dir, "fx_fields").filter("field_id % 50 = 0"))
+    return M.pending(fixture(spark, sf_dir, "fx_tiles").select("tile_id"), fixture(spark, sf_dir, "fx_fields"))
 
 
 @query(oracle("select run_id, step, last.status as status, cast(last.started_at as string) as started_at, round(last.duration_seconds, 3) as duration_seconds, last.seq as seq, events, failures from (select run_id, step, max_by(s, s.seq) as last, count(*) as events, count(*) filter (s.status = 'failed') as failures from fx_steps s group by run_id, step) l", "fx_steps"))
@@ -109,8 +112,11 @@ _COUNTS = "select source, tile_id, count(*) as feature_count from fx_fields grou
 
 @query(oracle(f"select source, 'parcels' as layer, 'EPSG:4326' as crs, cast(feature_count as string) as feature_count, '' as total_area_ha, case when feature_count % 2 = 0 then cast(feature_count as string) else '' end as median_area_ha from ({_COUNTS}) c", "fx_fields"))
 def sink_summary_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written as CSV and read again."""
     s = _counts(spark, sf_dir).withColumns({"layer": F.lit("parcels"), "crs": F.lit("EPSG:4326"), "median_area_ha": F.when(_c("feature_count") % 2 == 0, _c("feature_count")), "extra": F.lit(1)})
-    return K.summary_csv(s)
+    path = scratch_path(spark, "summary-csv")
+    K.write_summary_csv(s, path)
+    return spark.read.schema(", ".join(f"{c} string" for c in K.SUMMARY_COLUMNS)).option("emptyValue", "").csv(path, header=True).na.fill("")
 
 
 def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,14 +145,32 @@ def gallery_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.cards(_exports(spark, sf_dir), "/out").withColumn("links", F.array_join("links", ";"))
 
 
-@query()
+@query(
+    oracle(
+        f"""select '{{"source":"' || source || '","tile_id":"' || tile_id || '","feature_count":' || feature_count
+                   || ',"exports":{{"geojson":"/out/' || tile_id || '/p.geojson","kml":' || case when feature_count % 2 = 0 then '"/out/' || tile_id || '/p.kml"' else 'null' end
+                   || ',"summary":"/out/' || tile_id || '/s.json","overlay":' || case when feature_count % 3 = 0 then '"/out/' || tile_id || '/o.png"' else 'null' end
+                   || ',"boundaries":"/out/' || tile_id || '/b.png"}},"total_area_ha":' || case when feature_count % 5 > 0 then cast(feature_count * 12.25e0 as varchar) else 'null' end || '}}' as value
+            from ({_COUNTS}) c""",
+        "fx_fields",
+    )
+)
 def sink_summary_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.summary_json(_exports(spark, sf_dir))
 
 
-@query()
+@query(oracle("select source, cast(field_id as string) as name, x0 || ',' || y0 as first, 5 as points from fx_fields union all select distinct source, 'head', '', 0 from fx_fields union all select distinct source, 'tail', '', 0 from fx_fields", "fx_fields"))
 def sink_kml(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return K.placemarks(fields(spark, sf_dir), "field_id").select("field_id", "value")
+    """A document for each result file, written and read again by lines."""
+    path = scratch_path(spark, "fields-kml")
+    K.write_kml(fields(spark, sf_dir), path, "field_id")
+    lines = spark.read.text(path)
+    head, tail = (F.split(F.lit(x), "\n") for x in (K.KML_HEAD, K.KML_TAIL))
+    name = F.when(_c("value") == F.element_at(head, -1), "head").when(_c("value") == F.element_at(tail, -1), "tail").otherwise(F.regexp_extract("value", "<name>(.*)</name>", 1))
+    points = F.split(F.regexp_extract("value", "<coordinates>(.*)</coordinates>", 1), " ")
+    mark = F.startswith("value", F.lit("<Placemark>"))
+    lines = lines.filter(~F.startswith("value", F.lit("<?xml")))
+    return lines.select("source", name.alias("name"), F.when(mark, F.get(points, F.lit(0))).otherwise("").alias("first"), F.when(mark, F.size(points)).otherwise(0).alias("points"))
 
 
 @query(oracle("select aoi_id, kind = 'polygon' as has_geometry, case when kind = 'polygon' then cx - h end as minx, case when kind = 'polygon' then cy + h end as maxy from fx_aoi", "fx_aoi"))
@@ -159,44 +183,72 @@ def src_geojson(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select(_c("properties")["aoi_id"].cast("long").alias("aoi_id"), _c("geom").isNotNull().alias("has_geometry"), b["minx"].alias("minx"), b["maxy"].alias("maxy"))
 
 
-@query()
+@query(oracle("""select tile_id, '{"type":"Feature","properties":{"tile_id":"' || tile_id || '"},"geometry":{"type":"Polygon","coordinates":[[[' || minx || ',' || miny || '],[' || maxx || ',' || miny || '],[' || maxx || ',' || maxy || '],[' || minx || ',' || maxy || '],[' || minx || ',' || miny || ']]]}}' as value from fx_tiles""", "fx_tiles"))
 def sink_geojson(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.features(tiles(spark, sf_dir), ["tile_id"]).select("tile_id", "value")
 
 
 @query(oracle("select field_id, x0 as minx, y0 as miny, 5 as points from fx_fields", "fx_fields"))
 def src_wkt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields written as lines of WKT under their tile and read again."""
+    path = scratch_path(spark, "fields-wkt")
     text = F.expr("concat('polygon ((', x0, ' ', y0, ', ', x0 + w, ' ', y0, ', ', x0 + w, ' ', y0 + w, ', ', x0, ' ', y0 + w, ', ', x0, ' ', y0, '))')")
-    g = fixture(spark, sf_dir, "fx_fields").select("field_id", V.wkt_geometry(text).alias("geom"))
+    fixture(spark, sf_dir, "fx_fields").select("field_id", text.alias("value")).write.csv(path, sep="\t", quote="")
+    g = V.read_wkt(spark, path, column="wkt", schema="field_id long, wkt string")
     b = G.bounds(_c("geom"))
     return g.select("field_id", b["minx"].alias("minx"), b["miny"].alias("miny"), F.size(G.points(_c("geom"))).alias("points"))
 
 
+def _gpkg_file(path: str, rows: list[tuple]) -> None:
+    """A GeoPackage of (id, x0, y0, x1, y1) boxes with its rtree."""
+    with sqlite3.connect(path) as db:
+        db.execute("create table gpkg_geometry_columns (table_name text, column_name text, srs_id integer)")
+        db.execute("insert into gpkg_geometry_columns values ('parcels', 'geom', 4326)")
+        db.execute("create table parcels (fid integer primary key, name text, geom blob)")
+        db.execute("create virtual table rtree_parcels_geom using rtree(id, minx, maxx, miny, maxy)")
+        for i, (name, x0, y0, x1, y1) in enumerate(rows, 1):
+            ring = [(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)]
+            blob = b"GP\x00\x01" + struct.pack("<i", 4326) + struct.pack("<BIII", 1, 3, 1, 5) + b"".join(struct.pack("<dd", *p) for p in ring)
+            db.execute("insert into parcels values (?, ?, ?)", (i, str(name), blob))
+            db.execute("insert into rtree_parcels_geom values (?, ?, ?, ?, ?)", (i, x0, x1, y0, y1))
+
+
 def _write_gpkg(folder: str):
+    """Each group of rows as a file, made beside the worker and sent to the store."""
+
     def write(pdf: pd.DataFrame) -> pd.DataFrame:
-        path = f"{folder}/{pdf['tile_id'].iloc[0]}.gpkg"
-        with sqlite3.connect(path) as db:
-            db.execute("create table gpkg_geometry_columns (table_name text, column_name text, srs_id integer)")
-            db.execute("insert into gpkg_geometry_columns values ('parcels', 'geom', 4326)")
-            db.execute("create table parcels (fid integer primary key, name text, geom blob)")
-            for key, x, y, w in zip(pdf["field_id"], pdf["x0"], pdf["y0"], pdf["w"], strict=True):
-                ring = [(x, y), (x + w, y), (x + w, y + w), (x, y + w), (x, y)]
-                blob = b"GP\x00\x01" + struct.pack("<i", 4326) + struct.pack("<BIII", 1, 3, 1, 5) + b"".join(struct.pack("<dd", *p) for p in ring)
-                db.execute("insert into parcels values (?, ?, ?)", (int(key), str(key), blob))
-        return pd.DataFrame({"path": [path]})
+        with tempfile.TemporaryDirectory() as own:
+            _gpkg_file(f"{own}/x.gpkg", list(pdf[["id", "minx", "miny", "maxx", "maxy"]].itertuples(index=False, name=None)))
+            files, root = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+            files.create_dir(root, recursive=True)
+            with open(f"{own}/x.gpkg", "rb") as source, files.open_output_stream(f"{root}/{pdf['part'].iloc[0]}.gpkg") as out:
+                while some := source.read(1 << 20):
+                    out.write(some)
+        return pd.DataFrame({"path": [f"{folder}/{pdf['part'].iloc[0]}.gpkg"]})
 
     return write
 
 
+def _gpkg(spark: SparkSession, rows: DataFrame, tag: str) -> str:
+    """A folder of GeoPackages, one for each ``part`` of (part, id, box)."""
+    folder = scratch_path(spark, tag)
+    rows.groupBy("part").applyInPandas(_write_gpkg(folder), "path string").write.format("noop").mode("overwrite").save()
+    return folder
+
+
 @query(oracle("select field_id, x0 as minx, y0 as miny, x0 + w as maxx, y0 + w as maxy from fx_fields", "fx_fields"))
 def src_gpkg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fields written to a GeoPackage per tile and read through the data source."""
-    folder = scratch_path(spark, "fields-gpkg")
-    local = folder.removeprefix("file:").replace("//", "/")
-    spark._jvm.java.io.File(local).mkdirs()
-    fixture(spark, sf_dir, "fx_fields").groupBy("tile_id").applyInPandas(_write_gpkg(local), "path string").write.format("noop").mode("overwrite").save()
-    spark.dataSource.register(GpkgDataSource)
-    return spark.read.format("gpkg").load(local).select(_c("id").cast("long").alias("field_id"), "minx", "miny", "maxx", "maxy")
+    f = fixture(spark, sf_dir, "fx_fields").selectExpr("tile_id as part", "field_id as id", "x0 as minx", "y0 as miny", "x0 + w as maxx", "y0 + w as maxy")
+    return read_gpkg(spark, _gpkg(spark, f, "fields-gpkg")).select(_c("id").cast("long").alias("field_id"), "minx", "miny", "maxx", "maxy")
+
+
+@query(oracle("select tile_id, minx, miny, maxx, maxy from fx_tiles where maxx >= 2.5 and minx <= 6.25 and maxy >= 41 and miny <= 43.75", "fx_tiles"))
+def src_gpkg_bbox(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tiles written to GeoPackages of 1000 and read by their box, which reaches the rtree of each file."""
+    t = fixture(spark, sf_dir, "fx_tiles").withColumns({"part": F.xxhash64("tile_id") % F.greatest(F.lit(1), F.ceil(F.lit(fixture(spark, sf_dir, "fx_tiles").count()) / 1000)), "id": _c("tile_id")})
+    read = read_gpkg(spark, _gpkg(spark, t.select("part", "id", *T.BOX), "tiles-gpkg"))
+    return T.bbox_scan(read, 2.5, 41.0, 6.25, 43.75).select(_c("id").alias("tile_id"), *T.BOX)
 
 
 @query(oracle("select concat(tile_id, '.json') as name from fx_tiles", "fx_tiles"))

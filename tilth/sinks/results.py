@@ -11,6 +11,7 @@ from tilth.functions.scalars import relative_to, stem
 from tilth.operators import crs
 from tilth.operators import geometry as G
 
+#: Columns of the summary table, in order.
 SUMMARY_COLUMNS = ("source", "layer", "crs", "feature_count", "total_area_ha", "median_area_ha")
 
 
@@ -48,6 +49,28 @@ def placemarks(table: DataFrame, name: str, srid: int = 4326) -> DataFrame:
     return table.withColumn("value", F.when(G.nonempty(F.col("geom")), text))
 
 
+KML_HEAD = '<?xml version="1.0" encoding="UTF-8"?>\n<kml xmlns="http://www.opengis.net/kml/2.2"><Document>'
+KML_TAIL = "</Document></kml>"
+
+
+def write_kml(table: DataFrame, path: str, name: str, *, by: str = "source", srid: int = 4326) -> None:
+    """One KML document for each value of ``by``, in a folder of its own.
+
+    A document is one sorted stream of lines from its head to its tail, so a large one
+    is not held in memory.  Rows without a geometry have no placemark.
+    """
+    marks = placemarks(table, name, srid).filter("value is not null").select(by, F.lit(1).alias("part"), F.col(name).cast("string").alias("name"), "value")
+    kinds = table.select(by).distinct()
+    line = lambda part, text: kinds.select(by, F.lit(part).alias("part"), F.lit("").alias("name"), F.lit(text).alias("value"))
+    lines = marks.unionByName(line(0, KML_HEAD)).unionByName(line(2, KML_TAIL))
+    lines.repartition(by).sortWithinPartitions(by, "part", "name").select(by, "value").write.mode("overwrite").partitionBy(by).text(path)
+
+
+def write_summary_csv(summary: DataFrame, path: str) -> None:
+    """The summary as one CSV file with a header; it has a row per result file."""
+    summary_csv(summary).orderBy("source", "layer").coalesce(1).write.mode("overwrite").csv(path, header=True)
+
+
 def tile_csv(tiles: DataFrame) -> DataFrame:
     return tiles.select("tile_id").orderBy("tile_id")
 

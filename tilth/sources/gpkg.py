@@ -1,20 +1,22 @@
 """GeoPackage tables as a Spark data source.
 
-``spark.read.format("gpkg").option("layer", ...).load(path)``: one partition per file
-and range of rows; columns id, geom, srid and the box.  A filter on the box is
-pushed to the file's rtree where it has one, with ``option("pushdown", "true")`` and
-``spark.sql.python.filterPushdown.enabled`` set.  Files must be at a path that
-every executor can open.
+:func:`read_gpkg` reads a folder or a glob: one partition per file and range of rows;
+columns id, geom, srid and the box.  A filter on the box is pushed to the file's rtree
+where it has one.  A file is fetched through ``pyarrow.fs`` to the reading task unless its path is local.
 """
 
 from __future__ import annotations
 
-import glob
+import contextlib
 import os
 import sqlite3
 import struct
+import tempfile
 from collections.abc import Iterator
+from fnmatch import fnmatch
 
+from pyarrow import fs
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, Filter, GreaterThanOrEqual, InputPartition, LessThanOrEqual
 from pyspark.sql.types import StructType
 
@@ -78,23 +80,65 @@ def quoted(name: str) -> str:
     return f'"{name.replace(chr(34), chr(34) * 2)}"'
 
 
+def _store(path: str) -> tuple[fs.FileSystem, str]:
+    return fs.FileSystem.from_uri(path) if ":/" in path else (fs.LocalFileSystem(), os.path.abspath(path))
+
+
+def _files(path: str) -> list[str]:
+    """The GeoPackages of a folder, or the files that a glob names, with their scheme."""
+    files, root = _store(path.split("*")[0] if "*" in path else path)
+    scheme = path[: path.find(root)] if root in path else ""
+    info = files.get_file_info(root)
+    if "*" not in path and info.type == fs.FileType.File:
+        found = [root]
+    else:
+        folder = root if info.type == fs.FileType.Directory else os.path.dirname(root)
+        name = path.rpartition("/")[2] if "*" in path else "*.gpkg"
+        found = [x.path for x in files.get_file_info(fs.FileSelector(folder)) if fnmatch(x.base_name, name)]
+    return [scheme + x for x in sorted(found)]
+
+
+@contextlib.contextmanager
+def _opened(path: str) -> Iterator[sqlite3.Connection]:
+    """The database of a file; one in a store is copied beside the task while it is read."""
+    files, root = _store(path)
+    with contextlib.ExitStack() as stack:
+        if not isinstance(files, fs.LocalFileSystem):
+            own = f"{stack.enter_context(tempfile.TemporaryDirectory())}/x.gpkg"
+            with files.open_input_stream(root) as source, open(own, "wb") as out:
+                while some := source.read(1 << 20):
+                    out.write(some)
+            root = own
+        yield stack.enter_context(contextlib.closing(sqlite3.connect(f"file:{root}?mode=ro", uri=True)))
+
+
 class Part(InputPartition):
     def __init__(self, file: str, layer: str, geometry: str, srid: int, first: int, last: int):
         self.file, self.layer, self.geometry, self.srid, self.first, self.last = file, layer, geometry, srid, first, last
 
 
+def id_column(columns: list[str], requested: str | None) -> str:
+    """The id column asked for, or the first known one; raises if there is none."""
+    if requested is not None and requested not in columns:
+        raise ValueError(f"no column {requested}; there are {', '.join(columns)}")
+    found = requested or next((c for c in ID_COLUMNS if c in columns), None)
+    if found is None:
+        raise ValueError(f"no id column found; there are {', '.join(columns)}")
+    return found
+
+
 class GpkgReader(DataSourceReader):
     def __init__(self, options: dict):
         self.options, self.box = options, {}
 
     def partitions(self) -> list[Part]:
-        path = self.options["path"].removeprefix("file:")
-        files = sorted(glob.glob(os.path.join(path, "*.gpkg")) if os.path.isdir(path) else glob.glob(path))
+        path = self.options["path"]
+        files = _files(path)
         if not files:
             raise ValueError(f"no GeoPackage at {path}")
         parts = []
         for file in files:
-            with sqlite3.connect(f"file:{file}?mode=ro", uri=True) as db:
+            with _opened(file) as db:
                 layer = self.options.get("layer")
                 known = db.execute("select table_name, column_name, srs_id from gpkg_geometry_columns order by table_name").fetchall()
                 found = [k for k in known if layer in (None, k[0])]
@@ -107,10 +151,9 @@ class GpkgReader(DataSourceReader):
         return parts
 
     def read(self, part: Part) -> Iterator[tuple]:
-        with sqlite3.connect(f"file:{part.file}?mode=ro", uri=True) as db:
+        with _opened(part.file) as db:
             columns = [r[1] for r in db.execute(f"pragma table_info({quoted(part.layer)})")]
-            key = self.options.get("id") or next((c for c in ID_COLUMNS if c in columns), None)
-            what = f"t.{quoted(key)}" if key else "t.rowid"
+            what = f"t.{quoted(id_column(columns, self.options.get('id')))}"
             sql, values = f"select {what}, t.{quoted(part.geometry)} from {quoted(part.layer)} t where t.rowid >= ? and t.rowid < ?", [part.first, part.last]
             rtree = f"rtree_{part.layer}_{part.geometry}"
             if self.box and db.execute("select 1 from sqlite_master where name = ?", (rtree,)).fetchone():
@@ -146,3 +189,14 @@ class GpkgDataSource(DataSource):
     def reader(self, schema: StructType) -> GpkgReader:
         options = dict(self.options)
         return (PushingGpkgReader if options.get("pushdown", "false") == "true" else GpkgReader)(options)
+
+
+def read_gpkg(spark: SparkSession, path: str, *, layer: str | None = None, id: str | None = None) -> DataFrame:
+    """The features at ``path``, with filters on the box pushed down.
+
+    Switches the session's pushdown to Python data sources on.
+    """
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(GpkgDataSource)
+    named = {k: v for k, v in (("layer", layer), ("id", id)) if v is not None}
+    return spark.read.format("gpkg").options(pushdown="true", **named).load(path)

@@ -33,8 +33,11 @@ def _one(geometry: Column, depth: int) -> Column:
     return out.otherwise(F.lit(None).cast(G.TYPE))
 
 
-def geojson_geometry(text: Column, depth: int = 1) -> Column:
-    """geom of a GeoJSON geometry; null if it has no polygon."""
+def geojson_geometry(text: Column, depth: int = DEPTH) -> Column:
+    """geom of a GeoJSON geometry; null if it has no polygon.
+
+    Collections in collections are read down to ``depth`` levels.
+    """
     g = _one(text, depth)
     return F.when(F.size(g) > 0, g)
 
@@ -64,19 +67,26 @@ def wkt_geometry(text: Column) -> Column:
     return F.when(kind != "", geom)
 
 
-def read_wkt(spark: SparkSession, path: str) -> DataFrame:
-    """(path, geom, srid) of text files with one geometry each."""
-    return spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), wkt_geometry(F.col("value")).alias("geom"), F.lit(4326).alias("srid"))
+def read_wkt(spark: SparkSession, path: str, *, column: str | None = None, schema: str = "") -> DataFrame:
+    """(path, geom, srid) of text files with one geometry each.
+
+    With a ``column``, the files are tab-separated tables with that column of geometries, and
+    the other columns of ``schema`` are kept; such files are split, so it is the form for large layers.
+    """
+    if column is None:
+        return spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), wkt_geometry(F.col("value")).alias("geom"), F.lit(4326).alias("srid"))
+    rows = spark.read.schema(schema).csv(path, sep="\t", quote="")
+    return rows.select(*[c for c in rows.columns if c != column], wkt_geometry(F.col(column)).alias("geom"), F.lit(4326).alias("srid"))
 
 
 def expand_inputs(spark: SparkSession, *inputs: str, pattern: str = "*.gpkg") -> DataFrame:
-    """The distinct files of directories and globs, in order; none is an error.
+    """The distinct files of directories, with those below them, and globs, in order; none is an error.
 
     Only paths are read, not contents.
     """
     if not inputs:
         raise ValueError("no input given")
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(list(inputs)).select("path").distinct().orderBy("path")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(list(inputs)).select("path").distinct().orderBy("path")
     if files.isEmpty():
         raise ValueError(f"no file matches {pattern} in {inputs}")
     return files
