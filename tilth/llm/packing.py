@@ -10,7 +10,12 @@ remainder, so nothing is padded.
 
 A task packs its own rows in runs of bounded tokens: nothing is shuffled or
 gathered, a hot source or a very long text stays where it is read, and a lost
-task is simply packed again.
+task is simply packed again.  With an order, rows are range-sorted by it first, and
+the sequences of a run come before those of the next, so a curriculum survives.
+
+Ids equal the tokenizer's own ``encode`` of the whole text.  A vocabulary that splits at
+white space and lower-cases before anything else is encoded by distinct parts; texts with one of its
+added tokens, and all texts of other vocabularies, go through ``encode`` as they are.
 
 Defined results: a null text is empty and gives the end id alone; a null key is
 carried; repeated rows are packed each; an empty table gives no piece.
@@ -18,49 +23,87 @@ carried; repeated rows are packed each; an empty table gives no piece.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tilth.llm.text import bound_batches
+
 SEQUENCE = 4096
 END_ID = 2
 #: Tokens that one run of the packer holds.
-RUN_TOKENS = 4 << 20
+RUN_TOKENS = 1 << 20
 #: White-space-separated strings whose ids a worker remembers.
-REMEMBERED = 600_000
+REMEMBERED = 200_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 #: A word of Latin-1 letters, which the vocabulary does not split; nor does a mark after it change its ids.
 _PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)")
-_KNOWN: dict[str, tuple[object, dict[bytes, bytes], dict[bytes, bytes], dict[int, str] | None]] = {}
+#: A mark that may join an ASCII letter before it to one character, in one case of the letter only.
+_JOINING = re.compile("[\u0300-\u036f]")
+#: Texts that show what a vocabulary does to capitals, white space, marks and joined characters.
+_PROBES = ("Hello  World,\tIT'S 12 o'clock.\r\n", " A\x0bB\x0c", "\u00c9T\u00c9 e\u0301 H\u0331 h\u0331", "x\u00a0y \u2003z \u200b", "don't'll we've.", "\u4e2d\u6587 \ud55c\uad6d #$%", "")
 
 
-def _loaded(path: str) -> tuple[object, dict[bytes, bytes], dict[bytes, bytes], dict[int, str] | None]:
-    """The tokenizer, two halves of what this worker remembers of it, and its spelling of letters.
+@dataclass
+class Vocabulary:
+    """A tokenizer, what this worker remembers of it, and its spelling of letters.
 
-    The last is for vocabularies that spell bytes as letters: what their first
+    ``spelt`` is for vocabularies that spell bytes as letters: what their first
     steps make of each Latin-1 letter, so that a plain word goes straight to the
-    model.  It is None for other vocabularies.
+    model.  It is None for other vocabularies, and so is ``added``, the pattern of the
+    added tokens, where texts can't be encoded part by part.
     """
+
+    tokenizer: object
+    added: re.Pattern | None = None
+    spelt: dict[int, str] | None = None
+    known: dict[bytes, bytes] = field(default_factory=dict)
+    older: dict[bytes, bytes] = field(default_factory=dict)
+
+
+_KNOWN: dict[str, Vocabulary] = {}
+
+
+def _splits(t) -> bool:
+    """Whether a vocabulary is of the kind that is encoded part by part: white space is one
+    blank, capitals are lower-cased, and words are split off without their blanks."""
+    spec = json.loads(t.to_str())
+    kinds = lambda part, steps: [x["type"] for x in (part or {}).get(steps, [])]
+    if kinds(spec["normalizer"], "normalizers") != ["NFC", "Replace", "Lowercase"] or kinds(spec["pre_tokenizer"], "pretokenizers") != ["Split", "ByteLevel"]:
+        return False
+    blank, split = spec["normalizer"]["normalizers"][1], spec["pre_tokenizer"]["pretokenizers"][0]
+    return (blank["pattern"], blank["content"], split["behavior"], split["invert"]) == ({"Regex": r"\s+"}, " ", "Removed", True)
+
+
+def _loaded(path: str) -> Vocabulary:
     if path not in _KNOWN:
         from tokenizers import Tokenizer
 
         t = Tokenizer.from_file(path)
-        letters = [c for c in map(chr, range(256)) if c.isalpha() and c == c.lower() and c not in "\u00aa\u00b5\u00ba"]
-        spelt = {}
-        for c in letters:
-            made = t.pre_tokenizer.pre_tokenize_str(t.normalizer.normalize_str(c)) if t.normalizer and t.pre_tokenizer else []
-            spelt[c] = made[0][0] if len(made) == 1 else ""
-        word = "".join(letters)
-        made = t.pre_tokenizer.pre_tokenize_str(t.normalizer.normalize_str(word.upper().replace("SS", "\u00df"))) if t.pre_tokenizer and t.normalizer else []
-        plain = len(made) > 0 and all(spelt[c] == c for c in letters if c < "\x80") and t.encode(f"{word} {word}.", add_special_tokens=False).ids == _spelt_ids(t, spelt, word) * 2 + t.encode(".", add_special_tokens=False).ids
-        _KNOWN[path] = (t, {}, {}, {ord(k): v for k, v in spelt.items()} if plain else None)
+        v = Vocabulary(t)
+        if _splits(t):
+            letters = [c for c in map(chr, range(256)) if c.isalpha() and c == c.lower() and c not in "\u00aa\u00b5\u00ba"]
+            spelt = {}
+            for c in letters:
+                made = t.pre_tokenizer.pre_tokenize_str(t.normalizer.normalize_str(c))
+                spelt[c] = made[0][0] if len(made) == 1 else ""
+            word = "".join(letters)
+            plain = all(spelt[c] == c for c in letters if c < "\x80") and t.encode(f"{word} {word}.", add_special_tokens=False).ids == _spelt_ids(t, spelt, word) * 2 + t.encode(".", add_special_tokens=False).ids
+            v.spelt = {ord(k): x for k, x in spelt.items()} if plain else None
+            names = [x.content for x in t.get_added_tokens_decoder().values()]
+            v.added = re.compile("(?i)" + ("|".join(map(re.escape, names)) or "(?!)"))  # lower-casing must not make one
+            if any(x.tolist()[:-1] != t.encode(probe, add_special_tokens=False).ids for x, probe in zip(_part_ids(v, _PROBES, array("I", [END_ID]).tobytes()), _PROBES, strict=True)):
+                v.added = None
+        _KNOWN[path] = v
     return _KNOWN[path]
 
 
@@ -77,8 +120,8 @@ def _encode(t, spelt: dict[int, str] | None, parts: list[bytes], known: dict[byt
         word = part[:-1] if last in mark and part[-2:-1].isalpha() else part  # a mark after a letter stands alone
         got = known.get(word)
         if got is None:
-            if spelt and word.isalpha():  # ASCII letters, which are spelt as themselves
-                got = array("I", [x.id for x in tokenize(word.decode())]).tobytes()
+            if spelt and word.isalpha():  # ASCII letters are spelt as themselves
+                got = array("I", [x.id for x in tokenize(word.decode().lower())]).tobytes()
             elif spelt and _PLAIN.fullmatch(text := word.decode("utf-8", "surrogatepass")):
                 got = array("I", [x.id for x in tokenize(text.lower().translate(spelt))]).tobytes()
             else:
@@ -91,27 +134,38 @@ def _encode(t, spelt: dict[int, str] | None, parts: list[bytes], known: dict[byt
             known[part] = array("I", got.ids).tobytes()
 
 
-def token_ids(texts: list[str | None], path: str, end_id: int = END_ID) -> Iterator[np.ndarray]:
-    """The ids of each text, with the end id.
-
-    The vocabulary splits at white space before anything else, so the ids of a
-    text are those of its parts in order, and each distinct part is encoded once.
-    """
-    tokenizer, known, older, spelt = _loaded(path)
-    end = array("I", [end_id]).tobytes()
+def _part_ids(v: Vocabulary, texts: Sequence[str | None], end: bytes) -> Iterator[np.ndarray]:
     for text in texts:
-        data = (text or "").encode("utf-8", "surrogatepass")
-        parts = (data if b"<|" in data else data.lower()).split()
-        if new := set(parts).difference(known):
-            if len(known) + len(new) > REMEMBERED:  # frequent parts come back from the older half
-                older.clear()
-                older.update(known)
-                known.clear()
+        text = text or ""
+        if v.added.search(text):
+            yield _whole_ids(v, text, end)
+            continue
+        data = text.encode("utf-8", "surrogatepass")
+        parts = (data if _JOINING.search(text) else data.lower()).split()
+        if new := set(parts).difference(v.known):
+            if len(v.known) + len(new) > REMEMBERED:  # frequent parts come back from the older half
+                v.older.clear()
+                v.older.update(v.known)
+                v.known.clear()
                 new = set(parts)
-            back = {x: older[x] for x in new if x in older}
-            known.update(back)
-            _encode(tokenizer, spelt, list(new.difference(back)), known)
-        yield np.frombuffer(b"".join([*map(known.__getitem__, parts), end]), "<u4")
+            back = {x: v.older[x] for x in new if x in v.older}
+            v.known.update(back)
+            _encode(v.tokenizer, v.spelt, list(new.difference(back)), v.known)
+        yield np.frombuffer(b"".join([*map(v.known.__getitem__, parts), end]), "<u4")
+
+
+def _whole_ids(v: Vocabulary, text: str, end: bytes) -> np.ndarray:
+    return np.frombuffer(array("I", v.tokenizer.encode(text, add_special_tokens=False).ids).tobytes() + end, "<u4")
+
+
+def token_ids(texts: Sequence[str | None], path: str, end_id: int = END_ID) -> Iterator[np.ndarray]:
+    """The ids of each text, with the end id."""
+    v = _loaded(path)
+    end = array("I", [end_id]).tobytes()
+    if v.added is not None:
+        yield from _part_ids(v, texts, end)
+    else:
+        yield from (_whole_ids(v, text or "", end) for text in texts)
 
 
 def capacities(tokens: int, sequence: int = SEQUENCE) -> list[int]:
@@ -170,7 +224,14 @@ def _packer(path: str, sequence: int, end_id: int):
     return packed
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text: str = "text", sequence: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
-    """One row per piece; ``tokenizer`` is the path of a vocabulary file on every node."""
-    slim = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    return slim.mapInArrow(_packer(tokenizer, sequence, end_id), SCHEMA)
+def pack_documents(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text: str = "text", sequence: int = SEQUENCE, end_id: int = END_ID, order: Sequence[Column] = ()) -> DataFrame:
+    """One row per piece; ``tokenizer`` is the path of a vocabulary file on every node.
+
+    Without an ``order``, rows are packed where they are read.  With one, sequence ids
+    ascend with it from run to run.
+    """
+    bound_batches(docs.sparkSession)
+    slim = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"), F.struct(*order).alias("order") if order else F.lit(0).alias("order"))
+    if order:
+        slim = slim.repartitionByRange("order").sortWithinPartitions("order")
+    return slim.select("doc_id", "text").mapInArrow(_packer(tokenizer, sequence, end_id), SCHEMA)
