@@ -2,14 +2,21 @@
 
 Each stage is a function of (spark, docs, sf_dir); its result is written as Parquet
 and read again as the next one's documents.  All but the last return the columns
-of ``documents``.
+of ``documents``, and more columns of any name travel with them.
+
+Defined results: a document without text, or with nothing but blanks, has no language
+and goes in the first stage; a row without doc_id stays, is nobody's near-duplicate and is
+mixed and packed like others; of rows that repeat a document one stays; a document without a
+source is of a source of its own; a document of any length stays whole until it is packed in
+pieces; no rows give no rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilth.llm import language, mixing, neardup, packing, secrets
@@ -25,7 +32,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the smallest doc_id stays."""
+    """Of each group of near-duplicates the row with the smallest doc_id stays."""
     return neardup.without_duplicates(docs)
 
 
@@ -34,16 +41,29 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return secrets.redacted(docs, path=F.col("source"))
 
 
+def file_order(docs: DataFrame) -> list[Column]:
+    """The place of a row in the files of a written table; none for other frames."""
+    place = [F.col("_metadata.file_path"), F.col("_metadata.row_index")]
+    try:
+        docs.select(*place)
+    except AnalysisException:  # not read from files
+        return []
+    return place
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row per copy that the mix takes, in training order."""
     return mixing.mixed_documents(docs, word_count(F.col("text")), weights=(5, 2, 1), max_epochs=3)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of training sequences; see ``packing.SCHEMA``."""
+    """Pieces of training sequences, in the order of the mix; see ``packing.SCHEMA``.
+
+    The mix wrote its rows in training order, so the place in its files is that order.
+    """
     from public_tokenizers import path
 
-    return packing.pack_documents(docs, path("word_bpe_49k.json"))
+    return packing.pack_documents(docs, path("word_bpe_49k.json"), order=file_order(docs))
 
 
 STAGES: list[tuple[str, Stage]] = [
