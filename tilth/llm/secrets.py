@@ -1,9 +1,10 @@
 """Secret scans: candidate strings, and a random forest that removes false ones.
 
-Candidates come from patterns over the whole text: known key formats, values
-assigned to telling names (which may end a longer name or a quoted key), and long runs
-that mix letters and digits, joined by dots or not.  None has a greatest length.  Each is
-described by its length, its character transitions, its dictionary coverage, the
+Candidates come from patterns over the whole text: known key formats, passwords in
+addresses, values assigned to telling names (which may end a longer name or a quoted
+key), and long runs that mix letters and digits, joined by dots or not.  None has a
+greatest length.  The patterns run only where a white-space-separated string can start a
+candidate; strings that cannot are remembered.  Each candidate is described by its length, its character transitions, its dictionary coverage, the
 path it was found under and its neighbouring words.  A random forest trained by
 Spark ML on labelled findings decides which candidates are secrets; its trees are
 a few small arrays that go with the tasks, so texts are scanned and redacted
@@ -33,7 +34,9 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from tilth.llm.text import bound_batches, carried, restored
 from tilth.scratch import materialize, scratch_path
 
 #: Labelled findings that the forest is trained on, in expectation.
@@ -52,25 +55,35 @@ _QUOTE = r"(?:\\?[\"'])?"
 # A name may end a longer one; what stands before it is taken from the start of the run on, as a run would
 # start there too.  An assignment is looked for first, so that plain words are left at once.
 _BEFORE_NAME = rf"(?:(?<![.{_RUN}])(?=[0-9A-Za-z+/_.-]*+{_QUOTE}[ \t]*+[=:])[.{_RUN}]*?|\b)"
+#: What stands before the password in an address.
+_ADDRESS = r"(?<![0-9A-Za-z+.-])[A-Za-z][0-9A-Za-z+.-]*+://[^\s/:@]*+:"
 _CANDIDATE = re.compile(
     rf"(?P<key>(?<![0-9A-Za-z])(?:{PREFIXES})(?![0-9A-Za-z]))"
+    rf"|(?P<address>{_ADDRESS}(?P<word>[^\s/@]+)@)"
     rf"|(?P<named>{_BEFORE_NAME}(?i:(?:{NAMES})\b){_QUOTE}[ \t]*(?:=>|=|:)[ \t]*{_QUOTE}(?P<value>[^\s\"'<>,;]{{8,}}))"
     # two or more long segments joined by dots are one token
     rf"|(?<![.@{_RUN}])(?:(?P<joined>(?=[A-Za-z_=.-]*[0-9])(?=(?:[{_SEGMENT}]++\.)*[{_SEGMENT}]{{16,}}\.(?:[{_SEGMENT}]++\.)*[{_SEGMENT}]{{16}})[{_SEGMENT}]+(?:\.[{_SEGMENT}]+)+(?![0-9A-Za-z@]))"
     rf"|(?P<run>(?=[A-Za-z+/_=-]*[0-9])[{_RUN}]{{16,}}(?![0-9A-Za-z@])))"
 )
 _NAME = re.compile(rf"(?i)(?:{NAMES})\b")
+#: A string in which a candidate may start, and as many strings in a row as it may take.
+_HOT = re.compile(rf"{PREFIXES}|(?i:(?:{NAMES})\b)|://[^/@]*@|(?<![.{_RUN}])(?=[A-Za-z+/_=.-]*+[0-9])[.{_RUN}]{{16}}")
+_STRING, _STRINGS = re.compile(r"\S+"), re.compile(r"\S+(?:[ \t]+\S+){0,2}")
+#: Strings that cannot start a candidate, as far as a worker remembers them.
+_COLD: set[str] = set()
+REMEMBERED = 200_000
 #: (pattern of the candidate, pattern of the text before it, is a secret); the first that fits decides.
 LABELLED = (
     (re.compile(rf"(?:{PREFIXES})"), None, True),
-    (re.compile(r"(?i)(?:example|changeme|placeholder|dummy|your[_-]?|x{6,}|\*{4,}).*"), None, False),
+    (re.compile(r"(?i)(?:pass(?:word|wd)?|pwd|secret|example|changeme|placeholder|dummy|your[_-]?|x{6,}|\*{4,}).*"), None, False),
     (re.compile(r"[0-9a-f]{16,64}"), _NAME, True),
+    (re.compile(r"\S{6,}"), re.compile(_ADDRESS + r"$"), True),
     (re.compile(r"[0-9][0-9 .-]*"), None, False),  # card, phone and account numbers, addresses
     (re.compile(r"[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12}"), None, False),
     (re.compile(r"[A-Za-z]+"), None, False),
     (re.compile(r"[A-Za-z]+(?:[-_/][A-Za-z0-9]{1,12})+"), None, False),
 )
-FEATURES = ("length", "transitions", "classes", "entropy", "digits", "dictionary", "path_depth", "path_test", "name_before", "assigned", "quoted", "prose_near", "key_format")
+FEATURES = ("length", "transitions", "classes", "entropy", "digits", "dictionary", "path_depth", "path_test", "name_before", "assigned", "quoted", "prose_near")
 _WORD = re.compile(r"[^\W\d_]{3,}")
 
 
@@ -78,7 +91,7 @@ def _class(c: str) -> int:
     return 0 if c.isdigit() else 1 if c.islower() else 2 if c.isupper() else 3
 
 
-def features(value: str, before: str, after: str, path: str, known: bool, dictionary: frozenset[str]) -> list[float]:
+def features(value: str, before: str, after: str, path: str, dictionary: frozenset[str]) -> list[float]:
     """Numbers that describe a candidate, in the order of ``FEATURES``."""
     kinds = [_class(c) for c in value]
     counts = Counter(value)
@@ -98,17 +111,28 @@ def features(value: str, before: str, after: str, path: str, known: bool, dictio
         float(bool(re.search(r"[=:]\s*[\"']?$", before))),
         float(before[-1:] in ("'", '"')),
         sum(w in dictionary for w in near) / max(1, len(near)),
-        float(known),
     ]
 
 
 def candidates(text: str | None) -> Iterator[tuple[int, int, bool, str, str]]:
     """(start, end, has a key's format, text before, text after), left to right."""
-    text, at = text or "", 0
-    while m := _CANDIDATE.search(text, at):
-        start, end = m.span("value") if m["value"] else m.span()
-        yield start, end, m["key"] is not None, text[max(0, start - 60) : start], text[end : end + 40]
-        at = max(end, at + 1)
+    text = text or ""
+    strings = set(text.split()) - _COLD
+    hot = {x for x in strings if _HOT.search(x)}
+    if len(_COLD) > REMEMBERED:
+        _COLD.clear()
+    _COLD.update(strings - hot)
+    at = 0
+    for string in _STRING.finditer(text) if hot else ():
+        if string.end() <= at or string.group() not in hot:
+            continue
+        at = max(at, string.start())
+        # a name may be assigned what follows it; all else ends with its string
+        end = _STRINGS.match(text, string.start()).end() if _NAME.search(string.group()) else string.end()
+        while (m := _CANDIDATE.search(text, at, end)) and m.start() < string.end():
+            start, stop = m.span("value" if m["value"] else "word" if m["word"] else 0)
+            yield start, stop, m["key"] is not None, text[max(0, start - 60) : start], text[stop : stop + 40]
+            at = max(stop, at + 1)
 
 
 def labelled(value: str, before: str) -> bool | None:
@@ -124,9 +148,9 @@ class Forest:
     def __init__(self, trees: list[tuple[np.ndarray, ...]]):
         self.trees = trees
 
-    def probability(self, x: np.ndarray) -> np.ndarray:
+    def probability(self, x: np.ndarray, known: np.ndarray) -> np.ndarray:
         if not self.trees:
-            return x[:, FEATURES.index("key_format")].astype(float)
+            return known.astype(float)
         total = np.zeros(len(x))
         for feature, threshold, left, right, leaf in self.trees:
             at = np.zeros(len(x), np.int64)
@@ -154,7 +178,15 @@ def dictionary_of(docs: DataFrame, text: str = "text", size: int = DICTIONARY) -
 
     words = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(counted, "word string, n long")
     words = words.withColumn("word", F.regexp_extract("word", r"^\W*([\p{L}]{3,40})\W*$", 1)).filter("word <> ''")
-    top = words.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(size)
+    words = materialize(words.groupBy("word").agg(F.sum("n").alias("n")), "secret-words")
+    # only words of the powers of two that hold the most frequent ones are sorted
+    power = F.floor(F.log2("n")).cast("int")
+    least, enough = 0, 0
+    for r in words.groupBy(power.alias("power")).agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("power")).collect():  # at most 64 rows
+        least, enough = r["power"], enough + r["words"]
+        if enough >= size:
+            break
+    top = words.filter(power >= least).orderBy(F.desc("n"), "word").limit(size)
     return frozenset(r["word"] for r in top.select("word").collect())
 
 
@@ -165,10 +197,10 @@ def findings(docs: DataFrame, dictionary: Broadcast, text: str, path: Column, sa
         for batch in batches:
             xs, ys, keys = [], [], []
             for t, p in zip(batch.column("text").to_pylist(), batch.column("path").to_pylist(), strict=True):
-                for start, end, known, before, after in candidates(t):
+                for start, end, _, before, after in candidates(t):
                     y = labelled(t[start:end], before)
                     if y is not None:
-                        xs.append(features(t[start:end], before, after, p or "", known, dictionary.value))
+                        xs.append(features(t[start:end], before, after, p or "", dictionary.value))
                         ys.append(float(y))
                         keys.append(t[start:end])
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(xs, pa.list_(pa.float64())), pa.array(ys, pa.float64())], ["value", "x", "label"])
@@ -212,7 +244,7 @@ def train(labelled_rows: DataFrame) -> Forest:
     return Forest(trees)
 
 
-SPANS = "array<struct<start:long,length:long,probability:double,secret:boolean>>"
+FOUND = "clean string, spans array<struct<start:long,length:long,probability:double,secret:boolean>>"
 
 
 def _scanned(forest: Broadcast, dictionary: Broadcast):
@@ -220,22 +252,24 @@ def _scanned(forest: Broadcast, dictionary: Broadcast):
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            places, xs = [], []
+            places, xs, sure = [], [], []
             texts = batch.column("text").to_pylist()
             for i, (t, p) in enumerate(zip(texts, batch.column("path").to_pylist(), strict=True)):
                 for start, end, known, before, after in candidates(t):
                     places.append((i, start, end))
-                    xs.append(features(t[start:end], before, after, p or "", known, dictionary.value))
+                    xs.append(features(t[start:end], before, after, p or "", dictionary.value))
+                    sure.append(known)
             found: list[list[dict]] = [[] for _ in texts]
             if xs:
-                for (i, start, end), p in zip(places, forest.value.probability(np.array(xs)).tolist(), strict=True):
+                for (i, start, end), p in zip(places, forest.value.probability(np.array(xs), np.array(sure)).tolist(), strict=True):
                     found[i].append({"start": start, "length": end - start, "probability": round(p, 6), "secret": p >= THRESHOLD})
             clean = []
             for t, spans in zip(texts, found, strict=True):
-                for s in reversed([s for s in spans if s["secret"]]):
+                hits = [s for s in spans if s["secret"]]
+                for s in reversed(hits):
                     t = t[: s["start"]] + MASK + t[s["start"] + s["length"] :]
-                clean.append(t)
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(clean, pa.string()), pa.array(found, kind)], ["row", "clean", "spans"])
+                clean.append(t if hits else None)
+            yield pa.RecordBatch.from_arrays([batch.column("rest"), batch.column("text"), pa.array(clean, pa.string()), pa.array(found, kind)], ["rest", "text", "clean", "spans"])
 
     return made
 
@@ -243,12 +277,14 @@ def _scanned(forest: Broadcast, dictionary: Broadcast):
 def scan(docs: DataFrame, *, text: str = "text", path: Column | None = None, labelled_findings: DataFrame | None = None, sample: int = SAMPLE) -> DataFrame:
     """``row`` (the columns of ``docs``), ``clean`` (the redacted text) and ``spans``."""
     spark = docs.sparkSession
+    bound_batches(spark)
     path = F.lit("") if path is None else path
     dictionary = spark.sparkContext.broadcast(dictionary_of(docs, text))
     rows = labelled_findings if labelled_findings is not None else findings(docs, dictionary, text, path, sample)
     forest = spark.sparkContext.broadcast(train(rows))
-    full = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text}`").alias("text"), path.cast("string").alias("path"))
-    return full.mapInArrow(_scanned(forest, dictionary), f"{full.select('row').schema.simpleString()[7:-1].replace('row:', 'row ', 1)}, clean string, spans {SPANS}")
+    full = docs.select(carried(docs, text), F.col(f"`{text}`").alias("text"), path.cast("string").alias("path"))
+    out = full.mapInArrow(_scanned(forest, dictionary), StructType([*full.drop("path").schema.fields, *StructType.fromDDL(FOUND).fields]))
+    return out.select(restored(docs, text), F.coalesce("clean", "text").alias("clean"), "spans")
 
 
 def redacted(docs: DataFrame, *, text: str = "text", length: str = "n_chars", **options) -> DataFrame:
