@@ -50,6 +50,13 @@ def test_spatial_join_has_no_nested_loop(spark):
     assert "Cartesian" not in plan and "NestedLoop" not in plan
 
 
+def test_geometry_is_not_dealt_into_cells(spark):
+    """The exchange by cell carries keys and boxes; geometry joins the pairs that are left."""
+    plan = QUERIES["tile_spatial_join"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    generated = [line for line in plan.split("\n") if "Generate explode" in line]
+    assert generated and not any("geom" in line for line in generated)
+
+
 def test_date_filter_reaches_the_scan(spark):
     plan = spark.read.parquet(f"{SF}/events.parquet").filter("ts >= timestamp_ntz '2024-01-05'")._jdf.queryExecution().toString()
     assert "PushedFilters: [IsNotNull(ts)" in plan

@@ -54,10 +54,26 @@ def with_box(table: DataFrame, geom: str = "geom") -> DataFrame:
     return table.filter(G.nonempty(F.col(geom))).withColumns({c: b[c] for c in BOX})
 
 
-def spatial_join(tiles: DataFrame, aoi: DataFrame, cell: float = 1.0) -> DataFrame:
-    """Pairs (left tile, right AOI part) that intersect, touching included."""
-    pairs = bbox_join(with_box(tiles), with_box(aoi), cell)
-    return pairs.filter(G.intersects(F.col("left.geom"), F.col("right.geom")))
+def spatial_join(tiles: DataFrame, aoi: DataFrame, cell: float = 1.0, *, tile_key: str | None = None, aoi_key: str | None = None) -> DataFrame:
+    """Pairs (left tile, right AOI part) that intersect, touching included.
+
+    With keys, which are unique on their side, only keys and boxes are dealt into cells,
+    and the other columns are joined to the pairs whose boxes meet.
+    """
+
+    def slim(table: DataFrame, key: str | None) -> DataFrame:
+        return with_box(table) if key is None else with_box(table).select(key, *BOX)
+
+    def whole(pairs: DataFrame, side: str, table: DataFrame, key: str | None) -> DataFrame:
+        if key is None:
+            return pairs
+        rows = table.select(F.col(key).alias("key"), F.struct(*table.columns).alias("whole"))
+        other = "right" if side == "left" else "left"
+        return pairs.withColumn("key", F.col(f"{side}.{key}")).join(rows, "key").select(F.col("whole").alias(side), other)
+
+    pairs = bbox_join(slim(tiles, tile_key), slim(aoi, aoi_key), cell)
+    pairs = whole(whole(pairs, "left", tiles, tile_key), "right", aoi, aoi_key)
+    return pairs.filter(G.intersects(F.col("left.geom"), F.col("right.geom"))).select("left", "right")
 
 
 def intersecting_tiles(tiles: DataFrame, aoi: DataFrame, cell: float = 1.0) -> DataFrame:
@@ -97,11 +113,12 @@ def discover(tiles: DataFrame, aoi: DataFrame, names: Sequence[str] = (), n: int
 
 
 def aoi_clip(tiles: DataFrame, aoi: DataFrame, cell: float = 1.0, sliver: float = 1e-12) -> DataFrame:
-    """(tile_id, aoi_id, geom): each tile's share of each AOI part that it meets.
+    """(tile_id, aoi_id, geom): each tile's share of each AOI part that it meets; ids are unique.
 
     A tile that only touches an AOI part, so that the share's area is rounding error up to
     ``sliver``, gets all of that part.
     """
     whole = F.col("right.geom")
     share = F.explode(F.transform(F.array(G.clip_convex(whole, F.col("left.geom"))), lambda g: F.when((F.size(g) > 0) & (G.area(g) > sliver), g).otherwise(whole)))
-    return spatial_join(tiles, aoi, cell).select("left.tile_id", "right.aoi_id", share.alias("geom"))
+    pairs = spatial_join(tiles, aoi, cell, tile_key="tile_id", aoi_key="aoi_id")
+    return pairs.select("left.tile_id", "right.aoi_id", share.alias("geom"))

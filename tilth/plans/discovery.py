@@ -56,7 +56,7 @@ def tile_bbox_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(oracle(f"select tile_id, aoi_id from fx_tiles t join ({AOI_BOX}) a on {MEETS}", "fx_tiles", "fx_aoi"))
 def tile_spatial_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.spatial_join(tiles(spark, sf_dir), aoi(spark, sf_dir)).select("left.tile_id", "right.aoi_id")
+    return T.spatial_join(tiles(spark, sf_dir), aoi(spark, sf_dir), tile_key="tile_id", aoi_key="aoi_id").select("left.tile_id", "right.aoi_id")
 
 
 @query(oracle(f"select distinct tile_id from fx_tiles t join ({AOI_BOX}) a on {MEETS} where tile_id in ('T00011', 'T00012', 'T00023', 'T00034', 'T00045', 'T00056', 'T00067') order by tile_id limit 5", "fx_tiles", "fx_aoi"))
