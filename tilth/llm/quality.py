@@ -1,7 +1,10 @@
 """Quality rules by n-gram perplexity, after a base of counting rules.
 
-Words are counted by Spark over all documents and languages.  Their letters, between
-a start and an end mark, give the n-grams of an interpolated modified
+A text is read as a stream of letters with one mark between words, so contexts reach
+from a word into the next.  The stream is counted in pieces, which repeat more than texts do:
+each word between its marks, and each joint of two words, the last letters of
+one and the first of the next.  Spark counts the pieces over all documents and languages;
+their n-grams, each of which lies in one piece only, give an interpolated modified
 Kneser-Ney model (Chen & Goodman 1998): raw counts at the highest order,
 continuation counts below, three discounts per order and language from counts
 of counts.  The model is a set of sorted hash arrays, one of n-gram
@@ -13,8 +16,8 @@ Each language has a lower and an upper band, quartiles of its own scores
 widened by ``BAND`` times their distance; texts outside it are rejected.  All
 documents take part in the counts and in the bands, and both follow the input.
 
-The model is broadcast only up to ``MODEL_ENTRIES`` entries.  Past that, the distinct words
-are scored by a join with the n-grams and the documents' words by a join with those, of
+The model is broadcast only up to ``MODEL_ENTRIES`` entries.  Past that, the distinct pieces
+are scored by a join with the n-grams and the documents' pieces by a join with those, of
 the same order and with the same scores; as the documents are what the model counts,
 every n-gram of theirs has a probability of its own there.
 
@@ -31,6 +34,8 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -52,37 +57,131 @@ REPEAT_PERCENT = 30
 WINDOW = 8
 #: Languages whose figures are broadcast; more are joined by shuffle.
 BROADCAST_LANGUAGES = 10_000
-#: Words that a task counts, or a worker remembers, before it starts anew.
+#: Pieces that a task counts, or a worker remembers, before it starts anew.
 HELD = 200_000
-START, END = "\x02", "\x03"
+#: Documents that are counted or scored at once.
+CHUNK = 512
+#: Characters of a part of a text.
+PART = 1 << 20
+#: Stands before, between and after words.
+MARK = "\x02"
 _SYMBOLS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
+_SPACE = re.compile(r"\s")
 _LINE = re.compile(r"[^\x20\x09-\x0D]")
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def out() -> pa.RecordBatch:
-        keys = list(held)
-        return pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1].decode("utf-8", "replace") for k in keys], pa.string()), pa.array(list(held.values()), pa.int64())], ["lang", "word", "n"])
+@dataclass
+class Part:
+    """Words of a text in a row, with the one before them."""
+
+    row: int
+    before: str
+    words: list[str]
+
+
+def parts(row: int, text: str | None) -> Iterator[Part]:
+    """A text's lower-cased words, at most about ``PART`` characters at a time."""
+    text = (text or "").lower().replace(MARK, "\x01")
+    at, before = 0, ""
+    while at < len(text):
+        space = _SPACE.search(text, at + PART)
+        end = space.start() if space else len(text)
+        if words := text[at:end].split():
+            yield Part(row, before, words)
+            before = words[-1]
+        at = end
+
+
+def chunks(rows: list[int], texts: list[str | None]) -> Iterator[list[Part]]:
+    """The parts of texts in lists of bounded rows and characters."""
+    out: list[Part] = []
+    size = 0
+    for row in rows:
+        for part in parts(row, texts[row]):
+            out.append(part)
+            size += PART // CHUNK + min(PART, len(texts[row] or ""))
+            if size >= 2 * PART:
+                yield out
+                out, size = [], 0
+    if out:
+        yield out
+
+
+class Joints:
+    """The joints of words with those before them: ``reach`` symbols on each side of a mark.
+
+    Before the first word and after a short one there are more marks.  ``marks`` has the
+    mark of each joint in ``points``, in the order of parts and words.  Without a reach there
+    is nothing in a joint.
+    """
 
-    held: Counter = Counter()
-    for batch in batches:
-        per: dict[str, Counter] = {}
-        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            per.setdefault(lang, Counter()).update((text or "").encode("utf-8", "surrogatepass").lower().split())
-        for lang, words in per.items():
-            for w, n in words.items():
-                held[lang, w] += n
-        if len(held) > HELD:
+    def __init__(self, some: list[Part], reach: int):
+        self.reach = reach
+        counts = [len(p.words) for p in some]
+        #: The part of each word, and its letters with the mark after it.
+        self.owner = np.repeat(np.arange(len(some)), counts)
+        self.sizes = np.fromiter(map(len, chain.from_iterable([p.words for p in some])), np.int64, sum(counts)) + 1
+        self.stream = "".join([f"{p.before[-reach:] if reach else '':{MARK}>{reach}}{MARK}{MARK.join(p.words)}{MARK * reach}" for p in some])
+        self.points = np.frombuffer(self.stream.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        self.marks = np.cumsum(self.sizes) - self.sizes + reach * (2 * self.owner + 1)
+        h = np.zeros(len(self.marks), np.uint64)
+        for i in range(-reach, reach + 1):
+            h += self.points[self.marks + i] * S._STEP[i + reach]
+        _, first, self.kind, self.counts = np.unique(S.mixed(h), return_index=True, return_inverse=True, return_counts=True)
+        #: The mark of one joint of each kind.
+        self.first = self.marks[first]
+
+    def names(self) -> list[str]:
+        return [self.stream[i - self.reach : i + self.reach + 1] for i in self.first.tolist()]
+
+
+def pieces(texts: list[str | None], order: int = ORDER, rows: list[int] | None = None) -> Counter:
+    """The pieces of texts, or of some rows of them, and how often they occur; a word is one between two marks."""
+    out: Counter = Counter()
+    for some in chunks(list(range(len(texts))) if rows is None else rows, texts):
+        for w, n in Counter(chain.from_iterable([p.words for p in some])).items():
+            out[f"{MARK}{w}{MARK}"] += n
+        joints = Joints(some, order - 2)
+        for name, n in zip(joints.names(), joints.counts.tolist(), strict=True):
+            if joints.reach:
+                out[name] += n
+    return out
+
+
+def _counted(order: int):
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out() -> pa.RecordBatch:
+            langs, names = zip(*held, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(names, pa.string()), pa.array(list(held.values()), pa.int64())], ["lang", "piece", "n"])
+
+        held: dict[tuple[str, str], int] = {}
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            for lang, rows in _by_value(batch.column("lang").to_pylist()).items():
+                for at in range(0, len(rows), CHUNK):
+                    for piece, n in pieces(texts, order, rows[at : at + CHUNK]).items():
+                        key = (lang, piece)
+                        held[key] = held.get(key, 0) + n
+                    if len(held) > HELD:
+                        yield out()
+                        held = {}
+        if held:
             yield out()
-            held = Counter()
-    if held:
-        yield out()
+
+    return made
+
+
+def _by_value(values: list[str]) -> dict[str, list[int]]:
+    out: dict[str, list[int]] = {}
+    for i, v in enumerate(values):
+        out.setdefault(v, []).append(i)
+    return out
 
 
 def _grams(order: int) -> Column:
-    """The n-grams of a word's letters and its end."""
-    padded = F.concat(F.lit(START * (order - 1)), "word", F.lit(END))
-    return F.transform(F.sequence(F.lit(1), F.length("word") + 1), lambda i: F.substring(padded, i, F.lit(order)))
+    """The n-grams of a piece."""
+    n = F.length("piece") - (order - 1)
+    return F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda i: F.substring("piece", i, F.lit(order))))
 
 
 def _by_language(df: DataFrame) -> DataFrame:
@@ -91,13 +190,13 @@ def _by_language(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_LANGUAGES else df
 
 
-def kneser_ney(words: DataFrame, order: int = ORDER) -> DataFrame:
-    """(lang, kind, gram, value) from (lang, word, n): natural logarithms.
+def kneser_ney(counted: DataFrame, order: int = ORDER) -> DataFrame:
+    """(lang, kind, gram, value) from (lang, piece, n): natural logarithms.
 
     ``kind`` is the length of an n-gram for probabilities and minus the length of
     a context for its back-off weight; the unknown symbol has kind 0.
     """
-    top = words.select("lang", "n", F.explode(_grams(order)).alias("gram")).groupBy("lang", "gram").agg(F.sum("n").alias("c"))
+    top = counted.select("lang", "n", F.explode(_grams(order)).alias("gram")).groupBy("lang", "gram").agg(F.sum("n").alias("c"))
     tables = {order: materialize(top, "ngram-counts")}
     for k in range(order - 1, 0, -1):
         tables[k] = materialize(tables[k + 1].groupBy("lang", F.substring("gram", 2, k).alias("gram")).agg(F.count(F.lit(1)).alias("c")), "ngram-counts")
@@ -180,14 +279,8 @@ class Model:
         at = np.minimum(np.searchsorted(known, h), len(known) - 1)
         return known[at] == h, values[at].astype(float)
 
-    def word_logs(self, lang: str, words: list[str]) -> np.ndarray:
-        """The logarithm of the probability of each word and its end."""
-        pad = START * (self.order - 1)
-        points, sizes = _points([f"{pad}{w}{END}" for w in words])
-        starts = np.cumsum(sizes) - sizes
-        counts = sizes - len(pad)
-        first = np.cumsum(counts) - counts
-        ends = np.arange(counts.sum()) - np.repeat(first, counts) + np.repeat(starts + len(pad), counts)
+    def at(self, lang: str, points: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The logarithm of the probability of the symbols at ``ends``, after those before them."""
         seed = _lang_seed(lang)
         total, open_ = np.zeros(len(ends)), np.arange(len(ends))
         for k in range(self.order, 0, -1):
@@ -202,7 +295,23 @@ class Model:
         if len(open_):
             hit, value = self.find(0, _hashes(points, ends[open_], 0, seed))
             total[open_] += np.where(hit, value, -np.log(256.0))
-        return np.add.reduceat(total, first)
+        return total
+
+    def words(self, lang: str, read: list[str]) -> np.ndarray:
+        """Of each word and the mark after it, what its joint does not hold."""
+        points, sizes = _points([f"{MARK}{w}{MARK}" for w in read])
+        starts = np.cumsum(sizes) - sizes
+        counts = np.maximum(sizes - (self.order - 1), 0)
+        owner = np.repeat(np.arange(len(read)), counts)
+        ends = np.arange(len(owner)) - (np.cumsum(counts) - counts)[owner] + starts[owner] + self.order - 1
+        return np.bincount(owner, self.at(lang, points, ends), len(read))
+
+    def joints(self, lang: str, joints: Joints) -> np.ndarray:
+        """Of each joint, the symbols after its mark."""
+        kinds = np.zeros(len(joints.first))
+        for i in range(1, joints.reach + 1):
+            kinds += self.at(lang, joints.points, joints.first + i)
+        return kinds[joints.kind]
 
 
 def _languages(docs: DataFrame, lang: str) -> Column:
@@ -210,11 +319,11 @@ def _languages(docs: DataFrame, lang: str) -> Column:
     return F.coalesce(F.concat(F.lit("1"), F.col(f"`{lang}`").cast("string")), F.lit("0"))
 
 
-def count_words(docs: DataFrame, text: str, lang: str) -> DataFrame:
-    """(lang, word, n) over all documents."""
+def count_pieces(docs: DataFrame, text: str, lang: str, order: int = ORDER) -> DataFrame:
+    """(lang, piece, n) over all documents."""
     slim = docs.select(_languages(docs, lang).alias("lang"), F.col(f"`{text}`").alias("text"))
-    words = slim.mapInArrow(_counted, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    return materialize(words, "word-counts")
+    found = slim.mapInArrow(_counted(order), "lang string, piece string, n long").groupBy("lang", "piece").agg(F.sum("n").alias("n"))
+    return materialize(found, "piece-counts")
 
 
 def broadcast_model(table: DataFrame, order: int) -> Broadcast:
@@ -254,34 +363,28 @@ def _base_columns(texts: list[str | None]) -> list[pa.Array]:
     return [pa.array(c, pa.int64()) for c in cols]
 
 
-def _words(text: str | None) -> Counter:
-    return Counter((text or "").encode("utf-8", "surrogatepass").lower().split())
-
-
 def _scored(model: Broadcast):
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, dict[bytes, tuple[float, int]]] = {}
+        m: Model = model.value
+        known: dict[str, dict[str, float]] = {}  # words that were looked up before
         for batch in batches:
-            langs, texts = batch.column("lang").to_pylist(), batch.column("text").to_pylist()
-            bits: list[float | None] = [None] * len(texts)
-            for at in range(0, len(texts), 512):
-                counted = [_words(t) for t in texts[at : at + 512]]
-                if sum(map(len, known.values())) > HELD:
-                    known.clear()
-                new: dict[str, set[bytes]] = {}
-                for lang, words in zip(langs[at:], counted):
-                    new.setdefault(lang, set()).update(words)
-                for lang, words in new.items():  # what is new in these documents is looked up at once
+            texts = batch.column("text").to_pylist()
+            logs, letters = np.zeros(len(texts)), np.zeros(len(texts))
+            for lang, rows in _by_value(batch.column("lang").to_pylist()).items():
+                for some in chunks(rows, texts):
+                    if sum(map(len, known.values())) > HELD:
+                        known.clear()
                     own = known.setdefault(lang, {})
-                    words.difference_update(own)
-                    read = [w.decode("utf-8", "replace") for w in words]
-                    if read:
-                        own.update(zip(words, zip(model.value.word_logs(lang, read).tolist(), [len(r) + 1 for r in read], strict=True), strict=True))
-                for i, (lang, words) in enumerate(zip(langs[at:], counted), at):
-                    if words:
-                        logs, sizes = zip(*map(known[lang].__getitem__, words), strict=True)
-                        n = list(words.values())
-                        bits[i] = -math.sumprod(logs, n) / math.sumprod(sizes, n) / math.log(2)
+                    counted = [Counter(p.words) for p in some]
+                    if new := list(set().union(*counted).difference(own)):  # looked up at once
+                        own.update(zip(new, m.words(lang, new).tolist(), strict=True))
+                    joints = Joints(some, m.order - 2)
+                    total = np.bincount(joints.owner, m.joints(lang, joints), len(some))
+                    many = np.bincount(joints.owner, joints.sizes, len(some))
+                    for p, found, log, n in zip(some, counted, total.tolist(), many.tolist(), strict=True):
+                        logs[p.row] += log + math.sumprod(map(own.__getitem__, found), found.values())
+                        letters[p.row] += n
+            bits = [-log / n / math.log(2) if n else None for log, n in zip(logs.tolist(), letters.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("lang"), *_base_columns(texts), pa.array(bits, pa.float64())], ["key", "lang", *NAMES, "bits"])
 
     return made
@@ -292,22 +395,25 @@ def _based(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("lang"), batch.column("text"), *_base_columns(batch.column("text").to_pylist())], ["key", "lang", "text", *NAMES])
 
 
-def _document_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row, lang, text in zip(*[batch.column(c).to_pylist() for c in ("row", "lang", "text")], strict=True):
-            words = _words(text)
-            yield pa.RecordBatch.from_arrays([pa.array([row] * len(words), pa.int64()), pa.array([lang] * len(words), pa.string()), pa.array([w.decode("utf-8", "replace") for w in words], pa.string()), pa.array(list(words.values()), pa.int64())], ["row", "lang", "word", "n"])
+def _document_pieces(order: int):
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, lang, text in zip(*[batch.column(c).to_pylist() for c in ("row", "lang", "text")], strict=True):
+                found = pieces([text], order)
+                yield pa.RecordBatch.from_arrays([pa.array([row] * len(found), pa.int64()), pa.array([lang] * len(found), pa.string()), pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["row", "lang", "piece", "n"])
+
+    return made
 
 
-def _joined_scores(slim: DataFrame, words: DataFrame, grams: DataFrame, order: int) -> DataFrame:
+def _joined_scores(slim: DataFrame, counted: DataFrame, grams: DataFrame, order: int) -> DataFrame:
     """What :func:`_scored` gives, by joins with the n-grams of the highest order."""
     top = grams.filter(F.col("kind") == order).select("lang", "gram", F.col("value").cast("float").cast("double").alias("value"))
-    letters = words.select("lang", "word", F.explode(_grams(order)).alias("gram"))
-    logs = letters.join(top, ["lang", "gram"]).groupBy("lang", "word").agg(F.sum("value").alias("log"))
+    letters = counted.select("lang", "piece", F.explode(_grams(order)).alias("gram"))
+    logs = letters.join(top, ["lang", "gram"]).groupBy("lang", "piece").agg(F.sum("value").alias("log"))
     based = materialize(slim.mapInArrow(_based, f"key long, lang string, text string, {COUNTS}").withColumn("row", F.monotonically_increasing_id()), "quality-base")
-    own = based.select("row", "lang", "text").mapInArrow(_document_words, "row long, lang string, word string, n long")
-    bits = -F.sum(F.col("n") * F.col("log")) / F.sum(F.col("n") * (F.length("word") + 1)) / math.log(2)
-    scores = own.join(logs, ["lang", "word"]).groupBy("row").agg(bits.alias("bits"))
+    own = based.select("row", "lang", "text").mapInArrow(_document_pieces(order), "row long, lang string, piece string, n long")
+    bits = -F.sum(F.col("n") * F.col("log")) / F.sum(F.col("n") * (F.length("piece") - (order - 1))) / math.log(2)
+    scores = own.join(logs, ["lang", "piece"]).groupBy("row").agg(bits.alias("bits"))
     return based.drop("text").join(scores, "row", "left").drop("row")
 
 
@@ -315,13 +421,15 @@ def judge(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str
     """The counts, the score and the verdict of every row."""
     bound_batches(docs.sparkSession)
     slim = docs.select(F.col(f"`{key}`").cast("long").alias("key"), _languages(docs, lang).alias("lang"), F.col(f"`{text}`").alias("text"))
-    words = count_words(docs, text, lang)
-    grams = kneser_ney(words, order)
+    if not 2 <= order <= 4:
+        raise ValueError("the order is 2, 3 or 4: a joint must not reach past a word of one letter")
+    counted = count_pieces(docs, text, lang, order)
+    grams = kneser_ney(counted, order)
     table = materialize(grams.mapInArrow(_hashed, "kind int, hash long, value float"), "ngram-model")
     if table.count() <= entries:
         scored = slim.mapInArrow(_scored(broadcast_model(table, order)), f"key long, lang string, {COUNTS}, bits double")
     else:
-        scored = _joined_scores(slim, words, grams, order)
+        scored = _joined_scores(slim, counted, grams, order)
     scored = materialize(scored, "quality-scores")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     scored = scored.withColumn("base_failed", failed)
