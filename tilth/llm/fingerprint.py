@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tilth.llm import shingles as S
-from tilth.llm.text import range_cuts, range_shard
+from tilth.llm.text import bound_batches, range_cuts, range_shard
 
 #: Hashes in a fingerprint; the standard error of a resemblance is at most 0.5 / sqrt(K).
 K = 256
@@ -85,6 +85,7 @@ def fingerprints(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([encode(sketch(t, k)) for t in batch.column(1).to_pylist()], pa.string())], [key, "fingerprint"])
 
+    bound_batches(docs.sparkSession)
     slim = docs.select(F.col(f"`{key}`").alias(key), F.col(f"`{text}`").alias("text"))
     return slim.mapInArrow(made, f"`{key}` {docs.schema[key].dataType.simpleString()}, fingerprint string")
 
@@ -140,6 +141,7 @@ def _pairs(k: int):
 
 def edited_fingerprints(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = K, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """Fingerprints of each document, of its edited text, and their likeness."""
+    bound_batches(docs.sparkSession)
     slim = docs.select(F.col(f"`{key}`").cast("long").alias("key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     cuts = range_cuts(slim.select("key"), "key", shard_rows)
     shard = F.when(F.col("key").isNull(), len(cuts)).otherwise(range_shard(F.col("key"), cuts)).cast("int")

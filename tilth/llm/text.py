@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,20 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_BYTES))
 
 
+_HOLDER: list = ["", None]
+
+
+def hold_worker(owner: str, forget: Callable[[], object] = lambda: None) -> None:
+    """Called where a task of an operator starts in a Python worker.
+
+    What tasks of another operator remember there, between their own tasks, is forgotten first.
+    """
+    if _HOLDER[0] != owner:
+        if _HOLDER[1] is not None:
+            _HOLDER[1]()
+        _HOLDER[:] = [owner, forget]
+
+
 def carried(docs: DataFrame, text: str) -> Column:
     """All columns but the text under names of its own, to travel beside the text."""
     return F.struct(F.lit(0).alias("none"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c != text]).alias("rest")
@@ -53,13 +68,14 @@ def restored(docs: DataFrame, text: str) -> Column:
 def range_cuts(df: DataFrame, key: str, rows_per_shard: int, most: int = 20_000) -> list[int]:
     """Ascending keys that cut a table into shards of about equal rows.
 
-    From a mergeable quantile sketch; at most ``most`` cuts reach the driver.
+    From a mergeable quantile sketch, ten times finer than the shards.  At most ``most`` cuts
+    reach the driver; a table of more shards has as many, of more rows each.
     """
     rows = df.count()
     shards = min(most, max(1, -(-rows // rows_per_shard)))
     if shards == 1:
         return []
-    found = df.select(F.percentile_approx(key, [i / shards for i in range(1, shards)], 10_000).alias("c")).first()[0]
+    found = df.select(F.percentile_approx(key, [i / shards for i in range(1, shards)], max(10_000, 10 * shards)).alias("c")).first()[0]
     return sorted(set(found or []))
 
 

@@ -15,7 +15,7 @@ order.
 
 Defined results: a null payload is empty; rows with the same key are each
 written, and if their payloads are equal too the first in order of URL is the
-one that the others revisit; rows without a key come first and are never revisited
+one that the others revisit; rows without a key are dealt out by a hash, come first in their file and are never revisited
 by others; an empty table gives a manifest without files.
 """
 
@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilth.llm.text import range_cuts, range_shard
+from tilth.llm.text import bound_batches, range_cuts, range_shard
 from tilth.scratch import materialize
 
 ROLL_BYTES = 1 << 30
@@ -190,16 +190,19 @@ def write_warc(pages: DataFrame, folder: str, *, key: str = "page_id", url: str
     as the response of the smallest key; the others revisit it.
     """
     spark = pages.sparkSession
+    bound_batches(spark)
     page = pages.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{url}`").alias("url"), F.coalesce(F.col(f"`{payload}`"), F.lit("")).alias("payload"))
     cuts = range_cuts(page.select("key"), "key", shard_rows)
-    shard = F.when(F.col("key").isNull(), 0).otherwise(range_shard(F.col("key"), cuts))
+    # rows without a key have no place in the order, so a hash deals them out
+    spread = F.pmod(F.xxhash64("url", "payload"), F.lit(len(cuts) + 1)).cast("int")
+    shard = range_shard(F.col("key"), cuts)
 
     slim = page.select("key", F.sha1(F.encode("payload", "utf-8")).alias("hex"), F.octet_length("payload").cast("long").alias("size")).filter((F.col("size") >= min_revisit) & F.col("key").isNotNull())
     first = slim.groupBy("hex").agg(F.min("key").alias("refers_to"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("hex", "refers_to")
     again = slim.join(first, "hex").select("key", "hex", "refers_to").distinct()
     slim_rows = again.select(shard.alias("shard"), F.lit(0).alias("kind"), "key", F.lit("").alias("url"), F.col("hex").alias("digest"), F.lit(0).cast("long").alias("size"), "refers_to", F.lit(None).cast("binary").alias("member"))
     slim_rows = slim_rows.mapInArrow(_base32, slim_rows.schema)
-    full = page.select(shard.alias("shard"), "key", "url", "payload").mapInArrow(_responses(date), slim_rows.schema)
+    full = page.select(F.when(F.col("key").isNull(), spread).otherwise(shard).alias("shard"), "key", "url", "payload").mapInArrow(_responses(date), slim_rows.schema)
     ranged = full.unionByName(slim_rows).repartitionById(len(cuts) + 1, F.col("shard")).sortWithinPartitions("shard", F.col("key").asc_nulls_first(), "kind", "digest", "url")
 
     files, path = store(folder)
