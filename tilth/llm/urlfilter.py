@@ -90,4 +90,6 @@ def judge(pages: DataFrame, rules: DataFrame, *, url: str = "url", default: str
 
 
 def rules_frame(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:
-    return spark.createDataFrame(list(rules), "host string, path string, verdict string")
+    """A short list of rules as a table; a long one is better read from a file."""
+    listed = F.array(*[F.struct(F.lit(h).alias("host"), F.lit(p).alias("path"), F.lit(v).alias("verdict")) for h, p, v in rules])
+    return spark.range(1).select(F.inline(listed.cast("array<struct<host:string,path:string,verdict:string>>")))
