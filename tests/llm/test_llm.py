@@ -21,7 +21,8 @@ import corpus_pipeline
 from tilth.llm import fingerprint, language, licenses, mixing, neardup, packing, quality, secrets, urlfilter, warc
 from tilth.llm import shingles as S
 from tilth.llm.queries import ORACLES, QUERIES, RULES
-from tilth.llm.text import word_count
+from tilth.llm.text import bound_batches, word_count
+from tilth.scratch import materialize
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size string, row string, target int"
@@ -169,15 +170,51 @@ def test_secrets_are_masked_and_others_stay(spark, docs, empty):
     assert secrets.redacted(empty).count() == 0
 
 
-def test_secret_held_out_accuracy():
-    tree = (np.array([12, -1, -1]), np.array([0.5, 0, 0]), np.array([1, 0, 0]), np.array([2, 0, 0]), np.array([0.0, 0.1, 0.9]))
+def test_secret_held_out_accuracy(spark):
+    """Findings of sf0.1 in two halves by hash: trained on one, judged on the other."""
+    d = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    sent = spark.sparkContext.broadcast(secrets.dictionary_of(d))
+    rows = secrets.findings(d, sent, "text", F.col("source"), secrets.SAMPLE).collect()
+    hits = misses = false = 0
+    for part in (0, 1):
+        seen = spark.createDataFrame([r for r in rows if r["order"] % 2 == part], "order long, x array<double>, label double")
+        held = [r for r in rows if r["order"] % 2 != part]
+        p = secrets.train(seen).probability(np.array([r["x"] for r in held]), np.zeros(len(held), bool)) >= secrets.THRESHOLD
+        y = np.array([r["label"] for r in held]) == 1
+        hits, misses, false = hits + (p & y).sum(), misses + (~p & y).sum(), false + (p & ~y).sum()
+    print(f"held out: {hits} found, {misses} missed, {false} false")
+    assert hits >= 50 and hits / (hits + misses) >= 0.9 and hits / (hits + false) >= 0.9
+
+
+def test_a_forest_is_its_trees():
+    tree = (np.array([0, -1, -1]), np.array([0.5, 0, 0]), np.array([1, 0, 0]), np.array([2, 0, 0]), np.array([0.0, 0.1, 0.9]))
     x = np.zeros((2, len(secrets.FEATURES)))
-    x[1, 12] = 1
-    assert secrets.Forest([tree]).probability(x).tolist() == [0.1, 0.9]
-    assert secrets.Forest([]).probability(x).tolist() == [0.0, 1.0]
+    x[1, 0] = 1
+    assert secrets.Forest([tree]).probability(x, np.array([True, False])).tolist() == [0.1, 0.9]
+    assert secrets.Forest([]).probability(x, np.array([False, True])).tolist() == [0.0, 1.0]
     assert list(secrets.candidates(None)) == [] and list(secrets.candidates("plain words only")) == []
 
 
+@pytest.mark.parametrize("size", [1, 3, 10, 500])
+def test_the_dictionary_is_the_most_frequent_words(spark, size):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"{'abcdefghij'[int(k) % 10]}{'klmnopqrst'[int(k) // 10]}word" for k in rng.zipf(1.3, 50) % 100) for _ in range(40)]
+    d = spark.createDataFrame([(t,) for t in texts], "text string")
+    counts = Counter(w for t in texts for w in t.split())
+    assert secrets.dictionary_of(d, size=size) == {w for w, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:size]}
+
+
+def test_batches_are_bounded_and_a_lower_bound_stays(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(name)
+    bound_batches(spark)
+    assert spark.conf.get(name) == str(16 << 20)
+    spark.conf.set(name, "1000000")
+    bound_batches(spark)
+    assert spark.conf.get(name) == "1000000"
+    spark.conf.unset(name)
+
+
 HEX640 = "0123456789abcdef" * 40
 JWT = "eyJhbGciOiJIUzI1NiIsInR5cCI6IkpXVCJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N_XgL0n3I9PlFUP0THsR8U"
 
@@ -194,6 +231,9 @@ JWT = "eyJhbGciOiJIUzI1NiIsInR5cCI6IkpXVCJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNry
         ("DB_PASSWORD=Tr0ub4dor&3xyz", "Tr0ub4dor&3xyz"),
         ("conf/db.userToken=Tr0ub4dor&3xyz", "Tr0ub4dor&3xyz"),
         ("password => Tr0ub4dor&3xyz", "Tr0ub4dor&3xyz"),
+        ("password\t=  Tr0ub4dor&3xyz", "Tr0ub4dor&3xyz"),
+        ("see postgres://admin:hunter22-xyz@db.example.com:5432/app end", "hunter22-xyz"),
+        ("redis://:s3cr3tpassw0rd@cache", "s3cr3tpassw0rd"),
     ],
 )
 def test_candidates_are_whole(text, value):
@@ -203,7 +243,7 @@ def test_candidates_are_whole(text, value):
 def test_ordinary_text_gives_no_candidate_and_scans_are_linear():
     assert list(secrets.candidates("a tokenizer: something, https://www.example.com/path/12/foo-bar-baz and 3.14")) == []
     start = time.perf_counter()
-    for text in ("a." * 100_000, "token" * 40_000, "a1" * 100_000 + "@", "token=" * 30_000, "abcdefghijklmnop1." + "b." * 100_000):
+    for text in ("http://" * 30_000, "a://b:" * 30_000, "token " * 40_000, "token = " * 30_000, "a." * 100_000, "token" * 40_000, "a1" * 100_000 + "@", "token=" * 30_000, "abcdefghijklmnop1." + "b." * 100_000):
         list(secrets.candidates(text))
     assert time.perf_counter() - start < 10
 
@@ -342,12 +382,74 @@ def test_every_declared_language_has_a_model(spark, monkeypatch):
         words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(12)]
         rows += [(f"l{k:02}", " ".join(rng.choice(words, 40))) for _ in range(6)]
     d = spark.createDataFrame(rows, "lang string, text string")
-    model = language.train(d, "lang", "text")
+    model = language.train(d, "lang", "text", F.xxhash64("text"))
     assert model.languages == sorted({lang for lang, _ in rows})
     assert all(model.languages[int(np.argmax(model.score(text)[:-1]))] == lang for lang, text in rows)
-    monkeypatch.setattr(language, "MODEL_BYTES", 39 * 8 * language.BUCKETS)
+    monkeypatch.setattr(language, "MODEL_BYTES", 39 * 4 * language.BUCKETS)
     with pytest.raises(ValueError, match="do not fit"):
-        language.train(d, "lang", "text")
+        language.train(d, "lang", "text", F.xxhash64("text"))
+
+
+def brute_posteriors(rows):
+    """(language, posterior) of (text, declared, host) rows: the definition, word for word."""
+
+    def buckets(text):
+        data = b" " + (text or "").encode().lower() + b" "
+        data = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in data)
+        return [((a << 16 | b << 8 | c) * 0x9E3779B1 % 2**32) >> 18 for a, b, c in zip(data, data[1:], data[2:]) if b != 32]
+
+    def logs(total, n):
+        return [math.log(x / total) for x in n]
+
+    langs = sorted({lang for _, lang, _ in rows if lang is not None})
+    models = []
+    for lang in langs:
+        n = [0.5] * language.BUCKETS
+        for text, own, _ in rows:
+            if own == lang:
+                for b in buckets(text):
+                    n[b] += 1
+        models.append(logs(sum(n), n))
+    models.append([-math.log(language.BUCKETS)] * language.BUCKETS)
+    scores = [[sum(m[b] for b in buckets(t)) / 3 for m in models] if buckets(t) else None for t, _, _ in rows]
+    label = [None if s is None else s.index(max(s)) for s in scores]
+    k = len(models)
+    whole = [sum(x == i for x in label) for i in range(k)]
+    prior = [(whole[i] + 1) / (sum(whole) + k) for i in range(k)]
+    kinds = len({lang for (_, lang, _), x in zip(rows, label) if lang is not None and x is not None})
+    out = []
+    for (_, lang, host), s in zip(rows, scores):
+        if s is None:
+            out.append(("und", 0.0))
+            continue
+        own = [sum(x == i and h == host for (_, _, h), x in zip(rows, label)) for i in range(k)]
+        p = [(own[i] + 20 * prior[i]) / (sum(own) + 20) for i in range(k)] if host is not None else prior
+        total = [s[i] + math.log(p[i]) for i in range(k)]
+        if lang is not None:
+            given = [sum(x == i and d == lang for (_, d, _), x in zip(rows, label)) for i in range(k)]
+            if any(given):
+                total = [total[i] + math.log((given[i] + 1) / (whole[i] + 1 + kinds)) for i in range(k)]
+        best = total.index(max(total))
+        out.append(([*langs, "und"][best], 1 / sum(math.exp(x - total[best]) for x in total)))
+    return out
+
+
+def test_posteriors_equal_brute_force(spark):
+    rows = [(prose(lang, i, 3 + i), lang, f"h{i % 3}") for i, lang in enumerate(["en", "de", "fr"] * 5)]
+    rows += [(prose("en", 90 + i, 6), "de", "h1") for i in range(6)]  # declared wrongly in bulk
+    rows += [("zq xj vw", None, None), (prose("de", 99, 4), None, "h1"), ("die", "fr", None), ("", "en", "h1"), (None, None, None), ("12 34", "rare", "h2"), (prose("fr", 98, 9), "other", "h2")]
+    d = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: (r["language"], r["posterior"]) for r in language.identify_documents(d).select("row.doc_id", "language", "posterior").collect()}
+    for i, (lang, p) in enumerate(brute_posteriors(rows)):
+        assert got[i][0] == lang and got[i][1] == pytest.approx(p, abs=1e-4), rows[i]
+    assert got[len(rows) - 4][0] == "und"
+
+
+def test_declarations_named_like_no_language(spark):
+    rows = [(i, prose("en", i, 30), "und", "s") for i in range(9)] + [(i, prose("fr", i, 30), "other", "s") for i in range(9, 18)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumns({"rest": F.lit(1), "none": F.lit(2), "scores": F.lit(3)})
+    out = language.accepted(d)
+    assert out.columns == d.columns and {r["doc_id"]: r["lang"] for r in out.collect() if r["doc_id"] >= 9} == {i: "other" for i in range(9, 18)}
 
 
 # -- licenses
@@ -368,7 +470,7 @@ def brute_license(text):
 
 
 def test_licenses_equal_brute_force(spark, empty):
-    notice = licenses.TEMPLATES[1][1]
+    notice = licenses.TEMPLATES[3][1]
     texts = [None, "", "MIT", "Released under the MIT License.", "released  under THE mit-license", notice, notice.replace(" may", "\nmay"), "x\n" + notice + "\ny", "Licensed under CC BY 4.0.\nLicensed under CC BY-NC 4.0.", prose("en", 1, 5000), notice + " " + prose("en", 2, 9)]
     d = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, license string")
     for r in licenses.scan(d).select("row.doc_id", "license").collect():
@@ -403,13 +505,22 @@ def test_wrapped_and_embedded_licenses(spark):
 
     long = prose("en", 3, 400)
     texts = [f"{long}\n{wrapped(n, 7)}\n{long}" for _, n in licenses.TEMPLATES] + [f"{long}. {n} {long}" for _, n in licenses.TEMPLATES]
-    texts += [f"{long}\n\n{wrapped(licenses.TEMPLATES[9][1].replace('program', 'small library').replace('either', 'in'), 6)} {long}", f"{long} this is licensed under the terms of the house {long}", "Licensed under CC BY-NC 4.0. Licensed under CC BY 4.0. " + long]
+    texts += [f"{long}\n\n{wrapped(dict(licenses.TEMPLATES[16:18])['GPL-3.0'].replace('program', 'small library').replace('either', 'in'), 6)} {long}", f"{long} this is licensed under the terms of the house {long}", "Licensed under CC BY-NC 4.0. Licensed under CC BY 4.0. " + long]
     d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: r for r in licenses.scan(d).select("row.doc_id", "license", "dice", "line").collect()}
     for i, t in enumerate(texts):
         want = brute_windows(t)
         assert (got[i]["license"], got[i]["dice"], got[i]["line"]) == ((want[2], round(-want[0], 9), want[1]) if want else (None, None, None)), t
-    assert [got[i]["license"] for i in range(28)] == [n for n, _ in licenses.TEMPLATES] * 2 and got[28]["license"] == "GPL-3.0" and got[29]["license"] is None
+    n = len(licenses.TEMPLATES)
+    assert [got[i]["license"] for i in range(2 * n)] == [name for name, _ in licenses.TEMPLATES] * 2 and got[2 * n]["license"] == "GPL-3.0" and got[2 * n + 1]["license"] is None
+
+
+def test_whole_license_texts(spark):
+    """A license file as it is written: a head, a copyright line and wrapped paragraphs."""
+    texts = {name: text for name, text in licenses.TEMPLATES if name in ("MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC", "Zlib")}  # the last of a name is whole
+    rows = [(name, f"{name} License\n\nCopyright (c) 2020 Some One\n\n" + re.sub(r"(.{50,70}) ", r"\1\n", text) + "\n") for name, text in texts.items()]
+    got = licenses.scan(spark.createDataFrame(rows, "name string, text string")).select("row.name", "license", "dice").collect()
+    assert all(r["license"] == r["name"] and r["dice"] > 0.95 for r in got)
 
 
 # -- near duplicates
@@ -436,7 +547,7 @@ def brute_components(rows):
     return Counter((i, len(s), None if i is None else least[find(x)]) for x, (i, s) in enumerate(sets))
 
 
-@pytest.mark.parametrize("block", [256, 3])
+@pytest.mark.parametrize("block", [1024, 3])
 def test_near_duplicates_equal_brute_force(spark, docs, empty, monkeypatch, block):
     monkeypatch.setattr(neardup, "BLOCK_ROWS", block)
     rng = np.random.default_rng(1)
@@ -455,7 +566,7 @@ def test_near_duplicates_equal_brute_force(spark, docs, empty, monkeypatch, bloc
     got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == brute_components(rows)
     assert all(r["kept"] == (r["doc_id"] is None or r["doc_id"] == r["component_id"]) for r in got)
-    if block == 256:
+    if block == 1024:
         assert neardup.near_duplicates(empty).count() == 0
         kept = neardup.without_duplicates(docs)
         assert kept.columns == docs.columns and {40, 41} - {r["doc_id"] for r in kept.collect()} == {40, 41} and kept.filter("doc_id is null").count() == 1
@@ -465,7 +576,10 @@ def test_rows_with_the_same_key_are_kept_by_their_own_text(spark):
     a, b, c = (prose(lang, 900, 60) for lang in PROSE)
     d = prose("en", 901, 60)
     rows = [(3, a, "x"), (5, b, "x"), (5, a, "x"), (5, d, "x"), (7, c, "x"), (7, c, "x"), (7, c, "y"), (8, "", "x"), (8, "", "x"), (9, c, "x"), (None, a, "x")]
-    kept = neardup.without_duplicates(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns({c: F.lit(c) for c in ("gone_key", "node", "set_key", "row", "order", "a b")})
+    kept = neardup.without_duplicates(table)
+    assert kept.columns == table.columns
+    kept = kept.collect()
     got = Counter((r["doc_id"], r["text"]) for r in kept)
     assert got == Counter([(3, a), (5, b), (5, d), (7, c), (8, ""), (8, ""), (None, a)])
 
@@ -508,6 +622,37 @@ def test_packs_are_full_and_exact(lengths):
     assert all(v <= 64 and v & (v - 1) == 0 for v in sums.values())
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["A", "b", "\u00c9", "e\u0301", "H\u0331", "h", "\u0331", "\u00df", "\u0130", "\u03a3", "Hello", "the", "don't", "'LL", " ", "  ", "\t", "\n", "\x0b", "\x0c", "\x1c", "\x85", "\u00a0", "\u2003", ".", ",", "<|", "<|endoftext|>", "<|EndOfText|>", "<|startoftext|>", "12", "\u4e2d", "\uac00", "_", "$"]), max_size=12))
+def test_ids_equal_the_tokenizer(name, parts):
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    text = "".join(parts)
+    t = _TOKENIZERS.setdefault(name, Tokenizer.from_file(path(name)))
+    assert next(packing.token_ids([text], path(name))).tolist() == [*t.encode(text, add_special_tokens=False).ids, 2]
+
+
+_TOKENIZERS: dict = {}
+
+
+@pytest.fixture
+def many_tasks(spark):
+    """Small partitions stay apart, as large ones would."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_packing_keeps_an_order(spark, vocabulary, many_tasks):
+    d = spark.createDataFrame([(i, prose("en", i, 400), -i) for i in range(300)], "doc_id long, text string, place long").repartition(7)
+    out = packing.pack_documents(d, vocabulary, order=[F.col("place")]).toPandas()
+    first = out.groupby("doc_id")["sequence_id"].min().to_dict()
+    run = {i: s >> 40 for i, s in first.items()}  # the partition
+    assert len(set(run.values())) > 1 and all(run[i] <= run[i - 1] for i in range(1, 300))
+
+
 def test_forgotten_words_are_encoded_again(vocabulary, monkeypatch):
     texts = [prose("de", i, 50) + " don't .. ,. ẞ <|endoftext|> É." for i in range(20)]
     want = [x.tolist() for x in packing.token_ids(texts, vocabulary)]
@@ -548,9 +693,69 @@ def test_quality_counts_and_bands(spark, docs, empty):
     assert quality.judge(empty).count() == 0
 
 
+def brute_bits(rows, order):
+    """Bits per letter of (lang, text) rows by the definition, over each text's stream of letters."""
+
+    def grams(text):
+        words = [w.lower() for w in WORDS.findall(text or "")]
+        stream = "\x02" * (order - 1) + "".join(f"{w}\x02" for w in words)
+        return [stream[i : i + order] for i in range(len(stream) - order + 1)]
+
+    model = {}
+    for lang in {lang for lang, _ in rows}:
+        counts = {order: Counter(g for own, text in rows if own == lang for g in grams(text))}
+        for k in range(order - 1, 0, -1):
+            counts[k] = Counter(g[1:] for g in counts[k + 1])
+        below = {"": 1 / (len(counts[1]) + 1)}
+        for k in range(1, order + 1):
+            n = [sum(c == i for c in counts[k].values()) for i in range(5)]
+            y = n[1] / (n[1] + 2 * n[2]) if n[1] + 2 * n[2] else None
+            d = [max(0.1, min(i - 0.1, i - (i + 1) * y * n[i + 1] / n[i])) if y is not None and n[i] else i / 2 for i in (1, 2, 3)]
+            cut = {g: d[min(c, 3) - 1] for g, c in counts[k].items()}
+            total, freed = Counter(), Counter()
+            for g, c in counts[k].items():
+                total[g[:-1]] += c
+                freed[g[:-1]] += cut[g]
+            below = {g: (c - cut[g]) / total[g[:-1]] + freed[g[:-1]] / total[g[:-1]] * below[g[1:]] for g, c in counts[k].items()}
+        model[lang] = below
+    out = []
+    for lang, text in rows:
+        logs = [math.log2(model[lang][g]) for g in grams(text)]
+        out.append(-sum(logs) / len(logs) if logs else None)
+    return out
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text(alphabet="ab\u00e9 \n", max_size=30), st.integers(2, 4), st.sampled_from([1, 3, 1 << 20]))
+def test_pieces_hold_the_ngrams_of_the_stream(text, order, part):
+    words = text.lower().split()
+    stream = "\x02" * (order - 1) + "".join(f"{w}\x02" for w in words)
+    want = Counter(stream[i : i + order] for i in range(len(stream) - order + 1))
+    got = Counter()
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(quality, "PART", part)  # a text in one part, and in many
+        found = quality.pieces(["x y", None, text], order, [2])
+        assert found == quality.pieces([text], order)
+    for piece, n in found.items():
+        for i in range(len(piece) - order + 1):
+            got[piece[i : i + order]] += n
+    assert got == want
+
+
+@pytest.mark.parametrize("entries", [quality.MODEL_ENTRIES, 0])
+def test_bits_equal_brute_force_at_every_size(spark, entries):
+    """With the model in the tasks, and with joins instead, where it has more than ``entries`` entries."""
+    rows = [(lang, prose(lang, i, 25 + i)) for i, lang in enumerate(["en", "de", "fr"] * 6)]
+    rows += [(None, prose("en", 50, 30)), (None, prose("fr", 51, 30)), ("", prose("de", 52, 30)), ("en", None), ("de", ""), ("rare", "a b c d " * 6), ("en", "Twice TWICE " * 20)]
+    d = spark.createDataFrame([(i % 20, *r) for i, r in enumerate(rows)], "doc_id long, lang string, text string").coalesce(1)
+    out = quality.judge(d, entries=entries).collect()
+    want = Counter((lang, len(WORDS.findall(text or "")), None if bits is None else round(bits, 3)) for (lang, text), bits in zip(rows, brute_bits(rows, quality.ORDER)))
+    assert Counter((r["lang"], r["n_words"], None if r["bits"] is None else round(r["bits"], 3)) for r in out) == want
+
+
 def test_kneser_ney_sums_to_one(spark):
-    words = spark.createDataFrame([("en", w, n) for w, n in (("abc", 5), ("abd", 2), ("b", 1), ("cab", 3), ("dd", 1))], "lang string, word string, n long")
-    table = quality.kneser_ney(words, 3).toPandas()
+    found = quality.pieces(["abc abc abd b cab abc dd cab abc abc abd cab"], 3)
+    table = quality.kneser_ney(spark.createDataFrame([("en", p, n) for p, n in found.items()], "lang string, piece string, n long"), 3).toPandas()
     letters = sorted(table[table.kind == 1].gram)
     p, g = table[table.kind > 0].set_index("gram")["value"].to_dict(), table[table.kind < 0].set_index("gram")["value"].to_dict()
     floor = math.exp(table[table.kind == 0]["value"].iloc[0])
@@ -563,7 +768,7 @@ def test_kneser_ney_sums_to_one(spark):
             return floor
         return math.exp(g.get(context, 0.0)) * prob(context[1:], x)
 
-    for context in ("ab", "\x02\x02", "\x02a", "d", "zz"):
+    for context in ("ab", "\x02\x02", "\x02a", "c\x02", "d", "zz"):
         total = sum(prob(context, x) for x in letters)
         assert total <= 1 + 1e-6 and total + floor >= 0.9
 
@@ -576,13 +781,53 @@ def test_queries_equal_sql(spark, name):
     db = duckdb.connect()
     for t in ("documents", "pages"):
         db.execute(f"create view {t} as select * from '{SF}/{t}.parquet{'/*.parquet' if __import__('os').path.isdir(f'{SF}/{t}.parquet') else ''}'")
-    got, want = QUERIES[name](spark, SF).toPandas(), db.execute(ORACLES[name]).df()
+    got, want = QUERIES[name](spark, SF), db.execute(ORACLES[name])
     cols = sorted(got.columns)
-    show = lambda df: sorted(tuple(str(v) for v in r) for r in df[cols].astype(object).where(df[cols].notna(), None).itertuples(index=False))
-    assert cols == sorted(want.columns) and show(got) == show(want)
-
-
-def test_pipeline_stages(spark, docs):
+    order = [[d[0] for d in want.description].index(c) for c in cols]
+    assert cols == sorted(d[0] for d in want.description)
+    assert sorted(map(repr, (tuple(r) for r in got.select(*cols).collect()))) == sorted(repr(tuple(r[i] for i in order)) for r in want.fetchall())
+
+
+def written(spark, df):
+    return materialize(df, "test-stage")
+
+
+def test_pipeline_stages_keep_their_documents(spark, docs, empty):
+    """Every stage on nulls, empty and long texts, repeats and clashing columns, and on no rows."""
+    given_ids = Counter(r["doc_id"] for r in docs.collect())
+    got = written(spark, docs)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before, got = got, written(spark, stage(spark, got, SF))
+        assert got.columns == docs.columns, name
+        ids, earlier = (Counter(r["doc_id"] for r in x.select("doc_id").collect()) for x in (got, before))
+        assert set(ids) <= set(given_ids), name
+        if name == "language_id":
+            assert set(earlier) - set(ids) == {42, 43, 44}
+        if name == "minhash_near_dedup":
+            assert set(earlier) - set(ids) == {40, 41} and max(ids.values()) == 1
+        if name == "secret_scan":
+            assert ids == earlier
+        mixed = ids
+    pieces = corpus_pipeline.STAGES[-1][1](spark, got, SF).toPandas()
+    assert set(pieces.doc_id.dropna().astype(int)) == {i for i in mixed if i is not None}
+    rows = [(r["doc_id"], r["text"]) for r in got.select("doc_id", "text").collect()]
+    assert pieces[pieces.start == 0].shape[0] == len(rows)
+    nothing = written(spark, empty)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, nothing, SF).count() == 0
+
+
+def test_packing_follows_the_mix(spark, many_tasks):
+    """The order that the mix wrote reaches the sequences, from partition to partition."""
+    d = spark.createDataFrame([(i, prose("en", i, 300), "a") for i in range(400)], "doc_id long, text string, source string").repartitionByRange(9, "doc_id").sortWithinPartitions("doc_id")
+    d = written(spark, d)
+    assert corpus_pipeline.file_order(d) and not corpus_pipeline.file_order(spark.range(3))
+    out = corpus_pipeline.pack_sequences(spark, d, SF).toPandas()
+    run = (out.groupby("doc_id")["sequence_id"].min() // (1 << 40)).to_dict()
+    assert len(set(run.values())) > 1 and all(run[i - 1] <= run[i] for i in range(1, 400))
+
+
+def test_pipeline_stages(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "minhash_near_dedup", "secret_scan", "source_mixing", "packing"]
     out = corpus_pipeline.run(spark, SF)
     assert out.columns == [c.split()[0] for c in packing.SCHEMA.split(", ")]
