@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from tilth.llm.text import bound_batches, carried, restored
+from tilth.llm.text import bound_batches, carried, hold_worker, restored
 from tilth.scratch import materialize
 
 BUCKETS = 1 << 14
@@ -71,6 +71,7 @@ class TextModel:
 
 
 def _tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hold_worker("language")
     held: dict[str, np.ndarray] = {}
     for batch in batches:
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
@@ -107,6 +108,7 @@ def train(rows: DataFrame, declared: str, text: str, draw: Column, sample: int =
 
 def _scored(model: Broadcast):
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_worker("language")
         for batch in batches:
             scores = [model.value.score(t) for t in batch.column("text").to_pylist()]
             yield batch.append_column("scores", pa.array(scores, pa.list_(pa.float64())))

@@ -40,6 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tilth.llm import shingles as S
+from tilth.llm.text import bound_batches, hold_worker
 from tilth.operators.components import connected_components
 from tilth.scratch import materialize
 
@@ -58,6 +59,7 @@ _C = S.seeds(COORDINATES, 103)
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hold_worker("neardup")
     for batch in batches:
         n, keys, sigs = [], [], []
         for text in batch.column("text").to_pylist():
@@ -142,6 +144,7 @@ def _group_links(ids: np.ndarray, comps: np.ndarray, sides: np.ndarray | None, s
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links of each (token, i, j) of a partition that is sorted by them, then by id."""
+    hold_worker("neardup")
     parent: dict[int, int] = {}  # components that this task has joined
 
     def root(c: int) -> int:
@@ -208,6 +211,7 @@ def _judged(docs: DataFrame, key: str, text: str) -> DataFrame:
 
     comp is null without a key.  Components whose least keys are equal differ in grp.
     """
+    bound_batches(docs.sparkSession)
     slim = docs.select(F.col(f"`{key}`").cast("long").alias("node"), F.col(f"`{text}`").alias("text"))
     signed = materialize(slim.mapInArrow(_signed, "node long, n long, set_key binary, signature array<long>"), "neardup-signed")
     usable = signed.filter("node is not null and n > 0")

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tilth.llm.text import bound_batches
+from tilth.llm.text import bound_batches, hold_worker
 
 SEQUENCE = 4096
 END_ID = 2
@@ -207,6 +207,7 @@ def _packer(path: str, sequence: int, end_id: int):
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names), most
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_worker("packing", _KNOWN.clear)
         at = TaskContext.get().partitionId() << 40
         keys, ids, held = [], [], 0
         for batch in batches:

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tilth.llm.text import bound_batches, carried, restored
+from tilth.llm.text import bound_batches, carried, hold_worker, restored
 from tilth.scratch import materialize, scratch_path
 
 #: Labelled findings that the forest is trained on, in expectation.
@@ -194,6 +194,7 @@ def findings(docs: DataFrame, dictionary: Broadcast, text: str, path: Column, sa
     """Labelled candidates of all documents: features, label; about ``sample`` of them."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_worker("secrets", _COLD.clear)
         for batch in batches:
             xs, ys, keys = [], [], []
             for t, p in zip(batch.column("text").to_pylist(), batch.column("path").to_pylist(), strict=True):
@@ -251,6 +252,7 @@ def _scanned(forest: Broadcast, dictionary: Broadcast):
     kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("probability", pa.float64()), ("secret", pa.bool_())]))
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_worker("secrets", _COLD.clear)
         for batch in batches:
             places, xs, sure = [], [], []
             texts = batch.column("text").to_pylist()
