@@ -195,14 +195,14 @@ _BIGRAMS = "unnest([ws[i] || ' ' || ws[i + 1] for i in range(1, len(ws))])"
       UNION ALL
       SELECT doc_id, met.name, 2.0 * both_ / (sizes.n + ts.n), k FROM met JOIN sizes USING (doc_id, k) JOIN ts USING (id) WHERE 2.0 * both_ / (sizes.n + ts.n) >= 0.75),
     best AS (SELECT * FROM found QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY dice DESC, first, name) = 1)
-    SELECT doc_id, name AS license, round(dice, 9) AS dice, cast(CASE WHEN first = 2147483647 THEN -1 ELSE first END AS bigint) AS line
+    SELECT doc_id, name AS license, round(dice, 9) AS dice, cast(CASE WHEN first = 2147483647 THEN -1 ELSE coalesce(first, -2) END AS bigint) AS line
     FROM documents LEFT JOIN best USING (doc_id)
     """
 )
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The license that each document names, if any."""
+    """The license that each document names, if any, and its line; -1 is the whole text, -2 no license."""
     out = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("row.doc_id", "license", "dice", F.col("line").cast("long").alias("line"))
+    return out.select("row.doc_id", "license", "dice", F.coalesce("line", F.lit(-2)).cast("long").alias("line"))
 
 
 @query()
