@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilth.llm import fingerprint, language, licenses, mixing, neardup, packing, quality, secrets, urlfilter, warc
+from tilth.llm import alignment, fingerprint, language, lexical, licenses, mixing, neardup, packing, quality, secrets, sharding, urlfilter, warc
 from tilth.llm.text import table, word_count
 from tilth.scratch import materialize, scratch_path
 
@@ -212,3 +212,43 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = secrets.scan(docs, path=F.col("source"))
     hits = F.filter("spans", lambda s: s["secret"])
     return out.select("row.doc_id", F.size("spans").cast("long").alias("n_candidates"), F.size(hits).cast("long").alias("n_secrets"), "spans", F.sha2("clean", 256).alias("clean_sha256"))
+
+
+@query()
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers' tokens in every document."""
+    from public_tokenizers import path
+
+    aligned = alignment.align_documents(table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"), path("piece_bpe_32k.model"))
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
+    slim = aligned.select("doc_id", "n_a", "n_b", "n_groups", digest.alias("groups_sha256"), "pairs", "times")
+    out = alignment.with_corpus_counts(materialize(slim, "op11-links"))
+    return out.select("doc_id", "n_a", "n_b", "n_groups", F.col("n_groups").alias("n_links"), "n_best", "count_sum", "groups_sha256")
+
+
+@query(
+    r"""
+    WITH t AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+    q AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM benchmark),
+    s AS (SELECT count(*) AS n_docs, cast(sum(len(ts)) AS bigint) AS words FROM t WHERE len(ts) > 0),
+    d AS (SELECT doc_id, ts, 75 + (25 * len(ts) * n_docs) // words AS m FROM t, s WHERE len(ts) > 0),
+    p AS (SELECT doc_id, m, term, count(*) AS tf FROM (SELECT doc_id, m, unnest(ts) AS term FROM d) x GROUP BY ALL),
+    w AS (SELECT term, cast(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS bigint) AS w FROM p, s GROUP BY term, n_docs),
+    i AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest(ts) AS term FROM q) x GROUP BY ALL),
+    r AS (SELECT item_id, doc_id, cast(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS bigint) AS score FROM i JOIN p USING (term) JOIN w USING (term) GROUP BY ALL HAVING score > 0)
+    SELECT item_id, cast(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS int) AS rank, doc_id, score
+    FROM r QUALIFY rank <= 20
+    """
+)
+def op12_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+@query()
+def op13_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards of near equal bytes, equal texts together."""
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, sf_dir, "documents").select("doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), F.unhex(F.md5(text)).alias("text_md5"))
+    out = sharding.shard_documents(docs, shards=40, size=F.col("size"), group=F.col("text_md5"), columns=("doc_id", "text_crc32")).rows
+    return out.select("row.doc_id", "size", "row.text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
