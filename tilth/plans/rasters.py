@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tilth.operators import geometry as G
 from tilth.operators import parcels as P
+from tilth.operators import polygons as S
 from tilth.operators import raster as R
 from tilth.plans.discovery import _AREA_SQL, aoi, fields
 from tilth.plans.fixtures import chips, fixture, oracle
@@ -143,6 +144,28 @@ def parcel_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edges.groupBy("raster_id", "parcel").agg(F.count(F.lit(1)).alias("perimeter"))
 
 
+#: Rings by Euler's formula over a parcel's closed pixels; corners where one or three of four pixels meet, or two that touch.
+_OUTLINES = """,
+    grid as (select raster_id, parcel, px + dx as x, py + dy as y, case when dx = dy then 1 else 0 end as slope from parcels, (select unnest([0, 1]) as dx) a, (select unnest([0, 1]) as dy) b),
+    points as (select raster_id, parcel, x, y, count(*) as n, sum(slope) as slope from grid group by all),
+    sides as (
+      select distinct raster_id, parcel, px + d as x, py as y, 'v' as kind from parcels, (select unnest([0, 1]) as d) a
+      union all select distinct raster_id, parcel, px, py + d, 'h' from parcels, (select unnest([0, 1]) as d) a)
+    select raster_id, parcel, 2 - (v - e + n) as rings, corners, n as area, perimeter
+    from (select raster_id, parcel, count(*) as n, count(distinct py * 16777216 + px) as pixels from parcels group by all) f
+    join (select raster_id, parcel, count(*) as v, cast(sum(case when n in (1, 3) then 1 when n = 2 and slope <> 1 then 2 else 0 end) as bigint) as corners from points group by all) p using (raster_id, parcel)
+    join (select raster_id, parcel, count(*) as e from sides group by all) s using (raster_id, parcel)
+    join (select raster_id, parcel, 2 * count(*) - 4 * n as perimeter from sides join (select parcel, count(*) as n from parcels group by parcel) k using (parcel) group by raster_id, parcel, n) l using (raster_id, parcel)"""
+
+
+@query(f"{_SEGMENTS}{_OUTLINES}")
+def parcel_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The polygon of every parcel: its rings, corners, area and the length of its outline."""
+    found = S.on_map(S.polygons(P.segments(labelled(spark, sf_dir))), scene_meta(spark, sf_dir).withColumns({"rx": F.lit(1.0), "ry": F.lit(1.0)}))
+    length = F.aggregate(F.flatten(F.transform(G.rings(_c("geom")), G.edges)), F.lit(0.0), lambda n, e: n + F.abs(e["b"]["x"] - e["a"]["x"]) + F.abs(e["b"]["y"] - e["a"]["y"]))
+    return found.select("raster_id", "parcel", "rings", "corners", F.round(G.area(_c("geom"))).cast("long").alias("area"), F.round(length).cast("long").alias("perimeter"))
+
+
 @query(f"{_SEGMENTS} select raster_id, parcel, count(*) as pixels, count(*) * 100.0e0 as area_m2, min(px) as minx, min(py) as miny, max(px) as maxx, max(py) as maxy, min(label) as label from parcels group by raster_id, parcel")
 def parcel_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.statistics(P.segments(labelled(spark, sf_dir)))
