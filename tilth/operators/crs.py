@@ -1,5 +1,7 @@
 """Coordinate reference systems in closed form: 4326, 3857, 6933 and UTM.
 
+The source may be a column, so rows of different systems and zones go through one plan.
+
 Formulas: Snyder 1987 (cylindrical equal area), Karney 2011 (Krueger series).
 Other pairs raise.
 """
@@ -50,11 +52,14 @@ def _from_3857(p: Column) -> Column:
     return point(F.degrees(p["x"] / A), F.degrees(F.atan(F.exp(p["y"] / A)) * 2 - math.pi / 2))
 
 
-def _zone(srid: int) -> tuple[float, float]:
+def _zone(srid: int | Column) -> tuple[float | Column, float | Column]:
+    """Central meridian in radians and false northing; columns of a column."""
+    if isinstance(srid, Column):
+        return F.radians((srid % 100) * 6 - 183), F.when(srid >= 32700, 1e7).otherwise(0.0)
     return math.radians((srid % 100) * 6 - 183), 1e7 if srid // 100 == 327 else 0.0
 
 
-def _to_utm(p: Column, srid: int) -> Column:
+def _to_utm(p: Column, srid: int | Column) -> Column:
     lon0, north = _zone(srid)
     s, lam = F.sin(F.radians(p["y"])), F.radians(p["x"]) - lon0
     t = F.sinh(F.atanh(s) - ECC * F.atanh(ECC * s))
@@ -64,7 +69,7 @@ def _to_utm(p: Column, srid: int) -> Column:
     return point(x * (0.9996 * _RECT) + 500000.0, y * (0.9996 * _RECT) + north)
 
 
-def _from_utm(p: Column, srid: int) -> Column:
+def _from_utm(p: Column, srid: int | Column) -> Column:
     lon0, north = _zone(srid)
     eta, xi = (p["x"] - 500000.0) / (0.9996 * _RECT), (p["y"] - north) / (0.9996 * _RECT)
     x = eta - sum((b * F.cos(2 * j * xi) * F.sinh(2 * j * eta) for j, b in enumerate(_BETA, 1)), F.lit(0.0))
@@ -105,9 +110,29 @@ def to_crs(geom: Column, source: int, target: int) -> Column:
     return geom if source == target else map_points(geom, lambda p: point_to_crs(p, source, target))
 
 
-def area_m2(geom: Column, srid: int = 4326) -> Column:
-    """Area in the equal-area projection."""
-    return area(to_crs(geom, srid, 6933))
+def known(srid: Column) -> Column:
+    """Whether there are formulas for a row's system; false for null."""
+    return F.coalesce(srid.isin(4326, 3857) | srid.between(32601, 32660) | srid.between(32701, 32760), F.lit(False))
+
+
+def to_crs_by_row(geom: Column, srid: Column, target: int) -> Column:
+    """From each row's own system; null where it is null or has no formula.
+
+    The zone of a UTM row is a pair of numbers computed from its code, so all zones share one expression.
+    """
+    moved = lambda geographic: map_points(geom, lambda p: point_to_crs(geographic(p), 4326, target))
+    utm = srid.between(32601, 32660) | srid.between(32701, 32760)
+    return F.when(srid == target, geom).when(srid == 4326, moved(lambda p: p)).when(srid == 3857, moved(_from_3857)).when(utm, moved(lambda p: _from_utm(p, srid)))
+
+
+def to_utm_by_row(geom: Column, srid: Column) -> Column:
+    """From 4326 to the UTM zone of each row."""
+    return map_points(geom, lambda p: _to_utm(p, srid))
+
+
+def area_m2(geom: Column, srid: int | Column = 4326) -> Column:
+    """Area in the equal-area projection; null for a row without a formula."""
+    return area(to_crs_by_row(geom, srid, 6933) if isinstance(srid, Column) else to_crs(geom, srid, 6933))
 
 
 def srid_or(srid: Column, default: int) -> Column:

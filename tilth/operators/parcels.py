@@ -66,16 +66,20 @@ def result_checks(results: DataFrame) -> DataFrame:
 def summary(fields: DataFrame, fallback_srid: int | None = None) -> DataFrame:
     """Per source, layer and CRS: count, bounds, total and median hectares.
 
-    An unknown CRS gives ``area_error``, and the row stays.
+    Every row is projected once, from its own CRS.  A feature whose area is not a number counts
+    as failed: the figures are of the others, and ``area_error`` says how many failed; without a
+    formula for the CRS all fail, and the row stays.
     """
     srid = F.coalesce("srid", F.lit(fallback_srid)) if fallback_srid is not None else F.col("srid")
     f = fields.withColumn("srid", srid).filter(G.nonempty(F.col("geom")))
-    ha = F.when(F.col("srid") == 4326, crs.area_m2(F.col("geom"), 4326)).when(F.col("srid") == 3857, crs.area_m2(F.col("geom"), 3857)).when(F.col("srid") == 6933, G.area(F.col("geom"))) / 10000
-    f = f.select("source", "layer", "srid", G.bounds(F.col("geom")).alias("b"), ha.alias("ha"))
+    f = f.select("source", "layer", "srid", G.bounds(F.col("geom")).alias("b"), (crs.area_m2(F.col("geom"), F.col("srid")) / 10000).alias("ha"))
+    f = materialize(f.withColumn("ha", F.when(~F.isnan("ha"), F.col("ha"))), "parcel-areas")
     out = f.groupBy("source", "layer", "srid").agg(
-        F.count(F.lit(1)).alias("feature_count"), F.min("b.minx").alias("minx"), F.min("b.miny").alias("miny"), F.max("b.maxx").alias("maxx"), F.max("b.maxy").alias("maxy"), F.sum("ha").alias("total_area_ha")
+        F.count(F.lit(1)).alias("feature_count"), F.min("b.minx").alias("minx"), F.min("b.miny").alias("miny"), F.max("b.maxx").alias("maxx"), F.max("b.maxy").alias("maxy"), F.sum("ha").alias("total_area_ha"), F.count("ha").alias("measured")
     )
     middle = exact_quantiles(f, ("source", "layer", "srid"), "ha", (0.5,)).select("key", F.get("q", F.lit(0)).alias("median_area_ha"))
     out = out.withColumn("key", F.struct("source", "layer", "srid")).join(middle, "key", "left").drop("key")
-    error = F.when(F.col("total_area_ha").isNull(), F.concat(F.lit("no equal-area transformation from EPSG:"), F.coalesce(F.col("srid").cast("string"), F.lit("none"))))
-    return out.withColumn("area_error", error)
+    failed = F.col("feature_count") - F.col("measured")
+    error = F.when(~crs.known(F.col("srid")) & (F.coalesce("srid", F.lit(0)) != 6933), F.concat(F.lit("no equal-area transformation from EPSG:"), F.coalesce(F.col("srid").cast("string"), F.lit("none"))))
+    error = error.when(failed > 0, F.concat(failed.cast("string"), F.lit(" of "), F.col("feature_count").cast("string"), F.lit(" features have no area")))
+    return out.withColumn("area_error", error).drop("measured")

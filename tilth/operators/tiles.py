@@ -24,28 +24,43 @@ def bbox_scan(grid: DataFrame, minx: float, miny: float, maxx: float, maxy: floa
     return grid.filter((F.col("maxx") >= minx) & (F.col("minx") <= maxx) & (F.col("maxy") >= miny) & (F.col("miny") <= maxy))
 
 
-def _cells(side: str, size: float) -> list[Column]:
-    span = lambda lo, hi: F.sequence(F.floor(F.col(f"{side}_box.{lo}") / size), F.floor(F.col(f"{side}_box.{hi}") / size))
-    return [F.explode(span("minx", "maxx")).alias("cell_x"), F.explode(span("miny", "maxy")).alias("cell_y")]
+def _level(box: Column) -> Column:
+    """The exponent of the cell of a box: the least power of four that is no smaller than the box.
 
+    A box covers at most four cells of its level.  A point, or a box that is tiny beside its coordinates, gets the
+    level at which cells still have exact numbers.
+    """
+    far = F.greatest(*[F.abs(box[c]) for c in BOX]) * 2.0**-40
+    size = F.greatest(box["maxx"] - box["minx"], box["maxy"] - box["miny"], far, F.lit(2.0**-400))
+    return (F.ceil(F.log2(size) / 2) * 2).cast("int")
 
-def bbox_join(left: DataFrame, right: DataFrame, cell: float = 1.0) -> DataFrame:
-    """Pairs of rows whose boxes meet, as structs ``left`` and ``right``.
 
-    Both sides are dealt into the grid cells their boxes cover and joined by cell;
-    a pair is reported in the cell of the lower left corner of its overlap only,
-    so it needs no distinct (Patel & DeWitt 1996).
-    """
+def bbox_join(left: DataFrame, right: DataFrame, on: Sequence[str] = ()) -> DataFrame:
+    """Pairs of rows whose boxes meet, as structs ``left`` and ``right``; with ``on``, of equal values there.
 
-    def dealt(df: DataFrame, side: str) -> DataFrame:
-        x = df.filter(F.col("minx").isNotNull()).select(F.struct(*df.columns).alias(side), F.struct(*BOX).alias(f"{side}_box"))
-        x = x.select("*", _cells(side, cell)[0])
-        return x.select("*", _cells(side, cell)[1])
+    Cells come in levels by powers of four.  A pair is joined at the level of its larger box: a row
+    is dealt to the cells of its own level and to those of the larger levels that the other side has, at most four each,
+    so the cells of a box are bounded whatever its size and the CRS.  A pair is reported in the
+    cell of the lower left corner of its overlap only, so it needs no distinct (Patel & DeWitt 1996).
+    """
 
-    pairs = dealt(left, "left").join(dealt(right, "right"), ["cell_x", "cell_y"])
-    a, b = F.col("left_box"), F.col("right_box")
+    def sized(df: DataFrame, side: str) -> DataFrame:
+        x = df.filter(" and ".join(f"{c} is not null and not isnan({c})" for c in BOX)).select(F.struct(*df.columns).alias(side), F.struct(*BOX).alias("box"), *[F.col(c).alias(f"on_{c}") for c in on])
+        return x.withColumn("own", _level(F.col("box")))
+
+    def dealt(x: DataFrame, other: DataFrame, side: str) -> DataFrame:
+        levels = other.agg(F.collect_set("own")).scalar()  # a few dozen numbers
+        x = x.withColumn("level", F.explode(F.array_union(F.array("own"), levels))).filter("level >= own")
+        size = F.pow(F.lit(2.0), F.col("level"))
+        for axis, lo, hi in (("x", "minx", "maxx"), ("y", "miny", "maxy")):
+            x = x.withColumn(f"cell_{axis}", F.explode(F.sequence(F.floor(F.col(f"box.{lo}") / size), F.floor(F.col(f"box.{hi}") / size))))
+        return x.withColumnsRenamed({"box": f"{side}_box", "own": f"{side}_own"})
+
+    a, b = sized(left, "left"), sized(right, "right")
+    pairs = dealt(a, b, "left").join(dealt(b, a, "right"), [*[f"on_{c}" for c in on], "level", "cell_x", "cell_y"])
+    a, b, size = F.col("left_box"), F.col("right_box"), F.pow(F.lit(2.0), F.col("level"))
     meet = (a["minx"] <= b["maxx"]) & (a["maxx"] >= b["minx"]) & (a["miny"] <= b["maxy"]) & (a["maxy"] >= b["miny"])
-    once = (F.floor(F.greatest(a["minx"], b["minx"]) / cell) == F.col("cell_x")) & (F.floor(F.greatest(a["miny"], b["miny"]) / cell) == F.col("cell_y"))
+    once = (F.greatest("left_own", "right_own") == F.col("level")) & (F.floor(F.greatest(a["minx"], b["minx"]) / size) == F.col("cell_x")) & (F.floor(F.greatest(a["miny"], b["miny"]) / size) == F.col("cell_y"))
     return pairs.filter(meet & once).select("left", "right")
 
 
@@ -54,7 +69,7 @@ def with_box(table: DataFrame, geom: str = "geom") -> DataFrame:
     return table.filter(G.nonempty(F.col(geom))).withColumns({c: b[c] for c in BOX})
 
 
-def spatial_join(tiles: DataFrame, aoi: DataFrame, cell: float = 1.0, *, tile_key: str | None = None, aoi_key: str | None = None) -> DataFrame:
+def spatial_join(tiles: DataFrame, aoi: DataFrame, *, tile_key: str | None = None, aoi_key: str | None = None) -> DataFrame:
     """Pairs (left tile, right AOI part) that intersect, touching included.
 
     With keys, which are unique on their side, only keys and boxes are dealt into cells,
@@ -71,19 +86,19 @@ def spatial_join(tiles: DataFrame, aoi: DataFrame, cell: float = 1.0, *, tile_ke
         other = "right" if side == "left" else "left"
         return pairs.withColumn("key", F.col(f"{side}.{key}")).join(rows, "key").select(F.col("whole").alias(side), other)
 
-    pairs = bbox_join(slim(tiles, tile_key), slim(aoi, aoi_key), cell)
+    pairs = bbox_join(slim(tiles, tile_key), slim(aoi, aoi_key))
     pairs = whole(whole(pairs, "left", tiles, tile_key), "right", aoi, aoi_key)
     return pairs.filter(G.intersects(F.col("left.geom"), F.col("right.geom"))).select("left", "right")
 
 
-def intersecting_tiles(tiles: DataFrame, aoi: DataFrame, cell: float = 1.0) -> DataFrame:
+def intersecting_tiles(tiles: DataFrame, aoi: DataFrame) -> DataFrame:
     """Tiles that intersect any part of the AOI, which is its union.
 
     The ids that meet are reduced on the map side; the tiles themselves are not dealt into
     cells with their other columns.
     """
     slim = tiles.select("tile_id", "geom")
-    hits = spatial_join(slim, aoi.select("geom"), cell).select("left.tile_id").distinct()
+    hits = spatial_join(slim, aoi.select("geom")).select("left.tile_id").distinct()
     return tiles.join(hits, "tile_id", "left_semi")
 
 
@@ -106,13 +121,13 @@ def first_tiles(tiles: DataFrame, n: int | None) -> DataFrame:
     return out if n is None else out.limit(n)
 
 
-def discover(tiles: DataFrame, aoi: DataFrame, names: Sequence[str] = (), n: int | None = None, cell: float = 1.0) -> DataFrame:
+def discover(tiles: DataFrame, aoi: DataFrame, names: Sequence[str] = (), n: int | None = None) -> DataFrame:
     """All steps in order: join, dedupe, include, limit."""
-    found = dedupe(intersecting_tiles(tiles, aoi, cell), G.geojson(F.col("geom")))
+    found = dedupe(intersecting_tiles(tiles, aoi), G.geojson(F.col("geom")))
     return first_tiles(include(found, names), n)
 
 
-def aoi_clip(tiles: DataFrame, aoi: DataFrame, cell: float = 1.0, sliver: float = 1e-12) -> DataFrame:
+def aoi_clip(tiles: DataFrame, aoi: DataFrame, sliver: float = 1e-12) -> DataFrame:
     """(tile_id, aoi_id, geom): each tile's share of each AOI part that it meets; ids are unique.
 
     A tile that only touches an AOI part, so that the share's area is rounding error up to
@@ -120,5 +135,5 @@ def aoi_clip(tiles: DataFrame, aoi: DataFrame, cell: float = 1.0, sliver: float
     """
     whole = F.col("right.geom")
     share = F.explode(F.transform(F.array(G.clip_convex(whole, F.col("left.geom"))), lambda g: F.when((F.size(g) > 0) & (G.area(g) > sliver), g).otherwise(whole)))
-    pairs = spatial_join(tiles, aoi, cell, tile_key="tile_id", aoi_key="aoi_id")
+    pairs = spatial_join(tiles, aoi, tile_key="tile_id", aoi_key="aoi_id")
     return pairs.select("left.tile_id", "right.aoi_id", share.alias("geom"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilth.operators import crs
+from tilth.operators import coverage, crs, outlines, polygons
 from tilth.operators import geometry as G
 from tilth.operators import tiles as T
 from tilth.plans.fixtures import fixture, oracle
@@ -210,11 +210,77 @@ def dissolve_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The outline of a layer of edge-matched unit squares: edges that occur once."""
     cells = fixture(spark, sf_dir, "part").selectExpr("cast(p_partkey as bigint) as x", "cast(p_size as bigint) as y").distinct()
     squares = cells.withColumn("geom", G.box(_c("x"), _c("y"), _c("x") + 1, _c("y") + 1))
-    edge = squares.select(F.explode(G.boundary(_c("geom"))).alias("e")).select(
-        F.least("e.x1", "e.x2").alias("gx"), F.least("e.y1", "e.y2").alias("gy"), (_c("e.x1") == _c("e.x2")).alias("vertical")
-    )
-    once = edge.groupBy("gx", "gy", "vertical").agg(F.count(F.lit(1)).alias("k")).filter("k = 1")
-    return once.groupBy(_c("gx").cast("long").alias("gx"), _c("gy").cast("long").alias("gy")).agg(F.count(F.lit(1)).alias("edges"))
+    once = polygons.dissolve(squares)
+    return once.groupBy(_c("x1").cast("long").alias("gx"), _c("y1").cast("long").alias("gy")).agg(F.count(F.lit(1)).alias("edges"))
+
+
+def shores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(nation, geom): outlines with a vertex per customer; every third nation's has edges that cross."""
+    p = fixture(spark, sf_dir, "fx_shores").groupBy("nation").agg(F.array_sort(F.collect_list(F.struct("k", G.point(_c("x"), _c("y")).alias("p")))).alias("ps"))
+    ring = F.transform("ps", lambda q: q["p"])
+    return p.select("nation", F.array(F.array(F.concat(ring, F.slice(ring, 1, 1)))).alias("geom"))
+
+
+_SHORE_EDGES = "shore as (select a.nation, a.k, a.n, a.x as ax, a.y as ay, b.x as bx, b.y as by_ from fx_shores a join fx_shores b on b.nation = a.nation and b.k = a.k % a.n + 1)"
+_SIDE = "(bx - ax) * ({y} - ay) - (by_ - ay) * ({x} - ax)"
+_CORNERS = [_SIDE.format(x=x, y=y) for x in ("minx", "maxx") for y in ("miny", "maxy")]
+
+
+@query(
+    oracle(
+        f""", {_SHORE_EDGES},
+        near as (select tile_id, nation from fx_tiles, shore where least(ax, bx) <= maxx and greatest(ax, bx) >= minx and least(ay, by_) <= maxy and greatest(ay, by_) >= miny
+                 and least({', '.join(_CORNERS)}) <= 0 and greatest({', '.join(_CORNERS)}) >= 0),
+        inside as (select tile_id, nation from fx_tiles, shore where (ay > miny) <> (by_ > miny) and (bx - ax) * (miny - ay) / (by_ - ay) + ax > minx group by all having count(*) % 2 = 1)
+        select tile_id, nation from near union select tile_id, nation from inside""",
+        "fx_tiles", "fx_shores",
+    ).replace(") , shore", "), shore")
+)
+def tile_outline_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tiles that intersect outlines of many vertices."""
+    return outlines.tiles_meeting(tiles(spark, sf_dir), shores(spark, sf_dir), "tile_id", "nation")
+
+
+@query(
+    oracle(
+        """, e as (select a.nation, a.k, a.n, a.x as ax, a.y as ay, b.x as bx, b.y as by_ from fx_shores a join fx_shores b on b.nation = a.nation and b.k = a.k % a.n + 1),
+        t as (select s.nation, sign((s.bx - s.ax) * (u.ay - s.ay) - (s.by_ - s.ay) * (u.ax - s.ax)) as sc, sign((s.bx - s.ax) * (u.by_ - s.ay) - (s.by_ - s.ay) * (u.bx - s.ax)) as sd,
+                     sign((u.bx - u.ax) * (s.ay - u.ay) - (u.by_ - u.ay) * (s.ax - u.ax)) as ua, sign((u.bx - u.ax) * (s.by_ - u.ay) - (u.by_ - u.ay) * (s.bx - u.ax)) as ub
+              from e s join e u on u.nation = s.nation and u.k > s.k + 1 and not (s.k = 1 and u.k = s.n)
+              where least(s.ax, s.bx) <= greatest(u.ax, u.bx) and greatest(s.ax, s.bx) >= least(u.ax, u.bx) and least(s.ay, s.by_) <= greatest(u.ay, u.by_) and greatest(s.ay, s.by_) >= least(u.ay, u.by_))
+        select nation, count(*) as crossings from t where sc * sd <= 0 and ua * ub <= 0 group by nation""",
+        "fx_shores",
+    ).replace(") , e as", "), e as")
+)
+def geom_crossings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often the edges of each outline cross."""
+    return outlines.crossing_rings(shores(spark, sf_dir), ["nation"]).select("nation", "crossings")
+
+
+#: The side of a cell of the union's grid, in degrees.
+UNION_CELL = 0.0004
+
+
+@query(
+    oracle(
+        f""", b as (select tile_id, cast(ceil(x0 / {UNION_CELL}e0 - 0.5e0) as bigint) as c0, cast(ceil((x0 + w) / {UNION_CELL}e0 - 0.5e0) as bigint) as c1, cast(ceil(y0 / {UNION_CELL}e0 - 0.5e0) as bigint) as r0, cast(ceil((y0 + w) / {UNION_CELL}e0 - 0.5e0) as bigint) as r1 from fx_fields),
+        c as (select distinct tile_id, unnest(range(c0, c1)) as c, r from (select tile_id, c0, c1, unnest(range(r0, r1)) as r from b) x)
+        select tile_id, count(*) as cells, round(count(*) * {UNION_CELL}e0 * {UNION_CELL}e0, 9) as area from c group by tile_id""",
+        "fx_fields",
+    ).replace(") , b as", "), b as")
+)
+def layer_union_area(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the fields of each tile, which overlap, cover together, on cells of 0.0004 degrees."""
+    out = coverage.union_area(fields(spark, sf_dir), ["tile_id"], ["field_id"], UNION_CELL)
+    return out.select("tile_id", "cells", F.round("area", 9).alias("area"))
+
+
+@query(oracle("select field_id, cast(tile_id as string) as tile_id from (select field_id, x0, y0, w from fx_fields) f join fx_tiles t on x0 <= maxx and x0 + w >= minx and y0 <= maxy and y0 + w >= miny", "fx_fields", "fx_tiles"))
+def tile_field_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields and tiles whose boxes meet, in metres: boxes of 40 m to 120 km, in one grid of levels."""
+    metres = lambda df, *rest: df.select(*rest, *[(_c(c) * 111320).alias(c) for c in T.BOX])
+    f = fields(spark, sf_dir).select("field_id", _c("x0").alias("minx"), _c("y0").alias("miny"), (_c("x0") + _c("w")).alias("maxx"), (_c("y0") + _c("w")).alias("maxy"))
+    return T.bbox_join(metres(f, "field_id"), metres(fixture(spark, sf_dir, "fx_tiles"), "tile_id")).select("left.field_id", "right.tile_id")
 
 
 _AREA_SQL = """

@@ -41,6 +41,10 @@ SQL: dict[str, tuple[tuple[str, ...], str]] = {
                concat('/runs/r1/06_results/T', lpad(cast(o_custkey % 100 as string), 5, '0'), case when o_orderkey % 2 = 0 then '.simp.gpkg' else '.gpkg' end) as source,
                (o_orderkey * 17 % 10000) / 1000.0e0 as x0, 40 + (o_custkey * 29 % 10000) / 1000.0e0 as y0, 0.001e0 + (o_orderkey % 9) * 0.0005e0 as w
         from {orders}"""),
+    "fx_shores": (("customer",), """
+        select c_nationkey as nation, k, n, 1.0e0 + 2 * (c_nationkey % 5) + r * cos(2 * pi() * turn / n) as x, 41.0e0 + 2 * floor(c_nationkey / 5) + r * sin(2 * pi() * turn / n) as y
+        from (select c_nationkey, k, n, r, case when c_nationkey % 3 = 1 and k % 5 = 2 and k < n then k + 1 when c_nationkey % 3 = 1 and k % 5 = 3 then k - 1 else k end as turn
+              from (select c_nationkey, 0.5e0 + (c_custkey * 37 % 100) / 100.0e0 as r, row_number() over (partition by c_nationkey order by c_custkey) as k, count(*) over (partition by c_nationkey) as n from {customer}) a) b"""),
     "fx_steps": (("events",), """
         select event_id as seq, user_id as run_id, event_type as step, ts as started_at, value as duration_seconds,
                case when event_type = 'error' then 'failed' else 'completed' end as status

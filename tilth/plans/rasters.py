@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tilth.operators import crs
 from tilth.operators import geometry as G
 from tilth.operators import parcels as P
 from tilth.operators import polygons as S
@@ -178,6 +179,26 @@ def parcel_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumns({"total_area_ha": F.round("total_area_ha", 3), "median_area_ha": F.round("median_area_ha", 4)})
 
 
+@query(
+    oracle(
+        f"""select source, srid, count(*) as feature_count, case when srid is not null then round(sum(area_ha), 2) end as total_area_ha, case when srid is not null then round(median(area_ha), 3) end as median_area_ha,
+        case when srid is null then 'no equal-area transformation from EPSG:none' end as area_error
+        from (select field_id, source, case when field_id % 7 = 0 then null when field_id % 3 = 0 then 4326 when field_id % 3 = 1 then 32631 + cast(floor(x0 / 6) as int) else 32731 + cast(floor(x0 / 6) as int) end as srid from fx_fields) f
+        join ({_AREA_SQL.replace('round(m2, 3)', 'm2').replace('round(m2 / 10000, 7)', 'm2 / 10000')}) a using (field_id) group by source, srid""",
+        "fx_fields",
+    )
+)
+def parcel_summary_by_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary of results whose rows are in degrees, in UTM zones of both hemispheres, or in no known CRS."""
+    zone = F.floor(_c("x0") / 6).cast("int")
+    srid = F.when(_c("field_id") % 7 == 0, None).when(_c("field_id") % 3 == 0, 4326).when(_c("field_id") % 3 == 1, zone + 32631).otherwise(zone + 32731)
+    south = G.map_points(_c("geom"), lambda p: G.point(p["x"], -p["y"]))
+    f = fields(spark, sf_dir).withColumns({"layer": F.lit("parcels"), "srid": srid})
+    f = f.withColumn("geom", F.when(_c("srid") > 32700, crs.to_utm_by_row(south, _c("srid"))).when(_c("srid") > 32600, crs.to_utm_by_row(_c("geom"), _c("srid"))).otherwise(_c("geom")))
+    out = P.summary(f)
+    return out.select("source", "srid", "feature_count", F.round("total_area_ha", 2).alias("total_area_ha"), F.round("median_area_ha", 3).alias("median_area_ha"), "area_error")
+
+
 @query(oracle("select concat('s', cast(aoi_id % 7 as string)) as source, count(*) as features, count(*) filter (kind = 'polygon') as usable, case when aoi_id % 7 = 3 then 'no CRS' when count(*) filter (kind = 'polygon') = 0 then 'no usable geometry' end as problem from fx_aoi group by aoi_id % 7", "fx_aoi"))
 def src_result_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = aoi(spark, sf_dir).select(F.concat(F.lit("s"), (_c("aoi_id") % 7).cast("string")).alias("source"), F.when(_c("aoi_id") % 7 != 3, 4326).alias("srid"), "geom")
