@@ -40,6 +40,10 @@ REMEMBERED, LONGEST = 300_000, 48
 OUT_BYTES = 16 << 20
 #: Counted pairs of ids that a worker holds at once.
 PAIRS_AT_ONCE = 4_000_000
+#: Fixed value: how byte-level vocabularies split texts.
+SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Characters of texts whose new cells are encoded together.
+TOGETHER = 1 << 18
 #: A blank or line feed after a visible character starts a cell.
 CELL = re.compile(r"[ \n]\s*\S*(?:[^\S \n]\s*\S*)*")
 #: The bit of a cell that is not spelt as it was, above its two counts of tokens.
@@ -55,8 +59,13 @@ class Vocabulary:
     #: No token holds a visible character and a blank or line feed after it.
     parts_at_blanks: bool
 
+    def __post_init__(self) -> None:
+        self.texts = list(map(str, range(len(self.data))))  # ids in decimals
+
 
 def _byte_level(path: str) -> Vocabulary:
+    """Texts of a few letters are encoded by ranks, which gives the same ids where merges are numbered in their order."""
+    from tiktoken import Encoding
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
@@ -70,6 +79,11 @@ def _byte_level(path: str) -> Vocabulary:
         data[i] = bytes(byte[c] for c in entry)
     first = spec["pre_tokenizer"] or {}
     parts = spec["normalizer"] is None and first.get("type") == "ByteLevel" and first["use_regex"] and not first["add_prefix_space"]
+    vocab, model = t.get_vocab(with_added_tokens=False), spec["model"]
+    merged = [vocab["".join(m)] for m in (x if isinstance(x, list) else x.split(" ") for x in model["merges"])]
+    if parts and merged == list(range(256, 256 + len(merged))) and not (model["dropout"] or model["ignore_merges"] or model["continuing_subword_prefix"] or model["end_of_word_suffix"]):
+        encode = Encoding("ranks", pat_str=SPLIT, mergeable_ranks={data[i]: i for i in vocab.values() if i < 256 + len(merged)}, special_tokens={}).encode_ordinary
+        return Vocabulary(lambda texts: list(map(encode, texts)), data, True)
     return Vocabulary(lambda texts: [x.ids for x in t.encode_batch_fast(list(texts), add_special_tokens=False)], data, bool(parts))
 
 
@@ -101,14 +115,21 @@ def shared_cuts(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
     cuts, todo = [], [(0, len(a), 0, len(b))]
     while todo:
         a0, a1, b0, b1 = todo.pop()
-        middle = (a0 + a1) >> 1
-        for step in range(a1 - a0) if b1 - b0 > 1 else ():
-            # 0, 1, -1, 2, -2, ... tokens from the middle
-            i = middle + (step + 1 >> 1) * (1 if step & 1 else -1)
-            if a0 < i < a1:
-                j = bisect_left(b, a[i - 1], b0, b1 - 1)
-                if j < b1 - 1 and b[j] == a[i - 1]:
-                    todo += [(i, a1, j + 1, b1), (a0, i, b0, j + 1)]
+        low = high = (a0 + a1) >> 1
+        last = b1 - 1
+        # outwards from the middle, a token on either side at a time
+        while last > b0 and (low > a0 or high < a1):
+            if low > a0:
+                j = bisect_left(b, a[low - 1], b0, last)
+                if j < last and b[j] == a[low - 1] and low < a1:
+                    todo += [(low, a1, j + 1, b1), (a0, low, b0, j + 1)]
+                    break
+                low -= 1
+            high += 1
+            if high < a1:
+                j = bisect_left(b, a[high - 1], b0, last)
+                if j < last and b[j] == a[high - 1]:
+                    todo += [(high, a1, j + 1, b1), (a0, high, b0, j + 1)]
                     break
         else:
             cuts.append((a1, b1))
@@ -128,19 +149,19 @@ class Aligner:
         return CELL.findall(text) if self.a.parts_at_blanks and self.b.parts_at_blanks else [text]
 
     def aligned(self, cells: Sequence[str]) -> Iterator[tuple[int, bytes, bytes]]:
-        da, db = self.a.data, self.b.data
+        da, db, ta, tb = self.a.data, self.b.data, self.a.texts, self.b.texts
         for cell, ia, ib in zip(cells, self.a.encode(cells), self.b.encode(cells), strict=True):
-            xa, xb = [da[i] for i in ia], [db[i] for i in ib]
-            data = cell.encode()
+            xa, xb, data = [da[i] for i in ia], [db[i] for i in ib], cell.encode()
             if b"".join(xa) != data or b"".join(xb) != data:
                 yield _ALTERED, b"", b""
                 continue
-            groups, links, i0, j0 = [], array("q"), 0, 0
-            for i, j in shared_cuts(list(accumulate(map(len, xa))), list(accumulate(map(len, xb)))):
-                groups.append(f"{','.join(map(str, ia[i0:i]))}|{','.join(map(str, ib[j0:j]))}")
+            groups, links, i0, j0 = [], [], 0, 0
+            for i, j in shared_cuts(list(accumulate(map(len, xa))), list(accumulate(map(len, xb)))) if len(xa) > 1 < len(xb) else ((len(xa), len(xb)),):
+                left = ta[ia[i0]] if i - i0 == 1 else ",".join([ta[x] for x in ia[i0:i]])
+                groups.append(f"{left}|{tb[ib[j0]]}" if j - j0 == 1 else f"{left}|{','.join([tb[x] for x in ib[j0:j]])}")
                 links.append(ia[i - 1] << 32 | ib[j - 1])
                 i0, j0 = i, j
-            yield len(ia) << 40 | len(ib), ";".join(groups).encode(), links.tobytes()
+            yield len(ia) << 40 | len(ib), ";".join(groups).encode(), array("q", links).tobytes()
 
     def remember(self, cells: set[str]) -> None:
         """Makes ``known`` hold these cells; frequent ones come back from the older half."""
@@ -153,25 +174,33 @@ class Aligner:
         rest = list(new.difference(back))
         self.known.update(zip(rest, self.aligned(rest), strict=True))
 
-    def document(self, text: str | None) -> tuple[int, int, bytes, np.ndarray]:
-        """Tokens of each side, groups, and the links as pairs of ids in one number."""
-        none = 0, 0, b"", np.empty(0, np.int64)
-        if not text:
-            return none
-        text = " " + text
-        cells = self.cells(text)
-        short = {x for x in cells if len(x) <= LONGEST}
-        if not short <= self.known.keys():
-            self.remember(short)
-        long = [x for x in cells if len(x) > LONGEST]
+    def documents(self, texts: Sequence[str | None]) -> Iterator[tuple[int, int, bytes, np.ndarray]]:
+        """Of each text the tokens of each side, the groups, and the links as pairs of ids in one number."""
+        some, size = [], 0
+        for text in texts:
+            some.append(text)
+            size += len(text or "")
+            if size >= TOGETHER:
+                yield from self._documents(some)
+                some, size = [], 0
+        yield from self._documents(some)
+
+    def _documents(self, texts: Sequence[str | None]) -> Iterator[tuple[int, int, bytes, np.ndarray]]:
+        split = [self.cells(" " + t) if t else [] for t in texts]
+        every = set().union(*split)
+        long = [x for x in every if len(x) > LONGEST]
+        every.difference_update(long)
+        if not every <= self.known.keys():
+            self.remember(every)
         own = dict(zip(long, self.aligned(long), strict=True)) if long else {}
-        got = [self.known.get(x) or own[x] for x in cells] if own else list(map(self.known.__getitem__, cells))
-        counts = sum(x[0] for x in got)
-        if counts >= _ALTERED:  # perhaps only cell by cell
-            got = list(self.aligned([text]))
-            if (counts := got[0][0]) >= _ALTERED:
-                return none
-        return counts >> 40, counts & (1 << 40) - 1, b";".join([x[1] for x in got]), np.frombuffer(b"".join([x[2] for x in got]), np.int64)
+        for text, cells in zip(texts, split, strict=True):
+            got = [self.known.get(x) or own[x] for x in cells] if own else list(map(self.known.__getitem__, cells))
+            counts = sum([x[0] for x in got])
+            if counts >= _ALTERED:  # perhaps only cell by cell
+                got = list(self.aligned([" " + text]))
+                if (counts := got[0][0]) >= _ALTERED:
+                    got, counts = [], 0
+            yield counts >> 40, counts & (1 << 40) - 1, b";".join([x[1] for x in got]), np.frombuffer(b"".join([x[2] for x in got]), np.int64)
 
 
 _LOADED: dict[tuple[str, str], Aligner] = {}
@@ -198,8 +227,7 @@ def _task(a: str, b: str):
         own = aligner(a, b)
         for batch in batches:
             rows, held = [], 0
-            for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                n_a, n_b, groups, links = own.document(text)
+            for key, (n_a, n_b, groups, links) in zip(batch.column("doc_id").to_pylist(), own.documents(batch.column("text").to_pylist()), strict=True):
                 pairs, times = np.unique(links, return_counts=True)
                 rows.append((key, n_a, n_b, len(links), groups, pairs, times))
                 held += len(groups) + 12 * len(pairs)
