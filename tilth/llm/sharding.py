@@ -2,11 +2,11 @@
 
 Rows are put in the order of their group's hash by one range sort, which parts a large group over
 tasks like any other rows; running sums of sizes then give every row its place, without a shuffle by
-group.  Shards are contiguous in this order and no group is parted.
+group.  No group is parted.  A group larger than an equal share of what is left gets a shard to itself
+and is taken out of the line; all other shards are contiguous in it.
 
-The capacity is the smallest that suffices for the number of shards: it is found by binary search, and
-greedy cutting tells whether a capacity suffices.  A group larger than a capacity stands in a
-shard of its own, so that one huge group does not leave the others unequal.  Search and greedy cuts run on
+Their capacity is the smallest that suffices: it is found by binary search, and
+greedy cutting tells whether a capacity suffices.  Search and greedy cuts run on
 the driver over a bounded number of group ends: where a cut lies between known ends the greedy
 cutter takes both, the undecided stretches are read again more finely from the written table, and so on until the answer
 is exact.  Cuts are then set nearest to equal shares among those the capacity allows.
@@ -39,7 +39,7 @@ Span = tuple[int, int]
 
 @dataclass
 class Ends:
-    """Known ends of groups: bytes and groups before each, ascending, from (0, 0) to the totals."""
+    """Known ends of groups: sizes and groups before each, ascending, from (0, 0) to the totals."""
 
     at: list[int]
     nth: list[int]
@@ -54,13 +54,9 @@ class Ends:
 
     def cut(self, start: int, capacity: int) -> Span:
         """Least and greatest place of the cut after a shard from ``start``."""
-        x = start + capacity
-        if x >= self.at[-1]:
-            return self.at[-1], self.at[-1]
+        x = min(start + capacity, self.at[-1])
         i = self.gap(x)
-        if self.at[i] > start:
-            return self.at[i], self.at[i] if self.closed(i) else x
-        return (self.at[i + 1],) * 2 if self.closed(i) else (start, self.at[i + 1])
+        return max(self.at[i], start), max(self.at[i], start) if self.closed(i) else x
 
     def cuts(self, capacity: int, shards: int) -> list[Span]:
         """Least and greatest places of the greedy cuts."""
@@ -75,12 +71,12 @@ class Ends:
 
     def open_in(self, spans: Sequence[Span]) -> list[Span]:
         """The gaps that meet the spans and hide ends."""
-        found = set()
-        for low, high in spans:
-            for i in range(self.gap(low), min(self.gap(high), len(self.at) - 2) + 1):
-                if not self.closed(i):
-                    found.add((self.at[i], self.at[i + 1]))
-        return sorted(found)
+        found = {i for low, high in spans for i in range(self.gap(low), min(self.gap(high), len(self.at) - 2) + 1)}
+        return [(self.at[i], self.at[i + 1]) for i in sorted(found) if not self.closed(i)]
+
+    def wider(self, size: float) -> list[int]:
+        """The gaps of more than this size."""
+        return [i for i, (a, b) in enumerate(zip(self.at, self.at[1:], strict=False)) if b - a > size]
 
 
 def _least(good: Callable[[int], bool], low: int, high: int) -> int:
@@ -104,48 +100,92 @@ def decide(ends: Ends, shards: int) -> tuple[int, list[int]] | list[Span]:
     low, high = capacity_span(ends, shards)
     if high - low > 1:
         return ends.open_in([(a[0], b[1]) for a, b in zip(ends.cuts(low + 1, shards), ends.cuts(high, shards), strict=True)])
-    total = ends.at[-1]
-    back = ends.mirrored().cuts(high, shards)
-    unsure = [s for s in ends.cuts(high, shards) if s[0] < s[1]] + [(total - b, total - a) for a, b in back if a < b]
-    wide = [(a, b) for i, (a, b) in enumerate(zip(ends.at, ends.at[1:], strict=False)) if b - a > high and not ends.closed(i)]
-    if unsure or wide:
-        return sorted({*ends.open_in(unsure), *wide})
-    return high, balanced(ends, shards, high, [total - a for a, _ in back])
+    back = [(ends.at[-1] - b, ends.at[-1] - a) for a, b in ends.mirrored().cuts(high, shards)]
+    if unsure := ends.open_in([(a, b) for a, b in back if a < b]):
+        return unsure
+    return high, balanced(ends, shards, high, [a for a, _ in back])
 
 
 def balanced(ends: Ends, shards: int, capacity: int, first: Sequence[int]) -> list[int]:
     """Cuts at known ends nearest to equal shares of what is left, all shards within the capacity.
 
-    ``first[k - 1]`` is the least place from which k shards suffice.  Groups above the capacity stand alone and count for no share.
+    ``first[k - 1]`` is the least place from which k shards suffice.
     """
-    alone = [(a, b) for a, b in zip(ends.at, ends.at[1:], strict=False) if b - a > capacity]
-    total, start, out = ends.at[-1], 0, []
+    start, out = 0, []
     for left in range(shards, 1, -1):
-        rest = [b - a for a, b in alone if a >= start]
-        share = (total - start - sum(rest)) / max(1, left - len(rest))
-        least = max(start, first[left - 2])
-        i, j = bisect_left(ends.at, max(least, start + 1)), ends.gap(start + capacity)
-        if i > j:  # one group above the capacity, or nothing is left
-            start = ends.at[min(bisect_right(ends.at, start), len(ends.at) - 1)]
-        else:
-            k = min(max(bisect_left(ends.at, start + share), i), j)
-            start = ends.at[k - 1 if k > i and start + share - ends.at[k - 1] <= ends.at[k] - start - share else k]
+        want = start + (ends.at[-1] - start) / left
+        i, j = bisect_left(ends.at, max(start, first[left - 2])), ends.gap(min(start + capacity, ends.at[-1]))
+        k = min(max(bisect_left(ends.at, want), i), j)
+        start = ends.at[k - 1 if k > i and want - ends.at[k - 1] <= ends.at[k] - want else k]
         out.append(start)
     return out
 
 
-def search(total: int, groups: int, shards: int, read: Callable[[list[Span], int], list[Span]], at_once: int = ENDS) -> tuple[int, list[int]]:
-    """Capacity and cuts; ``read(spans, step)`` gives (bytes, groups) before every ``step``-th group inside the spans."""
-    known, found, step = {(0, 0), (total, groups)}, [(0, total)], groups + 1
-    while True:
-        ends = Ends(*map(list, zip(*sorted(known), strict=True)))
-        hidden = sum(ends.nth[ends.gap(b)] - ends.nth[ends.gap(a)] - 1 for a, b in found)
-        step = max(1, min(step - 1, -(-hidden // at_once)))
-        known.update(read(_joined(found), step) if hidden else ())
-        ends = Ends(*map(list, zip(*sorted(known), strict=True)))
-        found = decide(ends, shards)
-        if isinstance(found, tuple):
-            return found
+Read = Callable[[list[Span], int], list[Span]]
+
+
+class Line:
+    """The known ends of a line of groups, and the reader that makes more known.
+
+    ``read(spans, step)`` gives (size, groups) before every ``step``-th group inside the spans.
+    """
+
+    def __init__(self, total: int, groups: int, read: Read, at_once: int = ENDS):
+        self.read, self.at_once, self.step = read, at_once, groups + 1
+        self.ends = Ends([0, total], [0, groups])
+
+    def refine(self, gaps: Sequence[Span]) -> None:
+        """At most about ``at_once`` more ends inside the gaps; each call reads them more finely."""
+        ends = self.ends
+        hidden = sum(ends.nth[ends.gap(b)] - ends.nth[ends.gap(a)] - 1 for a, b in gaps)
+        self.step = max(1, min(self.step - 1, -(-hidden // self.at_once)))
+        if hidden:
+            known = {*zip(ends.at, ends.nth, strict=True), *self.read(_joined(gaps), self.step)}
+            self.ends = Ends(*map(list, zip(*sorted(known), strict=True)))
+
+    def large(self, shards: int) -> list[Span]:
+        """The groups that are larger than an equal share of what they leave to the other shards."""
+        self.refine(self.ends.open_in([(0, self.ends.at[-1])]))
+        found: list[int] = []
+        while True:
+            ends = self.ends
+            taken = sum(ends.at[i + 1] - ends.at[i] for i in found)
+            wide = ends.wider((ends.at[-1] - taken) / (shards - len(found)))
+            if hidden := [(ends.at[i], ends.at[i + 1]) for i in wide if not ends.closed(i)]:
+                self.refine(hidden)
+                found = []
+            elif len(wide) == len(found):
+                return [(ends.at[i], ends.at[i + 1]) for i in wide]
+            else:
+                found = wide
+
+    def without(self, spans: Sequence[Span]) -> Line:
+        """The line without these groups."""
+
+        def shortened(x: int) -> int:
+            return x - sum(b - a for a, b in spans if b <= x)
+
+        def lengthened(x: int) -> int:
+            for a, b in spans:
+                x += b - a if a <= x else 0
+            return x
+
+        def fewer(x: int, n: int) -> Span:
+            return shortened(x), n - sum(b <= x for _, b in spans)
+
+        def read(asked: list[Span], step: int) -> list[Span]:
+            return [fewer(x, n) for x, n in self.read([(lengthened(a), lengthened(b)) for a, b in asked], step) if not any(a < x < b for a, b in spans)]
+
+        own = [fewer(x, n) for x, n in zip(self.ends.at, self.ends.nth, strict=True)]
+        out = Line(*own[-1], read, self.at_once)
+        out.ends, out.step = Ends(*map(list, zip(*sorted(set(own)), strict=True))), self.step + 1
+        return out
+
+    def partition(self, shards: int) -> tuple[int, list[int]]:
+        """The least capacity, and where to cut."""
+        while isinstance(found := decide(self.ends, shards), list):
+            self.refine(found)
+        return found
 
 
 def _joined(spans: Sequence[Span]) -> list[Span]:
@@ -177,11 +217,10 @@ def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Sharding:
-    """``rows``: key, ``size``, ``group``, carried columns, ``shard`` and ``slot``; ``cuts``: places in bytes."""
+    """``rows``: ``row``, size, group, ``shard`` and ``slot``; the capacity of the shards that are not one large group."""
 
     rows: DataFrame
     capacity: int
-    cuts: list[int]
 
 
 def shard_documents(docs: DataFrame, *, shards: int, size: Column, group: Column, columns: Sequence[str] = ("doc_id",), key: str = "doc_id", ends_at_once: int = ENDS) -> Sharding:
@@ -202,7 +241,7 @@ def shard_documents(docs: DataFrame, *, shards: int, size: Column, group: Column
         offsets.append((t["part"], rows, total, groups + opens - 1, bool(opens)))
         rows, total, groups, last = rows + t["rows"], total + t["bytes"], groups + opens + t["starts"], t["last"]
     if not rows:
-        return Sharding(placed.select("row", "size", "group", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot")), 0, [])
+        return Sharding(placed.select("row", "size", "group", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot")), 0)
     placed = placed.join(F.broadcast(spark.createDataFrame(offsets, "part int, row0 long, byte0 long, nth0 long, opens boolean")), "part")
     at, nth = F.col("at_byte") + F.col("byte0"), F.col("nth") + F.col("nth0")
     starts = placed.filter("fresh or at_row = 0 and opens").select(at.alias("at"), nth.alias("nth"))
@@ -213,9 +252,22 @@ def shard_documents(docs: DataFrame, *, shards: int, size: Column, group: Column
             inside |= (F.col("at") > a) & (F.col("at") < b)
         return [(r["at"], r["nth"]) for r in starts.filter(inside & (F.col("nth") % step == 0)).collect()]
 
-    capacity, cuts = search(total, groups, shards, read, ends_at_once)
-    shard = range_shard(at, [c for c in cuts if c < total])
-    out = placed.select("row", "size", "group", (F.col("at_row") + F.col("row0")).alias("place"), shard.cast("int").alias("shard"))
-    first = {r["shard"]: r["place"] for r in out.groupBy("shard").agg(F.min("place").alias("place")).collect()}  # one row per shard
-    begin = F.array(*[F.lit(first.get(s, 0)).cast("long") for s in range(shards)])
-    return Sharding(out.select("row", "size", "group", "shard", (F.col("place") - F.get(begin, F.col("shard"))).alias("slot")), capacity, cuts)
+    line = Line(total, groups, read, ends_at_once)
+    large = line.large(shards)  # fewer than shards
+    rest = line.without(large)
+    capacity, cuts = rest.partition(shards - len(large))
+    # a row is in a large group where more of them have begun than ended; the others move up
+    begun, ended = range_shard(at, [a for a, _ in large]), range_shard(at, [b for _, b in large])
+    gone = F.get(F.array(*[F.lit(sum(b - a for a, b in large[:i])).cast("long") for i in range(len(large) + 1)]), ended)
+    shard = F.when(begun > ended, ended).otherwise(range_shard(at - gone, [c for c in cuts if c < rest.ends.at[-1]]) + len(large))
+    out = placed.select("row", "size", "group", (F.col("at_row") + F.col("row0")).alias("place"), (F.when(begun > ended, 0).otherwise(ended)).alias("passed"), shard.cast("int").alias("shard"))
+    # places of a shard that holds both sides of a large group: its rows are left out of the count
+    seen = {(r["shard"], r["passed"]): (r["place"], r["n"]) for r in out.groupBy("shard", "passed").agg(F.min("place").alias("place"), F.count("*").alias("n")).collect()}  # a row per shard and large group
+    begin: dict[int, dict[int, int]] = {}
+    for (s, p), (place, _) in sorted(seen.items()):
+        held = sum(n for (s2, p2), (_, n) in seen.items() if s2 == s and p2 < p)
+        begin.setdefault(s, {})[p] = place - held
+    keys = [f"{s}:{p}" for s in begin for p in begin[s]]
+    starts = F.map_from_arrays(F.array(*map(F.lit, keys)), F.array(*[F.lit(begin[s][p]).cast("long") for s in begin for p in begin[s]]))
+    slot = F.col("place") - F.element_at(starts, F.concat_ws(":", F.col("shard"), F.col("passed")))
+    return Sharding(out.select("row", "size", "group", "shard", slot.alias("slot")), capacity)
