@@ -40,6 +40,8 @@ _TERM = bytes(ord(chr(b).lower()) if chr(b).isalnum() else 32 for b in range(128
 BLOCK_BYTES = 1 << 20
 #: Documents and postings of a piece.
 PIECE_DOCS, PIECE_POSTINGS = 2048, 1 << 18
+#: Strata whose sizes are broadcast, 12 bytes each.
+STRATA_AT_ONCE = 100_000
 #: The share of documents, and the least number, in the strata of an item's first round.
 FIRST_SHARE, FIRST_DOCS = 1 / 16, 1000
 SCALE, TF, LENGTH = 1_000_000_000, 1000, 12
@@ -122,7 +124,9 @@ def build_index(docs: DataFrame, terms: Sequence[bytes], *, key: str = "doc_id",
     posted = posted.withColumn("m", F.expr(f"75L + (25L * n * {n_docs}L) div {words}L"))
     sizes = posted.groupBy("m").agg(F.count("*").alias("docs"), F.sum(F.size("terms")).alias("postings"))
     sizes = sizes.select("m", F.greatest(F.ceil(F.col("docs") / PIECE_DOCS), F.ceil(F.col("postings") / PIECE_POSTINGS), F.lit(1)).cast("int").alias("pieces"))
-    dealt = posted.join(sizes, "m").withColumn("piece", F.pmod(F.xxhash64("place"), F.col("pieces")).cast("int"))
+    sizes = materialize(sizes, "lexical-sizes")
+    few = sizes.count() <= STRATA_AT_ONCE  # beyond, a stratum is a small share of a join that Spark may split
+    dealt = posted.join(F.broadcast(sizes) if few else sizes, "m").withColumn("piece", F.pmod(F.xxhash64("place"), F.col("pieces")).cast("int"))
     pieces = dealt.select("m", "piece", "doc_id", "terms", "tfs").groupBy("m", "piece").applyInArrow(_piece, PIECE)
     return materialize(pieces, "lexical-pieces"), n_docs, words
 
