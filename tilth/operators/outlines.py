@@ -26,32 +26,43 @@ def edge_rows(layer: DataFrame, keys: Sequence[str], geom: str = "geom") -> Data
     return e.select("*", low("x").alias("minx"), low("y").alias("miny"), high("x").alias("maxx"), high("y").alias("maxy"))
 
 
-def tiles_meeting(tiles: DataFrame, outlines: DataFrame, tile_key: str = "tile_id", outline_key: str = "aoi_id") -> DataFrame:
-    """Distinct (tile key, outline key) that intersect, touching included; keys are unique on their side.
+def relations(tiles: DataFrame, outlines: DataFrame, tile_key: str = "tile_id", outline_key: str = "aoi_id", on: Sequence[str] = ()) -> DataFrame:
+    """(tile key, outline key, edge): pairs that intersect, and whether an edge of the outline meets the tile.
 
-    A tile that an edge meets intersects.  Any other is wholly inside or wholly outside, which its first
-    corner tells: inside if an odd number of edges cross the ray from it towards greater x.  Corners of equal y
-    share the edges that cross their line, and a running count along the line gives every corner its parity.
+    Keys are unique on their side; with ``on``, only rows of equal values there are paired.  A tile
+    that no edge meets is wholly inside or wholly outside, which its first corner tells: inside if an odd number of edges
+    cross the ray from it towards greater x.  Corners of equal y share the edges that cross their line,
+    and a running count along the line gives every corner its parity.
     """
-    edges = materialize(edge_rows(outlines, [outline_key]), "outline-edges")
-    boxed = with_box(tiles).select(tile_key, "geom", *BOX)
-    near = bbox_join(boxed, edges.select(outline_key, "a", "b", *BOX)).select(F.col(f"left.{tile_key}").alias(tile_key), F.col(f"right.{outline_key}").alias(outline_key), "left.geom", "right.a", "right.b")
+    edges = materialize(edge_rows(outlines, [outline_key, *on]), "outline-edges")
+    boxed = with_box(tiles).select(tile_key, *on, "geom", *BOX)
+    near = bbox_join(boxed, edges.select(outline_key, *on, "a", "b", *BOX), on).select(F.col(f"left.{tile_key}").alias(tile_key), F.col(f"right.{outline_key}").alias(outline_key), "left.geom", "right.a", "right.b")
     edge = F.struct("a", "b")
     of_tile = F.flatten(F.transform(G.rings(F.col("geom")), G.edges))
     met = near.filter(G.covers_point(F.col("geom"), F.col("a")) | F.exists(of_tile, lambda t: G.segments_meet(t, edge)))
     met = materialize(met.select(tile_key, outline_key).distinct(), "outline-met")
-    both = bbox_join(boxed, with_box(outlines).select(outline_key, *BOX)).select(F.col(f"left.{tile_key}").alias(tile_key), F.col(f"right.{outline_key}").alias(outline_key), F.get(G.points(F.col("left.geom")), F.lit(0)).alias("p"))
+    both = bbox_join(boxed, with_box(outlines).select(outline_key, *on, *BOX), on).select(F.col(f"left.{tile_key}").alias(tile_key), F.col(f"right.{outline_key}").alias(outline_key), F.get(G.points(F.col("left.geom")), F.lit(0)).alias("p"))
     asked = materialize(both.join(met, [tile_key, outline_key], "left_anti").select(tile_key, outline_key, "p.x", "p.y"), "outline-asked")
-    flat = lambda df, lo, hi: df.select("*", F.lit(0.0).alias("minx"), F.col(lo).alias("miny"), F.lit(0.0).alias("maxx"), F.col(hi).alias("maxy"))
-    lines = flat(asked.select(outline_key, "y").distinct(), "y", "y")
-    spans = flat(edges.select(outline_key, "a", "b", F.col("miny").alias("low"), F.col("maxy").alias("high")), "low", "high")
-    crossed = bbox_join(lines, spans, on=[outline_key]).select(F.col(f"left.{outline_key}").alias(outline_key), "left.y", "right.a", "right.b").filter((F.col("a.y") > F.col("y")) != (F.col("b.y") > F.col("y")))
-    x = (F.col("b.x") - F.col("a.x")) * (F.col("y") - F.col("a.y")) / (F.col("b.y") - F.col("a.y")) + F.col("a.x")
-    crossings = crossed.select(outline_key, "y", x.alias("x"), F.lit(1).alias("n"), F.lit(None).cast(asked.schema[tile_key].dataType).alias(tile_key))
+    crossings = line_crossings(asked.select(outline_key, "y").distinct(), edges, outline_key)
+    crossings = crossings.select(outline_key, "y", "x", F.lit(1).alias("n"), F.lit(None).cast(asked.schema[tile_key].dataType).alias(tile_key))
     events = asked.select(outline_key, "y", "x", F.lit(0).alias("n"), tile_key).unionByName(crossings)
     beyond = W.partitionBy(outline_key, "y").orderBy(F.col("x").desc(), "n")  # a corner comes before a crossing at its own place
     inside = events.withColumn("n", F.sum("n").over(beyond)).filter(F.col(tile_key).isNotNull() & (F.col("n") % 2 == 1))
-    return met.unionByName(inside.select(tile_key, outline_key))
+    return met.withColumn("edge", F.lit(True)).unionByName(inside.select(tile_key, outline_key, F.lit(False).alias("edge")))
+
+
+def line_crossings(lines: DataFrame, edges: DataFrame, key: str) -> DataFrame:
+    """(key, y, x): where the edges of each key cross its lines of equal y; an edge holds its lower end and not its upper one."""
+    flat = lambda df, lo, hi: df.select("*", F.lit(0.0).alias("minx"), F.col(lo).alias("miny"), F.lit(0.0).alias("maxx"), F.col(hi).alias("maxy"))
+    spans = flat(edges.select(key, "a", "b", F.col("miny").alias("low"), F.col("maxy").alias("high")), "low", "high")
+    crossed = bbox_join(flat(lines, "y", "y"), spans, on=[key]).select(F.col(f"left.{key}").alias(key), "left.y", "right.a", "right.b").filter((F.col("a.y") > F.col("y")) != (F.col("b.y") > F.col("y")))
+    x = (F.col("b.x") - F.col("a.x")) * ((F.col("y") - F.col("a.y")) / (F.col("b.y") - F.col("a.y"))) + F.col("a.x")
+    return crossed.select(key, "y", x.alias("x"))
+
+
+def tiles_meeting(tiles: DataFrame, outlines: DataFrame, tile_key: str = "tile_id", outline_key: str = "aoi_id") -> DataFrame:
+    """Distinct (tile key, outline key) that intersect, touching included; see ``relations``."""
+    return relations(tiles, outlines, tile_key, outline_key).drop("edge")
 
 
 def crossing_rings(layer: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tilth.operators import chunks as K
 from tilth.operators import crs
 from tilth.operators import geometry as G
 from tilth.operators import parcels as P
@@ -212,3 +213,50 @@ def src_raster_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = e.select(_c("vec_id").alias("raster_id"), F.lit(1).alias("band"), F.explode(F.array(*[F.struct(F.lit(0).alias("cx"), F.lit(i).alias("cy"), F.slice("embedding", 32 * i + 1, 32).alias("values")) for i in (0, 1)])).alias("c")).select("raster_id", "band", "c.*")
     pixels = R.chunk_pixels(rows, 8, 4)
     return pixels.join(chip_meta(spark, sf_dir).select("raster_id", _c("width").cast("int").alias("width"), _c("height").cast("int").alias("height")), "raster_id")
+
+
+def _patches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Triangles over the scene, in pixels from its lower left; every 50th is large."""
+    a = fixture(spark, sf_dir, "fx_aoi").filter("kind = 'polygon'").selectExpr("cx * 16 + 0.013 as x", "(cy - 40) * 16 + 0.017 as y", "h * 16 * case when aoi_id % 50 = 7 then 12 else 1 end as r")
+    return a.select(F.lit("all").alias("raster_id"), G.polygon((_c("x") - _c("r"), _c("y") - _c("r")), (_c("x") + _c("r"), _c("y") - _c("r")), (_c("x"), _c("y") + _c("r"))).alias("geom"))
+
+
+@query(
+    oracle(
+        """, patch as (select cx * 16 + 0.013 as x, (cy - 40) * 16 + 0.017 as y, h * 16 * case when aoi_id % 50 = 7 then 12 else 1 end as r from fx_aoi where kind = 'polygon'),
+        tall as (select (max(floor(vec_id / 20)) + 1) * 8 as height from embeddings),
+        win as (select greatest(0, floor(min(x - r))) as x0, least(160, ceil(max(x + r))) as x1, greatest(0, floor(height - max(y + r))) as y0, least(height, ceil(height - min(y - r))) as y1, height from patch, tall group by height),
+        p as (select gcol as px, grow as py, value, gcol + 0.5e0 as x, height - (grow + 0.5e0) as y from fx_chips, win where gcol >= x0 and gcol < x1 and grow >= y0 and grow < y1),
+        inside as (select distinct px, py from p join patch q on p.y >= q.y - q.r and p.y <= q.y + q.r and abs(p.x - q.x) * 2 + (p.y - (q.y - q.r)) <= 2 * q.r)
+        select band, cast(px - x0 as bigint) as px, cast(py - y0 as bigint) as py, case when i.px is null then 0.0e0 else value * band end as value from p left join inside i using (px, py), win, (select unnest([1, 2]) as band) b""",
+        "fx_chips", "fx_aoi",
+    ).replace(") , patch", "), patch")
+)
+def raster_clip_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A scene of two bands, in chunks of 8 x 8, cut to many triangles."""
+    meta = scene_meta(spark, sf_dir).withColumns({"ox": F.lit(0.0), "oy": _c("height").cast("double"), "rx": F.lit(1.0), "ry": F.lit(1.0)})
+    bands = F.explode(F.array(*[F.struct(F.lit(b).alias("band"), (_c("value") * b).alias("value")) for b in (1, 2)])).alias("v")
+    chunks = K.from_pixels(scene(spark, sf_dir).select("raster_id", "px", "py", bands).select("raster_id", "px", "py", "v.*"), ["raster_id", "band"], ["value"], 8, 8).withColumnRenamed("value", "values")
+    out = K.clip(chunks, meta, _patches(spark, sf_dir), 8, 8)
+    out = out.withColumn("values", F.coalesce("values", F.array_repeat(F.lit(0.0), 64)))
+    p = K.to_pixels(out, ["band", "x0", "y0"], ["values"], 8, 8).select("band", (_c("px") - _c("x0")).alias("px"), (_c("py") - _c("y0")).alias("py"), _c("values").alias("value"))
+    size = K.clipped_meta(meta, _patches(spark, sf_dir)).select("width", "height")
+    return p.join(F.broadcast(size), (_c("px") >= 0) & (_c("px") < _c("width")) & (_c("py") >= 0) & (_c("py") < _c("height"))).select("band", "px", "py", "value")
+
+
+@query(oracle("select vec_id as raster_id, case when vec_id % 3 = 0 then 1.0e0 end as ox, case when vec_id % 3 = 0 then 6.0e0 end as oy, case when vec_id % 3 = 0 then 6 end as width, case when vec_id % 3 = 0 then 5 end as height, 3 as bands, case vec_id % 3 when 1 then 'the AOI does not overlap the raster' when 2 then 'no AOI' end as problem from embeddings"))
+def raster_clip_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headers of the clipped chips: the AOI of a third is beside the raster, another third has none."""
+    m = chip_meta(spark, sf_dir).withColumn("band_names", F.array(*[F.lit(b) for b in ("B04", "B03", "B02")]))
+    x = F.when(_c("raster_id") % 3 == 1, 100.0).otherwise(0.0)
+    a = m.filter("raster_id % 3 < 2").select("raster_id", G.polygon((x + 1.75, F.lit(1.5)), (x + 6.25, F.lit(1.5)), (x + 4.0, F.lit(6.0))).alias("geom"))
+    out = K.clipped_meta(m, a)
+    return out.select("raster_id", "ox", "oy", _c("width").cast("int").alias("width"), _c("height").cast("int").alias("height"), F.size("band_names").alias("bands"), "problem")
+
+
+@query(f"{_SEGMENTS} select raster_id, px, py, parcel from parcels")
+def parcel_segments_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parcels of chunks of 16 x 16 pixels: union-find in a chunk, components of what crosses borders."""
+    chunks = K.from_pixels(labelled(spark, sf_dir), ["raster_id"], ["label"], 16, 16)
+    out = K.segments(chunks, 16, 16)
+    return K.to_pixels(out, ["raster_id"], ["parcel"], 16, 16).filter("parcel is not null")

@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tilth.operators import chunks as K
 from tilth.operators import composite as C
 from tilth.operators import landcover as L
 from tilth.plans.fixtures import fixture, oracle
@@ -126,3 +127,40 @@ def mask_filter_parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each pixel column of a tile is a parcel here."""
     p = fixture(spark, sf_dir, "fx_lclu").withColumn("parcel", F.struct("tile_id", "px"))
     return L.filter_parcels(p, "parcel", (0, 1, 2)).select("tile_id", "obs_id", "label")
+
+
+def chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The observations as chunks of 4 x 4 pixels."""
+    return K.from_pixels(obs(spark, sf_dir), ["tile_id", "scene_id", "acquired"], [*C.BANDS, "valid"], 4, 4)
+
+
+def unchunked(table: DataFrame, values: tuple[str, ...]) -> DataFrame:
+    return K.to_pixels(table, ["tile_id"], values, 4, 4).filter(F.col(values[0]).isNotNull())
+
+
+@query(oracle(f"select tile_id, px, py, b04, b03, b02, b08, ndvi, scene_id from (select *, row_number() over (partition by tile_id, px, py order by ndvi desc nulls last, acquired, scene_id) as n from (select *, {_NDVI} as ndvi from fx_obs where valid) v) r where n = 1 and ndvi is not null", "fx_obs"))
+def composite_chunks_max_ndvi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = unchunked(K.composite(chunked(spark, sf_dir), K.BestState, 16), K.OUTPUT[K.BestState])
+    return out.select(*C.PIXEL, *[F.col(c).cast("long").alias(c) for c in (*C.BANDS, "scene_id")], "ndvi")
+
+
+@query(oracle("select tile_id, px, py, round(avg(b04), 6) as b04, round(avg(b03), 6) as b03, round(avg(b02), 6) as b02, round(avg(b08), 6) as b08 from fx_obs where valid group by tile_id, px, py", "fx_obs"))
+def composite_chunks_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unchunked(K.composite(chunked(spark, sf_dir), K.MeanState, 16), C.BANDS).select(*C.PIXEL, *[F.round(b, 6).alias(b) for b in C.BANDS])
+
+
+@query(ranked("select tile_id, px, py, b04, b03, b02, b08, scene_id from (select o.*, row_number() over (partition by tile_id, px, py order by rank) as n from fx_obs o join ranks using (tile_id, scene_id) where valid) r where n = 1"))
+def composite_chunks_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = C.rank_scenes(obs(spark, sf_dir)).select("tile_id", "scene_id", "rank")
+    out = unchunked(K.composite(chunked(spark, sf_dir).join(ranks, ["tile_id", "scene_id"]), K.FirstState, 16), K.OUTPUT[K.FirstState])
+    return out.select(*C.PIXEL, *[F.col(c).cast("long").alias(c) for c in (*C.BANDS, "scene_id")])
+
+
+@query(oracle("select tile_id, px, py, round(quantile_cont(b04, 0.25), 6) as b04, round(quantile_cont(b03, 0.25), 6) as b03, round(quantile_cont(b02, 0.25), 6) as b02, round(quantile_cont(b08, 0.25), 6) as b08 from fx_obs where valid group by tile_id, px, py", "fx_obs"))
+def composite_chunks_percentile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 25th percentile, in strips of two rows of a chunk."""
+    out = K.quantile_composite(chunked(spark, sf_dir), 0.25, 16, strip=8)
+    p = out.select("tile_id", "cx", "cy", "strip", F.posexplode(F.arrays_zip(*C.BANDS)).alias("i", "v"))
+    i = F.col("strip") * 8 + F.col("i")
+    p = p.select("tile_id", (F.col("cx") * 4 + i % 4).alias("px"), (F.col("cy") * 4 + F.floor(i / 4)).alias("py"), "v.*").filter("b04 is not null")
+    return p.select(*C.PIXEL, *[F.round(b, 6).alias(b) for b in C.BANDS])
