@@ -8,7 +8,7 @@ import tempfile
 
 import pandas as pd
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tilth.functions import scalars as S
@@ -21,6 +21,7 @@ from tilth.plans.registry import query
 from tilth.scratch import scratch_path
 from tilth.sinks import results as K
 from tilth.sources import vectors as V
+from tilth.sources.collections import read_collection
 from tilth.sources.gpkg import read_gpkg
 
 _c = F.col
@@ -199,6 +200,23 @@ def src_wkt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select("field_id", b["minx"].alias("minx"), b["miny"].alias("miny"), F.size(G.points(_c("geom"))).alias("points"))
 
 
+@query(oracle(r"""select field_id, tile_id, '}{"a\' || cast(field_id as string) || '"],[' as label, x0 as minx, y0 + w as maxy from fx_fields""", "fx_fields"))
+def src_geojson_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields written as a feature collection per tile, with brackets and quotes in strings, and read in splits."""
+    path = scratch_path(spark, "collections")
+    f = fields(spark, sf_dir).select("tile_id", "field_id", F.concat(F.lit('}{"a\\'), _c("field_id").cast("string"), F.lit('"],[')).alias("label"), "geom")
+    lines = K.features(f, ["field_id", "label"]).select("tile_id", F.lit(1).alias("part"), "field_id", "value")
+    first = F.row_number().over(Window.partitionBy("tile_id").orderBy("field_id")) == 1
+    lines = lines.withColumn("value", F.concat(F.when(first, "").otherwise(","), F.col("value")))
+    tiles = f.select("tile_id").distinct()
+    line = lambda part, text: tiles.select("tile_id", F.lit(part).alias("part"), F.lit(0).cast("long").alias("field_id"), F.lit(text).alias("value"))
+    lines = lines.unionByName(line(0, '{"type":"FeatureCollection","crs":{"name":"}]\\""},"bbox":[1,2],"features":[')).unionByName(line(2, '],"more":[{"type":"x"}]}'))
+    lines.repartition("tile_id").sortWithinPartitions("tile_id", "part", "field_id").select("tile_id", "value").write.partitionBy("tile_id").text(path)
+    b = G.bounds(_c("geom"))
+    out = read_collection(spark, path).select(F.regexp_extract("file", "tile_id=([^/]*)/", 1).alias("tile_id"), _c("properties.field_id").cast("long").alias("field_id"), _c("properties.label").alias("label"), b["minx"].alias("minx"), b["maxy"].alias("maxy"))
+    return out
+
+
 def _gpkg_file(path: str, rows: list[tuple]) -> None:
     """A GeoPackage of (id, x0, y0, x1, y1) boxes with its rtree."""
     with sqlite3.connect(path) as db:

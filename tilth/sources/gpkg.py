@@ -1,13 +1,15 @@
 """GeoPackage tables as a Spark data source.
 
-:func:`read_gpkg` reads a folder or a glob: one partition per file and range of rows;
-columns id, geom, srid and the box.  A filter on the box is pushed to the file's rtree
-where it has one.  A file is fetched through ``pyarrow.fs`` to the reading task unless its path is local.
+:func:`read_gpkg` reads a folder or a glob; columns id, geom, srid and the box.  The driver lists
+files and opens none.  On a path that tasks can open, a Spark job finds each file's layer and rows, and a partition is a range of
+rows.  A file in a store is one partition, so it is fetched once, through ``pyarrow.fs``, by the task that reads it.
+A filter on the box is pushed to the file's rtree where it has one.
 """
 
 from __future__ import annotations
 
 import contextlib
+import json
 import os
 import sqlite3
 import struct
@@ -15,6 +17,7 @@ import tempfile
 from collections.abc import Iterator
 from fnmatch import fnmatch
 
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, Filter, GreaterThanOrEqual, InputPartition, LessThanOrEqual
@@ -113,10 +116,37 @@ def _opened(path: str) -> Iterator[sqlite3.Connection]:
 
 
 class Part(InputPartition):
-    def __init__(self, file: str, layer: str, geometry: str, srid: int, first: int, last: int):
+    """A range of rows of a layer; without a range, all rows of the layer that is found when the file is read."""
+
+    def __init__(self, file: str, layer: str | None = None, geometry: str = "", srid: int = 0, first: int = 0, last: int = 0):
         self.file, self.layer, self.geometry, self.srid, self.first, self.last = file, layer, geometry, srid, first, last
 
 
+def find_layer(db: sqlite3.Connection, file: str, layer: str | None) -> tuple[str, str, int]:
+    """(table, geometry column, srid) of the layer asked for, or of the first feature table."""
+    known = db.execute("select table_name, column_name, srs_id from gpkg_geometry_columns order by table_name").fetchall()
+    found = [k for k in known if layer in (None, k[0])]
+    if not found:
+        raise ValueError(f"{file} has no feature table {layer or ''}")
+    return found[0]
+
+
+def _ranges(layer: str | None):
+    """The parts of each file of a batch as JSON."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for file in batch.column("file").to_pylist():
+                with _opened(file) as db:
+                    name, column, srid = find_layer(db, file, layer)
+                    low, high = db.execute(f"select min(rowid), max(rowid) from {quoted(name)}").fetchone()
+                out.append(json.dumps([(file, name, column, srid, i, i + ROWS) for i in range(low, high + 1, ROWS)] if low is not None else []))
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["parts"])
+
+    return run
+
+
 def id_column(columns: list[str], requested: str | None) -> str:
     """The id column asked for, or the first known one; raises if there is none."""
     if requested is not None and requested not in columns:
@@ -132,26 +162,18 @@ class GpkgReader(DataSourceReader):
         self.options, self.box = options, {}
 
     def partitions(self) -> list[Part]:
-        path = self.options["path"]
-        files = _files(path)
+        if plan := self.options.get("plan"):
+            return [Part(*p) for p in json.loads(plan)]
+        files = _files(self.options["path"])
         if not files:
-            raise ValueError(f"no GeoPackage at {path}")
-        parts = []
-        for file in files:
-            with _opened(file) as db:
-                layer = self.options.get("layer")
-                known = db.execute("select table_name, column_name, srs_id from gpkg_geometry_columns order by table_name").fetchall()
-                found = [k for k in known if layer in (None, k[0])]
-                if not found:
-                    raise ValueError(f"{file} has no feature table {layer or ''}")
-                name, column, srid = found[0]
-                low, high = db.execute(f"select min(rowid), max(rowid) from {quoted(name)}").fetchone()
-            if low is not None:
-                parts += [Part(file, name, column, srid, i, i + ROWS) for i in range(low, high + 1, ROWS)]
-        return parts
+            raise ValueError(f"no GeoPackage at {self.options['path']}")
+        return [Part(f) for f in files]
 
     def read(self, part: Part) -> Iterator[tuple]:
         with _opened(part.file) as db:
+            if part.layer is None:
+                name, column, srid = find_layer(db, part.file, self.options.get("layer"))
+                part = Part(part.file, name, column, srid, -(1 << 63), (1 << 63) - 1)
             columns = [r[1] for r in db.execute(f"pragma table_info({quoted(part.layer)})")]
             what = f"t.{quoted(id_column(columns, self.options.get('id')))}"
             sql, values = f"select {what}, t.{quoted(part.geometry)} from {quoted(part.layer)} t where t.rowid >= ? and t.rowid < ?", [part.first, part.last]
@@ -199,4 +221,14 @@ def read_gpkg(spark: SparkSession, path: str, *, layer: str | None = None, id: s
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(GpkgDataSource)
     named = {k: v for k, v in (("layer", layer), ("id", id)) if v is not None}
+    files = _files(path)
+    if not files:
+        raise ValueError(f"no GeoPackage at {path}")
+    if isinstance(_store(files[0])[0], fs.LocalFileSystem):
+        table = spark.createDataFrame([(f,) for f in files], "file string")
+        planned = table.repartition(min(len(files), 4 * spark.sparkContext.defaultParallelism)).mapInArrow(_ranges(layer), "parts string")
+        parts = sorted(p for r in planned.collect() for p in json.loads(r["parts"]))  # a row per file
+        if not parts:  # files without rows
+            return spark.createDataFrame([], SCHEMA)
+        named["plan"] = json.dumps(parts)
     return spark.read.format("gpkg").options(pushdown="true", **named).load(path)
