@@ -84,7 +84,7 @@ def test_bucket_join_equals_brute_force(spark):
     boxes = lambda n: [(i, *map(float, (x, y, x + w, y + h))) for i, (x, y, w, h) in enumerate(np.c_[rng.uniform(-5, 5, (n, 2)), rng.uniform(0, 3, (n, 2))])]
     a, b = boxes(40), boxes(50)
     schema = "id int, minx double, miny double, maxx double, maxy double"
-    got = tiles.bbox_join(spark.createDataFrame(a, schema), spark.createDataFrame(b, schema), 0.7).select("left.id", "right.id").collect()
+    got = tiles.bbox_join(spark.createDataFrame(a, schema), spark.createDataFrame(b, schema)).select("left.id", "right.id").collect()
     want = {(p[0], q[0]) for p in a for q in b if p[1] <= q[3] and p[3] >= q[1] and p[2] <= q[4] and p[4] >= q[2]}
     assert len(got) == len(want) and {tuple(r) for r in got} == want
 

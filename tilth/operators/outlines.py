@@ -21,7 +21,9 @@ from tilth.scratch import materialize
 def edge_rows(layer: DataFrame, keys: Sequence[str], geom: str = "geom") -> DataFrame:
     """(keys, poly, ring, seq, edges, a, b, box): one row per edge; ``edges`` are those of its ring."""
     e = layer.select(*keys, F.posexplode(geom).alias("poly", "rings")).select(*keys, "poly", F.posexplode("rings").alias("ring", "points"))
-    e = e.select(*keys, "poly", "ring", F.size(G.edges(F.col("points"))).alias("edges"), F.posexplode(G.edges(F.col("points"))).alias("seq", "e")).select(*keys, "poly", "ring", "seq", "edges", "e.a", "e.b")
+    # sizes before the explosion, so that no row of it drags the ring along
+    e = e.select(*keys, "poly", "ring", (F.size("points") - 1).alias("edges"), G.edges(F.col("points")).alias("all"))
+    e = e.select(*keys, "poly", "ring", "edges", F.posexplode("all").alias("seq", "e")).select(*keys, "poly", "ring", "seq", "edges", "e.a", "e.b")
     low, high = lambda c: F.least(f"a.{c}", f"b.{c}"), lambda c: F.greatest(f"a.{c}", f"b.{c}")
     return e.select("*", low("x").alias("minx"), low("y").alias("miny"), high("x").alias("maxx"), high("y").alias("maxy"))
 

@@ -126,4 +126,4 @@ def dissolve(layer: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     edge = layer.select(*by, F.explode(G.boundary(F.col("geom"))).alias("e")).select(*by, "e.*")
     ahead = F.struct("x1", "y1") <= F.struct("x2", "y2")
     same = [F.when(ahead, F.col(a)).otherwise(F.col(b)).alias(n) for n, a, b in (("x1", "x1", "x2"), ("y1", "y1", "y2"), ("x2", "x2", "x1"), ("y2", "y2", "y1"))]
-    return edge.select(*by, *same).groupBy(*by, "x1", "y1", "x2", "y2").agg(F.count(F.lit(1)).alias("k")).filter("k = 1").drop("k")
+    return edge.select(*by, *same).groupBy(*by, "x1", "y1", "x2", "y2").agg(F.count(F.lit(1)).alias("_times")).filter("_times = 1").drop("_times")
