@@ -169,7 +169,7 @@ def load_aoi(spark: SparkSession, path: str) -> DataFrame:
     """
     try:
         if path.lower().endswith((".wkt", ".txt")):
-            found = spark.read.text(path, wholetext=True).select(wkt_geometry(F.trim("value")).alias("geom"), F.lit(4326).alias("srid"))
+            found = spark.read.text(path, wholetext=True).select(wkt_geometry(F.regexp_replace("value", r"^\s+|\s+$", "")).alias("geom"), F.lit(4326).alias("srid"))
         else:
             found = read_collection(spark, path).select("geom", "srid")
     except AnalysisException as e:
