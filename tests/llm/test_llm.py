@@ -195,6 +195,22 @@ def test_a_forest_is_its_trees():
     assert list(secrets.candidates(None)) == [] and list(secrets.candidates("plain words only")) == []
 
 
+def test_the_forest_answers_as_the_fitted_model(spark, monkeypatch, tmp_path):
+    from pyspark.ml.classification import RandomForestClassificationModel
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    rng = np.random.default_rng(4)
+    x = rng.random((600, len(secrets.FEATURES))).round(2)
+    rows = [(i, float(r[0] + r[3] * r[5] > 0.9), r.tolist()) for i, r in enumerate(x)]
+    findings = spark.createDataFrame(rows, "order long, label double, x array<double>")
+    monkeypatch.setattr(secrets, "scratch_path", lambda *_: str(tmp_path / "forest"))
+    forest = secrets.train(findings)
+    model = RandomForestClassificationModel.load(str(tmp_path / "forest"))
+    want = model.transform(findings.select("order", array_to_vector("x").alias("features"))).orderBy("order").select(vector_to_array("probability")[1].alias("p")).collect()
+    got = forest.probability(x, np.zeros(len(x), bool))
+    assert got == pytest.approx([r["p"] for r in want], abs=1e-12) and 0.05 < (got > 0.5).mean() < 0.95
+
+
 @pytest.mark.parametrize("size", [1, 3, 10, 500])
 def test_the_dictionary_is_the_most_frequent_words(spark, size):
     rng = np.random.default_rng(3)
@@ -234,6 +250,15 @@ JWT = "eyJhbGciOiJIUzI1NiIsInR5cCI6IkpXVCJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNry
         ("password\t=  Tr0ub4dor&3xyz", "Tr0ub4dor&3xyz"),
         ("see postgres://admin:hunter22-xyz@db.example.com:5432/app end", "hunter22-xyz"),
         ("redis://:s3cr3tpassw0rd@cache", "s3cr3tpassw0rd"),
+        ('password = "abcdefgh,ijklmnop;qrst" and', "abcdefgh,ijklmnop;qrst"),
+        ('password = "abc,defghijk"', "abc,defghijk"),
+        ("pwd: s3cr3t7", "s3cr3t7"),
+        ('password = "correct horse battery staple 99" end', "correct horse battery staple 99"),
+        ("secret: 'a<b>c;d,e \"f\"' end", 'a<b>c;d,e "f"'),
+        ('token="with \\" a quote" end', 'with \\" a quote'),
+        ('{\\"token\\": \\"two words, one\\"}', "two words, one"),
+        ('token = "unclosed-here12 and\nmore"', "unclosed-here12"),
+        ("token=abcdef,next=1", "abcdef"),
     ],
 )
 def test_candidates_are_whole(text, value):
@@ -241,9 +266,10 @@ def test_candidates_are_whole(text, value):
 
 
 def test_ordinary_text_gives_no_candidate_and_scans_are_linear():
+    assert list(secrets.candidates('password = "" and pwd = "abcde" and token: abcde')) == []
     assert list(secrets.candidates("a tokenizer: something, https://www.example.com/path/12/foo-bar-baz and 3.14")) == []
     start = time.perf_counter()
-    for text in ("http://" * 30_000, "a://b:" * 30_000, "token " * 40_000, "token = " * 30_000, "a." * 100_000, "token" * 40_000, "a1" * 100_000 + "@", "token=" * 30_000, "abcdefghijklmnop1." + "b." * 100_000):
+    for text in ("http://" * 30_000, "a://b:" * 30_000, "token " * 40_000, "token = " * 30_000, "a." * 100_000, "token" * 40_000, "a1" * 100_000 + "@", "token=" * 30_000, "abcdefghijklmnop1." + "b." * 100_000, "token='" * 30_000, "token=\"a " * 30_000, "token=\\'" * 30_000, "token=\"" + "token=\\'a " * 30_000, "token='" + "\\" * 200_000):
         list(secrets.candidates(text))
     assert time.perf_counter() - start < 10
 

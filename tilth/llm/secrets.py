@@ -2,8 +2,9 @@
 
 Candidates come from patterns over the whole text: known key formats, passwords in
 addresses, values assigned to telling names (which may end a longer name or a quoted
-key), and long runs that mix letters and digits, joined by dots or not.  None has a
-greatest length.  The patterns run only where a white-space-separated string can start a
+key), and long runs that mix letters and digits, joined by dots or not.  A quoted value goes to its closing
+quote on the same line, whatever it holds; any other assigned value ends at white space, a quote or one of ``<>,;``.  An
+assigned value has at least ``LEAST`` characters, and none has a greatest length.  The patterns run only where a white-space-separated string can start a
 candidate; strings that cannot are remembered.  Each candidate is described by its length, its character transitions, its dictionary coverage, the
 path it was found under and its neighbouring words.  A random forest trained by
 Spark ML on labelled findings decides which candidates are secrets; its trees are
@@ -52,6 +53,10 @@ NAMES = r"api[_-]?key|access[_-]?key|auth|credential|passphrase|password|passwd|
 #: Characters of a run, and of the segments of a token that are joined by dots.
 _RUN, _SEGMENT = "0-9A-Za-z+/_=-", "0-9A-Za-z_=-"
 _QUOTE = r"(?:\\?[\"'])?"
+#: The least length of an assigned value.
+LEAST = 6
+#: What may stand between an opening quote and its like on the same line, where that is plain or escaped.
+_QUOTED = {q: re.compile(rf"((?:\\.|[^\\\n{q}])*){q}") for q in "\"'"} | {"\\" + q: re.compile(rf"((?:\\[^{q}\n]|[^\\\n])*)\\{q}") for q in "\"'"}
 # A name may end a longer one; what stands before it is taken from the start of the run on, as a run would
 # start there too.  An assignment is looked for first, so that plain words are left at once.
 _BEFORE_NAME = rf"(?:(?<![.{_RUN}])(?=[0-9A-Za-z+/_.-]*+{_QUOTE}[ \t]*+[=:])[.{_RUN}]*?|\b)"
@@ -60,11 +65,12 @@ _ADDRESS = r"(?<![0-9A-Za-z+.-])[A-Za-z][0-9A-Za-z+.-]*+://[^\s/:@]*+:"
 _CANDIDATE = re.compile(
     rf"(?P<key>(?<![0-9A-Za-z])(?:{PREFIXES})(?![0-9A-Za-z]))"
     rf"|(?P<address>{_ADDRESS}(?P<word>[^\s/@]+)@)"
-    rf"|(?P<named>{_BEFORE_NAME}(?i:(?:{NAMES})\b){_QUOTE}[ \t]*(?:=>|=|:)[ \t]*{_QUOTE}(?P<value>[^\s\"'<>,;]{{8,}}))"
+    rf"|(?P<named>{_BEFORE_NAME}(?i:(?:{NAMES})\b){_QUOTE}[ \t]*(?:=>|=|:)[ \t]*(?:(?P<open>\\?[\"'])|(?P<value>[^\s\"'<>,;\\][^\s\"'<>,;]{{{LEAST - 1},}})))"
     # two or more long segments joined by dots are one token
     rf"|(?<![.@{_RUN}])(?:(?P<joined>(?=[A-Za-z_=.-]*[0-9])(?=(?:[{_SEGMENT}]++\.)*[{_SEGMENT}]{{16,}}\.(?:[{_SEGMENT}]++\.)*[{_SEGMENT}]{{16}})[{_SEGMENT}]+(?:\.[{_SEGMENT}]+)+(?![0-9A-Za-z@]))"
     rf"|(?P<run>(?=[A-Za-z+/_=-]*[0-9])[{_RUN}]{{16,}}(?![0-9A-Za-z@])))"
 )
+_PLAIN = re.compile(r"([^\s\"'<>,;]*)")
 _NAME = re.compile(rf"(?i)(?:{NAMES})\b")
 #: A string in which a candidate may start, and as many strings in a row as it may take.
 _HOT = re.compile(rf"{PREFIXES}|(?i:(?:{NAMES})\b)|://[^/@]*@|(?<![.{_RUN}])(?=[A-Za-z+/_=.-]*+[0-9])[.{_RUN}]{{16}}")
@@ -131,6 +137,13 @@ def candidates(text: str | None) -> Iterator[tuple[int, int, bool, str, str]]:
         end = _STRINGS.match(text, string.start()).end() if _NAME.search(string.group()) else string.end()
         while (m := _CANDIDATE.search(text, at, end)) and m.start() < string.end():
             start, stop = m.span("value" if m["value"] else "word" if m["word"] else 0)
+            if m["open"]:
+                start = m.end()
+                own = _QUOTED[m["open"]].match(text, start) or _PLAIN.match(text, start)
+                stop = own.end(1)
+                if stop - start < LEAST:
+                    at = m.end()
+                    continue
             yield start, stop, m["key"] is not None, text[max(0, start - 60) : start], text[stop : stop + 40]
             at = max(stop, at + 1)
 
