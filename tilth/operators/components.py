@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tilth.scratch import materialize
+from tilth.scratch import materialize, replaced
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -43,7 +43,7 @@ def connected_components(edges: DataFrame, src: str | Column = "src", dst: str |
     for _ in range(max_rounds):
         if not seen[0]:
             break
-        e = materialize(_star(_star(e, True), False), "components")
+        e = replaced(e, _star(_star(e, True), False), "components")
         now = _digest(e)
         if now == seen:
             break

@@ -19,7 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tilth.operators import geometry as G
-from tilth.scratch import materialize
+from tilth.scratch import materialize, replaced
 
 #: Rows and columns of a raster are below this.
 CELL = 1 << 24
@@ -74,7 +74,8 @@ def ring_places(links: DataFrame, key: str = "key") -> DataFrame:
     while state.filter("moved").limit(1).count():
         far = state.select(F.col("node").alias("next"), F.col("next").alias("next2"), F.col("first").alias("first2"), F.col("steps").alias("steps2"))
         nearer = F.col("first2") < F.col("first")
-        state = materialize(
+        state = replaced(
+            state,
             state.join(far, "next").select("node", F.col("next2").alias("next"), F.least("first", "first2").alias("first"), F.when(nearer, F.col("steps2") + span).otherwise(F.col("steps")).alias("steps"), nearer.alias("moved")),
             "ring-places",
         )

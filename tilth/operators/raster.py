@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tilth.operators import crs
 from tilth.operators import geometry as G
 from tilth.operators.quantile import exact_quantiles
 
@@ -115,6 +116,15 @@ def decimated_meta(meta: DataFrame, most: int) -> DataFrame:
     return meta.withColumns({"rx": F.col("rx") * F.col("width") / w, "ry": F.col("ry") * F.col("height") / h, "width": w.cast("long"), "height": h.cast("long")})
 
 
+def overlay_segments(features: DataFrame, keys: Sequence[str], srid: Column, target: int) -> DataFrame:
+    """(keys, ring, seq, x1, y1, x2, y2): the outlines of an overlay frame in the raster's CRS, from each row's own.
+
+    A row whose CRS has no formula has no segments.
+    """
+    moved = features.select(*keys, crs.to_crs_by_row(F.col("geom"), srid, target).alias("geom")).filter(G.nonempty(F.col("geom")))
+    return moved.select(*keys, F.explode(G.boundary(F.col("geom"))).alias("s")).select(*keys, "s.*")
+
+
 def usable(meta: DataFrame) -> DataFrame:
     """Rasters with at least three bands."""
     return meta.filter(F.size("band_names") >= 3)

@@ -118,6 +118,23 @@ def overlay_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("raster_id", "band", "px", "py", F.round(_c("value").cast("double"), 5).alias("value"))
 
 
+_MERCATOR = "round(radians({x}) * 6378137.0e0, 3) as {n}x, round(ln(tan(radians({y}) / 2 + pi() / 4)) * 6378137.0e0, 3) as {n}y"
+
+
+@query(
+    oracle(
+        f"""select tile_id, field_id, s as seq, {_MERCATOR.format(x='ax', y='ay', n='a')}, {_MERCATOR.format(x='bx', y='by_', n='b')}
+        from (select tile_id, field_id, s, case when s in (0, 3) then x0 else x0 + w end as ax, case when s in (0, 1) then y0 else y0 + w end as ay, case when s in (2, 3) then x0 else x0 + w end as bx, case when s in (0, 3) then y0 else y0 + w end as by_
+              from fx_fields, (select unnest([0, 1, 2, 3]) as s) u) c""",
+        "fx_fields",
+    )
+)
+def overlay_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The outlines of each tile's fields in the CRS of its raster, EPSG:3857."""
+    out = R.overlay_segments(fields(spark, sf_dir), ["tile_id", "field_id"], F.lit(4326), 3857)
+    return out.select("tile_id", "field_id", "seq", *[F.round(a, 3).alias(b) for a, b in (("x1", "ax"), ("y1", "ay"), ("x2", "bx"), ("y2", "by"))])
+
+
 _LABEL = "case when value > 0.09e0 then 1 when value > 0 then 2 when value < -0.15e0 then 3 end"
 
 

@@ -146,20 +146,40 @@ def gallery_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.cards(_exports(spark, sf_dir), "/out").withColumn("links", F.array_join("links", ";"))
 
 
-@query(
-    oracle(
-        f"""select '{{"source":"' || source || '","tile_id":"' || tile_id || '","feature_count":' || feature_count
+#: The summary of each result file as a JSON object.
+_OBJECTS = f"""select '{{"source":"' || source || '","tile_id":"' || tile_id || '","feature_count":' || feature_count
                    || ',"exports":{{"geojson":"/out/' || tile_id || '/p.geojson","kml":' || case when feature_count % 2 = 0 then '"/out/' || tile_id || '/p.kml"' else 'null' end
                    || ',"summary":"/out/' || tile_id || '/s.json","overlay":' || case when feature_count % 3 = 0 then '"/out/' || tile_id || '/o.png"' else 'null' end
                    || ',"boundaries":"/out/' || tile_id || '/b.png"}},"total_area_ha":' || case when feature_count % 5 > 0 then cast(feature_count * 12.25e0 as varchar) else 'null' end || '}}' as value
-            from ({_COUNTS}) c""",
-        "fx_fields",
-    )
-)
+            from ({_COUNTS}) c"""
+
+
+@query(oracle(_OBJECTS, "fx_fields"))
 def sink_summary_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.summary_json(_exports(spark, sf_dir))
 
 
+@query(oracle(f"""select '{{"exports": [' || chr(10) || string_agg(value, chr(10) || ',' order by value) || chr(10) || ']}}' as value from ({_OBJECTS}) o""", "fx_fields"))
+def sink_exports_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list of all summaries as one document, written and read again."""
+    path = scratch_path(spark, "exports-json")
+    K.write_exports_json(_exports(spark, sf_dir), path)
+    return spark.read.text(path, wholetext=True).select(F.regexp_replace("value", r"\n$", "").alias("value"))
+
+
+@query(
+    oracle(
+        """select run_id, '{"run_id":' || run_id || ',"status":"' || case when sum(failures) > 0 then 'failed' else 'completed' end || '","steps":['
+             || string_agg('{"name":"' || step || '","status":"' || status || '","started_at":"' || strftime(started_at, '%Y-%m-%dT%H:%M:%S') || '","duration_seconds":' || cast(round(duration_seconds, 3) as varchar) || '}', ',' order by started_at, seq) || ']}' as value
+           from (select *, row_number() over (partition by run_id, step order by seq desc) as n, count(*) filter (status = 'failed') over (partition by run_id, step) as failures from fx_steps) s
+           where n = 1 group by run_id""",
+        "fx_steps",
+    )
+)
+def run_summary_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return K.run_summaries(M.ledger(fixture(spark, sf_dir, "fx_steps")))
+
+
 @query(oracle("select source, cast(field_id as string) as name, x0 || ',' || y0 as first, 5 as points from fx_fields union all select distinct source, 'head', '', 0 from fx_fields union all select distinct source, 'tail', '', 0 from fx_fields", "fx_fields"))
 def sink_kml(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A document for each result file, written and read again by lines."""

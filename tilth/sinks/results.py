@@ -91,6 +91,31 @@ def summary_json(summary: DataFrame) -> DataFrame:
     return summary.select(F.to_json(F.struct(*summary.columns), {"ignoreNullFields": "false"}).alias("value"))
 
 
+def write_exports_json(summary: DataFrame, path: str, order: Sequence[str] = ("source",)) -> None:
+    """One document ``{"exports": [...]}`` with an object per row, in order of columns that name a row.
+
+    It is a sorted stream of lines from head to tail, so the list is never one value.
+    """
+    own = F.to_json(F.struct(*summary.columns), {"ignoreNullFields": "false"})
+    first = summary.agg(F.min(F.struct(*order))).scalar()
+    rows = summary.select(F.lit(1).alias("part"), F.struct(*order).alias("key"), own.alias("value"))
+    rows = rows.withColumn("value", F.concat(F.when(F.col("key") == first, "").otherwise(","), F.col("value")))
+    line = lambda part, text: summary.sparkSession.range(1).select(F.lit(part).alias("part"), F.lit(None).cast(rows.schema["key"].dataType).alias("key"), F.lit(text).alias("value"))
+    lines = rows.unionByName(line(0, '{"exports": [')).unionByName(line(2, "]}"))
+    lines.repartition(1).sortWithinPartitions("part", "key").select("value").write.mode("overwrite").text(path)
+
+
+def run_summaries(ledger: DataFrame) -> DataFrame:
+    """(run_id, value): a JSON object per run with the last state of its steps, in order of their start.
+
+    ``ledger`` has a row per run and step; a run has few steps.
+    """
+    step = F.struct(F.col("step").alias("name"), "status", F.date_format("started_at", "yyyy-MM-dd'T'HH:mm:ss").alias("started_at"), "duration_seconds")
+    runs = ledger.groupBy("run_id").agg(F.array_sort(F.collect_list(F.struct("started_at", "seq", step.alias("s")))).alias("all"), F.sum("failures").alias("failures"))
+    status = F.when(F.col("failures") > 0, "failed").otherwise("completed")
+    return runs.select("run_id", F.to_json(F.struct("run_id", status.alias("status"), F.col("all.s").alias("steps")), {"ignoreNullFields": "false"}).alias("value"))
+
+
 def cards(summary: DataFrame, root: str) -> DataFrame:
     """Gallery cards: title, image, links where present, text."""
     at = lambda name: relative_to(F.col("exports")[name], root)
