@@ -42,8 +42,12 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def file_order(docs: DataFrame) -> list[Column]:
-    """The place of a row in the files of a written table; none for other frames."""
-    place = [F.col("_metadata.file_path"), F.col("_metadata.row_index")]
+    """The place of a row in the files of a written table; none for other frames.
+
+    Files are in the order of their numbers, which have more than five digits from the hundred thousandth file on.
+    """
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).try_cast("long")
+    place = [number, F.col("_metadata.file_path"), F.col("_metadata.row_index")]
     try:
         docs.select(*place)
     except AnalysisException:  # not read from files

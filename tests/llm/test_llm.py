@@ -853,6 +853,14 @@ def test_packing_follows_the_mix(spark, many_tasks):
     assert len(set(run.values())) > 1 and all(run[i - 1] <= run[i] for i in range(1, 400))
 
 
+def test_files_past_a_hundred_thousand_keep_their_order(spark, tmp_path):
+    for i, name in enumerate(("part-99999-a.parquet", "part-100000-a.parquet", "part-100001-a.parquet")):
+        spark.createDataFrame([(i,)], "doc_id long").toPandas().to_parquet(tmp_path / name)
+    d = spark.read.parquet(str(tmp_path))
+    assert [r["doc_id"] for r in d.orderBy(*corpus_pipeline.file_order(d)).collect()] == [0, 1, 2]
+    assert corpus_pipeline.file_order(spark.range(3)) == []
+
+
 def test_pipeline_stages(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "minhash_near_dedup", "secret_scan", "source_mixing", "packing"]
     out = corpus_pipeline.run(spark, SF)
