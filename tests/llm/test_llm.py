@@ -322,6 +322,20 @@ def test_urls_equal_brute_force(spark, monkeypatch, limit):
         assert tuple(r)[1:] == brute_judge((URLS + URLS)[r["page_id"]], rules)
 
 
+def test_ten_thousand_rule_shapes(spark):
+    shape = spark.range(10_000).select(F.concat(F.lit("h"), F.expr("repeat('a', cast(id % 100 as int))"), F.lit(".com")).alias("host"), F.concat(F.lit("/"), F.expr("repeat('b', cast(id div 100 as int))")).alias("path"), F.lit("block").alias("verdict"))
+    urls = [f"http://x.h{'a' * (i % 120)}.com/{'b' * (i % 130)}{'/c' * (i % 2)}" for i in range(400)] + ["http://" + "a." * 20_000 + "ha.com/b" + "b" * 50_000]
+    start = time.perf_counter()
+    got = urlfilter.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), shape).select("row.page_id", "rule", "verdict").collect()
+    assert time.perf_counter() - start < 60 and len(got) == len(urls)
+    for r in got[:400]:
+        i = r["page_id"]
+        if i < 400:
+            n, m = i % 120, min(i % 130, 99)
+            assert (r["rule"], r["verdict"]) == ((f"h{'a' * n}.com/{'b' * m}", "block") if n < 100 else (None, "allow"))
+    assert {r["page_id"]: r["rule"] for r in got}[400] == "ha.com/" + "b" * 99
+
+
 def test_urls_without_rules(spark):
     d = spark.createDataFrame([(1, "http://a/b")], "page_id long, url string")
     assert urlfilter.judge(d, urlfilter.rules_frame(spark, [("x", "/", "block")]).limit(0)).first()["verdict"] == "allow"

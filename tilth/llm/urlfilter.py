@@ -1,11 +1,12 @@
 """URL filters: rules on host suffixes and path prefixes.
 
-Every URL is expanded into the (host suffix, path prefix) expressions whose
-lengths some rule has; suffixes start at a label, prefixes anywhere.  Expressions
-meet the rules in an equi-join on a short prefix of their SHA-256, full digests
-confirm the match, and the longest rule that fits decides.  Lengths come from
-the rules, so a URL makes at most as many expressions as there are distinct
-rule shapes, however long it is.
+Every URL is expanded into its host suffixes, at labels and of lengths that some rule has.  They meet the
+rules' hosts in an equi-join on a short prefix of their SHA-256, and full digests confirm.  A host that was met
+brings the lengths of its own rules' paths; with these the URL is expanded into (host suffix, path prefix)
+expressions, which meet the rules in the same way, and the longest rule that fits decides.  So a URL is hashed once per label and
+once per path length of the hosts that it is under, whatever shapes the other rules have.
+
+Only ids travel with the expressions; verdicts are joined back to the pages.
 
 Defined results: a null URL or one without ``://`` has an empty host and path and
 fits no rule; the longest rule wins, among equally long ones that with the longer
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilth.llm.text import ascii_lower
+from tilth.scratch import materialize
 
 #: (host, path, verdict)
 Rule = tuple[str, str, str]
@@ -46,47 +48,48 @@ def rule_table(rules: DataFrame) -> DataFrame:
     r = rules.select(ascii_lower(F.col("host")).alias("host"), "path", "verdict").groupBy("host", "path").agg(F.max("verdict").alias("verdict"))  # block > allow
     rule = F.concat("host", "path")
     precedence = (F.length(rule).cast("long") * 65536 + F.length("host")) * 2 + (F.col("verdict") == "block").cast("long")
-    return r.select(rule.alias("rule"), F.col("verdict").alias("rule_verdict"), precedence.alias("precedence"), F.sha2(F.concat_ws("\n", "host", "path"), 256).alias("rule_digest"), F.length("host").alias("host_length"), F.length("path").alias("path_length"))
+    return r.select(F.col("host").alias("rule_host"), rule.alias("rule"), F.col("verdict").alias("rule_verdict"), precedence.alias("precedence"), F.sha2(F.concat_ws("\n", "host", "path"), 256).alias("rule_digest"), F.length("host").alias("host_length"), F.length("path").alias("path_length"))
+
+
+def _meeting(expressions: DataFrame, known: DataFrame, few: bool) -> DataFrame:
+    """Expressions (uid, digest, ...) with the row of ``known`` (known_digest, ...) of equal digest."""
+    short = known.withColumn("short", _short(F.col("known_digest")))
+    asked = expressions.withColumn("short", _short(F.col("digest")))
+    if few:
+        met = asked.join(F.broadcast(short), "short")
+    else:
+        # a host with a third of all pages repeats its expressions: deal them out
+        asked = asked.withColumn("salt", F.pmod(F.col("uid"), F.lit(SALTS)).cast("int"))
+        met = asked.join(short.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["short", "salt"]).drop("salt")
+    return met.filter("digest = known_digest").drop("short", "digest")
 
 
 def judge(pages: DataFrame, rules: DataFrame, *, url: str = "url", default: str = "allow") -> DataFrame:
     """One row per page: ``row`` (its columns), host, path, rule, verdict.
 
-    The shapes of the rules are collected: at most the distinct lengths of hosts
-    and paths, not the rules.  A page's row id is made in the task that expands
-    it and only groups that task's own rows again.
+    The driver gets the distinct lengths of the rules' hosts and the number of rules.
     """
-    table = rule_table(rules)
-    shapes = table.select("host_length", "path_length").distinct().collect()
+    table = materialize(rule_table(rules), "url-rules")
+    sizes = sorted(r[0] for r in table.select("host_length").distinct().collect())  # at most the longest host
     n_rules = table.count()
     page = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("row"), F.col(f"`{url}`").alias("url"))
     page = page.select(F.monotonically_increasing_id().alias("uid"), "row", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
     if not n_rules:
         return page.select("row", "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
-
+    page, few = materialize(page, "url-pages"), n_rules <= BROADCAST_RULES
     host, path = F.col("host"), F.col("path")
-    made = []
-    for h, p in sorted((s["host_length"], s["path_length"]) for s in shapes):
-        at_label = (F.length(host) == h) | ((F.length(host) > h) & (F.substring(host, -h - 1, 1) == "."))
-        suffix = F.substring(host, -h, h) if h else F.lit("")
-        made.append(F.when(at_label & (F.length(path) >= p), F.sha2(F.concat_ws("\n", suffix, F.substring(path, 1, p)), 256)))
-    digests = page.withColumn("digest", F.explode_outer(F.array_compact(F.array(*made))))
-    digests = digests.withColumn("short", _short(F.col("digest")))
-    short_rules = table.select(_short(F.col("rule_digest")).alias("short"), "rule_digest", "precedence")
-    if n_rules <= BROADCAST_RULES:
-        met = digests.join(F.broadcast(short_rules), "short", "left")
-    else:
-        # a host with a third of all pages repeats its expressions: deal them out
-        digests = digests.withColumn("salt", F.pmod(F.col("uid"), F.lit(SALTS)).cast("int"))
-        short_rules = short_rules.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        met = digests.join(short_rules, ["short", "salt"], "left")
-    confirmed = F.when(F.col("digest") == F.col("rule_digest"), F.col("precedence"))
-    fit = F.struct(confirmed.alias("precedence"), F.when(confirmed.isNotNull(), F.col("rule_digest")).alias("rule_digest"))
-    best = met.groupBy("uid").agg(*[F.any_value(c).alias(c) for c in ("row", "host", "path")], F.max(fit).alias("best"))
-    facts = table.select("rule_digest", "rule", "rule_verdict")
-    best = best.select("row", "host", "path", F.col("best.rule_digest").alias("rule_digest"))
-    joined = best.join(F.broadcast(facts) if n_rules <= BROADCAST_RULES else facts, "rule_digest", "left")
-    return joined.select("row", "host", "path", "rule", F.coalesce("rule_verdict", F.lit(default)).alias("verdict"))
+    at_label = lambda h: (F.length(host) == h) | ((F.length(host) > h) & (F.substring(host, -h - 1, F.lit(1)) == "."))
+    fits = F.filter(F.array(*map(F.lit, sizes)), at_label)
+    suffixes = page.select("uid", "path", F.explode(F.transform(fits, lambda h: F.when(h > 0, F.substring(host, -h, h)).otherwise(""))).alias("suffix"))
+    digest = lambda *parts: F.sha2(F.concat_ws("\n", *parts), 256)
+    hosts = table.groupBy(F.sha2("rule_host", 256).alias("known_digest")).agg(F.collect_set("path_length").alias("lengths"))
+    under = _meeting(suffixes.withColumn("digest", F.sha2("suffix", 256)), hosts, few)
+    under = under.select("uid", "path", "suffix", F.explode(F.filter("lengths", lambda p: p <= F.length(path))).alias("size"))
+    prefix = F.when(F.col("size") > 0, F.substring(path, F.lit(1), F.col("size"))).otherwise("")
+    known = table.select(F.col("rule_digest").alias("known_digest"), F.struct("precedence", "rule", "rule_verdict").alias("fit"))
+    met = _meeting(under.select("uid", digest("suffix", prefix).alias("digest")), known, few)
+    best = met.groupBy("uid").agg(F.max("fit").alias("fit"))
+    return page.join(best, "uid", "left").select("row", "host", "path", F.col("fit.rule").alias("rule"), F.coalesce("fit.rule_verdict", F.lit(default)).alias("verdict"))
 
 
 def rules_frame(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:
