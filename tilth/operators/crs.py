@@ -9,6 +9,8 @@ Other pairs raise.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -59,55 +61,92 @@ def _zone(srid: int | Column) -> tuple[float | Column, float | Column]:
     return math.radians((srid % 100) * 6 - 183), 1e7 if srid // 100 == 327 else 0.0
 
 
-def _to_utm(p: Column, srid: int | Column) -> Column:
+Step = Callable[[Column], Column]
+
+
+def _to_utm(srid: int | Column) -> list[Step]:
+    """Steps from 4326.  Each step's point is computed once, and the next one names it as often as it likes."""
     lon0, north = _zone(srid)
-    s, lam = F.sin(F.radians(p["y"])), F.radians(p["x"]) - lon0
-    t = F.sinh(F.atanh(s) - ECC * F.atanh(ECC * s))
-    xi, eta = F.atan2(t, F.cos(lam)), F.asinh(F.sin(lam) / F.sqrt(t * t + F.cos(lam) * F.cos(lam)))
-    x = eta + sum((a * F.cos(2 * j * xi) * F.sinh(2 * j * eta) for j, a in enumerate(_ALPHA, 1)), F.lit(0.0))
-    y = xi + sum((a * F.sin(2 * j * xi) * F.cosh(2 * j * eta) for j, a in enumerate(_ALPHA, 1)), F.lit(0.0))
-    return point(x * (0.9996 * _RECT) + 500000.0, y * (0.9996 * _RECT) + north)
 
+    def conformal(p: Column) -> Column:
+        s = F.sin(F.radians(p["y"]))
+        return point(F.radians(p["x"]) - lon0, F.sinh(F.atanh(s) - ECC * F.atanh(ECC * s)))
+
+    def sphere(p: Column) -> Column:
+        lam, t = p["x"], p["y"]
+        return point(F.asinh(F.sin(lam) / F.sqrt(t * t + F.cos(lam) * F.cos(lam))), F.atan2(t, F.cos(lam)))
+
+    def series(p: Column) -> Column:
+        eta, xi = p["x"], p["y"]
+        x = eta + sum((a * F.cos(2 * j * xi) * F.sinh(2 * j * eta) for j, a in enumerate(_ALPHA, 1)), F.lit(0.0))
+        y = xi + sum((a * F.sin(2 * j * xi) * F.cosh(2 * j * eta) for j, a in enumerate(_ALPHA, 1)), F.lit(0.0))
+        return point(x * (0.9996 * _RECT) + 500000.0, y * (0.9996 * _RECT) + north)
+
+    return [conformal, sphere, series]
 
-def _from_utm(p: Column, srid: int | Column) -> Column:
+
+def _from_utm(srid: int | Column) -> list[Step]:
     lon0, north = _zone(srid)
-    eta, xi = (p["x"] - 500000.0) / (0.9996 * _RECT), (p["y"] - north) / (0.9996 * _RECT)
-    x = eta - sum((b * F.cos(2 * j * xi) * F.sinh(2 * j * eta) for j, b in enumerate(_BETA, 1)), F.lit(0.0))
-    y = xi - sum((b * F.sin(2 * j * xi) * F.cosh(2 * j * eta) for j, b in enumerate(_BETA, 1)), F.lit(0.0))
-    chi = F.asin(F.sin(y) / F.cosh(x))
-    # conformal to geodetic latitude, to the fourth order in n
-    phi = chi + sum((d * F.sin(2 * j * chi) for j, d in enumerate((2 * _N - 2 * _N**2 / 3 - 2 * _N**3 + 116 * _N**4 / 45, 7 * _N**2 / 3 - 8 * _N**3 / 5 - 227 * _N**4 / 45, 56 * _N**3 / 15 - 136 * _N**4 / 35, 4279 * _N**4 / 630), 1)), F.lit(0.0))
-    return point(F.degrees(F.atan2(F.sinh(x), F.cos(y)) + lon0), F.degrees(phi))
+
+    def unit(p: Column) -> Column:
+        return point((p["x"] - 500000.0) / (0.9996 * _RECT), (p["y"] - north) / (0.9996 * _RECT))
+
+    def series(p: Column) -> Column:
+        eta, xi = p["x"], p["y"]
+        x = eta - sum((b * F.cos(2 * j * xi) * F.sinh(2 * j * eta) for j, b in enumerate(_BETA, 1)), F.lit(0.0))
+        y = xi - sum((b * F.sin(2 * j * xi) * F.cosh(2 * j * eta) for j, b in enumerate(_BETA, 1)), F.lit(0.0))
+        return point(x, y)
+
+    def conformal(p: Column) -> Column:
+        return point(F.atan2(F.sinh(p["x"]), F.cos(p["y"])) + lon0, F.asin(F.sin(p["y"]) / F.cosh(p["x"])))
+
+    def geodetic(p: Column) -> Column:
+        # conformal to geodetic latitude, to the fourth order in n
+        chi = p["y"]
+        phi = chi + sum((d * F.sin(2 * j * chi) for j, d in enumerate((2 * _N - 2 * _N**2 / 3 - 2 * _N**3 + 116 * _N**4 / 45, 7 * _N**2 / 3 - 8 * _N**3 / 5 - 227 * _N**4 / 45, 56 * _N**3 / 15 - 136 * _N**4 / 35, 4279 * _N**4 / 630), 1)), F.lit(0.0))
+        return point(F.degrees(p["x"]), F.degrees(phi))
+
+    return [unit, series, conformal, geodetic]
 
 
 def _is_utm(srid: int) -> bool:
     return srid // 100 in (326, 327) and 1 <= srid % 100 <= 60
 
 
-def point_to_crs(p: Column, source: int, target: int) -> Column:
-    """One (x, y) point; raises ValueError for a pair without a formula."""
+def _steps(source: int, target: int) -> list[Step]:
+    """Raises ValueError for a pair without a formula."""
     if source == target:
-        return p
-    if source != 4326:
-        if source == 3857:
-            geographic = _from_3857(p)
-        elif _is_utm(source):
-            geographic = _from_utm(p, source)
-        else:
-            raise ValueError(f"no transformation from EPSG:{source}")
-        return geographic if target == 4326 else point_to_crs(geographic, 4326, target)
+        return []
+    out: list[Step] = []
+    if source == 3857:
+        out = [_from_3857]
+    elif _is_utm(source):
+        out = _from_utm(source)
+    elif source != 4326:
+        raise ValueError(f"no transformation from EPSG:{source}")
     if target == 6933:
-        return _to_6933(p)
+        return [*out, _to_6933]
     if target == 3857:
-        return _to_3857(p)
+        return [*out, _to_3857]
     if _is_utm(target):
-        return _to_utm(p, target)
-    raise ValueError(f"no transformation to EPSG:{target}")
+        return [*out, *_to_utm(target)]
+    if target != 4326:
+        raise ValueError(f"no transformation to EPSG:{target}")
+    return out
+
+
+def point_to_crs(p: Column, source: int, target: int) -> Column:
+    """One (x, y) point; raises ValueError for a pair without a formula."""
+    return reduce(lambda q, step: step(q), _steps(source, target), p)
+
+
+def _moved(geom: Column, steps: Sequence[Step]) -> Column:
+    return reduce(map_points, steps, geom)
 
 
 def to_crs(geom: Column, source: int, target: int) -> Column:
     """Vertices only: edges stay straight between them."""
-    return geom if source == target else map_points(geom, lambda p: point_to_crs(p, source, target))
+    return _moved(geom, _steps(source, target))
 
 
 def known(srid: Column) -> Column:
@@ -120,14 +159,17 @@ def to_crs_by_row(geom: Column, srid: Column, target: int) -> Column:
 
     The zone of a UTM row is a pair of numbers computed from its code, so all zones share one expression.
     """
-    moved = lambda geographic: map_points(geom, lambda p: point_to_crs(geographic(p), 4326, target))
     utm = srid.between(32601, 32660) | srid.between(32701, 32760)
-    return F.when(srid == target, geom).when(srid == 4326, moved(lambda p: p)).when(srid == 3857, moved(_from_3857)).when(utm, moved(lambda p: _from_utm(p, srid)))
+    out = F.when(srid == target, geom)
+    for own in (4326, 3857):
+        if own != target:
+            out = out.when(srid == own, to_crs(geom, own, target))
+    return out.when(utm, _moved(geom, [*_from_utm(srid), *_steps(4326, target)]))
 
 
 def to_utm_by_row(geom: Column, srid: Column) -> Column:
     """From 4326 to the UTM zone of each row."""
-    return map_points(geom, lambda p: _to_utm(p, srid))
+    return _moved(geom, _to_utm(srid))
 
 
 def area_m2(geom: Column, srid: int | Column = 4326) -> Column:
