@@ -137,7 +137,8 @@ def _steps(source: int, target: int) -> list[Step]:
 
 def point_to_crs(p: Column, source: int, target: int) -> Column:
     """One (x, y) point; raises ValueError for a pair without a formula."""
-    return reduce(lambda q, step: step(q), _steps(source, target), p)
+    steps = _steps(source, target)
+    return F.get(reduce(F.transform, steps, F.array(p)), F.lit(0)) if steps else p
 
 
 def _moved(geom: Column, steps: Sequence[Step]) -> Column:
