@@ -199,7 +199,7 @@ def parcel_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     oracle(
-        f"""select source, srid, count(*) as feature_count, case when srid is not null then round(sum(area_ha), 2) end as total_area_ha, case when srid is not null then round(median(area_ha), 3) end as median_area_ha,
+        f"""select source, coalesce(cast(srid as varchar), 'none') as srid, count(*) as feature_count, case when srid is not null then round(sum(area_ha), 2) end as total_area_ha, case when srid is not null then round(median(area_ha), 3) end as median_area_ha,
         case when srid is null then 'no equal-area transformation from EPSG:none' end as area_error
         from (select field_id, source, case when field_id % 7 = 0 then null when field_id % 3 = 0 then 4326 when field_id % 3 = 1 then 32631 + cast(floor(x0 / 6) as int) else 32731 + cast(floor(x0 / 6) as int) end as srid from fx_fields) f
         join ({_AREA_SQL.replace('round(m2, 3)', 'm2').replace('round(m2 / 10000, 7)', 'm2 / 10000')}) a using (field_id) group by source, srid""",
@@ -214,7 +214,7 @@ def parcel_summary_by_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = fields(spark, sf_dir).withColumns({"layer": F.lit("parcels"), "srid": srid})
     f = f.withColumn("geom", F.when(_c("srid") > 32700, crs.to_utm_by_row(south, _c("srid"))).when(_c("srid") > 32600, crs.to_utm_by_row(_c("geom"), _c("srid"))).otherwise(_c("geom")))
     out = P.summary(f)
-    return out.select("source", "srid", "feature_count", F.round("total_area_ha", 2).alias("total_area_ha"), F.round("median_area_ha", 3).alias("median_area_ha"), "area_error")
+    return out.select("source", F.coalesce(_c("srid").cast("string"), F.lit("none")).alias("srid"), "feature_count", F.round("total_area_ha", 2).alias("total_area_ha"), F.round("median_area_ha", 3).alias("median_area_ha"), "area_error")
 
 
 @query(oracle("select concat('s', cast(aoi_id % 7 as string)) as source, count(*) as features, count(*) filter (kind = 'polygon') as usable, case when aoi_id % 7 = 3 then 'no CRS' when count(*) filter (kind = 'polygon') = 0 then 'no usable geometry' end as problem from fx_aoi group by aoi_id % 7", "fx_aoi"))
@@ -261,14 +261,14 @@ def raster_clip_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.join(F.broadcast(size), (_c("px") >= 0) & (_c("px") < _c("width")) & (_c("py") >= 0) & (_c("py") < _c("height"))).select("band", "px", "py", "value")
 
 
-@query(oracle("select vec_id as raster_id, case when vec_id % 3 = 0 then 1.0e0 end as ox, case when vec_id % 3 = 0 then 6.0e0 end as oy, case when vec_id % 3 = 0 then 6 end as width, case when vec_id % 3 = 0 then 5 end as height, 3 as bands, case vec_id % 3 when 1 then 'the AOI does not overlap the raster' when 2 then 'no AOI' end as problem from embeddings"))
+@query(oracle("select vec_id as raster_id, case when vec_id % 3 = 0 then 1.0e0 end as ox, case when vec_id % 3 = 0 then 6.0e0 end as oy, case when vec_id % 3 = 0 then 6 else -1 end as width, case when vec_id % 3 = 0 then 5 else -1 end as height, 3 as bands, case vec_id % 3 when 1 then 'the AOI does not overlap the raster' when 2 then 'no AOI' end as problem from embeddings"))
 def raster_clip_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Headers of the clipped chips: the AOI of a third is beside the raster, another third has none."""
     m = chip_meta(spark, sf_dir).withColumn("band_names", F.array(*[F.lit(b) for b in ("B04", "B03", "B02")]))
     x = F.when(_c("raster_id") % 3 == 1, 100.0).otherwise(0.0)
     a = m.filter("raster_id % 3 < 2").select("raster_id", G.polygon((x + 1.75, F.lit(1.5)), (x + 6.25, F.lit(1.5)), (x + 4.0, F.lit(6.0))).alias("geom"))
     out = K.clipped_meta(m, a)
-    return out.select("raster_id", "ox", "oy", _c("width").cast("int").alias("width"), _c("height").cast("int").alias("height"), F.size("band_names").alias("bands"), "problem")
+    return out.select("raster_id", "ox", "oy", *[F.coalesce(_c(c).cast("int"), F.lit(-1)).alias(c) for c in ("width", "height")], F.size("band_names").alias("bands"), "problem")
 
 
 @query(f"{_SEGMENTS} select raster_id, px, py, parcel from parcels")
