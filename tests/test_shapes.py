@@ -275,3 +275,18 @@ def test_summary_says_which_areas_failed(spark):
     assert got["b", 32631]["area_error"] is None and got["b", None]["area_error"].endswith("EPSG:none") and got["b", None]["total_area_ha"] is None
     assert got["c", 4326]["total_area_ha"] is None and got["c", 4326]["area_error"] == "1 of 1 features have no area"
     assert {r["area_error"] for r in parcels.summary(f, 4326).filter("source = 'b'").collect()} == {None}
+
+
+# -- scratch tables
+
+
+def test_replaced_tables_are_deleted(spark):
+    from pathlib import Path
+
+    from tilth.scratch import materialize, replaced
+
+    place = lambda df: Path(df.scratch.removeprefix("file://").removeprefix("file:"))
+    one = materialize(spark.range(5), "scratch-test")
+    assert place(one).exists() and spark.sparkContext.applicationId in one.scratch
+    two = replaced(one, one.filter("id > 1"), "scratch-test")
+    assert not place(one).exists() and sorted(r["id"] for r in two.collect()) == [2, 3, 4]
