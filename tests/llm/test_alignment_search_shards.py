@@ -91,25 +91,24 @@ class Whole:
         return out
 
 
+_WHOLE = Whole()
+
+
 @pytest.fixture(scope="module")
 def whole():
-    return Whole()
+    return _WHOLE
 
 
 @settings(max_examples=150, deadline=None)
 @given(st.text(st.one_of(st.sampled_from(" \n\t\r 　\x1c'sdt▁<>|ab1.éé漢\U0001f600"), st.characters(exclude_categories=["Cs"])), max_size=60))
 def test_cells_align_as_the_whole_text(text):
-    w, own = Whole.__new__(Whole), alignment.aligner(A, B)
-    w.__dict__.update(_WHOLE.__dict__)
-    want = w.groups(text)
+    own = alignment.aligner(A, B)
+    want = _WHOLE.groups(text)
     n_a, n_b, groups, links = next(own.documents([text]))
     assert groups.decode() == ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in want)
     assert (n_a, n_b, len(links)) == (sum(len(a) for a, _ in want), sum(len(b) for _, b in want), len(want))
 
 
-_WHOLE = Whole()
-
-
 @pytest.mark.parametrize("at_once", [alignment.PAIRS_AT_ONCE, 20])
 def test_alignment_equals_brute_force(docs, whole, at_once):
     aligned = materialize(alignment.align_documents(docs, A, B), "test-aligned")
@@ -292,7 +291,6 @@ def test_a_group_of_a_third_leaves_the_others_equal(spark):
     assert len(by) == 20 and max(by.values()) == 12_000
     rest = sorted(by.values())[:-1]
     assert rest[-1] - rest[0] <= 12
-    # one range sort places all rows; the copies are in more tasks than one
     assert rows.count() == out.count()
 
 
