@@ -35,7 +35,7 @@ from tilth.scratch import materialize
 
 SCHEMA = "doc_id long, n_a long, n_b long, n_groups long, groups string, pairs array<long>, times array<int>"
 #: Cells, and the longest of them in characters, that a worker remembers.
-REMEMBERED, LONGEST = 300_000, 48
+REMEMBERED, LONGEST = 200_000, 48
 #: Bytes of groups in one batch of results.
 OUT_BYTES = 16 << 20
 #: Counted pairs of ids that a worker holds at once.
