@@ -819,7 +819,7 @@ def test_kneser_ney_sums_to_one(spark):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_queries_equal_sql(spark, name):
     db = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark"):
         db.execute(f"create view {t} as select * from '{SF}/{t}.parquet{'/*.parquet' if __import__('os').path.isdir(f'{SF}/{t}.parquet') else ''}'")
     got, want = QUERIES[name](spark, SF), db.execute(ORACLES[name])
     cols = sorted(got.columns)
