@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import math
+import random
 import re
 import time
 import zlib
@@ -520,12 +521,12 @@ def test_licenses_equal_brute_force(spark, empty):
         licenses.scan(d, templates=[])
 
 
-def brute_windows(text):
+def brute_windows(text, templates=licenses.TEMPLATES):
     """The best Dice and the license of any window, with its first line, by trying all of them."""
     at = [(w, k) for k, line in enumerate(text.split("\n")) for w in re.sub(r"[\W_]+", " ", line.lower()).split()]
     grams = [(a[0], b[0]) for a, b in zip(at, at[1:])]
     best = None
-    for name, notice in licenses.TEMPLATES:
+    for name, notice in templates:
         norm = re.sub(r"[\W_]+", " ", notice.lower()).split()
         b = set(zip(norm, norm[1:]))
         for i in range(len(grams)):
@@ -555,6 +556,40 @@ def test_wrapped_and_embedded_licenses(spark):
     assert [got[i]["license"] for i in range(2 * n)] == [name for name, _ in licenses.TEMPLATES] * 2 and got[2 * n]["license"] == "GPL-3.0" and got[2 * n + 1]["license"] is None
 
 
+def test_windows_over_repeated_and_shuffled_notices(spark):
+    """Few words in any order, so that windows hold bigrams many times and runs are longer than windows."""
+    templates = [("A", "a b a c a d b c d"), ("B", "a b c d a"), ("C", "x a b y c d x b")]
+    rng = random.Random(7)
+    texts = ["\n".join(" ".join(rng.choices("abcdxyz"[: rng.choice([2, 4, 7])], k=rng.randint(1, 9))) for _ in range(rng.randint(2, 12))) for _ in range(300)]
+    texts += ["\n".join([rng.choice(templates)[1]] * rng.randint(2, 9)) for _ in range(30)] + ["a b " * 40 + "\n" + t + " d\n" + "c a " * 30 for _, t in templates]
+    got = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), templates=templates)
+    for r in got.select("row.doc_id", "license", "dice", "line").collect():
+        t = texts[r["doc_id"]]
+        want = min(filter(None, [brute_windows(t, templates), *brute_units(t, templates)]), default=None)
+        assert (r["license"], r["dice"], r["line"]) == ((want[2], round(-want[0], 9), -1 if want[1] == 2**31 - 1 else want[1]) if want else (None, None, None)), t
+
+
+def brute_units(text, templates):
+    for k, line in [*enumerate(text.split("\n")), *([(2**31 - 1, text)] if "\n" in text else [])]:
+        w = line.split()
+        a = set(zip(w, w[1:]))
+        for name, notice in templates:
+            b = set(zip(notice.split(), notice.split()[1:]))
+            if a and 2 * len(a & b) / (len(a) + len(b)) >= 0.75:
+                yield -2 * len(a & b) / (len(a) + len(b)), k, name
+
+
+def test_a_text_of_a_thousand_licenses_takes_time_by_its_length(spark):
+    """A megabyte in one row; each window of all would be a billion comparisons."""
+    name, notice = max((t for t in licenses.TEMPLATES if t[0] == "MIT"), key=lambda t: len(t[1]))
+    many = "\n".join(notice.replace("Software", f"Software{i % 7}", 1) for i in range(1000))
+    d = spark.createDataFrame([(0, many), (1, many.replace("\n", " "))], "doc_id long, text string")
+    start = time.monotonic()
+    got = licenses.scan(d).select("row.doc_id", "license", "dice", "line").collect()
+    assert [(r["license"], r["line"]) for r in got] == [(name, 0)] * 2 and all(r["dice"] > 0.97 for r in got)
+    assert time.monotonic() - start < 120
+
+
 def test_whole_license_texts(spark):
     """A license file as it is written: a head, a copyright line and wrapped paragraphs."""
     texts = {name: text for name, text in licenses.TEMPLATES if name in ("MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC", "Zlib")}  # the last of a name is whole

@@ -6,8 +6,9 @@ for the threshold is pruned before any bigram is compared.  Notices that are
 wrapped over lines or stand inside a longer text are found by windows of
 consecutive words: trimming a window to the template's first and last bigram in it
 never lowers its Dice, so all windows that begin and end at one are all that count.
-A window takes at most as many bigrams as the threshold allows, and starts without
-enough of the template's bigrams ahead are skipped.  Everything is a column
+A window takes at most as many bigrams as the threshold allows, and runs of the template's
+bigrams without enough of them ahead are skipped.  Two pointers with running counts of distinct
+bigrams go through each run, so a text that repeats a license takes time by its length.  Everything is a column
 expression on the row, so nothing is shuffled; the templates are part of the plan,
 and their number is checked.
 
@@ -106,46 +107,89 @@ def _line_at(text: Column, word: Column) -> Column:
     return F.reduce(F.split(text, "\n"), start, lambda acc, line: F.when(acc["seen"] > word, acc).otherwise(after(acc, line)), lambda acc: acc["line"])
 
 
+def _links(grams: Column) -> Column:
+    """Of each bigram of a text, in order: its hash, and where the same one stands before (or -1) and after."""
+    by_gram = F.array_sort(F.transform(grams, lambda g, i: F.struct(g.alias("gram"), i.alias("at"))))
+
+    def beside(own: Column, there: Column, none: int) -> Column:
+        return F.when(there["gram"] == own["gram"], there["at"]).otherwise(F.lit(none))
+
+    def linked(every: Column) -> Column:
+        return F.transform(every, lambda x, j: F.struct(x["at"].alias("at"), x["gram"].alias("gram"), F.coalesce(beside(x, F.get(every, j - 1), -1), F.lit(-1)).alias("prev"), F.coalesce(beside(x, F.get(every, j + 1), 2**31 - 1), F.lit(2**31 - 1)).alias("next")))
+
+    return F.array_sort(_let(by_gram, linked))
+
+
+def _runs(own: Column, t: Column) -> Column:
+    """Runs of neighbouring bigrams of a template, from and to, that may begin a window with enough of its bigrams."""
+    apart = lambda a, b: F.coalesce(b["at"] - a["at"] != 1, F.lit(True))
+    firsts = F.filter(F.transform(own, lambda h, k: F.when(apart(F.get(own, k - 1), h), F.struct(k.alias("k"), h["at"].alias("at")))), lambda x: x.isNotNull())
+    lasts = F.filter(F.transform(own, lambda h, k: F.when(apart(h, F.get(own, k + 1)), h["at"])), lambda x: x.isNotNull())
+    runs = F.zip_with(firsts, lasts, lambda x, y: F.struct(x["k"].alias("k"), x["at"].alias("from"), y.alias("to")))
+    return F.filter(runs, lambda r: F.coalesce(F.get(own, r["k"] + t["need"] - 1)["at"] - r["to"] < t["span"], F.lit(False)))
+
+
+def _best_of_runs(links: Column, t: Column, runs: Column) -> Column:
+    """The best dice of the windows that begin in the runs, and the first start that has it.
+
+    Two pointers go through each run: the end moves on by one bigram, and the start stays at the run's first
+    until the window is as long as it may be, then follows.  Starts in between need not be tried: a window that
+    begins after a neighbouring bigram of the template gets no worse if it begins there.  A bigram counts when it enters
+    a window that does not hold it, and no longer when it leaves one that holds it once.
+    """
+    one = lambda condition: F.when(condition, 1).otherwise(0)
+
+    def step(acc: Column, e: Column, run: Column) -> Column:
+        start = F.greatest(run["from"], e - t["span"] + 1)
+        leaving = F.get(links, F.when(e - t["span"] >= run["from"], e - t["span"]))
+        entering = F.get(links, e)
+        enters, leaves = entering["prev"] < start, F.coalesce(leaving["next"] >= e, F.lit(False))
+        size = acc["size"] + one(enters) - one(leaves)
+        both = acc["both"] + one(enters & F.array_contains(t["grams"], entering["gram"])) - one(leaves & F.array_contains(t["grams"], leaving["gram"]))
+        return F.struct(size.alias("size"), both.alias("both"), start.alias("start"), acc["dice"].alias("dice"), acc["at"].alias("at"))
+
+    def judged(acc: Column) -> Column:
+        dice = 2.0 * acc["both"] / (acc["size"] + t["size"])
+        better = dice > acc["dice"]
+        return F.struct(acc["size"].alias("size"), acc["both"].alias("both"), acc["start"].alias("start"), F.when(better, dice).otherwise(acc["dice"]).alias("dice"), F.when(better, acc["start"]).otherwise(acc["at"]).alias("at"))
+
+    def state(dice: Column, at: Column) -> Column:
+        return F.struct(F.lit(0).alias("size"), F.lit(0).alias("both"), F.lit(0).alias("start"), dice.alias("dice"), at.alias("at"))
+
+    def of_run(best: Column, run: Column) -> Column:
+        ends = F.sequence(run["from"], F.least(F.size(links), run["to"] + t["span"]) - 1)
+        return F.reduce(ends, state(best["dice"], best["at"]), lambda acc, e: _let(step(acc, e, run), judged))
+
+    return F.reduce(runs, state(F.lit(0.0), F.lit(0)), of_run)
+
+
 def _windows(text: Column, known: Sequence[tuple[str, list[int]]], threshold: float) -> Column:
-    """The best windows of the text that meet the threshold: dice, first (minus the line), name."""
+    """Of each template, the best window of the text that meets the threshold: dice, first (minus the line), name."""
     ratio = threshold / (2 - threshold)
     # at least so many of its bigrams are in a window that matches, and at most so many bigrams are in it
     literal = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(len(g)).alias("size"), F.lit(max(1, math.ceil(len(g) * ratio - 1e-9))).alias("need"), F.lit(math.floor(len(g) / ratio + 1e-9)).alias("span"), F.array(*[F.lit(x).cast("long") for x in g]).alias("grams")) for name, g in known])
     every = sorted({x for _, g in known for x in g})
-    kind = "array<struct<dice:double,at:int,name:string>>"
-    nothing = F.array().cast(kind)
+    nothing = F.array().cast("array<struct<dice:double,at:int,name:string>>")
+    least = min(math.ceil(len(g) * ratio - 1e-9) for _, g in known)
 
-    def between(grams: Column, own: Column, t: Column, k: Column, j: Column) -> Column:
-        start, length = F.get(own, k)["at"], F.get(own, j)["at"] - F.get(own, k)["at"] + 1
-        both = F.size(F.array_distinct(F.transform(F.slice(own, k + 1, j - k + 1), lambda h: h["gram"])))
-        size = F.size(F.array_distinct(F.slice(grams, start + 1, length)))
-        return F.struct((2.0 * both / (size + t["size"])).alias("dice"), start.alias("at"), t["name"].alias("name"))
-
-    def of_template(grams: Column, own: Column, t: Column) -> Column:
-        def from_start(k: Column) -> Column:
-            ends = F.filter(F.sequence(k + t["need"] - 1, F.least(F.size(own), k + t["span"]) - 1), lambda j: F.get(own, j)["at"] - F.get(own, k)["at"] < t["span"])
-            return F.filter(F.transform(ends, lambda j: between(grams, own, t, k, j)), lambda m: m["dice"] >= threshold)
-
-        def starts() -> Column:
-            return F.filter(F.sequence(F.lit(0), F.size(own) - t["need"]), lambda k: F.get(own, k + t["need"] - 1)["at"] - F.get(own, k)["at"] < t["span"])
-
-        return F.when(F.size(own) >= t["need"], F.flatten(F.transform(starts(), from_start)).cast(kind)).otherwise(nothing)
+    def met(links: Column, some: Column) -> Column:
+        best = F.transform(some, lambda x: _let(_best_of_runs(links, x["t"], x["runs"]), lambda m: F.struct(m["dice"].alias("dice"), m["at"].alias("at"), x["t"]["name"].alias("name"))))
+        return F.filter(best, lambda m: m["dice"] >= threshold)
 
     def of_hits(grams: Column, hits: Column) -> Column:
-        def compared(t: Column) -> Column:
-            return _let(F.filter(hits, lambda h: F.array_contains(t["grams"], h["gram"])), lambda own: of_template(grams, own, t))
+        def with_runs(t: Column) -> Column:
+            own = F.filter(hits, lambda h: F.array_contains(t["grams"], h["gram"]))
+            return _let(own, lambda own: F.struct(t.alias("t"), F.when(F.size(own) >= t["need"], _runs(own, t)).alias("runs")))
 
-        least = min(math.ceil(len(g) * ratio - 1e-9) for _, g in known)
-        return F.when(F.size(hits) >= least, F.flatten(F.transform(literal, compared))).otherwise(nothing)
+        some = F.filter(F.transform(literal, with_runs), lambda x: F.size(x["runs"]) > 0)
+        found = lambda some: F.when(F.size(some) > 0, _let(_links(grams), lambda links: met(links, some))).otherwise(nothing)
+        return F.when(F.size(hits) >= least, _let(some, found)).otherwise(nothing)
 
     def of_grams(grams: Column) -> Column:
         hits = F.filter(F.transform(grams, lambda g, i: F.when(g.isin(every), F.struct(i.alias("at"), g.alias("gram")))), lambda h: h.isNotNull())
         return _let(hits, lambda h: of_hits(grams, h))
 
-    def best_of(found: Column) -> Column:
-        return _let(F.array_max(F.transform(found, lambda m: m["dice"])), lambda top: F.filter(found, lambda m: m["dice"] == top))
-
-    best = _let(_let(words(text), lambda w: _let(_in_order(w), of_grams)), best_of)
+    best = _let(_let(words(text), lambda w: _let(_in_order(w), of_grams)), lambda found: F.filter(found, lambda m: m["dice"] == F.array_max(F.transform(found, lambda x: x["dice"]))))
     return F.transform(best, lambda m: F.struct(m["dice"].alias("dice"), (-_line_at(text, m["at"])).alias("first"), m["name"].alias("name")))
 
 
