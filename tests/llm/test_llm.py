@@ -817,17 +817,42 @@ def test_pieces_hold_the_ngrams_of_the_stream(text, order, part):
     assert got == want
 
 
-@pytest.mark.parametrize("entries", [quality.MODEL_ENTRIES, 0])
-def test_bits_equal_brute_force_at_every_size(spark, entries):
-    """With the model in the tasks, and with joins instead, where it has more than ``entries`` entries."""
+@pytest.mark.parametrize("shard,held", [(quality.SHARD_ENTRIES, quality.HELD_ENTRIES), (40, 100)])
+def test_bits_equal_brute_force_at_every_size(spark, shard, held):
+    """With one shard of the model, and with many of which a worker holds two or three."""
     rows = [(lang, prose(lang, i, 25 + i)) for i, lang in enumerate(["en", "de", "fr"] * 6)]
     rows += [(None, prose("en", 50, 30)), (None, prose("fr", 51, 30)), ("", prose("de", 52, 30)), ("en", None), ("de", ""), ("rare", "a b c d " * 6), ("en", "Twice TWICE " * 20)]
     d = spark.createDataFrame([(i % 20, *r) for i, r in enumerate(rows)], "doc_id long, lang string, text string").coalesce(1)
-    out = quality.judge(d, entries=entries).collect()
+    out = quality.judge(d, shard=shard, held=held).collect()
     want = Counter((lang, len(WORDS.findall(text or "")), None if bits is None else round(bits, 3)) for (lang, text), bits in zip(rows, brute_bits(rows, quality.ORDER)))
     assert Counter((r["lang"], r["n_words"], None if r["bits"] is None else round(r["bits"], 3)) for r in out) == want
 
 
+def test_verdicts_equal_brute_force(spark):
+    """Base rules, quartiles by language, bands and verdicts, all recomputed from the texts."""
+    rng = random.Random(3)
+    rows = [(lang, prose(lang or "fr", i, 25 + i % 40)) for i, lang in enumerate(["en", "de", None] * 20)]
+    rows += [("en", "".join(rng.sample(prose("en", i, 40), 200))) for i in range(90, 93)] + [("de", prose("fr", 95, 40)), ("en", "too short"), ("en", "one two " * 30), ("de", None)]
+    out = quality.judge(spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, lang string, text string"), band=1.0).collect()
+    bits = brute_bits(rows, quality.ORDER)
+    words = [WORDS.findall(text or "") for _, text in rows]
+
+    def repeats(w):
+        seen = Counter(tuple(w[i : i + 8]) for i in range(len(w) - 7))
+        return len({i + k for i in range(len(w) - 7) if seen[tuple(w[i : i + 8])] > 1 for k in range(8)})
+
+    failed = [len(w) < 20 or 100 * repeats(w) > 30 * len(w) for w in words]
+    bands = {}
+    for lang in {x for x, _ in rows}:
+        own = sorted(b for (x, _), b, f in zip(rows, bits, failed) if x == lang and not f)
+        low, high = own[math.ceil(len(own) / 4) - 1], own[math.ceil(3 * len(own) / 4) - 1]
+        bands[lang] = (low - (high - low), high + (high - low))
+    want = {i: not f and bands[lang][0] <= b <= bands[lang][1] for i, ((lang, _), b, f) in enumerate(zip(rows, bits, failed))}
+    assert {r["doc_id"]: r["base_failed"] for r in out} == dict(enumerate(failed))
+    assert {r["doc_id"]: r["kept"] for r in out} == want
+    assert any(want.values()) and any(not want[i] and not failed[i] for i in want)
+
+
 def test_kneser_ney_sums_to_one(spark):
     found = quality.pieces(["abc abc abd b cab abc dd cab abc abc abd cab"], 3)
     table = quality.kneser_ney(spark.createDataFrame([("en", p, n) for p, n in found.items()], "lang string, piece string, n long"), 3).toPandas()

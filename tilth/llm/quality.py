@@ -16,10 +16,10 @@ Each language has a lower and an upper band, quartiles of its own scores
 widened by ``BAND`` times their distance; texts outside it are rejected.  All
 documents take part in the counts and in the bands, and both follow the input.
 
-The model is broadcast only up to ``MODEL_ENTRIES`` entries.  Past that, the distinct pieces
-are scored by a join with the n-grams and the documents' pieces by a join with those, of
-the same order and with the same scores; as the documents are what the model counts,
-every n-gram of theirs has a probability of its own there.
+The arrays are sorted by kind, language and hash and cut into shards of about ``SHARD_ENTRIES``
+entries, a file each in the shared scratch folder.  Tasks know where each shard begins and read
+those that their texts ask for; a worker holds at most ``HELD_ENTRIES`` of them and lets the one go that was
+used longest ago.  So neither the driver nor any task holds the whole model, whatever its size.
 
 Defined results: a null text has no words, zero counts and fails the base rules;
 a null language is a language of its own, and so is an empty one; a language whose scores are all alike
@@ -39,16 +39,20 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tilth.llm import shingles as S
-from tilth.llm.text import bound_batches
-from tilth.scratch import materialize
+from tilth.llm.text import bound_batches, hold_worker
+from tilth.llm.warc import store
+from tilth.scratch import discard, materialize
 
 ORDER = 4
-MODEL_ENTRIES = 8_000_000
+#: Entries of a shard of the model, and of the shards that a worker holds (12 bytes each).
+SHARD_ENTRIES = 1 << 20
+HELD_ENTRIES = 8 << 20
 #: Of the labelled documents of sf0.1 that pass the base rules, 13 % of the poor and 0.9 % of the good are
 #: outside; of texts of shuffled or random letters all are, of shuffled words 5 %.
 BAND = 4.0
@@ -259,25 +263,59 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k in np.unique(sizes):
             at = np.flatnonzero(sizes == k)
             h[at] = _hashes(points, last[at], int(k), seeds[at])
-        yield pa.RecordBatch.from_arrays([batch.column("kind"), pa.array(h.view(np.int64)), pa.array(batch.column("value").to_numpy(zero_copy_only=False).astype(np.float32))], ["kind", "hash", "value"])
+        yield pa.RecordBatch.from_arrays([batch.column("kind"), pa.array(seeds.view(np.int64)), pa.array(h.view(np.int64)), pa.array(batch.column("value").to_numpy(zero_copy_only=False).astype(np.float32))], ["kind", "lang", "hash", "value"])
 
 
+@dataclass(frozen=True)
+class Slice:
+    """The sorted entries of one kind and language in a shard: where they begin and end, and their least hash."""
+
+    file: str
+    begin: int
+    end: int
+    least: int
+
+
+#: Shards that this worker read, by file; the one used last is last.
+_SHARDS: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _shard(file: str, held: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes and values of a shard, read if this worker does not hold it."""
+    found = _SHARDS.pop(file, None)
+    if found is None:
+        files, path = store(file)
+        with files.open_input_file(path) as f:
+            got = pq.ParquetFile(f).read(columns=["hash", "value"], use_threads=False)
+        found = got["hash"].to_numpy(), got["value"].to_numpy()
+        while _SHARDS and sum(len(x) for x, _ in _SHARDS.values()) + len(found[0]) > held:
+            del _SHARDS[next(iter(_SHARDS))]
+    _SHARDS[file] = found
+    return found
+
+
+@dataclass
 class Model:
-    """Sorted hash arrays by kind; see :func:`kneser_ney`."""
-
-    def __init__(self, order: int, kinds: np.ndarray, hashes: np.ndarray, values: np.ndarray):
-        self.order, self.arrays = order, {}
-        for kind in np.unique(kinds):
-            at = np.flatnonzero(kinds == kind)
-            at = at[np.argsort(hashes[at])]
-            self.arrays[int(kind)] = (hashes[at], values[at])
-
-    def find(self, kind: int, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        known, values = self.arrays.get(kind, (np.empty(0, np.uint64), np.empty(0, np.float32)))
-        if not len(known):
-            return np.zeros(len(h), bool), np.zeros(len(h))
-        at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-        return known[at] == h, values[at].astype(float)
+    """Sorted hash arrays by kind and language, in shards; see :func:`store_model`."""
+
+    order: int
+    slices: dict[tuple[int, int], list[Slice]]
+    held: int = HELD_ENTRIES
+
+    def find(self, kind: int, seed: np.uint64, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which hashes have an entry of a kind in a language, and their values, by binary search in each shard."""
+        hit, values, h = np.zeros(len(h), bool), np.zeros(len(h)), h.view(np.int64)
+        slices = self.slices.get((kind, int(seed.view(np.int64))), [])
+        where = np.searchsorted(np.array([x.least for x in slices], np.int64), h, "right") - 1
+        for i, part in enumerate(slices):
+            mine = np.flatnonzero(where == i) if len(slices) > 1 else np.arange(len(h))
+            if not len(mine):
+                continue
+            hashes, kept = _shard(part.file, self.held)
+            known = hashes[part.begin : part.end]
+            at = np.minimum(np.searchsorted(known, h[mine]), len(known) - 1)
+            hit[mine], values[mine] = known[at] == h[mine], kept[part.begin : part.end][at]
+        return hit, values
 
     def at(self, lang: str, points: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """The logarithm of the probability of the symbols at ``ends``, after those before them."""
@@ -286,14 +324,14 @@ class Model:
         for k in range(self.order, 0, -1):
             if not len(open_):
                 break
-            hit, value = self.find(k, _hashes(points, ends[open_], k, seed))
+            hit, value = self.find(k, seed, _hashes(points, ends[open_], k, seed))
             total[open_[hit]] += value[hit]
             open_ = open_[~hit]
             if k > 1 and len(open_):
-                seen, weight = self.find(1 - k, _hashes(points, ends[open_] - 1, k - 1, seed))
+                seen, weight = self.find(1 - k, seed, _hashes(points, ends[open_] - 1, k - 1, seed))
                 total[open_] += np.where(seen, weight, 0.0)
         if len(open_):
-            hit, value = self.find(0, _hashes(points, ends[open_], 0, seed))
+            hit, value = self.find(0, seed, _hashes(points, ends[open_], 0, seed))
             total[open_] += np.where(hit, value, -np.log(256.0))
         return total
 
@@ -326,11 +364,23 @@ def count_pieces(docs: DataFrame, text: str, lang: str, order: int = ORDER) -> D
     return materialize(found, "piece-counts")
 
 
-def broadcast_model(table: DataFrame, order: int) -> Broadcast:
-    """The hashed n-grams of :func:`kneser_ney` in every task; the caller has checked their number."""
-    got = table.toArrow()
-    model = Model(order, got["kind"].to_numpy(), got["hash"].to_numpy().view(np.uint64), got["value"].to_numpy())
-    return table.sparkSession.sparkContext.broadcast(model)
+def store_model(grams: DataFrame, order: int, shard: int = SHARD_ENTRIES, held: int = HELD_ENTRIES) -> Model:
+    """Hash the n-grams of :func:`kneser_ney`, sort them and write them in shards; one row per kind and language of each comes back."""
+    spark = grams.sparkSession
+    table = materialize(grams.mapInArrow(_hashed, "kind int, lang long, hash long, value float"), "ngram-model")
+    parts = max(1, -(-table.count() // shard))
+    arrays = materialize(table.repartitionByRange(parts, "kind", "lang", "hash").sortWithinPartitions("kind", "lang", "hash"), "ngram-arrays")
+    discard(spark, table.scratch)
+    found = arrays.groupBy(F.col("_metadata.file_path").alias("file"), "kind", "lang").agg(F.min("hash").alias("least"), F.count(F.lit(1)).alias("n")).collect()
+    slices: dict[tuple[int, int], list[Slice]] = {}
+    file, end = None, 0
+    for x in sorted(found, key=lambda x: (x["file"], x["kind"], x["lang"])):
+        begin = end if x["file"] == file else 0
+        file, end = x["file"], begin + x["n"]
+        slices.setdefault((x["kind"], x["lang"]), []).append(Slice(file, begin, end, x["least"]))
+    for some in slices.values():
+        some.sort(key=lambda x: x.least)
+    return Model(order, slices, held)
 
 
 def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
@@ -363,9 +413,10 @@ def _base_columns(texts: list[str | None]) -> list[pa.Array]:
     return [pa.array(c, pa.int64()) for c in cols]
 
 
-def _scored(model: Broadcast):
+def _scored(model: Broadcast[Model]):
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m: Model = model.value
+        hold_worker("quality", _SHARDS.clear)
+        m = model.value
         known: dict[str, dict[str, float]] = {}  # words that were looked up before
         for batch in batches:
             texts = batch.column("text").to_pylist()
@@ -390,34 +441,7 @@ def _scored(model: Broadcast):
     return made
 
 
-def _based(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("lang"), batch.column("text"), *_base_columns(batch.column("text").to_pylist())], ["key", "lang", "text", *NAMES])
-
-
-def _document_pieces(order: int):
-    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row, lang, text in zip(*[batch.column(c).to_pylist() for c in ("row", "lang", "text")], strict=True):
-                found = pieces([text], order)
-                yield pa.RecordBatch.from_arrays([pa.array([row] * len(found), pa.int64()), pa.array([lang] * len(found), pa.string()), pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["row", "lang", "piece", "n"])
-
-    return made
-
-
-def _joined_scores(slim: DataFrame, counted: DataFrame, grams: DataFrame, order: int) -> DataFrame:
-    """What :func:`_scored` gives, by joins with the n-grams of the highest order."""
-    top = grams.filter(F.col("kind") == order).select("lang", "gram", F.col("value").cast("float").cast("double").alias("value"))
-    letters = counted.select("lang", "piece", F.explode(_grams(order)).alias("gram"))
-    logs = letters.join(top, ["lang", "gram"]).groupBy("lang", "piece").agg(F.sum("value").alias("log"))
-    based = materialize(slim.mapInArrow(_based, f"key long, lang string, text string, {COUNTS}").withColumn("row", F.monotonically_increasing_id()), "quality-base")
-    own = based.select("row", "lang", "text").mapInArrow(_document_pieces(order), "row long, lang string, piece string, n long")
-    bits = -F.sum(F.col("n") * F.col("log")) / F.sum(F.col("n") * (F.length("piece") - (order - 1))) / math.log(2)
-    scores = own.join(logs, ["lang", "piece"]).groupBy("row").agg(bits.alias("bits"))
-    return based.drop("text").join(scores, "row", "left").drop("row")
-
-
-def judge(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", order: int = ORDER, band: float = BAND, entries: int = MODEL_ENTRIES) -> DataFrame:
+def judge(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", order: int = ORDER, band: float = BAND, shard: int = SHARD_ENTRIES, held: int = HELD_ENTRIES) -> DataFrame:
     """The counts, the score and the verdict of every row."""
     bound_batches(docs.sparkSession)
     slim = docs.select(F.col(f"`{key}`").cast("long").alias("key"), _languages(docs, lang).alias("lang"), F.col(f"`{text}`").alias("text"))
@@ -425,11 +449,8 @@ def judge(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str
         raise ValueError("the order is 2, 3 or 4: a joint must not reach past a word of one letter")
     counted = count_pieces(docs, text, lang, order)
     grams = kneser_ney(counted, order)
-    table = materialize(grams.mapInArrow(_hashed, "kind int, hash long, value float"), "ngram-model")
-    if table.count() <= entries:
-        scored = slim.mapInArrow(_scored(broadcast_model(table, order)), f"key long, lang string, {COUNTS}, bits double")
-    else:
-        scored = _joined_scores(slim, counted, grams, order)
+    model = docs.sparkSession.sparkContext.broadcast(store_model(grams, order, shard, held))
+    scored = slim.mapInArrow(_scored(model), f"key long, lang string, {COUNTS}, bits double")
     scored = materialize(scored, "quality-scores")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     scored = scored.withColumn("base_failed", failed)
