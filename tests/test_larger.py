@@ -40,3 +40,17 @@ def orders(*keys: int, customers: int = 1000) -> pd.DataFrame:
 
 def test_rounding_at_a_slanted_side_is_decided_as_in_sql(agrees):
     assert agrees("tile_spatial_join", customer=customers(3051, 5468, 6168), part=parts(*range(110)))
+
+
+@pytest.mark.parametrize("name", ["geom_geojson", "geom_repair"])
+def test_tiny_coordinates_as_text(agrees, name):
+    assert agrees(name, customer=customers(1, 2379)) == 2
+
+
+@pytest.mark.parametrize("x", [0.0, 1e-3, 9.99e-4, 1.25e-4, -1e-4, 9.9e-5, -2.5e-17, 1e-300, 9999999.0, 1e7, -12345678.25, 123456789012345.6, 1e15, 1e16, -1.5e300])
+def test_numbers_as_text(spark, x):
+    from pyspark.sql import functions as F
+
+    from tilth.operators import geometry as G
+
+    assert spark.range(1).select(G.number_text(F.lit(x) + F.col("id")).alias("t")).first()["t"] == repr(x)

@@ -165,12 +165,31 @@ def self_crossing(geom: Column) -> Column:
     return F.exists(rings(geom), crosses)
 
 
+def number_text(x: Column) -> Column:
+    """A number as JSON text, with all its digits: plain from 0.0001 up to 10^16, beyond that as 1.5e-07 or 1e+16."""
+    text = x.cast("string")
+    mantissa, e = F.regexp_replace(F.split_part(text, F.lit("E"), F.lit(1)), r"\.0$", ""), F.split_part(text, F.lit("E"), F.lit(2)).cast("int")
+    sign, digits = F.regexp_extract(mantissa, "^-?", 0), F.regexp_replace(mantissa, r"[-.]", "")
+    whole = F.concat(sign, F.rpad(F.substring(digits, F.lit(1), e + 1), e + 1, F.lit("0")), F.lit("."), F.when(F.length(digits) > e + 1, F.substring(digits, e + 2, F.length(digits))).otherwise("0"))
+    small = F.concat(sign, F.lit("0.000"), digits)
+    other = F.when(e == -4, small).when(e.between(7, 15), whole).otherwise(F.concat(mantissa, F.format_string("e%+03d", e)))
+    plain = (x == 0) | F.abs(x).between(1e-3, 9999999.0)
+    special = F.isnan(x) | (F.abs(x) == float("inf"))
+    return F.when(x.isNull(), "null").when(special, F.concat(F.lit('"'), text, F.lit('"'))).when(plain | ~F.contains(text, F.lit("E")), text).otherwise(other)
+
+
+def points_json(geom: Column, f) -> Column:
+    """The nested arrays of a geometry as JSON text, each point by ``f``."""
+    listed = lambda items, g: F.concat(F.lit("["), F.array_join(F.transform(items, g), ","), F.lit("]"))
+    return listed(geom, lambda poly: listed(poly, lambda ring: listed(ring, f)))
+
+
 def geojson(geom: Column) -> Column:
     """GeoJSON text; a single polygon is a Polygon, more are a MultiPolygon."""
-    coordinates = F.transform(geom, lambda poly: F.transform(poly, lambda ring: F.transform(ring, lambda p: F.array(p["x"], p["y"]))))
-    one = F.to_json(F.struct(F.lit("Polygon").alias("type"), F.get(coordinates, F.lit(0)).alias("coordinates")))
-    many = F.to_json(F.struct(F.lit("MultiPolygon").alias("type"), coordinates.alias("coordinates")))
-    return F.when(~nonempty(geom), F.lit(None)).when(F.size(geom) == 1, one).otherwise(many)
+    coordinates = points_json(geom, lambda p: F.concat(F.lit("["), number_text(p["x"]), F.lit(","), number_text(p["y"]), F.lit("]")))
+    text = lambda kind, c: F.concat(F.lit(f'{{"type":"{kind}","coordinates":'), c, F.lit("}"))
+    one = text("Polygon", F.substring(coordinates, F.lit(2), F.length(coordinates) - 2))
+    return F.when(~nonempty(geom), F.lit(None)).when(F.size(geom) == 1, one).otherwise(text("MultiPolygon", coordinates))
 
 
 def boundary(geom: Column) -> Column:
