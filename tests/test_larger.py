@@ -42,6 +42,10 @@ def test_rounding_at_a_slanted_side_is_decided_as_in_sql(agrees):
     assert agrees("tile_spatial_join", customer=customers(3051, 5468, 6168), part=parts(*range(110)))
 
 
+def test_clips_have_the_same_pairs(agrees):
+    assert agrees("tile_aoi_clip", customer=customers(3051, 5468, 6168), part=parts(*range(110)))
+
+
 @pytest.mark.parametrize("name", ["geom_geojson", "geom_repair"])
 def test_tiny_coordinates_as_text(agrees, name):
     assert agrees(name, customer=customers(1, 2379)) == 2

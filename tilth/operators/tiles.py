@@ -133,7 +133,11 @@ def aoi_clip(tiles: DataFrame, aoi: DataFrame, sliver: float = 1e-12) -> DataFra
     A tile that only touches an AOI part, so that the share's area is rounding error up to
     ``sliver``, gets all of that part.
     """
+    return clip_pairs(spatial_join(tiles, aoi, tile_key="tile_id", aoi_key="aoi_id"), sliver)
+
+
+def clip_pairs(pairs: DataFrame, sliver: float = 1e-12) -> DataFrame:
+    """``aoi_clip`` of pairs (left tile, right AOI part) that are known to meet."""
     whole = F.col("right.geom")
     share = F.explode(F.transform(F.array(G.clip_convex(whole, F.col("left.geom"))), lambda g: F.when((F.size(g) > 0) & (G.area(g) > sliver), g).otherwise(whole)))
-    pairs = spatial_join(tiles, aoi, tile_key="tile_id", aoi_key="aoi_id")
     return pairs.select("left.tile_id", "right.aoi_id", share.alias("geom"))
