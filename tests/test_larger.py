@@ -64,5 +64,9 @@ def test_tiny_coordinates_of_points_as_text(agrees):
     assert agrees("geom_force_2d", customer=customers(1, 2379)) == 2
 
 
+def test_a_tile_listed_twice_is_staged_twice(agrees):
+    assert agrees("stage_manifest", part=parts(7, 10000, 100000, 100001)) == 4
+
+
 def test_a_name_of_no_tile_is_of_none_at_any_size(agrees):
     assert agrees("tile_include", part=parts(1, 42, 99999)) == 2

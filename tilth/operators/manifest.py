@@ -6,19 +6,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def one_path(table: DataFrame) -> DataFrame:
+    """One row per tile id of (tile_id, path): a tile listed several times has one output, the greatest path."""
+    return table.groupBy("tile_id").agg(F.max("path").alias("path"))
+
+
 def with_raster(summary: DataFrame, rasters: DataFrame) -> DataFrame:
     """Each summary row with its tile's raster; absent stays null."""
-    return summary.join(rasters, "tile_id", "left")
+    return summary.join(one_path(rasters), "tile_id", "left")
 
 
 def staged(tiles: DataFrame, **stages: DataFrame) -> DataFrame:
-    """One row per tile with the path of each stage's output, null where absent.
+    """Each row of ``tiles`` once, with the path of each stage's output, null where absent.
 
     Every stage is a table of (tile_id, path).
     """
     out = tiles.select("tile_id")
     for name, table in stages.items():
-        out = out.join(table.select("tile_id", F.col("path").alias(name)), "tile_id", "left")
+        out = out.join(one_path(table).withColumnRenamed("path", name), "tile_id", "left")
     return out
 
 
