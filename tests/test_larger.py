@@ -70,3 +70,9 @@ def test_a_tile_listed_twice_is_staged_twice(agrees):
 
 def test_a_name_of_no_tile_is_of_none_at_any_size(agrees):
     assert agrees("tile_include", part=parts(1, 42, 99999)) == 2
+
+
+@pytest.mark.parametrize("last", [4000, 160000])
+def test_a_scene_too_narrow_for_a_column(agrees, last):
+    found = agrees("raster_decimate", embeddings=pd.DataFrame({"vec_id": [42, 1610, last], "embedding": [[0.5] * 64] * 3}))
+    assert (found > 0) == (last == 4000)
