@@ -76,3 +76,15 @@ def test_a_name_of_no_tile_is_of_none_at_any_size(agrees):
 def test_a_scene_too_narrow_for_a_column(agrees, last):
     found = agrees("raster_decimate", embeddings=pd.DataFrame({"vec_id": [42, 1610, last], "embedding": [[0.5] * 64] * 3}))
     assert (found > 0) == (last == 4000)
+
+
+def test_collections_stay_whole_in_any_number_of_tasks(spark, agrees):
+    small = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2000", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    old = {k: spark.conf.get(k) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        assert agrees("src_geojson_split", orders=orders(*range(2000))) == 2000
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

@@ -225,13 +225,13 @@ def src_geojson_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fields written as a feature collection per tile, with brackets and quotes in strings, and read in splits."""
     path = scratch_path(spark, "collections")
     f = fields(spark, sf_dir).select("tile_id", "field_id", F.concat(F.lit('}{"a\\'), _c("field_id").cast("string"), F.lit('"],[')).alias("label"), "geom")
-    lines = K.features(f, ["field_id", "label"]).select("tile_id", F.lit(1).alias("part"), "field_id", "value")
-    first = F.row_number().over(Window.partitionBy("tile_id").orderBy("field_id")) == 1
-    lines = lines.withColumn("value", F.concat(F.when(first, "").otherwise(","), F.col("value")))
-    tiles = f.select("tile_id").distinct()
-    line = lambda part, text: tiles.select("tile_id", F.lit(part).alias("part"), F.lit(0).cast("long").alias("field_id"), F.lit(text).alias("value"))
-    lines = lines.unionByName(line(0, '{"type":"FeatureCollection","crs":{"name":"}]\\""},"bbox":[1,2],"features":[')).unionByName(line(2, '],"more":[{"type":"x"}]}'))
-    lines.repartition("tile_id").sortWithinPartitions("tile_id", "part", "field_id").select("tile_id", "value").write.partitionBy("tile_id").text(path)
+    lines = K.features(f, ["field_id", "label"])
+    by = Window.partitionBy("tile_id").orderBy("field_id")
+    # head and tail go with a tile's first and last feature, so that no other rows must reach its file
+    head = F.when(F.row_number().over(by) == 1, '{"type":"FeatureCollection","crs":{"name":"}]\\""},"bbox":[1,2],"features":[\n').otherwise(",")
+    tail = F.when(F.lead("field_id").over(by).isNull(), '\n],"more":[{"type":"x"}]}').otherwise("")
+    lines = lines.select("tile_id", "field_id", F.concat(head, "value", tail).alias("value"))
+    lines.repartition("tile_id").sortWithinPartitions("tile_id", "field_id").select("tile_id", "value").write.partitionBy("tile_id").text(path)
     b = G.bounds(_c("geom"))
     out = read_collection(spark, path).select(F.regexp_extract("file", "tile_id=([^/]*)/", 1).alias("tile_id"), _c("properties.field_id").cast("long").alias("field_id"), _c("properties.label").alias("label"), b["minx"].alias("minx"), b["maxy"].alias("maxy"))
     return out
