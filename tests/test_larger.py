@@ -88,3 +88,24 @@ def test_collections_stay_whole_in_any_number_of_tasks(spark, agrees):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_files_of_equal_tile_ids_are_all_found(agrees):
+    assert agrees("src_expand_inputs", part=parts(*range(1500), 10000, 100000, 100001)) == 1503
+
+
+def test_inputs_are_listed_by_level(spark, tmp_path):
+    from tilth.sources.vectors import expand_inputs
+
+    for name in ("a/x.gpkg", "a/b/y.gpkg", "a/b/z.txt", "a/_hidden/h.gpkg", "c/k1.gpkg", "c/k2.gpkg", "c/m.gpkg", "one.gpkg"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("")
+    names = lambda *inputs: [r["path"].rsplit("/", 1)[1] for r in expand_inputs(spark, *inputs).collect()]
+    assert names(f"{tmp_path}/a") == ["y.gpkg", "x.gpkg"]
+    assert names(f"{tmp_path}/c/k*", f"{tmp_path}/c/k1.gpkg", f"{tmp_path}/one.gpkg") == ["k1.gpkg", "k2.gpkg", "one.gpkg"]
+    assert names(f"{tmp_path}/*/{{k1,m}}.gpkg") == ["k1.gpkg", "m.gpkg"]
+    assert names(f"file:{tmp_path}/[a]*") == ["y.gpkg", "x.gpkg"]
+    with pytest.raises(ValueError):
+        names(f"{tmp_path}/nothing*")
+    with pytest.raises(FileNotFoundError):
+        names(f"{tmp_path}/missing")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import sqlite3
 import struct
 import tempfile
@@ -289,11 +290,28 @@ def src_gpkg_bbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.bbox_scan(read, 2.5, 41.0, 6.25, 43.75).select(_c("id").alias("tile_id"), *T.BOX)
 
 
+def _write_inputs(folder: str):
+    """Each group of rows as a folder of small files."""
+
+    def write(pdf: pd.DataFrame) -> pd.DataFrame:
+        files, root = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+        own = f"{root}/{pdf['part'].iloc[0]}"
+        files.create_dir(own, recursive=True)
+        for tile_id, x, y in pdf[["tile_id", "minx", "miny"]].itertuples(index=False, name=None):
+            with files.open_output_stream(f"{own}/{tile_id}_{x:.0f}_{y:.0f}.json") as out:
+                out.write(json.dumps({"minx": x, "miny": y}).encode())
+        return pd.DataFrame({"files": [len(pdf)]})
+
+    return write
+
+
 @query(oracle("select concat(tile_id, '.json') as name from fx_tiles", "fx_tiles"))
 def src_expand_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One file per tile, found again through the folder and a glob of it."""
+    """One file per tile, in folders of about 1000, found again through their folder and a glob of it."""
     path = scratch_path(spark, "inputs")
-    t = fixture(spark, sf_dir, "fx_tiles").select("tile_id", F.to_json(F.struct("minx", "miny")).alias("value"))
-    t.repartition("tile_id").write.partitionBy("tile_id").text(path)
-    found = V.expand_inputs(spark, path, f"{path}/tile_id=T000*", pattern="*.txt")
-    return found.select(F.concat(F.regexp_extract("path", r"tile_id=([^/]*)/", 1), F.lit(".json")).alias("name"))
+    t = fixture(spark, sf_dir, "fx_tiles").select("tile_id", "minx", "miny")
+    t = t.withColumn("part", F.pmod(F.xxhash64("tile_id", "minx", "miny"), F.lit(t.count() // 1000 + 1)))
+    t = t.repartition(4 * spark.sparkContext.defaultParallelism, "part")  # a number, as rows are few beside the work on their files
+    t.groupBy("part").applyInPandas(_write_inputs(path), "files long").write.format("noop").mode("overwrite").save()
+    found = V.expand_inputs(spark, path, f"{path}/*/T000*", pattern="*.json")
+    return found.select(F.concat(F.regexp_extract("path", r"([^/_]*)_[^/]*$", 1), F.lit(".json")).alias("name"))

@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
+import os
+import re
+from collections.abc import Iterator
+from fnmatch import fnmatchcase
+from functools import reduce
+from itertools import islice
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilth.operators import geometry as G
+from tilth.scratch import materialize
 
 _RING = "array<array<double>>"
 #: Coordinates are kept as text and read by type, since their depth depends on it.
@@ -79,14 +89,83 @@ def read_wkt(spark: SparkSession, path: str, *, column: str | None = None, schem
     return rows.select(*[c for c in rows.columns if c != column], wkt_geometry(F.col(column)).alias("geom"), F.lit(4326).alias("srid"))
 
 
+LISTED = "path string, rest array<string>, file boolean"
+
+
+def _alternatives(text: str) -> list[str]:
+    """A glob without braces for each choice of its {a,b}."""
+    if not (m := re.search(r"\{([^{}]*)\}", text)):
+        return [text]
+    return [t for part in m[1].split(",") for t in _alternatives(text[: m.start()] + part + text[m.end() :])]
+
+
+def _opened(path: str) -> tuple[fs.FileSystem, str, str]:
+    """The file system of a path or URI, the path in it, and what stands before that in a URI."""
+    if path.startswith("file:") or "://" not in path:
+        own = re.sub("^file:(//)?(?=/)", "", path)
+        return fs.LocalFileSystem(), os.path.abspath(own), "file:"
+    files, own = fs.FileSystem.from_uri(path)
+    return files, own, path[: path.rstrip("/").rindex(own)]
+
+
+def _listed(pattern: str):
+    """Lists folders: a file that is found, or a folder with the parts of its glob that are still to be matched."""
+    names = _alternatives(pattern)
+    hidden = lambda name: name.startswith(".") or (name.startswith("_") and "=" not in name)
+
+    def entries(folder: str, rest: list[str]) -> Iterator[tuple[str, list[str], bool]]:
+        files, own, head = _opened(folder)
+        root = files.get_file_info(own)
+        if root.type == fs.FileType.NotFound:
+            if not rest:
+                raise FileNotFoundError(folder)
+            return
+        if root.type == fs.FileType.File:
+            if not rest and any(fnmatchcase(root.base_name, n) for n in names):
+                yield head + root.path, [], True
+            return
+        for info in files.get_file_info(fs.FileSelector(own)):
+            if not (fnmatchcase(info.base_name, rest[0]) if rest else not hidden(info.base_name)):
+                continue
+            if info.type == fs.FileType.Directory:
+                yield head + info.path, rest[1:], False
+            elif len(rest) < 2 and any(fnmatchcase(info.base_name, n) for n in names):
+                yield head + info.path, [], True
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = pa.string(), pa.list_(pa.string()), pa.bool_()
+        for batch in batches:
+            for folder, rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found = entries(folder, rest)
+                while some := list(islice(found, 10_000)):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some, strict=True), types, strict=True)], ["path", "rest", "file"])
+
+    return run
+
+
 def expand_inputs(spark: SparkSession, *inputs: str, pattern: str = "*.gpkg") -> DataFrame:
     """The distinct files of directories, with those below them, and globs, in order; none is an error.
 
-    Only paths are read, not contents.
+    Only paths are read, not contents.  Tasks list the folders, one level of them in each round, so the driver holds
+    no list of files.  Hidden files and folders (``.x``, ``_x``) count only if a glob names them.
     """
     if not inputs:
         raise ValueError("no input given")
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(list(inputs)).select("path").distinct().orderBy("path")
+    starts = []
+    for text in (t for i in inputs for t in _alternatives(i)):
+        parts = text.split("/")
+        plain = next((k for k, p in enumerate(parts) if re.search(r"[*?\[]", p)), len(parts))
+        starts.append(("/".join(parts[:plain]) or ("/" if text.startswith("/") else "."), [p for p in parts[plain:] if p]))
+    for folder, rest in starts:
+        files, own, _ = _opened(folder)
+        if not rest and files.get_file_info(own).type == fs.FileType.NotFound:
+            raise FileNotFoundError(f"no such input: {folder}")
+    level, found = spark.createDataFrame(starts, "path string, rest array<string>"), []
+    while not level.isEmpty():
+        listed = materialize(level.repartition(4 * spark.sparkContext.defaultParallelism, "path").mapInArrow(_listed(pattern), LISTED), "inputs")
+        found.append(listed.filter("file").select("path"))
+        level = listed.filter("not file").select("path", "rest")
+    files = reduce(DataFrame.union, found).distinct().orderBy("path")
     if files.isEmpty():
         raise ValueError(f"no file matches {pattern} in {inputs}")
     return files
