@@ -29,27 +29,29 @@ def _points(polygons: Column) -> Column:
     return F.transform(polygons, lambda poly: F.transform(poly, lambda ring: F.transform(ring, lambda p: G.point(F.get(p, F.lit(0)), F.get(p, F.lit(1))))))
 
 
-def _one(geometry: Column, depth: int) -> Column:
-    """The polygons of a GeoJSON geometry text; collections down to ``depth``."""
-    kind = F.get_json_object(geometry, "$.type")
-    coordinates = F.get_json_object(geometry, "$.coordinates")
-    polygon = F.array(F.from_json(coordinates, f"array<{_RING}>"))
-    multi = F.from_json(coordinates, f"array<array<{_RING}>>")
-    out = F.when(kind == "Polygon", _points(polygon)).when(kind == "MultiPolygon", _points(multi))
+def _schema(depth: int) -> str:
+    members = f",geometries:array<{_schema(depth - 1)}>" if depth else ""
+    return f"struct<type:string,coordinates:string{members}>"
+
+
+def _one(g: Column, depth: int) -> Column:
+    """The polygons of a parsed GeoJSON geometry; collections down to ``depth``."""
+    polygon = F.array(F.from_json(g["coordinates"], f"array<{_RING}>"))
+    multi = F.from_json(g["coordinates"], f"array<array<{_RING}>>")
+    out = F.when(g["type"] == "Polygon", _points(polygon)).when(g["type"] == "MultiPolygon", _points(multi))
     if depth:
-        members = F.from_json(F.get_json_object(geometry, "$.geometries"), "array<string>")
-        nested = F.flatten(F.filter(F.transform(members, lambda m: _one(m, depth - 1)), lambda g: g.isNotNull()))
-        out = out.when(kind == "GeometryCollection", nested)
+        nested = F.flatten(F.filter(F.transform(g["geometries"], lambda m: _one(m, depth - 1)), lambda x: x.isNotNull()))
+        out = out.when(g["type"] == "GeometryCollection", nested)
     return out.otherwise(F.lit(None).cast(G.TYPE))
 
 
 def geojson_geometry(text: Column, depth: int = DEPTH) -> Column:
     """geom of a GeoJSON geometry; null if it has no polygon.
 
-    Collections in collections are read down to ``depth`` levels.
+    Collections in collections are read down to ``depth`` levels.  The text is parsed once, and the polygons are made once.
     """
-    g = _one(text, depth)
-    return F.when(F.size(g) > 0, g)
+    made = F.transform(F.array(F.from_json(text, _schema(depth))), lambda g: _one(g, depth))
+    return F.get(F.filter(made, lambda g: F.size(g) > 0), F.lit(0))
 
 
 def read_geojson(spark: SparkSession, path: str, *, lines: bool = False) -> DataFrame:
