@@ -109,3 +109,18 @@ def test_inputs_are_listed_by_level(spark, tmp_path):
         names(f"{tmp_path}/nothing*")
     with pytest.raises(FileNotFoundError):
         names(f"{tmp_path}/missing")
+
+
+@pytest.mark.parametrize("name", ["composite_coverage_stop", "band_reorder"])
+def test_blocks_of_ranks_and_tasks_of_a_large_table(spark, monkeypatch, name):
+    from tests.test_queries import SF
+    from tilth.operators import composite
+    from tilth.plans import fixtures
+
+    monkeypatch.setattr(composite, "RANKS", 3)
+    monkeypatch.setattr(fixtures, "ROWS", 500)
+    db = duckdb.connect()
+    for table in ("orders", "lineitem"):
+        db.execute(f"create view {table} as select * from '{SF}/{table}.parquet'")
+    assert fixtures.spread(fixtures.fixture(spark, SF, "lineitem"), "l_orderkey").rdd.getNumPartitions() > 4
+    assert rows(QUERIES[name](spark, SF).toPandas()) == rows(db.execute(ORACLES[name]).df())
