@@ -940,3 +940,19 @@ def test_pipeline_stages(spark):
     out = corpus_pipeline.run(spark, SF)
     assert out.columns == [c.split()[0] for c in packing.SCHEMA.split(", ")]
     assert out.filter("length <= 0 or length > 4096").count() == 0 and out.count() > 100
+
+
+def test_remembered_parts_stay_bounded_within_a_text(monkeypatch):
+    from public_tokenizers import path
+
+    from tilth.llm import packing
+
+    monkeypatch.setattr(packing, "REMEMBERED", 50)
+    packing._KNOWN.clear()
+    file = path("word_bpe_49k.json")
+    v = packing._loaded(file)
+    texts = [" ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}ê{m}" for i in range(400) for m in ("", ".", ",")), "Été, café. (naïve) 3,5. µ. aª, .,", None]
+    got = [x.tolist() for x in packing.token_ids(texts, file)]
+    assert got == [[*v.tokenizer.encode(t or "", add_special_tokens=False).ids, packing.END_ID] for t in texts]
+    assert len(v.known) <= 50 and len(v.known.older) <= 50
+    packing._KNOWN.clear()

@@ -28,7 +28,8 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ SEQUENCE = 4096
 END_ID = 2
 #: Tokens that one run of the packer holds.
 RUN_TOKENS = 1 << 20
-#: White-space-separated strings whose ids a worker remembers.
+#: White-space-separated strings whose ids a worker remembers, and as many older ones.
 REMEMBERED = 200_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 #: A word of Latin-1 letters, which the vocabulary does not split; nor does a mark after it change its ids.
@@ -66,11 +67,11 @@ class Vocabulary:
     tokenizer: object
     added: re.Pattern | None = None
     spelt: dict[int, str] | None = None
-    known: dict[bytes, bytes] = field(default_factory=dict)
-    older: dict[bytes, bytes] = field(default_factory=dict)
+    known: Parts | None = None
 
 
 _KNOWN: dict[str, Vocabulary] = {}
+_ID = attrgetter("id")
 
 
 def _splits(t) -> bool:
@@ -111,30 +112,48 @@ def _spelt_ids(t, spelt: dict[str, str], word: str) -> list[int]:
     return [x.id for x in t.model.tokenize("".join(spelt[c] for c in word))]
 
 
-def _encode(t, spelt: dict[int, str] | None, parts: list[bytes], known: dict[bytes, bytes]) -> None:
-    """Puts the ids of white-space-free parts into ``known``."""
-    rest, tokenize = [], t.model.tokenize
-    mark = {m: array("I", t.encode(m, add_special_tokens=False).ids).tobytes() for m in (".", ",")}
-    for part in parts:
-        last = part[-1:].decode("latin-1")
-        word = part[:-1] if last in mark and part[-2:-1].isalpha() else part  # a mark after a letter stands alone
-        got = known.get(word)
+class Parts(dict):
+    """The ids of white-space-free parts as bytes, found when they are first asked for.
+
+    At most ``REMEMBERED`` are held, and as many older ones, from which frequent parts come back.
+    """
+
+    def __init__(self, tokenizer, spelt: dict[int, str] | None) -> None:
+        super().__init__()
+        self.tokenizer, self.spelt, self.older = tokenizer, spelt, {}
+        self.tokenize = tokenizer.model.tokenize
+        self.mark = {m: self.whole(m) for m in (".", ",")}
+
+    def __missing__(self, part: bytes) -> bytes:
+        got = self.older.get(part)
         if got is None:
-            if spelt and word.isalpha():  # ASCII letters are spelt as themselves
-                got = array("I", [x.id for x in tokenize(word.decode().lower())]).tobytes()
-            elif spelt and _PLAIN.fullmatch(text := word.decode("utf-8", "surrogatepass")):
-                got = array("I", [x.id for x in tokenize(text.lower().translate(spelt))]).tobytes()
+            if self.spelt and part.isalpha():  # ASCII letters are spelt as themselves
+                got = array("I", map(_ID, self.tokenize(part.decode().lower()))).tobytes()
             else:
-                rest.append(part)
-                continue
-        known[part] = got if word is part else got + mark[last]
-    for i in range(0, len(rest), 1 << 16):
-        some = rest[i : i + (1 << 16)]
-        for part, got in zip(some, t.encode_batch_fast([x.decode("utf-8", "surrogatepass") for x in some], add_special_tokens=False), strict=True):
-            known[part] = array("I", got.ids).tobytes()
+                got = self.found(part)
+        if len(self) >= REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+        self[part] = got
+        return got
+
+    def whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def found(self, part: bytes) -> bytes:
+        text = part.decode("utf-8", "surrogatepass")
+        mark = self.mark.get(text[-1])
+        # a mark after a letter stands alone
+        if self.spelt and mark is not None and (part[-2:-1].isalpha() or _PLAIN.fullmatch(text, 0, len(text) - 1)):
+            return self[part[:-1]] + mark
+        if self.spelt and _PLAIN.fullmatch(text):
+            return array("I", map(_ID, self.tokenize(text.lower().translate(self.spelt)))).tobytes()
+        return self.whole(text)
 
 
 def _part_ids(v: Vocabulary, texts: Sequence[str | None], end: bytes) -> Iterator[np.ndarray]:
+    if v.known is None:
+        v.known = Parts(v.tokenizer, v.spelt)
     for text in texts:
         text = text or ""
         if v.added.search(text):
@@ -142,15 +161,6 @@ def _part_ids(v: Vocabulary, texts: Sequence[str | None], end: bytes) -> Iterato
             continue
         data = text.encode("utf-8", "surrogatepass")
         parts = (data if _JOINING.search(text) else data.lower()).split()
-        if new := set(parts).difference(v.known):
-            if len(v.known) + len(new) > REMEMBERED:  # frequent parts come back from the older half
-                v.older.clear()
-                v.older.update(v.known)
-                v.known.clear()
-                new = set(parts)
-            back = {x: v.older[x] for x in new if x in v.older}
-            v.known.update(back)
-            _encode(v.tokenizer, v.spelt, list(new.difference(back)), v.known)
         yield np.frombuffer(b"".join([*map(v.known.__getitem__, parts), end]), "<u4")
 
 
