@@ -124,3 +124,28 @@ def test_blocks_of_ranks_and_tasks_of_a_large_table(spark, monkeypatch, name):
         db.execute(f"create view {table} as select * from '{SF}/{table}.parquet'")
     assert fixtures.spread(fixtures.fixture(spark, SF, "lineitem"), "l_orderkey").rdd.getNumPartitions() > 4
     assert rows(QUERIES[name](spark, SF).toPandas()) == rows(db.execute(ORACLES[name]).df())
+
+
+def test_edges_side_by_side_are_not_all_compared(spark, agrees, monkeypatch):
+    from tilth.operators import outlines
+
+    most, whole = {}, outlines.materialize
+
+    def counted(df, tag):
+        out = whole(df, tag)
+        most[tag] = max(most.get(tag, 0), out.count())
+        return out
+
+    monkeypatch.setattr(outlines, "materialize", counted)
+    assert agrees("geom_crossings", customer=customers(*range(1, 50000, 25))) == 1
+    assert 2000 < most["ring-pairs"] < 2000 * 30
+
+
+def test_turned_boxes_of_rings_of_few_edges(spark):
+    from tilth.operators import geometry as G
+    from tilth.operators.outlines import crossing_rings
+
+    rings = [(1, [(0, 0), (2, 2), (2, 0), (0, 2)]), (2, [(0, 0), (3, 0), (3, 3), (0, 3)]), (3, [(0, 0), (4, 0), (4, 4), (2, 0), (0, 4)]), (4, [(0, 0), (1, 1)])]
+    data = [(k, [[[{"x": float(x), "y": float(y)} for x, y in [*ps, ps[0]]]]]) for k, ps in rings]
+    found = crossing_rings(spark.createDataFrame(data, f"id long, geom {G.TYPE}"), ["id"]).collect()
+    assert {r["id"]: r["crossings"] for r in found} == {1: 1, 3: 2}

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -67,16 +67,77 @@ def tiles_meeting(tiles: DataFrame, outlines: DataFrame, tile_key: str = "tile_i
     return relations(tiles, outlines, tile_key, outline_key).drop("edge")
 
 
+#: Chains of a level that are one chain of the next, and more than rounding can move a point by, beside its coordinates.
+FAN, SLACK = 8, 1e-9
+#: Sides of a turned box: its axis (ux, uy) and what it spans along and across it.
+_TURNED = ("ux", "uy", "u0", "u1", "v0", "v1")
+
+
+def _turned(points: Column) -> Column:
+    """A turned box of some points: its axis is that along which they spread most."""
+    n, total = F.size(points), lambda f: F.aggregate(points, F.lit(0.0), lambda acc, p: acc + f(p))
+    mx, my = total(lambda p: p["x"]) / n, total(lambda p: p["y"]) / n
+    m = F.struct(points.alias("ps"), mx.alias("mx"), my.alias("my"))
+
+    def axis(m: Column) -> Column:
+        total = lambda f: F.aggregate(m["ps"], F.lit(0.0), lambda acc, p: acc + f(p["x"] - m["mx"], p["y"] - m["my"]))
+        turn = F.atan2(2 * total(lambda x, y: x * y), total(lambda x, y: x * x - y * y)) / 2
+        return F.struct(m["ps"].alias("ps"), F.cos(turn).alias("ux"), F.sin(turn).alias("uy"))
+
+    def spans(a: Column) -> Column:
+        along = F.transform(a["ps"], lambda p: p["x"] * a["ux"] + p["y"] * a["uy"])
+        across = F.transform(a["ps"], lambda p: p["y"] * a["ux"] - p["x"] * a["uy"])
+        far = SLACK * F.array_max(F.transform(a["ps"], lambda p: F.abs(p["x"]) + F.abs(p["y"])))
+        return F.struct(a["ux"].alias("ux"), a["uy"].alias("uy"), (F.array_min(along) - far).alias("u0"), (F.array_max(along) + far).alias("u1"), (F.array_min(across) - far).alias("v0"), (F.array_max(across) + far).alias("v1"))
+
+    return F.get(F.transform(F.transform(F.array(m), axis), spans), F.lit(0))
+
+
+def _corners(box: Column) -> Column:
+    at = lambda u, v: F.struct((box[u] * box["ux"] - box[v] * box["uy"]).alias("x"), (box[u] * box["uy"] + box[v] * box["ux"]).alias("y"))
+    return F.array(at("u0", "v0"), at("u1", "v0"), at("u1", "v1"), at("u0", "v1"))
+
+
+def _boxes_meet(a: Column, b: Column) -> Column:
+    """Turned boxes that no side of either parts."""
+
+    def along(a: Column, b: Column) -> Column:
+        # b's middle and half sizes on a's axes
+        u, v, hu, hv = (b["u0"] + b["u1"]) / 2, (b["v0"] + b["v1"]) / 2, (b["u1"] - b["u0"]) / 2, (b["v1"] - b["v0"]) / 2
+        x, y = u * b["ux"] - v * b["uy"], u * b["uy"] + v * b["ux"]
+        c, s = F.abs(a["ux"] * b["ux"] + a["uy"] * b["uy"]), F.abs(a["ux"] * b["uy"] - a["uy"] * b["ux"])
+        mu, mv, ru, rv = x * a["ux"] + y * a["uy"], y * a["ux"] - x * a["uy"], hu * c + hv * s, hu * s + hv * c
+        return (mu - ru <= a["u1"]) & (mu + ru >= a["u0"]) & (mv - rv <= a["v1"]) & (mv + rv >= a["v0"])
+
+    return along(a, b) & along(b, a)
+
+
 def crossing_rings(layer: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(keys, poly, ring, crossings): rings with two edges, not neighbours, that cross or touch, and how many such pairs.
 
-    Rings that cross nowhere have no row.  Edges are compared where their boxes meet only.
+    Rings that cross nowhere have no row.  Edges that follow one another are chains of ``FAN``, those again, and so on up to the ring.
+    A chain has a box turned to the line along which it lies, so long edges side by side have boxes apart, whatever their
+    direction.  Pairs of chains whose boxes meet give way to the pairs of their parts, level by level, down to edges.
     """
     own = [*keys, "poly", "ring"]
-    edges = materialize(edge_rows(layer, keys), "ring-edges")
-    pairs = bbox_join(edges, edges, on=own)
-    i, j, n = F.col("left.seq"), F.col("right.seq"), F.col("left.edges")
+    edges = edge_rows(layer, keys).select(*own, "edges", F.col("seq").cast("long").alias("seq"), "a", "b")
+    edges = materialize(edges.withColumn("box", _turned(F.array("a", "b"))).repartition(*own, F.floor(F.col("seq") / 4096)), "ring-edges")
+    most = edges.agg(F.max("edges")).first()[0] or 1
+    levels = [edges.select(*own, "seq", "box")]
+    while most > 1:
+        most = -(-most // FAN)
+        up = levels[-1].groupBy(*own, F.floor(F.col("seq") / FAN).alias("seq")).agg(F.flatten(F.collect_list(_corners(F.col("box")))).alias("ps"))
+        levels.append(materialize(up.select(*own, "seq", _turned(F.col("ps")).alias("box")), "ring-chains"))
+    pairs = levels.pop().select(*own, F.col("seq").alias("i"), F.col("seq").alias("j"))
+    while levels:
+        chains = levels.pop()
+        parts = lambda c: F.explode(F.transform(F.sequence(F.lit(0), F.lit(FAN - 1)), lambda k: F.col(c) * FAN + k)).alias(c)  # noqa: B023, E731
+        side = lambda c: chains.select(*own, F.col("seq").alias(c), F.struct("seq", "box").alias(f"of_{c}"))  # noqa: B023, E731
+        met = pairs.select(*own, parts("i"), "j").select(*own, "i", parts("j")).filter("i <= j")
+        met = met.join(side("i").hint("merge"), [*own, "i"]).join(side("j").hint("merge"), [*own, "j"])
+        pairs = materialize(met.filter(_boxes_meet(F.col("of_i.box"), F.col("of_j.box"))).select(*own, "i", "j"), "ring-pairs")
+    edge = lambda c: edges.select(*own, F.col("seq").alias(c), F.struct("a", "b").alias(f"of_{c}"), F.col("edges").alias(f"n_{c}"))
+    i, j, n = F.col("i"), F.col("j"), F.col("n_i")
     apart = (j > i + 1) & ~((i == 0) & (j == n - 1))
-    meet = G.segments_meet(F.struct("left.a", "left.b"), F.struct("right.a", "right.b"))
-    found = pairs.filter(apart & meet).select(*[F.col(f"left.{c}").alias(c) for c in own])
-    return found.groupBy(*own).agg(F.count(F.lit(1)).alias("crossings"))
+    near = pairs.join(edge("i").hint("merge"), [*own, "i"]).filter(apart).join(edge("j").hint("merge"), [*own, "j"])
+    return near.filter(G.segments_meet(F.col("of_i"), F.col("of_j"))).groupBy(*own).agg(F.count(F.lit(1)).alias("crossings"))
