@@ -149,3 +149,13 @@ def test_turned_boxes_of_rings_of_few_edges(spark):
     data = [(k, [[[{"x": float(x), "y": float(y)} for x, y in [*ps, ps[0]]]]]) for k, ps in rings]
     found = crossing_rings(spark.createDataFrame(data, f"id long, geom {G.TYPE}"), ["id"]).collect()
     assert {r["id"]: r["crossings"] for r in found} == {1: 1, 3: 2}
+
+
+@pytest.mark.parametrize("name", ["tile_bbox_join", "tile_outline_join"])
+def test_sides_of_a_box_join_are_not_broadcast(spark, name):
+    from tests.test_queries import SF
+
+    cells = [j for j in QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString().split("\n") if "cell_x" in j and "Join" in j]
+    assert not any("Broadcast" in j for j in cells)
+    plan = QUERIES["tile_bbox_join"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan

@@ -42,6 +42,8 @@ def bbox_join(left: DataFrame, right: DataFrame, on: Sequence[str] = ()) -> Data
     is dealt to the cells of its own level and to those of the larger levels that the other side has, at most four each,
     so the cells of a box are bounded whatever its size and the CRS.  A pair is reported in the
     cell of the lower left corner of its overlap only, so it needs no distinct (Patel & DeWitt 1996).
+    Rows outside the other side's bounds are not dealt.  Both sides are shuffled: what the cells make of a small table is not small, and
+    its size before does not tell whether it can be broadcast.
     """
 
     def sized(df: DataFrame, side: str) -> DataFrame:
@@ -49,15 +51,18 @@ def bbox_join(left: DataFrame, right: DataFrame, on: Sequence[str] = ()) -> Data
         return x.withColumn("own", _level(F.col("box")))
 
     def dealt(x: DataFrame, other: DataFrame, side: str) -> DataFrame:
-        levels = other.agg(F.collect_set("own")).scalar()  # a few dozen numbers
-        x = x.withColumn("level", F.explode(F.array_union(F.array("own"), levels))).filter("level >= own")
+        b = F.col("box")
+        far = other.agg(F.min("box.minx").alias("minx"), F.min("box.miny").alias("miny"), F.max("box.maxx").alias("maxx"), F.max("box.maxy").alias("maxy"), F.collect_set("own").alias("levels"))  # a few dozen levels
+        far = far.select(F.struct("*").alias("far")).scalar()
+        x = x.filter((b["minx"] <= far["maxx"]) & (b["maxx"] >= far["minx"]) & (b["miny"] <= far["maxy"]) & (b["maxy"] >= far["miny"]))
+        x = x.withColumn("level", F.explode(F.array_union(F.array("own"), far["levels"]))).filter("level >= own")
         size = F.pow(F.lit(2.0), F.col("level"))
         for axis, lo, hi in (("x", "minx", "maxx"), ("y", "miny", "maxy")):
             x = x.withColumn(f"cell_{axis}", F.explode(F.sequence(F.floor(F.col(f"box.{lo}") / size), F.floor(F.col(f"box.{hi}") / size))))
         return x.withColumnsRenamed({"box": f"{side}_box", "own": f"{side}_own"})
 
     a, b = sized(left, "left"), sized(right, "right")
-    pairs = dealt(a, b, "left").join(dealt(b, a, "right"), [*[f"on_{c}" for c in on], "level", "cell_x", "cell_y"])
+    pairs = dealt(a, b, "left").join(dealt(b, a, "right").hint("merge"), [*[f"on_{c}" for c in on], "level", "cell_x", "cell_y"])
     a, b, size = F.col("left_box"), F.col("right_box"), F.pow(F.lit(2.0), F.col("level"))
     meet = (a["minx"] <= b["maxx"]) & (a["maxx"] >= b["minx"]) & (a["miny"] <= b["maxy"]) & (a["maxy"] >= b["miny"])
     once = (F.greatest("left_own", "right_own") == F.col("level")) & (F.floor(F.greatest(a["minx"], b["minx"]) / size) == F.col("cell_x")) & (F.floor(F.greatest(a["miny"], b["miny"]) / size) == F.col("cell_y"))
