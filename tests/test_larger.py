@@ -159,3 +159,10 @@ def test_sides_of_a_box_join_are_not_broadcast(spark, name):
     assert not any("Broadcast" in j for j in cells)
     plan = QUERIES["tile_bbox_join"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_spans_of_a_clip_are_joined_by_chunk(spark):
+    from tests.test_queries import SF
+
+    plan = QUERIES["raster_clip_chunks"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert any("Join LeftSemi" in j and "cx" in j and "cy" in j for j in plan.split("\n"))

@@ -253,9 +253,12 @@ def clip(chunks: DataFrame, meta: DataFrame, aoi: DataFrame, w: int, h: int) ->
     near = relations(grid.select("raster_id", "chunk", "geom"), parts, "chunk", "part", on=["raster_id"]).groupBy("chunk").agg(F.bool_or(~F.col("edge")).alias("inside"), F.bool_or("edge").alias("edge"))
     grid = materialize(grid.drop("geom").join(near, "chunk", "left").withColumn("kind", F.when(F.col("inside"), "inside").when(F.col("edge"), "edge").otherwise("outside")).drop("inside", "edge"), "clip-kinds")
     crossed = grid.filter("kind = 'edge'").select("raster_id", "cx", "cy")
-    spans = _row_spans(parts, win).withColumn("cy", F.floor(F.col("py") / h)).join(crossed, ["raster_id", "cy"])
-    spans = spans.select("raster_id", "cx", "cy", (F.col("py") - F.col("cy") * h).alias("y"), F.greatest(F.col("first") - F.col("cx") * w, F.lit(0)).alias("a"), F.least(F.col("stop") - F.col("cx") * w, F.lit(w)).alias("b")).filter("a < b")
-    spans = spans.distinct().groupBy("raster_id", "cx", "cy").agg(F.collect_list(F.struct("y", "a", "b")).alias("spans"))  # within one chunk
+    # a span goes to the chunks that it meets, and equal shares of a chunk's row are one before they are shuffled
+    spans = _row_spans(parts, win).withColumns({"lo": F.floor(F.greatest("first", "x0") / w), "hi": F.floor((F.least("stop", "x1") - 1) / w)}).filter("lo <= hi")
+    spans = spans.select("raster_id", F.floor(F.col("py") / h).alias("cy"), (F.col("py") % h).alias("y"), "first", "stop", F.explode(F.sequence("lo", "hi")).alias("cx"))
+    spans = spans.select("raster_id", "cx", "cy", "y", F.greatest(F.col("first") - F.col("cx") * w, F.lit(0)).alias("a"), F.least(F.col("stop") - F.col("cx") * w, F.lit(w)).alias("b")).filter("a < b")
+    spans = spans.distinct().join(crossed, ["raster_id", "cx", "cy"], "left_semi")
+    spans = spans.groupBy("raster_id", "cx", "cy").agg(F.collect_list(F.struct("y", "a", "b")).alias("spans"))  # within one chunk
     grid = grid.join(spans, ["raster_id", "cx", "cy"], "left")
     c = chunks.select("raster_id", "band", F.col("cx").cast("long").alias("cx"), F.col("cy").cast("long").alias("cy"), F.col("values").cast("array<double>").alias("values"))
     hit = c.join(grid.select("raster_id", "cx", "cy", "x0", "y0", "kind", "nodata", "spans"), ["raster_id", "cx", "cy"])
@@ -281,8 +284,8 @@ def clip(chunks: DataFrame, meta: DataFrame, aoi: DataFrame, w: int, h: int) ->
 
 
 def _row_spans(parts: DataFrame, win: DataFrame) -> DataFrame:
-    """(raster_id, py, first, stop): pixels of a row whose centres are in a part, its outline included."""
-    e = edge_rows(parts, ["raster_id", "part"]).join(win.select("raster_id", "ox", "oy", "rx", "ry", "y0", "y1"), "raster_id")
+    """(raster_id, py, x0, x1, first, stop): pixels of a row whose centres are in a part, its outline included."""
+    e = edge_rows(parts, ["raster_id", "part"]).join(win.select("raster_id", "ox", "oy", "rx", "ry", "x0", "x1", "y0", "y1"), "raster_id")
     top, low = F.ceil((F.col("oy") - F.col("maxy")) / F.col("ry") - 0.5), F.floor((F.col("oy") - F.col("miny")) / F.col("ry") - 0.5)
     e = e.withColumns({"first": F.greatest("y0", top), "last": F.least(F.col("y1") - 1, low)}).filter("first <= last")
     e = e.withColumn("py", F.explode(F.sequence("first", "last"))).withColumn("y", F.col("oy") - (F.col("py") + 0.5) * F.col("ry"))
@@ -291,12 +294,12 @@ def _row_spans(parts: DataFrame, win: DataFrame) -> DataFrame:
     e = e.withColumn("x", x)
     crossed = e.filter((F.col("a.y") > F.col("y")) != (F.col("b.y") > F.col("y")))
     line = W.partitionBy("raster_id", "part", "py").orderBy("x")
-    pairs = crossed.select("raster_id", "py", "ox", "rx", F.col("x").alias("low"), F.lead("x").over(line).alias("high"), F.row_number().over(line).alias("n")).filter("n % 2 = 1").drop("n")
+    pairs = crossed.select("raster_id", "py", "x0", "x1", "ox", "rx", F.col("x").alias("low"), F.lead("x").over(line).alias("high"), F.row_number().over(line).alias("n")).filter("n % 2 = 1").drop("n")
     # ends of edges, and level edges, that lie on the line of centres
-    on = e.filter((F.col("a.y") == F.col("y")) | (F.col("b.y") == F.col("y"))).select("raster_id", "py", "ox", "rx", F.when(level, F.col("minx")).otherwise(F.col("x")).alias("low"), F.when(level, F.col("maxx")).otherwise(F.col("x")).alias("high"))
+    on = e.filter((F.col("a.y") == F.col("y")) | (F.col("b.y") == F.col("y"))).select("raster_id", "py", "x0", "x1", "ox", "rx", F.when(level, F.col("minx")).otherwise(F.col("x")).alias("low"), F.when(level, F.col("maxx")).otherwise(F.col("x")).alias("high"))
     both = pairs.unionByName(on)
     first, last = F.ceil((F.col("low") - F.col("ox")) / F.col("rx") - 0.5), F.floor((F.col("high") - F.col("ox")) / F.col("rx") - 0.5)
-    return both.select("raster_id", "py", first.alias("first"), (last + 1).alias("stop")).filter("first < stop")
+    return both.select("raster_id", "py", "x0", "x1", first.alias("first"), (last + 1).alias("stop")).filter("first < stop")
 
 
 # -- parcels
