@@ -211,3 +211,56 @@ def test_aoi_guards(spark, tmp_path):
     assert collections.load_aoi(spark, write("g.wkt", "\n POLYGON ((0 0, 1 0, 0 1, 0 0))\n")).first()["geom"][0][0][1] == (1.0, 0.0)
     with pytest.raises(ValueError, match="no valid geometries"):
         collections.load_aoi(spark, write("l.txt", "LINESTRING (0 0, 1 1)"))
+
+
+# -- larger tables
+
+
+def test_states_are_made_and_merged_by_the_batch(obs, stacks):
+    class Counted(chunks.BestState):
+        calls = 0
+
+        @classmethod
+        def score(cls, *args):
+            cls.calls += 1
+            if cls.calls > 3:
+                raise ValueError("a call per row")
+            return chunks.BestState.score(*args)
+
+    chunks.OUTPUT[Counted] = best = chunks.OUTPUT[chunks.BestState]
+    try:
+        same(pixels(chunks.composite(stacks.coalesce(1), Counted, 16), best), composite.max_ndvi(obs).filter("ndvi is not null"), ["tile_id", "px", "py", *best])
+    finally:
+        del chunks.OUTPUT[Counted]
+
+
+@pytest.mark.parametrize("method", [chunks.BestState, chunks.MeanState])
+def test_folds_equal_pairwise_merges(method):
+    rng = np.random.default_rng(5)
+    states = rng.integers(0, 3, (60, 7 if method is chunks.BestState else 5, 4)).astype(float)
+    states[:, 0][rng.random((60, 4)) < 0.2] = -np.inf if method is chunks.BestState else 0
+    first = np.array([0, 1, 2, 30, 59])
+    for folded, lo, hi in zip(method.fold(states, first), first, [*first[1:], 60], strict=True):
+        want = states[lo]
+        for s in states[lo + 1 : hi]:
+            want = method.merge(want, s)
+        np.testing.assert_array_equal(folded, want)
+
+
+def test_chunks_are_filled_without_lists_of_pixels(spark, obs):
+    table = chunks.from_pixels(obs, ["tile_id", "scene_id", "acquired"], [*composite.BANDS, "valid"], 4, 4)
+    assert "collect_list" not in table._jdf.queryExecution().optimizedPlan().toString()
+    rows = [("r", x, y, None if x == y else x * 1000 + y) for x in range(150) for y in range(3, 100)]  # chunks that go on over batches
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        found = chunks.from_pixels(spark.createDataFrame(rows, "raster_id string, px long, py long, value int"), ["raster_id"], ["value"], 64, 5)
+        found = found.collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    want = {(x, y): v for _, x, y, v in rows}
+    assert len(found) == 3 * 20 and found[0].asDict().keys() == {"raster_id", "cx", "cy", "value"}
+    for r in found:
+        assert r["value"] == [want.get((r["cx"] * 64 + i % 64, r["cy"] * 5 + i // 64)) for i in range(320)]
+    with pytest.raises(Exception, match="pixel twice"):
+        chunks.from_pixels(spark.createDataFrame([rows[1], rows[1]], "raster_id string, px long, py long, value int"), ["raster_id"], ["value"], 64, 5).collect()

@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tilth.operators import geometry as G
 from tilth.operators.components import connected_components
@@ -28,13 +29,47 @@ HELD = 1 << 22
 
 
 def from_pixels(pixels: DataFrame, keys: Sequence[str], values: Sequence[str], w: int, h: int) -> DataFrame:
-    """(keys, cx, cy, values as arrays) of a pixel table; pixels that are missing are null."""
+    """(keys, cx, cy, values as arrays) of a pixel table; pixels that are missing are null.
+
+    A window numbers the pixels of each chunk, and tasks fill the arrays as its rows come by, some chunks at a time.
+    """
+    of, cells = [*keys, "cx", "cy"], w * h
     at = ((F.col("py") % h) * w + F.col("px") % w).cast("int")
-    cell = F.struct(at.alias("at"), F.struct(*values).alias("v"))
-    p = pixels.select(*keys, F.floor(F.col("px") / w).alias("cx"), F.floor(F.col("py") / h).alias("cy"), cell.alias("c"))
-    p = p.groupBy(*keys, "cx", "cy").agg(F.map_from_entries(F.collect_list("c")).alias("m"))
-    every = F.transform(F.sequence(F.lit(0), F.lit(w * h - 1)), lambda i: F.try_element_at("m", i))
-    return p.select(*keys, "cx", "cy", every.alias("all")).select(*keys, "cx", "cy", *[F.col(f"all.{v}").alias(v) for v in values])
+    p = pixels.select(*keys, F.floor(F.col("px") / w).alias("cx"), F.floor(F.col("py") / h).alias("cy"), at.alias("_at"), *values)
+    p = p.withColumn("_n", F.row_number().over(W.partitionBy(*of).orderBy("_at")))
+    kinds = {f.name: f.dataType for f in p.schema}
+    schema = T.StructType([*(T.StructField(c, kinds[c]) for c in of), *(T.StructField(v, T.ArrayType(kinds[v])) for v in values)])
+
+    def filled(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        place, first = rows.column("_at").to_numpy(), np.flatnonzero(rows.column("_n").to_numpy() == 1)
+        chunk = np.repeat(np.arange(len(first)), np.diff(first, append=len(rows)))
+        same = chunk[1:] == chunk[:-1]
+        if np.any(same & (place[1:] == place[:-1])):
+            raise ValueError("a chunk has a pixel twice")
+        step = max(1, HELD // cells)
+        for lo in range(0, len(first), step):
+            k, take = min(step, len(first) - lo), (chunk >= lo) & (chunk < lo + step)
+            row = np.full(k * cells, -1)
+            row[(chunk[take] - lo) * cells + place[take]] = np.flatnonzero(take)
+            index, offsets = pa.array(row, mask=row < 0), pa.array(np.arange(0, k * cells + 1, cells, dtype=np.int32))
+            heads = rows.select(of).take(pa.array(first[lo : lo + k]))
+            lists = [pa.ListArray.from_arrays(offsets, rows.column(v).combine_chunks().take(index)) for v in values]
+            yield pa.RecordBatch.from_arrays([*(c.combine_chunks() for c in heads.columns), *lists], [*of, *values])
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # what has come of the last chunk
+        for batch in batches:
+            starts = np.flatnonzero(batch.column("_n").to_numpy() == 1)
+            if len(starts):
+                held.append(batch.slice(0, starts[-1]))
+                if sum(b.num_rows for b in held):
+                    yield from filled(pa.Table.from_batches(held).combine_chunks())
+                held, batch = [], batch.slice(starts[-1])
+            held.append(batch)
+        if sum(b.num_rows for b in held):
+            yield from filled(pa.Table.from_batches(held).combine_chunks())
+
+    return p.mapInArrow(fill, schema)
 
 
 def to_pixels(chunks: DataFrame, keys: Sequence[str], values: Sequence[str], w: int, h: int) -> DataFrame:
@@ -61,13 +96,19 @@ class MeanState:
     kind = np.float64
 
     @staticmethod
-    def start(row: dict, valid: np.ndarray, bands: Sequence[np.ndarray]) -> np.ndarray:
-        return np.stack([valid, *(np.where(valid, b, 0) for b in bands)]).astype(np.float64)
+    def start(rows: pa.RecordBatch, valid: np.ndarray, bands: Sequence[np.ndarray]) -> np.ndarray:
+        """The states of many rows, one after another."""
+        return np.stack([valid, *(np.where(valid, b, 0) for b in bands)], axis=1).astype(np.float64)
 
     @staticmethod
     def merge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return a + b
 
+    @staticmethod
+    def fold(states: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """``merge`` of all states from each place in ``first`` to the next."""
+        return np.add.reduceat(states, first)
+
     @staticmethod
     def finish(state: np.ndarray) -> list[np.ndarray]:
         with np.errstate(invalid="ignore"):
@@ -83,18 +124,34 @@ class BestState:
     columns = ("score", "day", "scene", *BANDS)
     kind = np.float64
 
+    @classmethod
+    def start(cls, rows: pa.RecordBatch, valid: np.ndarray, bands: Sequence[np.ndarray]) -> np.ndarray:
+        out = np.empty((len(valid), len(cls.columns), valid.shape[1]))
+        for i, v in enumerate((cls.score(rows, valid, bands), *(rows.column(c).to_numpy()[:, None] for c in ("day", "scene_id")), *bands)):
+            out[:, i] = v
+        return out
+
     @staticmethod
-    def start(row: dict, valid: np.ndarray, bands: Sequence[np.ndarray]) -> np.ndarray:
+    def score(rows: pa.RecordBatch, valid: np.ndarray, bands: Sequence[np.ndarray]) -> np.ndarray:
         red, near = bands[0].astype(np.float64), bands[3].astype(np.float64)
         with np.errstate(divide="ignore", invalid="ignore"):
-            score = np.where(valid & (near + red != 0), (near - red) / (near + red), -np.inf)
-        return np.stack([score, np.full(len(score), row["day"]), np.full(len(score), row["scene_id"]), *bands]).astype(np.float64)
+            return np.where(valid & (near + red != 0), (near - red) / (near + red), -np.inf)
 
     @staticmethod
     def merge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         better = (b[0] > a[0]) | (b[0] == a[0]) & ((b[1] < a[1]) | (b[1] == a[1]) & (b[2] < a[2]))
         return np.where(better, b, a)
 
+    @staticmethod
+    def fold(states: np.ndarray, first: np.ndarray) -> np.ndarray:
+        of = np.repeat(np.arange(len(first)), np.diff(first, append=len(states)))
+        wins = np.ones((len(states), states.shape[2]), bool)
+        for row, best, worst in ((0, np.maximum, -np.inf), (1, np.minimum, np.inf), (2, np.minimum, np.inf)):
+            v = np.where(wins, states[:, row], worst)
+            wins &= v == best.reduceat(v, first)[of]
+        place = np.minimum.reduceat(np.where(wins, np.arange(len(states))[:, None], len(states)), first)
+        return np.take_along_axis(states, place[:, None, :], 0)
+
     @staticmethod
     def finish(state: np.ndarray) -> list[np.ndarray]:
         none = np.isneginf(state[0])
@@ -105,9 +162,8 @@ class FirstState(BestState):
     """The bands of the first valid scene by rank."""
 
     @staticmethod
-    def start(row: dict, valid: np.ndarray, bands: Sequence[np.ndarray]) -> np.ndarray:
-        score = np.where(valid, -float(row["rank"]), -np.inf)
-        return np.stack([score, np.full(len(score), row["day"]), np.full(len(score), row["scene_id"]), *bands]).astype(np.float64)
+    def score(rows: pa.RecordBatch, valid: np.ndarray, bands: Sequence[np.ndarray]) -> np.ndarray:
+        return np.where(valid, -rows.column("rank").to_numpy().astype(np.float64)[:, None], -np.inf)
 
 
 STATE = "cx long, cy long, state array<double>"
@@ -131,6 +187,15 @@ def _states(rows: Iterator[tuple[tuple, np.ndarray]], merge, whole: bool) -> Ite
         yield list(held.items())
 
 
+def _folded(keys: pa.RecordBatch, states: np.ndarray, fold) -> Iterator[tuple[tuple, np.ndarray]]:
+    """One state per key of a batch; keys that come sorted stay so."""
+    codes = [keys.column(0).dictionary_encode("encode").indices.to_numpy(), keys.column(1).to_numpy(), keys.column(2).to_numpy()]
+    order = np.lexsort(codes[::-1])
+    first = np.flatnonzero(np.concatenate([[True], np.any([c[order][1:] != c[order][:-1] for c in codes], axis=0)]))
+    plain = keys.take(pa.array(order[first]))
+    yield from zip(zip(*(c.to_pylist() for c in plain.columns), strict=True), fold(states[order], first), strict=True)
+
+
 def _lists(arrays: Sequence[np.ndarray]) -> pa.ListArray:
     """Rows of numbers as lists; NaN is null."""
     return pa.array([pa.array(a, from_pandas=True) for a in arrays], pa.list_(pa.float64()))
@@ -140,7 +205,7 @@ def composite(chunks: DataFrame, method: type, cells: int) -> DataFrame:
     """(tile_id, cx, cy, bands as arrays of doubles) by one of the states above; null where no scene is valid.
 
     ``chunks`` has tile_id, cx, cy, scene_id, acquired, the bands and ``valid`` as arrays, and ``rank`` for the
-    first valid scene.  A task merges the scenes that it reads into one state per chunk, and what tasks pass on is merged
+    first valid scene.  A task merges the scenes that it reads into one state per chunk, first those of a batch all at once, and what tasks pass on is merged
     chunk by chunk, so a stack of scenes is never held and a tile of many scenes is no large group.
     """
     key_type = chunks.schema["tile_id"].dataType.simpleString()
@@ -148,21 +213,22 @@ def composite(chunks: DataFrame, method: type, cells: int) -> DataFrame:
     has_rank = "rank" in chunks.columns
     slim = chunks.select("tile_id", F.col("cx").cast("long").alias("cx"), F.col("cy").cast("long").alias("cy"), "scene_id", F.unix_date("acquired").alias("day"), (F.col("rank") if has_rank else F.lit(0)).alias("rank"), "valid", *BANDS)
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, np.ndarray]]:
+    step = max(1, HELD // 4 // (len(method.columns) * cells))
+
+    def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            valid, bands = _matrix(batch, "valid", cells).astype(bool), [_matrix(batch, b, cells) for b in BANDS]
-            plain = batch.select(["tile_id", "cx", "cy", "scene_id", "day", "rank"]).to_pylist()
-            if any(abs(row["scene_id"]) > 1 << 53 for row in plain):
+            yield from (batch.slice(at, step) for at in range(0, batch.num_rows, step))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, np.ndarray]]:
+        for batch in sliced(batches):
+            if np.any(np.abs(batch.column("scene_id").to_numpy()) > 1 << 53):
                 raise ValueError("scene ids beyond 2^53 are not exact in a state")
-            for i, row in enumerate(plain):
-                yield (row["tile_id"], row["cx"], row["cy"]), method.start(row, valid[i], [b[i] for b in bands])
+            valid, bands = _matrix(batch, "valid", cells).astype(bool), [_matrix(batch, b, cells) for b in BANDS]
+            yield from _folded(batch.select(CHUNK), method.start(batch, valid, bands), method.fold)
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, np.ndarray]]:
-        for batch in batches:
-            for t, x, y, state in zip(*(batch.column(c).to_pylist() for c in CHUNK), batch.column("state"), strict=True):
-                yield (t, x, y), state.values.to_numpy().reshape(-1, cells)
+        for batch in sliced(batches):
+            yield from _folded(batch.select(CHUNK), batch.column("state").flatten().to_numpy().reshape(batch.num_rows, -1, cells), method.fold)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for items in _states(read(batches), method.merge, whole=False):
