@@ -166,3 +166,32 @@ def test_spans_of_a_clip_are_joined_by_chunk(spark):
 
     plan = QUERIES["raster_clip_chunks"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert any("Join LeftSemi" in j and "cx" in j and "cy" in j for j in plan.split("\n"))
+
+
+def test_a_tile_is_tried_with_its_likeliest_part_first(spark, monkeypatch):
+    """The triangle with the largest common box misses tile b, which a smaller one meets; tile c meets none."""
+    from tilth.operators import geometry as G
+    from tilth.operators import tiles as T
+
+    seen, whole = {}, T.materialize
+
+    def counted(df, tag):
+        out = whole(df, tag)
+        seen[tag] = out.count()
+        return out
+
+    monkeypatch.setattr(T, "materialize", counted)
+    c = lambda *ps: [[[{"x": float(x), "y": float(y)} for x, y in [*ps, ps[0]]]]]
+    square = lambda x, y, s: c((x, y), (x + s, y), (x + s, y + s), (x, y + s))
+    tiles = spark.createDataFrame([("a", square(1, 0, 2)), ("b", square(7, 7, 3)), ("b", square(70, 70, 3)), ("c", square(6, 6, 1)), ("d", None)], f"tile_id string, geom {G.TYPE}")
+    parts = [c((0, 0), (10, 0), (0, 10)), *[square(1 + i / 100, 0, 1) for i in range(50)], square(9.9, 9.9, 1), None]
+    found = T.intersecting_tiles(tiles, spark.createDataFrame([(p,) for p in parts], f"geom {G.TYPE}")).collect()
+    assert sorted((r["tile_id"], r["geom"][0][0][0]["x"]) for r in found) == [("a", 1.0), ("b", 7.0), ("b", 70.0)]
+    assert seen["tile-pairs"] == 54 and seen["tile-hits"] == 1
+
+
+def test_the_report_hashes_its_pixels(spark):
+    from tests.test_queries import SF
+
+    plan = QUERIES["tile_report"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" in plan and "SortAggregate" not in plan and "max(" in plan

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tilth.operators import geometry as G
+from tilth.scratch import materialize
 
 BOX = ("minx", "miny", "maxx", "maxy")
 
@@ -99,12 +100,22 @@ def spatial_join(tiles: DataFrame, aoi: DataFrame, *, tile_key: str | None = Non
 def intersecting_tiles(tiles: DataFrame, aoi: DataFrame) -> DataFrame:
     """Tiles that intersect any part of the AOI, which is its union.
 
-    The ids that meet are reduced on the map side; the tiles themselves are not dealt into
-    cells with their other columns.
+    Boxes are computed once, and only they are dealt into cells.  A tile needs one part that meets it: the part with the
+    largest common box is tried first, and all others only for tiles that it does not meet.
     """
-    slim = tiles.select("tile_id", "geom")
-    hits = spatial_join(slim, aoi.select("geom")).select("left.tile_id").distinct()
-    return tiles.join(hits, "tile_id", "left_semi")
+    left, right = (materialize(with_box(t).withColumn("row", F.monotonically_increasing_id()), "tile-boxes") for t in (tiles.select("tile_id", "geom"), aoi.select("geom")))
+    pairs = bbox_join(left.select("row", *BOX), right.select("row", *BOX))
+    a, b = F.col("left"), F.col("right")
+    common = (F.least(a["maxx"], b["maxx"]) - F.greatest(a["minx"], b["minx"])) * (F.least(a["maxy"], b["maxy"]) - F.greatest(a["miny"], b["miny"]))
+    pairs = materialize(pairs.select(a["row"].alias("tile"), b["row"].alias("part"), common.alias("common")), "tile-pairs")
+
+    def met(pairs: DataFrame) -> DataFrame:
+        p = pairs.join(left.select(F.col("row").alias("tile"), "tile_id", F.col("geom").alias("a")), "tile").join(right.select(F.col("row").alias("part"), F.col("geom").alias("b")), "part")
+        return p.filter(G.intersects(F.col("a"), F.col("b"))).select("tile", "tile_id")
+
+    likely = materialize(met(pairs.groupBy("tile").agg(F.max_by("part", "common").alias("part"))), "tile-hits")
+    others = met(pairs.join(likely, "tile", "left_anti").select("tile", "part"))
+    return tiles.join(likely.unionByName(others).select("tile_id").distinct(), "tile_id", "left_semi")
 
 
 def dedupe(tiles: DataFrame, order: Column) -> DataFrame:
