@@ -195,3 +195,38 @@ def test_the_report_hashes_its_pixels(spark):
 
     plan = QUERIES["tile_report"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "ObjectHashAggregate" in plan and "SortAggregate" not in plan and "max(" in plan
+
+
+def test_rings_leave_the_rounds_when_they_are_known(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tilth.operators import polygons
+
+    paths, fresh = [], polygons.scratch_path
+    monkeypatch.setattr(polygons, "scratch_path", lambda s, tag: paths.append(fresh(s, tag)) or paths[-1])
+    lengths = [1, 2, 3, 5, 8, 200] + [4] * 300
+    links, want, node = [], {}, 0
+    for n in lengths:
+        keys = [(i * 7 + node) % n for i in range(n)] if n % 7 else list(range(n))
+        for i in range(n):
+            links.append((node + i, node + (i + 1) % n, keys[i] + 10 * node))
+            want[node + i] = (min(keys) + 10 * node, (keys.index(min(keys)) - i) % n)
+        node += n
+    got = polygons.ring_places(spark.createDataFrame(links, "node long, next long, key long")).collect()
+    assert len(got) == node and {r["node"]: (r["first"], r["steps"]) for r in got} == want
+    left = [spark.read.schema("node long, done int").parquet(p).filter("done = 1").count() for p in paths]
+    assert sum(left) == node and sum(left[:5]) == node - 200 and sum(left[3:]) < 220
+
+
+def test_parcels_as_runs(spark):
+    import numpy as np
+
+    from tilth.operators import parcels, polygons
+
+    rng = np.random.default_rng(11)
+    pixels = spark.createDataFrame([(r, x, y, int(rng.integers(0, 2))) for r in ("a", "b") for x in range(14) for y in range(9)], "raster_id string, px long, py long, label int").persist()
+    runs = parcels.parcel_runs(pixels).selectExpr("raster_id", "parcel", "py", "start", "end + 1 as stop")
+    whole = parcels.segments(pixels)
+    assert sorted(map(tuple, runs.collect())) == sorted(map(tuple, polygons.pixel_runs(whole, ["raster_id"]).collect()))
+    assert sorted(map(str, polygons.run_polygons(runs).collect())) == sorted(map(str, polygons.polygons(whole).collect()))
+    assert sorted((r["raster_id"], r["parcel"], r["area"]) for r in polygons.run_polygons(runs).collect()) == sorted(map(tuple, whole.groupBy("raster_id", "parcel").count().collect()))

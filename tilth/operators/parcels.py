@@ -17,18 +17,21 @@ from tilth.scratch import materialize
 CELL = 1 << 24
 
 
-def segments(pixels: DataFrame, by: Sequence[str] = ("raster_id",)) -> DataFrame:
-    """Adds ``parcel``: the 4-connected component of equal class, named by its first pixel.
+def _islands(pixels: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Adds ``island``, which neighbours of one class in a row share, and ``start``, its first pixel."""
+    in_row = W.partitionBy(*by, "py", "label").orderBy("px")
+    p = pixels.withColumn("island", F.col("px") - F.row_number().over(in_row))
+    return p.withColumn("start", F.min("px").over(W.partitionBy(*by, "py", "label", "island")))
+
+
+def parcel_runs(pixels: DataFrame, by: Sequence[str] = ("raster_id",)) -> DataFrame:
+    """(by, py, label, start, end, parcel): the parcels of ``segments`` as runs of pixels, ``end`` included.
 
     Rows of pixels are cut into runs, runs of neighbouring rows that overlap are
     joined, and components are found among runs, which are far fewer than pixels.
-    ``parcel`` is py * 2^24 + px of the component's first pixel in row order.
     """
     by = list(by)
-    in_row = W.partitionBy(*by, "py", "label").orderBy("px")
-    p = pixels.withColumn("island", F.col("px") - F.row_number().over(in_row))
-    p = p.withColumn("start", F.min("px").over(W.partitionBy(*by, "py", "label", "island")))
-    runs = p.groupBy(*by, "py", "label", "start").agg(F.max("px").alias("end"))
+    runs = _islands(pixels, by).groupBy(*by, "py", "label", "start").agg(F.max("px").alias("end"))
     run_id = (F.col("py") * CELL + F.col("start")).cast("long")
     # component nodes must be unique over all rasters: the place of a run, numbered once
     runs = materialize(runs.withColumn("run", run_id).withColumn("node", F.monotonically_increasing_id()), "parcel-runs")
@@ -37,8 +40,16 @@ def segments(pixels: DataFrame, by: Sequence[str] = ("raster_id",)) -> DataFrame
     comp = connected_components(touch, "node", "node2")
     named = runs.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
     first = named.groupBy("component").agg(F.min("run").alias("parcel"))
-    named = named.join(first, "component").select(*by, "py", "label", "start", "parcel")
-    return p.join(named, [*by, "py", "label", "start"]).drop("island", "start")
+    return named.join(first, "component").select(*by, "py", "label", "start", "end", "parcel")
+
+
+def segments(pixels: DataFrame, by: Sequence[str] = ("raster_id",)) -> DataFrame:
+    """Adds ``parcel``: the 4-connected component of equal class, named by its first pixel.
+
+    ``parcel`` is py * 2^24 + px of the component's first pixel in row order.
+    """
+    by = list(by)
+    return _islands(pixels, by).join(parcel_runs(pixels, by).drop("end"), [*by, "py", "label", "start"]).drop("island", "start")
 
 
 def outline(parcels: DataFrame, by: Sequence[str] = ("raster_id",)) -> DataFrame:

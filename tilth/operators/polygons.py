@@ -5,7 +5,8 @@ positive area and holes a negative one.  They are made from runs of pixels as lo
 pixel.  Each edge is linked to the one that starts where it ends; where four edges meet, at pixels that touch
 by a corner, it turns right, so that every ring is simple and a hole may touch its shell at points.
 Links are a permutation of the edges, and its cycles are the rings: pointer jumping finds the first corner of every
-ring and each corner's distance from it in as many rounds as the longest ring's length has bits.
+ring and each corner's distance from it in as many rounds as the longest ring's length has bits; a ring leaves the
+rounds when it is known, so only long rings are in the later ones.
 
 A parcel is 4-connected, so it has one shell, and all its other rings are its holes.
 """
@@ -13,13 +14,14 @@ A parcel is 4-connected, so it has one shell, and all its other rings are its ho
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tilth.operators import geometry as G
-from tilth.scratch import materialize, replaced
+from tilth.scratch import discard, materialize, scratch_path
 
 #: Rows and columns of a raster are below this.
 CELL = 1 << 24
@@ -69,18 +71,32 @@ def ring_places(links: DataFrame, key: str = "key") -> DataFrame:
 
     ``links`` is a permutation (node, next) whose keys differ within a cycle.
     """
-    state = materialize(links.select("node", "next", F.col(key).alias("first"), F.lit(0).cast("long").alias("steps"), F.lit(True).alias("moved")), "ring-places")
-    span = 1
-    while state.filter("moved").limit(1).count():
+    spark, span, known = links.sparkSession, 1, []
+    state = materialize(links.select("node", "next", F.col(key).alias("first"), F.lit(0).cast("long").alias("steps")), "ring-places")
+    last = state.scratch
+    while True:
+        # a node has seen ``span`` links, and so has the one it ends at; if both found the same first corner, their way leads
+        # round the ring, and if that one has left, its ring is no longer than what the node has seen itself
         far = state.select(F.col("node").alias("next"), F.col("next").alias("next2"), F.col("first").alias("first2"), F.col("steps").alias("steps2"))
-        nearer = F.col("first2") < F.col("first")
-        state = replaced(
-            state,
-            state.join(far, "next").select("node", F.col("next2").alias("next"), F.least("first", "first2").alias("first"), F.when(nearer, F.col("steps2") + span).otherwise(F.col("steps")).alias("steps"), nearer.alias("moved")),
-            "ring-places",
-        )
-        span *= 2
-    return state.select("node", "first", "steps")
+        nearer = F.coalesce(F.col("first2") < F.col("first"), F.lit(False))
+        done = F.coalesce(F.col("first2") == F.col("first"), F.lit(True)).cast("int")
+        moved = state.join(far, "next", "left").select("node", F.col("next2").alias("next"), F.least("first", "first2").alias("first"), F.when(nearer, F.col("steps2") + span).otherwise(F.col("steps")).alias("steps"), done.alias("done"))
+        path = scratch_path(spark, "ring-places")
+        moved.write.partitionBy("done").parquet(path)
+        rows = spark.read.schema(moved.schema).parquet(path)
+        discard(spark, last)
+        known.append(rows.filter("done = 1").select("node", "first", "steps"))
+        state, last, span = rows.filter("done = 0").drop("done"), f"{path}/done=0", span * 2
+        if not state.limit(1).count():
+            return reduce(DataFrame.unionByName, known)
+
+
+def _placed(runs: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(by, parcel, ring, steps, x, y, cross): corners with the links from them to their ring's first."""
+    edges = linked_edges(directed_edges(runs, by), by)
+    edges = materialize(edges.withColumn("key", (F.col("sy") * CELL + F.col("sx")).cast("long")), "polygon-links")
+    cross = F.col("sx") * F.col("ey") - F.col("ex") * F.col("sy")
+    return edges.join(ring_places(edges), "node").select(*by, "parcel", F.col("first").alias("ring"), "steps", F.col("sx").alias("x"), F.col("sy").alias("y"), cross.alias("cross"))
 
 
 def ring_corners(parcels: DataFrame, by: Sequence[str] = ("raster_id",)) -> DataFrame:
@@ -89,13 +105,8 @@ def ring_corners(parcels: DataFrame, by: Sequence[str] = ("raster_id",)) -> Data
     ``ring`` is y * 2^24 + x of the ring's first corner; ``cross`` sums to twice the ring's signed area.
     """
     by = list(by)
-    edges = linked_edges(directed_edges(pixel_runs(parcels, by), by), by)
-    edges = materialize(edges.withColumn("key", (F.col("sy") * CELL + F.col("sx")).cast("long")), "polygon-links")
-    placed = edges.join(ring_places(edges), "node")
-    ring = [*by, "parcel", F.col("first").alias("ring")]
-    sizes = placed.groupBy(*ring).agg(F.count(F.lit(1)).alias("corners"))
-    cross = F.col("sx") * F.col("ey") - F.col("ex") * F.col("sy")
-    corners = placed.select(*ring, "steps", F.col("sx").alias("x"), F.col("sy").alias("y"), cross.alias("cross"))
+    corners = _placed(pixel_runs(parcels, by), by)
+    sizes = corners.groupBy(*by, "parcel", "ring").agg(F.count(F.lit(1)).alias("corners"))
     return corners.join(sizes, [*by, "parcel", "ring"]).select(*by, "parcel", "ring", ((F.col("corners") - F.col("steps")) % F.col("corners")).alias("seq"), "x", "y", "cross")
 
 
@@ -104,9 +115,15 @@ def polygons(parcels: DataFrame, by: Sequence[str] = ("raster_id",)) -> DataFram
 
     A polygon is one row, as everywhere in this library; ``ring_corners`` has the same in rows.
     """
+    return run_polygons(pixel_runs(parcels, list(by)), by)
+
+
+def run_polygons(runs: DataFrame, by: Sequence[str] = ("raster_id",)) -> DataFrame:
+    """``polygons`` of parcels that are runs of pixels, as ``pixel_runs`` makes them."""
     by = list(by)
-    point = F.struct("seq", F.struct(F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")).alias("p"))
-    rings = ring_corners(parcels, by).groupBy(*by, "parcel", "ring").agg(F.array_sort(F.collect_list(point)).alias("points"), F.sum("cross").alias("twice"))
+    # the first corner is no link from itself, and the last is one, so corners in order have falling numbers after it
+    point = F.struct(F.when(F.col("steps") > 0, -F.col("steps")).otherwise(F.lit(-(1 << 62))).alias("seq"), F.struct(F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")).alias("p"))
+    rings = _placed(runs, by).repartition(*by, "parcel").groupBy(*by, "parcel", "ring").agg(F.array_sort(F.collect_list(point)).alias("points"), F.sum("cross").alias("twice"))
     open_ = F.transform("points", lambda q: q["p"])
     ring = F.struct((F.col("twice") < 0).alias("hole"), F.col("ring").alias("ring"), F.concat(open_, F.slice(open_, 1, 1)).alias("line"))
     out = rings.groupBy(*by, "parcel").agg(F.array_sort(F.collect_list(ring)).alias("all"), F.sum("twice").alias("twice"), F.sum(F.size("points")).alias("corners"))
