@@ -78,6 +78,18 @@ def test_a_scene_too_narrow_for_a_column(agrees, last):
     assert (found > 0) == (last == 4000)
 
 
+@pytest.mark.parametrize("last", [19999, 20000, 160000])
+def test_a_scene_of_any_height_keeps_a_column(spark, agrees, tmp_path, last):
+    """Above 20,000 embeddings (vec_id from 0) the scale leaves less than one column; the reference keeps max(1, int(width / scale))."""
+    ids = [*range(10, last, 20), last]
+    height = (last // 20 + 1) * 8
+    out = max(1, int(height / max(160 / 50, height / 50, 1)))
+    rows_of = [int((y + 0.5) * height / out) for y in range(out)]
+    want = [(0, y, float((r // 8 * 20 + 10) * 64 + r % 8 * 8)) for y, r in enumerate(rows_of)]
+    assert agrees("raster_decimate", embeddings=pd.DataFrame({"vec_id": ids, "embedding": [[float(k * 64 + i) for i in range(64)] for k in ids]})) == out
+    assert sorted(map(tuple, QUERIES["raster_decimate"](spark, str(tmp_path)).collect())) == want
+
+
 def test_collections_stay_whole_in_any_number_of_tasks(spark, agrees):
     small = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2000", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
     old = {k: spark.conf.get(k) for k in small}
